@@ -194,7 +194,9 @@ class Fixture:
 
 def export_time(ts: Column) -> Column:
     """Day-first, lower case, with a narrow no-break space before am/pm."""
-    return F.replace(F.lower(F.date_format(ts, "d/M/yy h:mm#a")), F.lit("#"), F.lit(" "))
+    return F.concat(
+        F.date_format(ts, "d/M/yy h:mm"), F.lit("\u202f"), F.lower(F.date_format(ts, "a"))
+    )
 
 
 def _complete(rows: DataFrame, table: str, **known: Column) -> DataFrame:

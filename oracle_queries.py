@@ -181,3 +181,313 @@ def sql(body: str, *needs: str) -> str:
 
 def whole(name: str) -> str:
     return sql(f"SELECT * FROM {name}", name)
+
+
+NAMESPACE_HEX = "a1b2c3d4e5f67890abcdef1234567890"
+
+METRICS = (
+    "night_sleep_minutes", "night_sleep_segments", "longest_night_stretch_minutes", "awake_at_night_minutes",
+    "night_waking_count", "nap_count", "total_nap_minutes", "avg_nap_minutes", "feed_count",
+    "breast_feed_count", "bottle_feed_count", "total_volume_ml", "avg_feed_interval_minutes",
+    "avg_wake_window_minutes", "max_wake_window_minutes", "diaper_count", "wet_diaper_count",
+    "dirty_diaper_count",
+)
+SUMMARY = ("night_sleep_minutes", "nap_count", "total_nap_minutes", "feed_count", "diaper_count")
+
+
+def uuid5(name: str) -> str:
+    """A version 5 UUID of the SQL expression ``name``."""
+    digest = f"sha1(unhex('{NAMESPACE_HEX}') || encode({name}))"
+    nibble = f"CAST('0x' || substr({digest}, 17, 1) AS INTEGER)"
+    return (
+        f"substr({digest}, 1, 8) || '-' || substr({digest}, 9, 4) || '-5' || substr({digest}, 14, 3) || '-' || "
+        f"printf('%x', ({nibble} & 3) | 8) || substr({digest}, 18, 3) || '-' || substr({digest}, 21, 12)"
+    )
+
+
+def _nulls(*names_and_types: str) -> str:
+    pairs = (item.split() for item in names_and_types)
+    return ", ".join(f"CAST(NULL AS {kind}) AS {name}" for name, kind in pairs)
+
+
+def _raw() -> dict[str, str]:
+    stamps = "st AS created_at, st AS updated_at"
+    return {
+        "raw_profiles": sql(
+            f"""SELECT baby_id AS id, baby_name AS name, date_of_birth, true AS is_active,
+            {_nulls('birth_weight DOUBLE', 'birth_length DOUBLE', 'birth_head_circumference DOUBLE', 'gender VARCHAR',
+                    'timezone VARCHAR', 'notes VARCHAR', 'created_at TIMESTAMP', 'updated_at TIMESTAMP')}
+            FROM kid""",
+            "kid",
+        ),
+        "raw_diaper": sql(
+            f"""SELECT id, dia.baby_id, dia.event_time AS "timestamp", has_urine, has_stool, {stamps},
+            {_nulls('urine_volume VARCHAR', 'stool_consistency VARCHAR', 'stool_color VARCHAR',
+                    'diaper_type VARCHAR', 'notes VARCHAR')}
+            FROM dia JOIN ev ON ev.event_id = dia.id""",
+            "dia",
+        ),
+        "raw_feeding": sql(
+            f"""SELECT id, fed.baby_id, start_time, end_time, feeding_type, breast_started,
+            left_min AS left_breast_duration, right_min AS right_breast_duration, ml AS volume_offered_ml,
+            ml AS volume_consumed_ml, {stamps},
+            {_nulls('formula_type VARCHAR', 'food_items VARCHAR', 'appetite VARCHAR', 'notes VARCHAR')}
+            FROM fed JOIN ev ON ev.event_id = fed.id""",
+            "fed",
+        ),
+        "raw_sleep": sql(
+            f"""SELECT id, slp.baby_id, start_time, end_time, sleep_type, {stamps},
+            {_nulls('location VARCHAR', 'sleep_quality VARCHAR', 'sleep_environment VARCHAR', 'wake_reason VARCHAR',
+                    'notes VARCHAR')}
+            FROM slp JOIN ev ON ev.event_id = slp.id""",
+            "slp",
+        ),
+        "raw_growth": f"""SELECT o_orderkey AS id, o_custkey AS baby_id, CAST(o_orderdate AS DATE) AS measurement_date,
+            o_totalprice AS weight_kg,
+            {_nulls('length_cm DOUBLE', 'head_circumference_cm DOUBLE', 'measurement_context VARCHAR',
+                    'measured_by VARCHAR', 'percentiles VARCHAR', 'notes VARCHAR', 'created_at TIMESTAMP',
+                    'updated_at TIMESTAMP')}
+            FROM orders""",
+        "raw_health": f"""SELECT o_orderkey AS id, o_custkey AS baby_id, o_orderdate AS event_date,
+            o_orderpriority AS event_type, o_totalprice AS temperature_celsius,
+            {_nulls('title VARCHAR', 'description VARCHAR', 'symptoms VARCHAR', 'treatment VARCHAR',
+                    'healthcare_provider VARCHAR', 'follow_up_required BOOLEAN', 'follow_up_date TIMESTAMP',
+                    'attachments VARCHAR', 'notes VARCHAR', 'created_at TIMESTAMP', 'updated_at TIMESTAMP')}
+            FROM orders""",
+    }
+
+
+# What ingest makes of the rendered exports: times to the minute, notes trimmed.
+_INGESTED = f"""
+    SELECT event_id AS n, CAST(event_id AS VARCHAR) AS note_no, event_type, mins,
+           date_trunc('minute', ts) AS at_minute, {uuid5("'subject-' || ev.baby_id")} AS baby
+    FROM ev JOIN kid ON kid.baby_id = ev.baby_id"""
+
+
+def _ingest() -> dict[str, str]:
+    def on_ingested(body: str) -> str:
+        return sql("SELECT * FROM (WITH x AS (" + _INGESTED + ") " + body + ")", "ev", "kid")
+
+    common = (
+        "n AS id, baby AS baby_id, 'note ' || note_no AS notes, at_minute AS created_at, "
+        "at_minute AS updated_at, 'ingested' AS source"
+    )
+    diaper = """SELECT {cols} FROM x WHERE event_type = 'signup'"""
+    diaper_cols = f"""{common}, at_minute AS "timestamp", n % 4 IN (0, 2) AS has_urine,
+        CASE WHEN n % 4 IN (0, 2) THEN 'MODERATE' ELSE 'NONE' END AS urine_volume, n % 4 IN (1, 2) AS has_stool,
+        CASE WHEN n % 4 IN (1, 2) THEN 'SOFT' END AS stool_consistency,
+        CASE WHEN n % 4 IN (1, 2) THEN 'YELLOW' END AS stool_color, 'DISPOSABLE' AS diaper_type"""
+    sleep = f"""SELECT {common}, at_minute AS start_time, at_minute + to_minutes(mins) AS end_time,
+        CASE WHEN mins > 180 AND (hour(at_minute) < 7 OR hour(at_minute) > 18) THEN 'NIGHTTIME' ELSE 'NAP' END
+            AS sleep_type,
+        'CRIB' AS location, 'NATURAL' AS wake_reason,
+        {_nulls('sleep_quality VARCHAR', 'sleep_environment VARCHAR')}
+        FROM x WHERE event_type IN ('view', 'error') AND n % 11 <> 0"""
+    sided = """event_type = 'click' OR n % 2 = 1"""
+    feed = f"""SELECT {common}, at_minute AS start_time,
+        CASE WHEN ({sided}) AND n % 13 <> 0 THEN at_minute + to_minutes(mins) ELSE at_minute END AS end_time,
+        CASE event_type WHEN 'click' THEN 'BREAST' ELSE 'BOTTLE' END AS feeding_type,
+        CASE WHEN ({sided}) AND n % 7 <> 0 THEN CASE n % 2 WHEN 0 THEN 'LEFT' ELSE 'RIGHT' END END AS breast_started,
+        CASE WHEN ({sided}) AND n % 3 <> 0 THEN mins // 2 END AS left_breast_duration,
+        CASE WHEN ({sided}) AND n % 4 <> 0 THEN mins - mins // 2 END AS right_breast_duration,
+        CASE WHEN event_type = 'purchase' AND n % 5 <> 0 THEN mins * 10 END AS volume_offered_ml,
+        CASE WHEN event_type = 'purchase' AND n % 5 <> 0 THEN mins * 10 END AS volume_consumed_ml,
+        {_nulls('formula_type VARCHAR', 'food_items VARCHAR', 'appetite VARCHAR')}
+        FROM x WHERE event_type IN ('click', 'purchase')"""
+    shown = "baby_id, {begin} AS begins, {end} AS ends, {label} AS label, notes, source"
+    diaper_sql = diaper.format(cols=diaper_cols)
+    roundtrip = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, {shown.format(begin=b, end=e, label=lab)} FROM ({body})"
+        for name, body, b, e, lab in (
+            ("diaper_events", diaper_sql, '"timestamp"', '"timestamp"', "urine_volume"),
+            ("feeding_sessions", feed, "start_time", "end_time", "feeding_type"),
+            ("sleep_sessions", sleep, "start_time", "end_time", "sleep_type"),
+        )
+    )
+    counts = (
+        "SELECT 'baby_profiles' AS table_name, count(*) AS \"rows\" FROM kid "
+        f"UNION ALL SELECT 'diaper_events', count(*) FROM ({diaper_sql}) "
+        f"UNION ALL SELECT 'feeding_sessions', count(*) FROM ({feed}) "
+        f"UNION ALL SELECT 'sleep_sessions', count(*) FROM ({sleep})"
+    )
+    return {
+        "parse_export_time": sql(
+            """SELECT event_id, date_trunc('minute', ts) AS parsed,
+               strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S') AS rendered FROM ev""",
+            "ev",
+        ),
+        "parse_amounts": sql(
+            """SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN mins * 1000 END AS whole,
+               CASE WHEN event_id % 5 <> 0 THEN CAST(mins * 1000 AS DOUBLE) + 0.25 END AS fractional FROM ev""",
+            "ev",
+        ),
+        "typed_convert": sql(
+            """SELECT CAST(event_id AS VARCHAR) AS id, event_id % 2 = 0 AS has_urine,
+               CASE WHEN event_id % 3 <> 0 THEN mins END AS volume_offered_ml,
+               CASE WHEN event_id % 4 <> 0 THEN CAST(mins AS DOUBLE) + 0.5 END AS weight_kg,
+               CASE WHEN event_id % 7 <> 0 THEN event_type END AS notes FROM ev""",
+            "ev",
+        ),
+        "subject_uuid5": f"""SELECT c_name || ' ü' AS name, DATE '2024-01-01' AS date_of_birth,
+            {uuid5("c_name || ' ü'")} AS baby_id FROM customer""",
+        "profiles_from_registry": sql(
+            f"""SELECT {uuid5("'subject-' || baby_id")} AS id, 'subject-' || baby_id AS name, date_of_birth,
+            'other' AS gender, 'UTC' AS timezone, 'Migrated from seed data' AS notes,
+            CAST(date_of_birth AS TIMESTAMP) AS created_at, TIMESTAMP '2024-02-01' AS updated_at,
+            true AS is_active, 'ingested' AS source,
+            {_nulls('birth_weight DOUBLE', 'birth_length DOUBLE', 'birth_head_circumference DOUBLE')} FROM kid""",
+            "kid",
+        ),
+        "ingest_diaper": on_ingested(diaper_sql),
+        "ingest_sleep": on_ingested(sleep),
+        "ingest_feeding": on_ingested(feed),
+        "exports_roundtrip": on_ingested(roundtrip),
+        "load_report": on_ingested(
+            f'SELECT table_name, CAST(sum("rows") AS BIGINT) AS "rows" FROM ({counts}) GROUP BY ROLLUP (table_name)'
+        ),
+        "reload_report": on_ingested(
+            f"""SELECT table_name, 'ingested' AS source, 0 AS rows_before, "rows" AS rows_after,
+                false AS unexpected_change FROM ({counts})
+                UNION ALL SELECT table_name, 'app', "rows", "rows", false FROM ({counts})
+                WHERE table_name = 'diaper_events'"""
+        ),
+    }
+
+
+def _loads() -> dict[str, str]:
+    stored = "SELECT id, slp.baby_id, start_time, end_time, sleep_type, CAST(NULL AS VARCHAR) AS notes"
+    building = "(SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"
+    return {
+        "tagged_replace": sql(
+            f"""{stored}, 'app' AS source FROM slp WHERE sleep_type = 'NAP'
+            UNION ALL SELECT id, baby_id, start_time, end_time, sleep_type, 'reloaded', 'ingested' FROM slp""",
+            "slp",
+        ),
+        "subject_replace": sql(
+            f"""{stored}, 'app' AS source FROM slp WHERE sleep_type = 'NAP'
+            UNION ALL {stored}, 'ingested' FROM slp WHERE sleep_type = 'NIGHTTIME' AND baby_id NOT IN {building}
+            UNION ALL SELECT id, baby_id, start_time, end_time, sleep_type, 'reloaded', 'ingested'
+            FROM slp WHERE baby_id IN {building}""",
+            "slp",
+        ),
+        "profile_upsert": sql(
+            f"""SELECT baby_id AS id, baby_name AS name, date_of_birth, true AS is_active, 'app' AS source
+            FROM kid WHERE baby_id NOT IN {building}
+            UNION ALL SELECT c_custkey, c_name || ' renamed', NULL, NULL, 'ingested'
+            FROM customer WHERE c_custkey IN {building}
+            UNION ALL SELECT -1 - s_suppkey, s_name, NULL, NULL, 'ingested' FROM supplier""",
+            "kid",
+        ),
+    }
+
+
+def _compare() -> dict[str, str]:
+    weekly = "SELECT baby_id, baby_name, age_weeks, count(*) AS days, {means} FROM daily GROUP BY 1, 2, 3".format(
+        means=", ".join(f"avg({m}) AS avg_{m}" for m in SUMMARY)
+    )
+    sides = ", ".join(f"l.{m} AS left_{m}, r.{m} AS right_{m}" for m in METRICS)
+
+    def aligned(age: str, values: str) -> str:
+        return sql(
+            f"""SELECT p.left_id, p.right_id, p.{age}, {sides}
+            FROM (SELECT DISTINCT left_id, right_id, {age}
+                  FROM (SELECT a.baby_id AS left_id, b.baby_id AS right_id, least(a.top, b.top) AS top
+                        FROM (SELECT baby_id, max({age}) AS top FROM daily GROUP BY 1) a
+                        JOIN (SELECT baby_id, max({age}) AS top FROM daily GROUP BY 1) b ON b.baby_id = a.baby_id + 1)
+                  JOIN daily d ON d.baby_id = left_id OR d.baby_id = right_id
+                  WHERE {age} <= top) p
+            LEFT JOIN ({values}) l ON l.baby_id = p.left_id AND l.{age} = p.{age}
+            LEFT JOIN ({values}) r ON r.baby_id = p.right_id AND r.{age} = p.{age}""",
+            "daily",
+        )
+
+    means = ", ".join(f"avg({m}) AS {m}" for m in METRICS)
+    return {
+        "compare_age_days": aligned("age_days", "SELECT * FROM daily"),
+        "compare_age_weeks": aligned("age_weeks", f"SELECT baby_id, age_weeks, {means} FROM daily GROUP BY 1, 2"),
+        "weekly_summary_all_ages": sql(weekly, "daily"),
+        "weekly_summary": sql(
+            f"""SELECT * FROM ({weekly}) WHERE age_weeks <=
+            (SELECT min(top) FROM (SELECT max(age_weeks) AS top FROM daily GROUP BY baby_id))""",
+            "daily",
+        ),
+        "subject_daily": sql("SELECT * FROM daily WHERE baby_id = 7", "daily"),
+    }
+
+
+def _quality() -> dict[str, str]:
+    needed = {
+        "sleep": ("stg_sleep_sessions", "sleep_id baby_id start_time duration_minutes age_days"),
+        "feed": ("stg_feeding_sessions", "feeding_id baby_id start_time feeding_type age_days"),
+        "diaper": ("stg_diaper_events", "diaper_id baby_id event_time age_days"),
+        "session": ("fct_sleep_sessions", "sleep_id calendar_date is_night"),
+        "wake": ("fct_wake_windows", "baby_id wake_window_minutes"),
+        "daily": ("mart_daily_metrics", "baby_id baby_name metric_date age_days age_weeks"),
+    }
+    keys = {"sleep": "sleep_id", "feed": "feeding_id", "diaper": "diaper_id", "session": "sleep_id"}
+    bounds = (
+        "night_sleep_minutes < 0", "night_sleep_minutes > 1080", "total_nap_minutes < 0", "total_nap_minutes > 720",
+        "nap_count > 15", "feed_count > 30", "diaper_count > 25", "age_days < 0",
+    )
+    return {
+        "dq_not_null": sql(
+            " UNION ALL ".join(
+                f"SELECT '{name}' AS relation, '{c}' AS column_name, count(*) - count({c}) AS violations FROM {part}"
+                for part, (name, columns) in needed.items()
+                for c in columns.split()
+            ),
+            *needed,
+        ),
+        "dq_unique": sql(
+            " UNION ALL ".join(
+                f"""SELECT '{needed[part][0]}' AS relation, '{c}' AS column_name, count(*) AS violations
+                FROM (SELECT {c} FROM {part} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"""
+                for part, c in keys.items()
+            ),
+            *keys,
+        ),
+        "dq_accepted_values": sql(
+            """SELECT 'stg_feeding_sessions' AS relation, 'feeding_type' AS column_name, count(*) AS violations
+            FROM feed WHERE feeding_type NOT IN ('BREAST', 'BOTTLE', 'SOLID')""",
+            "feed",
+        ),
+        "dq_grain": sql(
+            """SELECT count(*) AS baby_days, CAST(sum(n) AS BIGINT) AS daily_rows,
+               count(*) FILTER (WHERE n > 1) AS violations
+            FROM (SELECT count(*) AS n FROM daily GROUP BY baby_id, metric_date)""",
+            "daily",
+        ),
+        "dq_ranges": sql(
+            " UNION ALL ".join(
+                f"SELECT '{b}' AS check_name, count(*) AS violations FROM daily WHERE {b}" for b in bounds
+            ),
+            "daily",
+        ),
+        "dq_range_rows": sql(f"SELECT * FROM daily WHERE {' OR '.join(bounds)}", "daily"),
+    }
+
+
+def statements() -> dict[str, str]:
+    return {
+        **_raw(),
+        **_ingest(),
+        **_loads(),
+        "stg_sleep": whole("sleep"),
+        "stg_feeding": whole("feed"),
+        "stg_diaper": whole("diaper"),
+        "fct_sleep_sessions": whole("session"),
+        "fct_wake_windows": whole("wake"),
+        "event_bounds": sql("SELECT baby_id, first_date, last_date FROM bound JOIN kid USING (baby_id)", "bound", "kid"),
+        "date_spine": whole("spine"),
+        "night_sleep": whole("night"),
+        "night_wakings": whole("waking"),
+        "naps": whole("nap"),
+        "feeds": whole("meal"),
+        "feed_intervals": whole("interval_"),
+        "daily_wake_windows": whole("wakeday"),
+        "nappies": whole("change"),
+        "mart_daily_metrics": whole("daily"),
+        "mart_from_groups": whole("daily"),
+        **_compare(),
+        **_quality(),
+    }
