@@ -24,7 +24,7 @@ from carelens.functions import time as T  # noqa: E402
 from carelens.operators import compare, daily, ingest, quality, sleep, staging  # noqa: E402
 from carelens.plans import load as loading  # noqa: E402
 from carelens.plans.build import relations  # noqa: E402
-from carelens.plans.mart import mart_from  # noqa: E402
+from carelens.plans.mart import mart_daily_metrics  # noqa: E402
 from carelens.session import scratch_path  # noqa: E402
 from carelens.sources import subjects as registry  # noqa: E402
 from carelens.sources.exports import read_all_exports  # noqa: E402
@@ -40,7 +40,7 @@ COMPARED_SUBJECT = 7
 
 def entry(spark: SparkSession) -> DataFrame:
     """The daily metrics of every subject at the smallest scale."""
-    return mart_from(Fixture(spark, "/root/testdata/sf0.001").relations())
+    return _mart(Fixture(spark, "/root/testdata/sf0.001"))
 
 
 def _on(build: Callable[[Fixture], DataFrame]) -> Query:
@@ -48,7 +48,7 @@ def _on(build: Callable[[Fixture], DataFrame]) -> Query:
 
 
 def _mart(fixture: Fixture) -> DataFrame:
-    return mart_from(fixture.relations())
+    return mart_daily_metrics(fixture.profiles, fixture.sleeps, fixture.feeds, fixture.diapers)
 
 
 def _raw(table: str) -> Query:

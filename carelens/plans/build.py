@@ -11,7 +11,7 @@ from carelens.operators.ingest import ingest
 from carelens.operators.sleep import fct_sleep_sessions, fct_wake_windows
 from carelens.operators.staging import stage_diapers, stage_feeds, stage_sleeps
 from carelens.plans.load import load
-from carelens.plans.mart import mart_from
+from carelens.plans.mart import mart_daily_metrics
 from carelens.sources.exports import read_all_exports
 from carelens.sources.subjects import only_subject, profiles_from, with_subject_ids
 from carelens.sources.tables import open_tables, raw_relations
@@ -48,14 +48,15 @@ def ingest_exports(
 def relations(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Every modelled relation by its published name, lazily."""
     profiles, sleeps = raw["baby_profiles"], raw["sleep_sessions"]
+    feeds, diapers = raw["feeding_sessions"], raw["diaper_events"]
     return {
         **{f"raw_{name}": rows for name, rows in raw.items()},
         "stg_sleep_sessions": stage_sleeps(sleeps, profiles),
-        "stg_feeding_sessions": stage_feeds(raw["feeding_sessions"], profiles),
-        "stg_diaper_events": stage_diapers(raw["diaper_events"], profiles),
+        "stg_feeding_sessions": stage_feeds(feeds, profiles),
+        "stg_diaper_events": stage_diapers(diapers, profiles),
         "fct_sleep_sessions": fct_sleep_sessions(sleeps, profiles),
         "fct_wake_windows": fct_wake_windows(sleeps, profiles),
-        "mart_daily_metrics": mart_from(raw),
+        "mart_daily_metrics": mart_daily_metrics(profiles, sleeps, feeds, diapers),
     }
 
 

@@ -182,12 +182,3 @@ def mart_daily_metrics(
     complete = across_days(filled_days(days))
     # Night segments before dawn of the first day belong to a day before the spine.
     return published(complete.where(F.col("metric_date") >= F.col("first_date")))
-
-
-def mart_from(relations: dict[str, DataFrame]) -> DataFrame:
-    return mart_daily_metrics(
-        relations["baby_profiles"],
-        relations["sleep_sessions"],
-        relations["feeding_sessions"],
-        relations["diaper_events"],
-    )

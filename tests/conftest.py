@@ -12,8 +12,9 @@ SF_DIR = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("tests", cores=8)
+def spark(tmp_path_factory):
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    session = local_session("tests", cores=8, **{"spark.sql.warehouse.dir": warehouse})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -1,0 +1,102 @@
+from datetime import date, timedelta
+
+import builders as B
+import pytest
+from pyspark.sql import functions as F
+
+from carelens.operators import compare, quality
+from carelens.operators.daily import METRICS
+from carelens.operators.staging import stage_feeds
+
+
+@pytest.fixture(scope="module")
+def mart(spark):
+    """Three subjects: a for 20 days, b for 9 days at younger ages, c without days near them."""
+    columns = ["baby_id", "baby_name", "metric_date", "age_days", "age_weeks", *METRICS]
+    rows = []
+    for baby, first_age, days in (("a", 3, 20), ("b", 0, 9), ("c", 100, 2)):
+        for i in range(days):
+            age = first_age + i
+            values = dict.fromkeys(METRICS, age) | {"avg_nap_minutes": None if age % 2 else age}
+            rows.append((baby, baby.upper(), date(2024, 1, 1) + timedelta(days=i), age, age // 7, *values.values()))
+    types = ", ".join(f"{m} bigint" for m in METRICS)
+    return spark.createDataFrame(rows, f"baby_id string, baby_name string, metric_date date, age_days int, age_weeks int, {types}").select(columns)
+
+
+def pairs(spark, *rows):
+    return spark.createDataFrame(rows, "left_id string, right_id string")
+
+
+def test_compare_by_day_ends_with_the_younger_subject(spark, mart):
+    rows = compare.compare(mart, pairs(spark, ("a", "b")), "age_days").orderBy("age_days").collect()
+    assert [r.age_days for r in rows] == list(range(9))
+    assert [r.left_feed_count for r in rows] == [None] * 3 + list(range(3, 9))
+    assert [r.right_feed_count for r in rows] == list(range(9))
+
+
+def test_compare_by_week_averages(spark, mart):
+    rows = compare.compare(mart, pairs(spark, ("a", "b"), ("b", "a"), ("a", "missing")), "age_weeks").collect()
+    got = {(r.left_id, r.age_weeks): (r.left_feed_count, r.right_feed_count, r.left_avg_nap_minutes) for r in rows}
+    assert got == {
+        ("a", 0): (4.5, 3.0, 5.0),
+        ("a", 1): (10.0, 7.5, 10.0),
+        ("b", 0): (3.0, 4.5, 3.0),
+        ("b", 1): (7.5, 10.0, 8.0),
+    }
+
+
+def test_weekly_summary(spark, mart):
+    ab = mart.where("baby_id <> 'c'")
+    rows = {(r.baby_id, r.age_weeks): (r.days, r.avg_feed_count) for r in compare.weekly_summary(ab).collect()}
+    assert rows == {("a", 0): (4, 4.5), ("a", 1): (7, 10.0), ("b", 0): (7, 3.0), ("b", 1): (2, 7.5)}
+    assert compare.weekly_summary(ab, overlap_only=False).count() == 6
+
+
+def test_subject_daily(mart):
+    assert compare.subject_daily(mart, "b").count() == 9
+
+
+@pytest.mark.parametrize(
+    "column,value",
+    [("night_sleep_minutes", -1), ("night_sleep_minutes", 1081), ("total_nap_minutes", -1), ("total_nap_minutes", 721),
+     ("nap_count", 16), ("feed_count", 31), ("diaper_count", 26), ("age_days", -1)],
+)
+def test_each_range(mart, column, value):
+    good = mart.where("baby_id = 'b'")
+    assert quality.range_violations(good).isEmpty()
+    bad = good.withColumn(column, F.when(F.col("metric_date") == "2024-01-02", value).otherwise(F.col(column)))
+    assert quality.range_violations(bad).count() == 1
+    broken = {r.check_name for r in quality.range_report(bad).collect() if r.violations}
+    assert broken == {f"{column} {'<' if value < 0 else '>'} {0 if value < 0 else value - 1}"}
+
+
+def test_grain(mart):
+    assert quality.grain_violations(mart).isEmpty()
+    doubled = mart.unionByName(mart.where("baby_id = 'c'"))
+    assert quality.grain_violations(doubled).count() == 2
+    assert quality.grain_report(doubled).first().asDict() == {"baby_days": 31, "daily_rows": 33, "violations": 2}
+
+
+def test_keys_and_values(spark):
+    feeds = B.feeds(spark, [("a", "2024-01-01 10:00:00", "BREAST"), ("a", "2024-01-01 11:00:00", "JUICE"), ("a", "2024-01-01 12:00:00", "JUICE")])
+    staged = stage_feeds(feeds, B.profiles(spark))
+    assert [tuple(r) for r in quality.unaccepted_values(staged, "feeding_type", ("BREAST",)).collect()] == [("JUICE", 2)]
+    assert quality.accepted_values_report(staged).first().violations == 2
+    repeated = staged.withColumn("feeding_id", F.lit("same"))
+    assert [tuple(r) for r in quality.duplicate_keys(repeated, "feeding_id").collect()] == [("same", 3)]
+    assert quality.duplicate_keys(staged.withColumn("feeding_id", F.lit(None).cast("string")), "feeding_id").isEmpty()
+    nulls = quality.null_counts(staged.withColumn("age_days", F.lit(None).cast("int")), "r", ("baby_id", "age_days"))
+    assert {r.column_name: r.violations for r in nulls.collect()} == {"baby_id": 0, "age_days": 3}
+
+
+def test_feed_sides(spark):
+    sides = [(4, 5, 9), (4, None, 4), (None, 5, 5), (None, None, None)]
+    at = B.ts("2024-01-01 10:00:00")
+    rows = [
+        {"id": str(i), "baby_id": "a", "start_time": at, "end_time": None if i else at, "feeding_type": "BREAST",
+         "left_breast_duration": left, "right_breast_duration": right}
+        for i, (left, right, _) in enumerate(sides)
+    ]
+    staged = stage_feeds(B.frame(spark, "feeding_sessions", rows), B.profiles(spark)).orderBy("feeding_id").collect()
+    assert [r.breast_duration_minutes for r in staged] == [s[2] for s in sides]
+    assert [r.duration_minutes for r in staged] == [0, None, None, None]
