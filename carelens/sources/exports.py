@@ -1,15 +1,16 @@
 """Export files: one per subject and kind, called ``<subject>_<kind>.csv``.
 
-A file may also be a directory of that name, as Spark writes it. Files are
-discovered with one glob per kind and read together, however many subjects
-there are.
+A file may also be a directory of that name, as Spark writes it. The folder is
+listed as a whole and files are told apart by their path, which Spark applies
+to the listing before anything is opened. So the number of reads depends on
+the number of kinds, not on how many subjects there are.
 """
 
 from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -20,129 +21,168 @@ from pyspark.sql.types import StringType, StructType
 from carelens import constants as K
 from carelens.functions.ids import uuid5
 
+# Kind -> {file name -> subject}, for files that lack the subject in their name.
+Aliases = Mapping[str, Mapping[str, str]]
+
 
 def export_schema(kind: str) -> StructType:
     """What reading one kind returns: subject, row id and the text columns used."""
-    names = ("subject", "row_id", *K.EXPORT_COLUMNS[kind])
-    return StructType([f for name in names for f in StructType().add(name, StringType())])
+    return _texts("subject", "row_id", *K.EXPORT_COLUMNS[kind])
 
 
-def _path() -> Column:
-    # The metadata column holds a URL; a plus sign in it is a literal plus.
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+def _texts(*names: str) -> StructType:
+    return reduce(lambda schema, name: schema.add(name, StringType()), names, StructType())
 
 
-def _is_alias(path: Column, aliases: Mapping[str, str]) -> Column:
-    return reduce(
-        lambda found, name: found | F.endswith(path, F.lit(f"/{name}")), aliases, F.lit(False)
-    )
+class ExportFolder:
+    """Where a path lies within the folder, as expressions over the file's path."""
 
+    def __init__(self, folder: str, aliases: Aliases | None):
+        self.folder = folder.rstrip("/")
+        self.aliases = {kind: dict(names) for kind, names in (aliases or {}).items()}
+        bare = re.sub(r"^[a-z0-9+.-]+:/+", "/", self.folder).removeprefix("./")
+        # Only the folder itself counts, not folders below it.
+        self.prefix = rf"\Q{'/' + bare.lstrip('/')}\E/"
 
-def _subject(path: Column, kind: str, aliases: Mapping[str, str]) -> Column:
-    """The subject a path belongs to; an alias names the subject of a file that lacks the prefix."""
-    name = F.regexp_extract(path, rf"([^/]+)_{kind}\.csv(?:/[^/]*)?$", 1)
-    # A partitioned write labels the directory (file=<subject>_<kind>.csv) and escapes the value.
-    label = F.regexp_extract(name, r"^[^=]+=(.*)$", 1)
-    subject = F.when(label == "", name).otherwise(F.url_decode(F.replace(label, F.lit("+"), F.lit("%2B"))))
-    for file_name, name in aliases.items():
-        subject = F.when(F.endswith(path, F.lit(f"/{file_name}")), F.lit(name)).otherwise(subject)
-    return subject
-
-
-def _lines(spark: SparkSession, paths: list[str]) -> DataFrame | None:
-    """Lines of whichever of the paths exist; None when none does."""
-    found = None
-    for path in paths:
-        try:
-            lines = spark.read.text(path)
-        except AnalysisException as problem:
-            if problem.getCondition() == "PATH_NOT_FOUND":
-                continue
-            raise
-        lines = lines.select("value", _path().alias("path"), "_metadata.file_block_start")
-        found = lines if found is None else found.unionByName(lines)
-    return found
+    @staticmethod
+    def path() -> Column:
+        # The metadata column holds a URL; a plus sign in it is a literal plus.
+        return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
+    def is_kind(self, kind: str) -> Column:
+        """Regularly named files and aliases; an aliased subject's regular file is left alone."""
+        names = self.aliases.get(kind, {})
+        subject = self._named_subject(kind)
+        regular = (subject != "") & ~subject.isin(*names.values()) if names else subject != ""
+        return reduce(lambda found, name: found | self._is_alias(name), names, regular)
 
-def _literal(path: str) -> str:
-    """A path in which nothing is a glob."""
-    return re.sub(r"([\\*?\[\]{}^])", r"\\\1", path)
+    def subject(self, kind: str) -> Column:
+        return reduce(
+            lambda subject, alias: F.when(self._is_alias(alias[0]), F.lit(alias[1])).otherwise(subject),
+            self.aliases.get(kind, {}).items(),
+            self._named_subject(kind),
+        )
+
+    def _is_alias(self, file_name: str) -> Column:
+        return F.rlike(self.path(), F.lit(rf"{self.prefix}\Q{file_name}\E$"))
+
+    def _named_subject(self, kind: str) -> Column:
+        name = F.regexp_extract(self.path(), rf"{self.prefix}([^/]+)_{kind}\.csv(?:/[^/]+)?$", 1)
+        # A partitioned write labels the directory (file=<subject>_<kind>.csv) and escapes the value.
+        label = F.regexp_extract(name, r"^[^=]+=(.*)$", 1)
+        return F.when(label == "", name).otherwise(
+            F.url_decode(F.replace(label, F.lit("+"), F.lit("%2B")))
+        )
 
 
-def layouts(spark: SparkSession, paths: list[str]) -> dict[tuple[str, bool], list[str]]:
-    """Group the files by header line and by whether a quoted field may span lines.
+def _reader(spark: SparkSession):
+    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
 
-    One pass over splittable text. Only the file listing reaches the driver,
-    which Spark's own file index holds anyway. Knowing which files have
-    multi-line fields keeps all other files splittable when parsed.
+
+def layouts(spark: SparkSession, source: ExportFolder, kinds: Iterable[str]) -> DataFrame | None:
+    """Per file: kind, path, header line, and whether a quoted field may span lines.
+
+    One pass over splittable text for all kinds together. Knowing which files
+    have multi-line fields keeps all others splittable when they are parsed.
+    None if the folder does not exist.
     """
-    lines = _lines(spark, paths)
-    if lines is None:
-        return {}
+    try:
+        lines = _reader(spark).text(source.folder)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    kinds = list(kinds)
+    wanted = reduce(lambda a, b: a | b, (source.is_kind(kind) for kind in kinds))
+    kind = F.coalesce(*(F.when(source.is_kind(kind), F.lit(kind)) for kind in kinds))
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    files = lines.groupBy("path").agg(
-        F.first(F.when(F.col("file_block_start") == 0, F.col("value")), ignorenulls=True).alias("header"),
-        F.max(quotes % 2 == 1).alias("multiline"),
+    files = (
+        lines.where(wanted)
+        .select("value", kind.alias("kind"), source.path().alias("path"), "_metadata.file_block_start")
+        .groupBy("kind", "path")
+        .agg(
+            F.first(F.when(F.col("file_block_start") == 0, F.col("value")), ignorenulls=True).alias("header"),
+            F.max(quotes % 2 == 1).alias("multiline"),
+        )
     )
-    groups: dict[tuple[str, bool], list[str]] = {}
-    for path, header, multiline in files.collect():
-        groups.setdefault((header.removeprefix("\ufeff"), bool(multiline)), []).append(path)
-    return groups
+    return files.withColumn("header", F.replace("header", F.lit("\ufeff"), F.lit("")))
 
 
-def read_exports(
-    spark: SparkSession, folder: str, kind: str, aliases: Mapping[str, str] | None = None
+def _literal(path: str) -> str:
+    """A path in which nothing is a glob."""
+    return re.sub(r"([\\*?\[\]{}^])", r"\\\1", path)
+
+
+def _parse(
+    spark: SparkSession, source: ExportFolder, kind: str, header: str, multiline: bool, paths: list[str] | None
 ) -> DataFrame:
-    """All rows of one kind as text, with their subject and a row id.
+    """The files of one kind and layout, or just those named."""
+    names = next(csv.reader([header]))
+    missing = [name for name in K.REQUIRED_COLUMNS[kind] if name not in names]
+    if missing:
+        raise ValueError(f"{kind} export lacks {', '.join(missing)}; its header is {header!r}")
+    # Position in the name keeps repeated headers apart; the first one counts.
+    slots = [f"c{i}" for i in range(len(names))]
+    reader = (
+        _reader(spark)
+        .schema(_texts(*slots))
+        .option("header", True)
+        .option("escape", '"')
+        .option("multiLine", multiline)
+    )
+    rows = reader.csv(source.folder).where(source.is_kind(kind)) if paths is None else reader.csv(paths)
+    text = (
+        F.col(slots[names.index(name)]).alias(name)
+        if name in names
+        else F.lit(None).cast("string").alias(name)
+        for name in K.EXPORT_COLUMNS[kind]
+    )
+    # Unique per row of the read, and the same again if a task is retried.
+    position = F.concat_ws("|", source.path(), F.monotonically_increasing_id())
+    return rows.select(
+        source.subject(kind).alias("subject"),
+        uuid5(K.SUBJECT_NAMESPACE, position).alias("row_id"),
+        *text,
+    )
+
+
+def read_all_exports(
+    spark: SparkSession,
+    folder: str,
+    aliases: Aliases | None = None,
+    kinds: Iterable[str] = K.EXPORT_KINDS,
+) -> dict[str, DataFrame]:
+    """All rows of each kind as text, with their subject and a row id.
 
     Columns are taken by name, so files may order them differently or carry
     more; an absent optional column is NULL, an absent required one raises.
-    No file at all gives no rows. ``aliases`` maps a file name to its subject;
-    that subject's regularly named file is then left alone.
+    A kind without files has no rows.
     """
-    aliases = dict(aliases or {})
-    wanted = export_schema(kind)
-    folder = folder.rstrip("/")
-    groups = layouts(spark, [f"{folder}/*_{kind}.csv", *(f"{folder}/{name}" for name in aliases)])
-    result = spark.createDataFrame([], wanted)
-    for (header, multiline), files in groups.items():
-        names = next(csv.reader([header]))
-        missing = [name for name in K.REQUIRED_COLUMNS[kind] if name not in names]
-        if missing:
-            raise ValueError(f"{kind} export lacks {', '.join(missing)}: {files[0]}")
-        # Position in the name keeps repeated headers apart; the first one counts.
-        slots = [f"c{i}" for i in range(len(names))]
-        rows = (
-            spark.read.schema(StructType([f for s in slots for f in StructType().add(s, StringType())]))
-            .option("header", True)
-            .option("escape", '"')
-            .option("multiLine", multiline)
-            .csv([_literal(file) for file in files])
-        )
-        path = _path()
-        text = (
-            F.col(slots[names.index(name)]).alias(name) if name in names
-            else F.lit(None).cast("string").alias(name)
-            for name in K.EXPORT_COLUMNS[kind]
-        )
-        # Unique per row of the read, and the same again if a task is retried.
-        position = F.concat_ws("|", path, F.monotonically_increasing_id())
-        part = rows.select(
-            _subject(path, kind, aliases).alias("subject"),
-            uuid5(K.SUBJECT_NAMESPACE, position).alias("row_id"),
-            *text,
-            path.alias("path"),
-        )
-        if aliases:
-            part = part.where(
-                _is_alias(F.col("path"), aliases) | ~F.col("subject").isin(*aliases.values())
-            )
-        result = result.unionByName(part.drop("path"))
+    source = ExportFolder(folder, aliases)
+    kinds = tuple(kinds)
+    result = {kind: spark.createDataFrame([], export_schema(kind)) for kind in kinds}
+    files = layouts(spark, source, kinds)
+    if files is None:
+        return result
+    found: dict[str, list] = {}
+    for row in files.select("kind", "header", "multiline").distinct().collect():
+        found.setdefault(row.kind, []).append((row.header, row.multiline))
+    # Files are named one by one only where a kind has several layouts.
+    mixed = [kind for kind, variants in found.items() if len(variants) > 1]
+    named: dict[tuple, list[str]] = {}
+    if mixed:
+        for row in files.where(F.col("kind").isin(*mixed)).collect():
+            named.setdefault((row.kind, row.header, row.multiline), []).append(_literal(row.path))
+    for kind, variants in found.items():
+        for header, multiline in variants:
+            paths = named.get((kind, header, multiline))
+            part = _parse(spark, source, kind, header, multiline, paths)
+            result[kind] = result[kind].unionByName(part)
     return result
 
 
-def read_all_exports(
-    spark: SparkSession, folder: str, aliases: Mapping[str, Mapping[str, str]] | None = None
-) -> dict[str, DataFrame]:
-    """Every kind below ``folder``; ``aliases`` is given per kind."""
-    return {kind: read_exports(spark, folder, kind, (aliases or {}).get(kind)) for kind in K.EXPORT_KINDS}
+def read_exports(
+    spark: SparkSession, folder: str, kind: str, aliases: Mapping[str, str] | None = None
+) -> DataFrame:
+    """One kind alone; ``aliases`` maps a file name to its subject."""
+    return read_all_exports(spark, folder, {kind: aliases or {}}, (kind,))[kind]
