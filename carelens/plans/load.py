@@ -91,15 +91,17 @@ def upsert(batch: DataFrame, path: str, key: str = "id") -> int:
     """Upsert the batch into the table at ``path`` and return the batch's size."""
     assert_unique(batch, key)
     target = batch.sparkSession.read.schema(batch.schema).parquet(path)
+    loaded, left = Observation(), Observation()
+    rows = upserted(target, batch.observe(loaded, F.count(F.lit(1)).alias("rows")), key)
     tags = _tags(target)
-    seen = Observation()
-    rows = upserted(target, batch.observe(seen, F.count(F.lit(1)).alias("rows")), key)
-    kept_tags = _tags(upserted(target, batch, key))
+    if tags:
+        rows = rows.observe(left, *(F.count_if(F.col("source") == tag).alias(tag) for tag in sorted(tags)))
     _replace_partitions(rows, path)
-    for tag in tags - kept_tags:
-        # All rows of this tag moved to another one, so it named no new partition.
-        _clear_partition(batch, path, tag)
-    return seen.get["rows"]
+    for tag in tags:
+        if left.get[tag] == 0:
+            # All rows of this tag moved to another one, so it named no new partition.
+            _clear_partition(batch, path, tag)
+    return loaded.get["rows"]
 
 
 def _tags(rows: DataFrame) -> set[str]:

@@ -121,8 +121,9 @@ def _parse(
     missing = [name for name in K.REQUIRED_COLUMNS[kind] if name not in names]
     if missing:
         raise ValueError(f"{kind} export lacks {', '.join(missing)}; its header is {header!r}")
-    # Position in the name keeps repeated headers apart; the first one counts.
-    slots = [f"c{i}" for i in range(len(names))]
+    # Of repeated headers the first one counts; the others only hold their place.
+    seen = [name.lower() for name in names]
+    slots = [name if name and name.lower() not in seen[:i] else f"#{i}" for i, name in enumerate(names)]
     reader = (
         _reader(spark)
         .schema(_texts(*slots))
@@ -132,7 +133,7 @@ def _parse(
     )
     rows = reader.csv(source.folder).where(source.is_kind(kind)) if paths is None else reader.csv(paths)
     text = (
-        F.col(slots[names.index(name)]).alias(name)
+        F.col(f"`{name}`").alias(name)
         if name in names
         else F.lit(None).cast("string").alias(name)
         for name in K.EXPORT_COLUMNS[kind]
