@@ -16,6 +16,8 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from carelens import constants as K  # noqa: E402
 from carelens.operators.ingest import ingest  # noqa: E402
 from carelens.plans import load as loading  # noqa: E402
