@@ -29,7 +29,7 @@ from carelens.session import scratch_path  # noqa: E402
 from carelens.sources import subjects as registry  # noqa: E402
 from carelens.sources.exports import read_all_exports  # noqa: E402
 from carelens.sources.fixtures import Fixture, export_time  # noqa: E402
-from carelens.sources.tables import raw, raw_relations, table_path  # noqa: E402
+from carelens.sources.tables import raw, raw_relations, read_text, table_path, write_text  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -144,6 +144,14 @@ def _exports_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingested feeds written as transformed CSV and read back typed."""
+    f, path = Fixture(spark, sf_dir), scratch_path(spark, "feeding_sessions_csv")
+    rows = ingest.ingest_feeds(_export(f, "nursing"), _export(f, "pump"), _export(f, "expressed"))
+    write_text(rows, "feeding_sessions", path)
+    return read_text(spark, "feeding_sessions", path)
+
+
 # Loads: small histories on stored tables, returning what the table holds afterwards.
 
 
@@ -237,6 +245,7 @@ def queries() -> dict[str, Query]:
             lambda f: ingest.ingest_feeds(_export(f, "nursing"), _export(f, "pump"), _export(f, "expressed"))
         ),
         "exports_roundtrip": _exports_roundtrip,
+        "transformed_csv": _text_roundtrip,
         "tagged_replace": _tagged_replace,
         "subject_replace": _subject_replace,
         "profile_upsert": _profile_upsert,
@@ -246,6 +255,7 @@ def queries() -> dict[str, Query]:
         "stg_feeding": _on(lambda f: staging.stage_feeds(f.feeds, f.profiles)),
         "stg_diaper": _on(lambda f: staging.stage_diapers(f.diapers, f.profiles)),
         "fct_sleep_sessions": _on(lambda f: sleep.fct_sleep_sessions(f.sleeps, f.profiles)),
+        "sleep_neighbours": _on(lambda f: sleep.sleep_neighbours(f.sleeps)),
         "fct_wake_windows": _on(lambda f: sleep.fct_wake_windows(f.sleeps, f.profiles)),
         "event_bounds": _on(lambda f: daily.event_bounds(f.profiles, f.sleeps, f.feeds, f.diapers)),
         "date_spine": _on(lambda f: daily.date_spine(f.profiles, f.sleeps, f.feeds, f.diapers)),

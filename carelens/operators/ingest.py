@@ -44,12 +44,7 @@ def _as_table(rows: DataFrame, table: str, at: str, **values: Column) -> DataFra
         "source": F.lit(K.INGESTED),
         **values,
     }
-    return rows.select(
-        *(
-            known.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in schemas.with_source(schemas.TABLES[table])
-        )
-    )
+    return schemas.completed(rows, schemas.with_source(schemas.TABLES[table]), known)
 
 
 def ingest_diapers(rows: DataFrame) -> DataFrame:

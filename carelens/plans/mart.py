@@ -127,7 +127,7 @@ def filled_days(days: DataFrame) -> DataFrame:
         "date_of_birth",
         "first_date",
         F.col("day").alias("metric_date"),
-        *(F.when(F.col("offset") == 0, F.col(name)).alias(name) for name in values),
+        *(F.expr(f"IF(offset = 0, {name}, NULL) AS {name}") for name in values),
     )
 
 

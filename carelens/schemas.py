@@ -6,6 +6,10 @@ throughout. JSON payloads are passed through as text.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
     DataType,
@@ -82,6 +86,18 @@ EVENT_TABLES = ("diaper_events", "feeding_sessions", "sleep_sessions")
 LOADED_TABLES = ("baby_profiles", *EVENT_TABLES)
 
 
+def completed(rows: DataFrame, schema: StructType, known: Mapping[str, Column]) -> DataFrame:
+    """All columns of ``schema`` in order; those not known are NULL. Known columns keep their own type."""
+    return rows.select(
+        *(
+            known[f.name].alias(f.name)
+            if f.name in known
+            else F.expr(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`")
+            for f in schema
+        )
+    )
+
+
 def with_source(schema: StructType) -> StructType:
     """The stored form of a table: its columns plus the lineage tag."""
     return StructType([*schema.fields]).add("source", "string")

@@ -200,10 +200,4 @@ def export_time(ts: Column) -> Column:
 
 
 def _complete(rows: DataFrame, table: str, **known: Column) -> DataFrame:
-    """Every column of ``table`` in order; those not given are NULL. Ids keep their own type."""
-    return rows.select(
-        *(
-            known.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in schemas.TABLES[table]
-        )
-    )
+    return schemas.completed(rows, schemas.TABLES[table], known)

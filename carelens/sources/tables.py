@@ -1,11 +1,15 @@
-"""The six stored relations and the raw projections over them."""
+"""The six stored relations, the raw projections over them, and their text form."""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType, TimestampNTZType
 
 from carelens import schemas
+from carelens.functions.text import typed_projection
+from carelens.functions.time import format_timestamp
 
 
 def table_path(base: str, table: str) -> str:
@@ -53,3 +57,26 @@ def raw(rows: DataFrame, table: str) -> DataFrame:
 
 def raw_relations(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: raw(rows, name) for name, rows in tables.items()}
+
+
+def write_text(rows: DataFrame, table: str, path: str) -> None:
+    """Overwrite ``path`` with the rows as CSV: a header, fixed columns, blanks for NULL."""
+    stored = schemas.with_source(schemas.TABLES[table])
+    rows.select(
+        *(
+            format_timestamp(F.col(f.name)).alias(f.name)
+            if isinstance(f.dataType, TimestampNTZType)
+            else F.col(f.name)
+            for f in stored
+        )
+    ).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def read_text(spark: SparkSession, table: str, path: str) -> DataFrame:
+    """The rows written by ``write_text``, typed by column name."""
+    stored = schemas.with_source(schemas.TABLES[table])
+    text = StructType()
+    for name in stored.fieldNames():
+        text.add(name, StringType())
+    rows = spark.read.schema(text).option("header", True).option("escape", '"').csv(path)
+    return typed_projection(rows, stored)

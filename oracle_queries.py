@@ -342,6 +342,7 @@ def _ingest() -> dict[str, str]:
         "ingest_sleep": on_ingested(sleep),
         "ingest_feeding": on_ingested(feed),
         "exports_roundtrip": on_ingested(roundtrip),
+        "transformed_csv": on_ingested(f"SELECT * REPLACE (CAST(id AS VARCHAR) AS id) FROM ({feed})"),
         "load_report": on_ingested(
             f'SELECT table_name, CAST(sum("rows") AS BIGINT) AS "rows" FROM ({counts}) GROUP BY ROLLUP (table_name)'
         ),
@@ -477,6 +478,12 @@ def statements() -> dict[str, str]:
         "stg_diaper": whole("diaper"),
         "fct_sleep_sessions": whole("session"),
         "fct_wake_windows": whole("wake"),
+        "sleep_neighbours": sql(
+            """SELECT *, lead(start_time) OVER (PARTITION BY baby_id ORDER BY start_time) AS next_start
+            FROM (SELECT baby_id, start_time, max(end_time) AS end_time
+                  FROM slp WHERE end_time > start_time GROUP BY baby_id, start_time)""",
+            "slp",
+        ),
         "event_bounds": sql("SELECT baby_id, first_date, last_date FROM bound JOIN kid USING (baby_id)", "bound", "kid"),
         "date_spine": whole("spine"),
         "night_sleep": whole("night"),
