@@ -1,21 +1,28 @@
 """Loading typed rows into stored tables, so that running a load twice changes nothing.
 
-Tables are Parquet partitioned by the lineage tag ``source``. Reloading events
-replaces the partition of one tag and leaves rows of every other tag alone.
-Profiles are upserted by id instead, because rows of any tag refer to them.
+Tables are Parquet partitioned by the lineage tag ``source``, event tables also
+by ``bucket``, a hash of the subject. Reloading events replaces partitions of
+one tag and leaves rows of every other tag alone; reloading some subjects
+rewrites their buckets only. Profiles are upserted by id instead, because rows
+of any tag refer to them.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from carelens import constants as K
 from carelens import schemas
 from carelens.sources.tables import open_tables, require_tables, table_path
 
+# Fixed once tables exist. More buckets make reloads of few subjects cheaper and every write slower;
+# above 64 the buckets a job wrote would no longer fit the bits of one BIGINT.
+BUCKETS = 16
+
 
 def create_tables(spark: SparkSession, base: str) -> None:
     """Empty tables for a new base; existing ones are left as they are."""
@@ -24,10 +31,36 @@ def create_tables(spark: SparkSession, base: str) -> None:
         empty.write.mode("ignore").partitionBy("source").parquet(table_path(base, table))
 
 
+def bucket_of(subject: Column) -> Column:
+    return F.pmod(F.xxhash64(subject), F.lit(BUCKETS)).cast("int")
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Event rows with their bucket, gathered so that a bucket becomes few files.
+
+    Rebalancing lets AQE split a bucket that a hot subject makes large and
+    merge small ones. Profiles stay as they are.
+    """
+    if "baby_id" not in rows.columns:
+        return rows
+    return rows.withColumn("bucket", bucket_of(F.col("baby_id"))).hint("rebalance", F.col("bucket"))
+
+
+def _partitions(rows: DataFrame) -> list[str]:
+    return [name for name in ("source", "bucket") if name in rows.columns]
+
+
+def _stored(like: DataFrame, path: str) -> DataFrame:
+    """The event table at ``path`` with the columns of ``like`` and its bucket."""
+    schema = StructType([*like.schema.fields]).add("bucket", IntegerType())
+    return like.sparkSession.read.schema(schema).parquet(path)
+
+
 def append_rows(rows: DataFrame, path: str) -> int:
     """Add rows to a table and return how many."""
     seen = Observation()
-    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy("source").parquet(path)
+    placed = _placed(rows.observe(seen, F.count(F.lit(1)).alias("rows")))
+    placed.write.mode("append").partitionBy(*_partitions(placed)).parquet(path)
     return seen.get["rows"]
 
 
@@ -41,38 +74,60 @@ def _replace_partitions(rows: DataFrame, path: str) -> None:
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source")
+        .partitionBy(*_partitions(rows))
         .parquet(path)
     )
 
 
-def _clear_partition(like: DataFrame, path: str, tag: str) -> None:
-    like.drop("source").limit(0).write.mode("overwrite").parquet(f"{path}/source={tag}")
+def _clear_partition(like: DataFrame, path: str, partition: str) -> None:
+    like.drop("source", "bucket").limit(0).write.mode("overwrite").parquet(f"{path}/{partition}")
+
+
+def _replace_buckets(rows: DataFrame, path: str, tag: str, buckets: set[int]) -> int:
+    """Make ``rows`` the whole content of the given buckets of one tag; return how many rows that is."""
+    seen = Observation()
+    placed = _placed(rows.withColumn("source", F.lit(tag)))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bucket"))
+    placed = placed.observe(seen, F.count(F.lit(1)).alias("rows"), F.bit_or(bit).alias("buckets"))
+    _replace_partitions(placed, path)
+    written = seen.get["buckets"] or 0
+    for bucket in sorted(buckets):
+        if not written >> bucket & 1:
+            # Without rows a bucket names no partition, so the old one is still there.
+            _clear_partition(placed, path, f"source={tag}/bucket={bucket}")
+    return seen.get["rows"]
+
+
+def _buckets(rows: DataFrame) -> set[int]:
+    return {row.bucket for row in rows.select("bucket").distinct().collect()}
 
 
 def tagged_replace(rows: DataFrame, path: str, tag: str = K.INGESTED) -> int:
     """Replace exactly the rows tagged ``tag`` and return how many were written."""
-    seen = Observation()
-    tagged = rows.withColumn("source", F.lit(tag)).observe(seen, F.count(F.lit(1)).alias("rows"))
-    _replace_partitions(tagged, path)
-    written = seen.get["rows"]
-    if written == 0:
-        # A batch without rows names no partition, so the old one is still there.
-        _clear_partition(rows, path, tag)
-    return written
+    tagged = rows.withColumn("source", F.lit(tag))
+    return _replace_buckets(rows, path, tag, _buckets(_stored(tagged, path).where(F.col("source") == tag)))
 
 
 def subject_replace(rows: DataFrame, subjects: DataFrame, path: str, tag: str = K.INGESTED) -> int:
     """Replace the rows of some subjects (``baby_id`` of ``subjects``) within one tag.
 
-    Other subjects' rows of the tag are carried over; they are read completely
-    before the commit swaps the partition.
+    Returns how many rows were loaded. Only the subjects' buckets are read and
+    rewritten; rows of other subjects in them are carried over.
     """
-    stored = rows.sparkSession.read.schema(rows.schema).parquet(path)
-    kept = stored.where(F.col("source") == tag).join(
-        subjects.select("baby_id").distinct(), "baby_id", "left_anti"
+    subjects = subjects.select("baby_id").distinct()
+    touched = _buckets(subjects.withColumn("bucket", bucket_of(F.col("baby_id"))))
+    tagged = rows.withColumn("source", F.lit(tag))
+    kept = (
+        _stored(tagged, path)
+        .where((F.col("source") == tag) & F.col("bucket").isin(*touched))
+        .drop("bucket")
+        .join(subjects, "baby_id", "left_anti")
     )
-    return tagged_replace(kept.unionByName(rows), path, tag)
+    loaded = Observation()
+    # A row of any other subject would replace a bucket nobody asked to replace.
+    named = tagged.join(subjects, "baby_id", "left_semi").observe(loaded, F.count(F.lit(1)).alias("rows"))
+    _replace_buckets(kept.unionByName(named), path, tag, touched)
+    return loaded.get["rows"]
 
 
 def assert_unique(rows: DataFrame, key: str) -> None:
@@ -100,7 +155,7 @@ def upsert(batch: DataFrame, path: str, key: str = "id") -> int:
     for tag in tags:
         if left.get[tag] == 0:
             # All rows of this tag moved to another one, so it named no new partition.
-            _clear_partition(batch, path, tag)
+            _clear_partition(batch, path, f"source={tag}")
     return loaded.get["rows"]
 
 

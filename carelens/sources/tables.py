@@ -27,7 +27,8 @@ def open_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
         stored = schemas.with_source(schema)
         path = table_path(base, table)
         opened[table] = (
-            spark.read.schema(stored).parquet(path) if table_exists(spark, base, table)
+            spark.read.schema(stored).parquet(path).select(*stored.fieldNames())
+            if table_exists(spark, base, table)
             else spark.createDataFrame([], stored)
         )
     return opened
@@ -69,7 +70,9 @@ def write_text(rows: DataFrame, table: str, path: str) -> None:
             else F.col(f.name)
             for f in stored
         )
-    ).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    ).write.mode("overwrite").option("maxRecordsPerFile", 1_000_000).option("header", True).option(
+        "escape", '"'
+    ).csv(path)
 
 
 def read_text(spark: SparkSession, table: str, path: str) -> DataFrame:
@@ -78,5 +81,7 @@ def read_text(spark: SparkSession, table: str, path: str) -> DataFrame:
     text = StructType()
     for name in stored.fieldNames():
         text.add(name, StringType())
-    rows = spark.read.schema(text).option("header", True).option("escape", '"').csv(path)
+    # Notes may span lines. Files are bounded when written, so not splitting them costs little.
+    reader = spark.read.schema(text).option("header", True).option("escape", '"').option("multiLine", True)
+    rows = reader.csv(path)
     return typed_projection(rows, stored)

@@ -8,7 +8,7 @@ from carelens import schemas
 from carelens.plans import build as plans
 from carelens.plans import load as loading
 from carelens.sources import subjects
-from carelens.sources.tables import open_tables, raw_relations, require_tables, table_path
+from carelens.sources.tables import open_tables, raw_relations, read_text, require_tables, table_path, write_text
 
 FORMAT = "%d/%m/%y %I:%M %p"
 
@@ -58,6 +58,38 @@ def test_subject_replace_keeps_other_subjects(spark, path):
     assert stored(spark, path) == sorted([*APP, ("d1", "b", "ingested")])
 
 
+def test_subject_replace_reads_and_writes_only_their_buckets(spark, tmp_path):
+    path = tmp_path / "t"
+    rows = tagged(B.diapers(spark, [(f"b{i}", "2024-01-01 10:00:00", True, True) for i in range(300)]), "ingested")
+    loading.append_rows(rows, str(path))
+    assert len(list(path.glob("source=ingested/bucket=*"))) == loading.BUCKETS
+    before = {f: f.stat().st_mtime_ns for f in path.glob("source=*/bucket=*/*.parquet")}
+    one = B.diapers(spark, [("b7", "2024-01-02 10:00:00", True, True), ("b8", "2024-01-02 10:00:00", True, True)])
+    assert loading.subject_replace(one, one.where("baby_id = 'b7'"), str(path)) == 1
+    after = {f: f.stat().st_mtime_ns for f in path.glob("source=*/bucket=*/*.parquet")}
+    changed = {file.parent.name for file, _ in set(before.items()) ^ set(after.items())}
+    assert len(changed) == 1
+    got = stored(spark, str(path))
+    assert len(got) == 300 and ("d0", "b7", "ingested") in got and ("d8", "b8", "ingested") in got
+
+
+def test_a_smaller_reload_leaves_no_old_bucket(spark, tmp_path):
+    path = str(tmp_path / "t")
+    many = B.diapers(spark, [(f"b{i}", "2024-01-01 10:00:00", True, True) for i in range(300)])
+    loading.append_rows(tagged(many, "ingested"), path)
+    assert loading.tagged_replace(many.where("baby_id = 'b7'"), path) == 1
+    assert stored(spark, path) == [("d7", "b7", "ingested")]
+
+
+def test_text_form(spark, tmp_path):
+    rows = tagged(B.diapers(spark, [("a", "2024-01-01 10:00:00", True, False), ("b", "2024-01-01 10:00:00", None, True)]), "app")
+    rows = rows.withColumn("notes", F.when(F.col("baby_id") == "a", 'two\nlines, "quoted"'))
+    write_text(rows, "diaper_events", str(tmp_path / "csv"))
+    back = read_text(spark, "diaper_events", str(tmp_path / "csv"))
+    assert back.schema == schemas.with_source(schemas.DIAPERS)
+    assert sorted(back.collect(), key=lambda r: r.id) == sorted(rows.collect(), key=lambda r: r.id)
+
+
 def test_a_failed_batch_changes_nothing(spark, path):
     before = stored(spark, path)
     broken = batch(spark, "a", "c").withColumn("notes", F.when(F.col("baby_id") == "c", F.raise_error("bad row")))
