@@ -258,15 +258,16 @@ def _raw() -> dict[str, str]:
 
 
 # What ingest makes of the rendered exports: times to the minute, notes trimmed.
-_INGESTED = f"""
+def _ingested(subject: str) -> str:
+    return f"""
     SELECT event_id AS n, CAST(event_id AS VARCHAR) AS note_no, event_type, mins,
-           date_trunc('minute', ts) AS at_minute, {uuid5("'subject-' || ev.baby_id")} AS baby
-    FROM ev JOIN kid ON kid.baby_id = ev.baby_id"""
+           date_trunc('minute', ts) AS at_minute, {uuid5(subject)} AS baby
+    FROM ev JOIN customer ON c_custkey = ev.baby_id"""
 
 
 def _ingest() -> dict[str, str]:
-    def on_ingested(body: str) -> str:
-        return sql("SELECT * FROM (WITH x AS (" + _INGESTED + ") " + body + ")", "ev", "kid")
+    def on_ingested(body: str, subject: str = "'subject-' || c_custkey") -> str:
+        return sql(f"SELECT * FROM (WITH x AS ({_ingested(subject)}) {body})", "ev", "kid")
 
     common = (
         "n AS id, baby AS baby_id, 'note ' || note_no AS notes, at_minute AS created_at, "
@@ -341,7 +342,7 @@ def _ingest() -> dict[str, str]:
         "ingest_diaper": on_ingested(diaper_sql),
         "ingest_sleep": on_ingested(sleep),
         "ingest_feeding": on_ingested(feed),
-        "exports_roundtrip": on_ingested(roundtrip),
+        "exports_roundtrip": on_ingested(roundtrip, "'nation-' || c_nationkey"),
         "transformed_csv": on_ingested(f"SELECT * REPLACE (CAST(id AS VARCHAR) AS id) FROM ({feed})"),
         "load_report": on_ingested(
             f'SELECT table_name, CAST(sum("rows") AS BIGINT) AS "rows" FROM ({counts}) GROUP BY ROLLUP (table_name)'
