@@ -35,7 +35,7 @@ def _texts(*names: str) -> StructType:
 
 
 class ExportFolder:
-    """Where a path lies within the folder, as expressions over the file's path."""
+    """Which subject a file belongs to, as expressions over the file's path."""
 
     def __init__(self, folder: str, aliases: Aliases | None):
         self.folder = folder.rstrip("/")
@@ -49,30 +49,31 @@ class ExportFolder:
         # The metadata column holds a URL; a plus sign in it is a literal plus.
         return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
-    def is_kind(self, kind: str) -> Column:
-        """Regularly named files and aliases; an aliased subject's regular file is left alone."""
+    def may_be(self, kind: str) -> Column:
+        """A cheap test that leaves out almost all files of other kinds, at best before they are listed."""
+        regular = F.contains(F.col("_metadata.file_path"), F.lit(f"_{kind}.csv"))
         names = self.aliases.get(kind, {})
-        subject = self._named_subject(kind)
-        regular = (subject != "") & ~subject.isin(*names.values()) if names else subject != ""
-        return reduce(lambda found, name: found | self._is_alias(name), names, regular)
-
-    def subject(self, kind: str) -> Column:
-        return reduce(
-            lambda subject, alias: F.when(self._is_alias(alias[0]), F.lit(alias[1])).otherwise(subject),
-            self.aliases.get(kind, {}).items(),
-            self._named_subject(kind),
-        )
+        return reduce(lambda found, name: found | F.endswith(self.path(), F.lit(f"/{name}")), names, regular)
 
-    def _is_alias(self, file_name: str) -> Column:
-        return F.rlike(self.path(), F.lit(rf"{self.prefix}\Q{file_name}\E$"))
+    def subject(self, kind: str, path: Column) -> Column:
+        """The subject of a decoded path; empty for files of other kinds.
 
-    def _named_subject(self, kind: str) -> Column:
-        name = F.regexp_extract(self.path(), rf"{self.prefix}([^/]+)_{kind}\.csv(?:/[^/]+)?$", 1)
+        An aliased file belongs to the subject given for it, and that subject's
+        regularly named file is left alone.
+        """
+        names = self.aliases.get(kind, {})
+        name = F.regexp_extract(path, rf"{self.prefix}([^/]+)_{kind}\.csv(?:/[^/]+)?$", 1)
         # A partitioned write labels the directory (file=<subject>_<kind>.csv) and escapes the value.
         label = F.regexp_extract(name, r"^[^=]+=(.*)$", 1)
-        return F.when(label == "", name).otherwise(
-            F.url_decode(F.replace(label, F.lit("+"), F.lit("%2B")))
-        )
+        subject = F.when(
+            F.contains(name, F.lit("=")), F.url_decode(F.replace(label, F.lit("+"), F.lit("%2B")))
+        ).otherwise(name)
+        if names:
+            subject = F.when(subject.isin(*names.values()), "").otherwise(subject)
+        for file_name, owner in names.items():
+            aliased = F.rlike(path, F.lit(rf"{self.prefix}\Q{file_name}\E$"))
+            subject = F.when(aliased, F.lit(owner)).otherwise(subject)
+        return subject
 
 
 def _reader(spark: SparkSession):
@@ -93,17 +94,20 @@ def layouts(spark: SparkSession, source: ExportFolder, kinds: Iterable[str]) ->
             return None
         raise
     kinds = list(kinds)
-    wanted = reduce(lambda a, b: a | b, (source.is_kind(kind) for kind in kinds))
-    kind = F.coalesce(*(F.when(source.is_kind(kind), F.lit(kind)) for kind in kinds))
+    path = F.col("path")
+    kind = F.coalesce(*(F.when(source.subject(kind, path) != "", F.lit(kind)) for kind in kinds))
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     files = (
-        lines.where(wanted)
-        .select("value", kind.alias("kind"), source.path().alias("path"), "_metadata.file_block_start")
-        .groupBy("kind", "path")
+        lines.where(reduce(lambda a, b: a | b, (source.may_be(kind) for kind in kinds)))
+        .select("value", source.path().alias("path"), "_metadata.file_block_start")
+        .groupBy("path")
         .agg(
             F.first(F.when(F.col("file_block_start") == 0, F.col("value")), ignorenulls=True).alias("header"),
             F.max(quotes % 2 == 1).alias("multiline"),
         )
+        # Once per file, not per line.
+        .withColumn("kind", kind)
+        .where(F.col("kind").isNotNull())
     )
     return files.withColumn("header", F.replace("header", F.lit("\ufeff"), F.lit("")))
 
@@ -131,7 +135,7 @@ def _parse(
         .option("escape", '"')
         .option("multiLine", multiline)
     )
-    rows = reader.csv(source.folder).where(source.is_kind(kind)) if paths is None else reader.csv(paths)
+    rows = reader.csv(source.folder).where(source.may_be(kind)) if paths is None else reader.csv(paths)
     text = (
         F.col(f"`{name}`").alias(name)
         if name in names
@@ -139,12 +143,14 @@ def _parse(
         for name in K.EXPORT_COLUMNS[kind]
     )
     # Unique per row of the read, and the same again if a task is retried.
-    position = F.concat_ws("|", source.path(), F.monotonically_increasing_id())
-    return rows.select(
-        source.subject(kind).alias("subject"),
-        uuid5(K.SUBJECT_NAMESPACE, position).alias("row_id"),
-        *text,
+    placed = rows.select(
+        source.path().alias("path"), F.monotonically_increasing_id().alias("position"), *text
     )
+    return placed.select(
+        source.subject(kind, F.col("path")).alias("subject"),
+        uuid5(K.SUBJECT_NAMESPACE, F.concat_ws("|", "path", "position")).alias("row_id"),
+        *(F.col(f"`{name}`") for name in K.EXPORT_COLUMNS[kind]),
+    ).where(F.col("subject") != "")
 
 
 def read_all_exports(

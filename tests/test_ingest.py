@@ -128,6 +128,8 @@ def test_export_files(spark, tmp_path):
     write(tmp_path, "Zoë+q_sleep.csv", '\ufeffTime,Note,Duration (min)\n"3/2/24 7:05 PM","a ""q""\nline, x",9\n')
     write(tmp_path, "empty_sleep.csv", "")
     write(tmp_path, "other_activity.csv", "Time\n1/1/24\n")
+    (tmp_path / "old").mkdir()
+    write(tmp_path / "old", "Ann_sleep.csv", "Time,Duration (min),Note\n1/1/24 7:05 am,1,archived\n")
     got = {(r.subject, r["Duration (min)"], r.Note) for r in read_exports(spark, str(tmp_path), "sleep").collect()}
     assert got == {("A b#1", "2,218", "hi"), ("A b#1", None, None), ("Zoë+q", "9", 'a "q"\nline, x')}
 
