@@ -31,6 +31,13 @@ from carelens.sources.exports import read_all_exports  # noqa: E402
 from carelens.sources.fixtures import Fixture, export_time  # noqa: E402
 from carelens.sources.tables import raw, raw_relations, read_text, table_path, write_text  # noqa: E402
 
+try:
+    from carelens.llm import queries as corpus  # noqa: E402
+except ModuleNotFoundError as missing:  # the corpus operators can be taken out; nothing else needs them
+    if not (missing.name or "").startswith(("carelens.llm", "corpus_pipeline")):
+        raise
+    corpus = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = datetime(2024, 2, 1)
@@ -237,6 +244,10 @@ def _kept(counts: DataFrame) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return _care_queries() | (corpus.queries() if corpus else {})
+
+
+def _care_queries() -> dict[str, Query]:
     return {
         "raw_profiles": _raw("baby_profiles"),
         "raw_diaper": _raw("diaper_events"),
@@ -298,4 +309,4 @@ def _pairs(f: Fixture) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return oracle.statements() | (corpus.oracle_sql() if corpus else {})
