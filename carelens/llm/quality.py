@@ -70,8 +70,8 @@ def statistics(column: pa.Array) -> np.ndarray:
     kinds = int(code.max(initial=0)) + 1
     found.append(_distinct(owner, code, kinds, len(column)) / per_word)
     follows = np.flatnonzero(owner[1:] == owner[:-1])
-    pair_code = np.unique(code[follows] * kinds + code[follows + 1], return_inverse=True)[1]
-    pairs = _distinct(owner[follows], pair_code, len(follows) + 1, len(column))
+    # Below 2 ** 63: a shard has few texts, and fewer kinds of words than bytes.
+    pairs = _distinct(owner[follows], code[follows] * kinds + code[follows + 1], kinds * kinds, len(column))
     found.append(pairs / per_word)
     found.append(counts["upper"] / np.maximum(letters, 1))
     found.append((letters + n_bytes - chars) / per_word)
@@ -82,8 +82,10 @@ def statistics(column: pa.Array) -> np.ndarray:
 
 
 def _distinct(owner: np.ndarray, code: np.ndarray, kinds: int, n: int) -> np.ndarray:
-    """How many different codes each owner has."""
-    return np.bincount(np.unique(owner * kinds + code) // kinds, minlength=n)
+    """How many different codes below ``kinds`` each owner has."""
+    keys = np.sort(owner * kinds + code)
+    first = np.append(True, keys[1:] != keys[:-1])[: len(keys)]
+    return np.bincount(keys[first] // kinds, minlength=n)
 
 
 def with_statistics(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 VOCABULARY = "piece_bpe_32k.model"
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 
 class Counter(dict):
@@ -59,28 +59,37 @@ class Counter(dict):
         return sum([self[word] for word in self.words.findall(marked)]) if self.by_word else self.best(marked)
 
     def best(self, text: str) -> int:
-        """Tokens of the best segmentation. An end's count is negative inside a run of unknown characters."""
+        """Tokens of the best segmentation. Matches come by end, the longest first."""
         n = len(text)
-        matches: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        for last, found in self.automaton.iter(text):
-            matches[last].append(found)
         score, count = [0.0] * (n + 1), [0] * (n + 1)
-        run = [0] * (n + 1)  # where the run of unknown characters that ends here begins
-        for end in range(1, n + 1):
-            best = None
-            run[end] = end
-            for length, own in sorted(matches[end - 1], reverse=True):
-                total = score[end - length] + own
-                if best is None or total > best:
-                    best, count[end] = total, count[end - length] + 1
-            if text[end - 1] not in self.pieces:
-                total = score[end - 1] + self.unknown
-                if best is None or total > best:
-                    best, run[end] = total, run[end - 1]
-                    count[end] = count[run[end]] + self._unknown(text[run[end] : end])
-            score[end] = best
+        run = list(range(n + 1))  # where the run of unknown characters that ends here begins
+        end, best, shortest = 0, None, 0
+        for last, (length, own) in self.automaton.iter(text):
+            while end != last + 1:  # the end before is settled
+                if shortest != 1 and end:
+                    self._extend(text, end, best, score, count, run)
+                elif end:
+                    score[end] = best
+                end, best, shortest = end + 1, None, 0
+            total = score[end - length] + own
+            if best is None or total > best:
+                best, count[end] = total, count[end - length] + 1
+            shortest = length
+        while end <= n:
+            if shortest != 1 and end:
+                self._extend(text, end, best, score, count, run)
+            end, best, shortest = end + 1, None, 0
         return count[n]
 
+    def _extend(self, text: str, end: int, best: float | None, score: list, count: list, run: list) -> None:
+        """Settle an end whose last character is no piece: it may be unknown."""
+        total = score[end - 1] + self.unknown
+        if best is None or total > best:
+            run[end] = run[end - 1]
+            count[end] = count[run[end]] + self._unknown(text[run[end] : end])
+            best = total
+        score[end] = best
+
     def _unknown(self, run: str) -> int:
         if run in self.pieces or not self.byte_fallback:
             return 1

@@ -28,32 +28,41 @@ from carelens.llm.store import held_out
 
 SIZES, HASH_BITS = (3, 4, 5), 18
 TRAINING_ROWS, ROUNDS, RIDGE, SMOOTHING = 6000, 80, 1e-4, 1.0
-SHARD_BYTES = 2 << 20
+SHARD_BYTES, SHARD_ROWS = 2 << 20, 1 << 32 - HASH_BITS
 THRESHOLD = 0.5
-#: Odd multiplier of the rolling hash.
-FACTOR = np.uint64(0x9E3779B97F4A7C15)
+#: Odd multiplier of the rolling hash: a golden ratio of 32 bits.
+FACTOR = np.uint32(0x9E3779B1)
 
 
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashed n-grams of each text: (text, n-gram) in order, all texts together."""
     texts = [(x or "").lower() for x in column.to_pylist()]
     length = np.array([len(x) for x in texts], np.int64)
-    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    owner = np.repeat(np.arange(len(texts)), length)
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    owner = np.repeat(np.arange(len(texts), dtype=np.uint32), length)
+    rolled = np.zeros(len(points), np.uint32)
     found = []
-    for size in SIZES:
+    for size in range(1, max(SIZES) + 1):
         count = len(points) - size + 1
         if count <= 0:
+            break
+        rolled = (rolled[:count] + points[size - 1 :]) * FACTOR
+        rolled ^= rolled >> np.uint32(15)
+        if size not in SIZES:
             continue
-        rolled = np.full(count, size, np.uint64)
-        for step in range(size):
-            rolled = rolled * FACTOR + points[step : step + count]
-            rolled ^= rolled >> np.uint64(29)
-        gram = (rolled * FACTOR >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+        gram = (rolled + np.uint32(size)) * FACTOR >> np.uint32(32 - HASH_BITS)
         inside = owner[:count] == owner[size - 1 :]
-        found.append((owner[:count] << HASH_BITS | gram)[inside])
-    keys = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-    return keys >> HASH_BITS, keys & (1 << HASH_BITS) - 1
+        found.append((owner[:count] << np.uint32(HASH_BITS) | gram)[inside])
+    keys = np.sort(np.concatenate(found)) if found else np.zeros(0, np.uint32)
+    keys = keys[np.append(True, keys[1:] != keys[:-1])[: len(keys)]]
+    return keys >> np.uint32(HASH_BITS), keys & np.uint32((1 << HASH_BITS) - 1)
+
+
+def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of bounded text and few enough rows that a row and an n-gram fit into 32 bits."""
+    for batch in slices(batches, "text", SHARD_BYTES):
+        for begin in range(0, batch.num_rows, SHARD_ROWS):
+            yield batch.slice(begin, SHARD_ROWS)
 
 
 @dataclass
@@ -92,7 +101,7 @@ def fit(
         return Model(blank, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SHARD_BYTES):
+        for batch in shards(batches):
             text, gram = features(batch.column("text"))
             ends = np.searchsorted(text, np.arange(batch.num_rows + 1))
             grams = [gram[a:b].astype("<i4").tobytes() for a, b in zip(ends, ends[1:], strict=False)]
@@ -154,7 +163,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SHARD_BYTES):
+        for batch in shards(batches):
             scores = sent.value.score(batch.column("text"))
             columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(scores)]
             columns.append(pa.array((scores >= threshold).astype(np.int32)))
