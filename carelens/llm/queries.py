@@ -11,6 +11,7 @@ from carelens.llm import (
     chat_format,
     decontaminate,
     line_dedup,
+    oracle,
     packing,
     quality,
     simhash,
@@ -138,4 +139,4 @@ _QUERIES: dict[str, Query] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.statements()

@@ -1,0 +1,90 @@
+import hashlib
+from collections import defaultdict
+
+import pytest
+from awkward import AWKWARD
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from carelens.llm.line_dedup import LineRuns, dedup_lines, line_hashes
+from carelens.llm.queries import op1_line_dedup
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SHARED = [f"This line number {n} is long enough" for n in range(4)]
+
+
+def key(line):
+    return line.strip(" \t\n\x0b\x0c\r").translate(LOWER)
+
+
+def brute(rows):
+    held = defaultdict(set)
+    order = lambda doc: (doc is not None, doc)
+    for doc, text in rows:
+        for line in (text or "").split("\n"):
+            held[key(line)].add(order(doc))
+    out = []
+    for doc, text in rows:
+        lines = (text or "").split("\n")
+        drop = [len(key(x)) >= 20 and len(held[key(x)]) >= 3 and order(doc) < max(held[key(x)]) for x in lines]
+        kept = "\n".join(x for x, d in zip(lines, drop, strict=True) if not d)
+        out.append((doc, len(lines), sum(drop), kept))
+    return sorted(out, key=repr)
+
+
+def result(frame):
+    rows = dedup_lines(frame, batches=3).collect()
+    return sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in rows), key=repr)
+
+
+def test_awkward(docs):
+    assert result(docs(AWKWARD)) == brute(AWKWARD)
+
+
+def test_empty_table(docs):
+    assert result(docs([])) == []
+
+
+def test_columns_stay(docs):
+    frame = docs(AWKWARD)
+    assert set(dedup_lines(frame).columns) == set(frame.columns)
+
+
+LINES = st.sampled_from([*SHARED, SHARED[0].upper() + " ", "short", ""])
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 9), st.lists(LINES, max_size=5).map("\n".join)), max_size=30))
+def test_any_documents(docs, rows):
+    assert result(docs(rows)) == brute(rows)
+
+
+def test_whole_table(spark, sf_dir):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    expected = {(d, n, m, hashlib.sha256(t.encode()).hexdigest()) for d, n, m, t in brute(rows)}
+    assert {tuple(r) for r in op1_line_dedup(spark, sf_dir).collect()} == expected
+
+
+@pytest.mark.parametrize("fanout", [2, 3])
+def test_runs_hold_each_key_once(spark, docs, fanout):
+    """Batches that share keys; runs are merged level by level, counts are those of one pass."""
+    runs = LineRuns(spark, fanout, buckets=4)
+    batches = [[(10 * b + d, f"{SHARED[d % 3]}\nline of batch {b} and document {d}") for d in range(4)] for b in range(7)]
+    for batch in batches:
+        runs.add(line_hashes(docs(batch)))
+    keys = runs.runs().select("h1", "h2")
+    assert keys.count() == keys.distinct().count() == 3 + 28
+    assert all(len(level) < fanout for level in runs.levels) and len(runs.levels) > 1
+    shared = {(r.n_docs, r.keeper) for r in runs.shared().collect()}
+    assert shared == {(14, 63), (7, 61), (7, 62)}
+    runs.drop()
+
+
+def test_runs_are_joined_without_moving_them(spark, docs):
+    runs = LineRuns(spark, buckets=8)
+    runs.add(line_hashes(docs([(1, SHARED[0])])))
+    known = runs.runs().select("h1", "h2").hint("merge")
+    keys = line_hashes(docs([(2, SHARED[0])])).groupBy("h1", "h2").count()
+    plan = keys.join(known, ["h1", "h2"], "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+    runs.drop()
