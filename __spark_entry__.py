@@ -291,8 +291,8 @@ def _care_queries() -> dict[str, Query]:
         "mart_from_groups": _on(lambda f: daily.daily_from_groups(f.profiles, f.sleeps, f.feeds, f.diapers)),
         "compare_age_days": _on(lambda f: compare.compare(_mart(f), _pairs(f), "age_days")),
         "compare_age_weeks": _on(lambda f: compare.compare(_mart(f), _pairs(f), "age_weeks")),
-        "weekly_summary": _on(lambda f: compare.weekly_summary(_mart(f))),
-        "weekly_summary_all_ages": _on(lambda f: compare.weekly_summary(_mart(f), overlap_only=False)),
+        "weekly_summary": _on(lambda f: compare.weekly_overlap(_mart(f), _pairs(f))),
+        "weekly_summary_all_ages": _on(lambda f: compare.weekly_summary(_mart(f))),
         "subject_daily": _on(lambda f: compare.subject_daily(_mart(f), COMPARED_SUBJECT)),
         "dq_not_null": _on(lambda f: quality.not_null_report(relations(raw_relations(f.relations())))),
         "dq_unique": _on(lambda f: quality.unique_report(relations(raw_relations(f.relations())))),

@@ -16,20 +16,26 @@ def subject_daily(daily: DataFrame, baby_id) -> DataFrame:
     return daily.where(F.col("baby_id") == F.lit(baby_id))
 
 
-def weekly_summary(daily: DataFrame, overlap_only: bool = True) -> DataFrame:
-    """Averages per subject and completed week of age.
-
-    With ``overlap_only`` weeks end with the oldest week all subjects have
-    reached, so every week kept can be compared.
-    """
-    weeks = daily.groupBy("baby_id", "baby_name", "age_weeks").agg(
+def weekly_summary(daily: DataFrame) -> DataFrame:
+    """Averages per subject and completed week of age."""
+    return daily.groupBy("baby_id", "baby_name", "age_weeks").agg(
         F.count("*").alias("days"),
         *(F.avg(name).alias(f"avg_{name}") for name in SUMMARY_METRICS),
     )
-    if not overlap_only:
-        return weeks
-    reached = daily.groupBy("baby_id").agg(F.max("age_weeks").alias("oldest"))
-    return weeks.where(F.col("age_weeks") <= reached.select(F.min("oldest")).scalar())
+
+
+def weekly_overlap(daily: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The weekly summaries of both subjects of each pair, up to the week the younger one has reached.
+
+    What two subjects have in common is no business of a third, so each pair has its own end. A pair of which
+    one subject has no days has no rows.
+    """
+    weeks = pair_sides(pairs).join(weekly_summary(daily), "baby_id")
+    pair = W.partitionBy("left_id", "right_id")
+    reached = [F.max(F.when(side, F.col("age_weeks"))).over(pair) for side in (F.col("is_left"), ~F.col("is_left"))]
+    both = weeks.withColumns({"left_oldest": reached[0], "right_oldest": reached[1]})
+    common = (F.col("age_weeks") <= F.col("left_oldest")) & (F.col("age_weeks") <= F.col("right_oldest"))
+    return both.where(common).drop("is_left", "left_oldest", "right_oldest")
 
 
 def pair_sides(pairs: DataFrame) -> DataFrame:
@@ -60,10 +66,10 @@ def compare(
     else:
         ages = daily.groupBy("baby_id", align).agg(*(F.avg(name).alias(name) for name in metrics))
     left, right = F.col("is_left"), ~F.col("is_left")
+    # Placed by pair once: the aggregate per age and the window per pair both find their rows together.
+    placed = pair_sides(pairs).join(ages, "baby_id").repartition("left_id", "right_id")
     aligned = (
-        pair_sides(pairs)
-        .join(ages, "baby_id")
-        .groupBy("left_id", "right_id", align)
+        placed.groupBy("left_id", "right_id", align)
         .agg(
             F.max(F.when(left, F.col(align))).alias("left_age"),
             F.max(F.when(right, F.col(align))).alias("right_age"),

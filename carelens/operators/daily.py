@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from carelens import constants as K
 from carelens.functions import time as T
-from carelens.operators.sleep import fct_wake_windows, sleep_starts, valid_sleeps
+from carelens.operators.sleep import fct_wake_windows, valid_sleeps
 from carelens.operators.staging import known_subjects, subject_dimension
 
 KEY = ["baby_id", "metric_date"]
@@ -130,28 +130,45 @@ def average_nap() -> Column:
     return T.rounded_ratio(F.col("total_nap_minutes"), F.col("nap_count"))
 
 
-def _per_care_day(sleeps: DataFrame, aggregates: dict[str, Column]) -> DataFrame:
+def sleep_days(sleeps: DataFrame) -> DataFrame:
+    """All sleep columns of each care day in one aggregate.
+
+    Sums and extremes need no row per start first: copies are absorbed by the partial aggregate.
+    """
+    each = valid_sleeps(sleeps).withColumns({"sessions": F.lit(1), "longest": F.col("minutes")})
+    # Of the sleeps that begin last, the longest ends the night. One number for both keeps the buffer fixed.
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    begun, ended = (T.micros_between(epoch, F.col(c)).cast("decimal(19,0)") for c in ("start_time", "end_time"))
+    order = F.when(F.col("is_night"), begun * F.lit(10**18).cast("decimal(19,0)") + ended)
+    wakings = waking_aggregates() | {"night_end": F.max_by(F.col("end_time"), order)}
+    aggregates = night_aggregates() | wakings | nap_aggregates()
     named = (column.alias(name) for name, column in aggregates.items())
-    return sleep_starts(sleeps).groupBy("baby_id", F.col("care_day").alias("metric_date")).agg(*named)
+    return each.groupBy("baby_id", F.col("care_day").alias("metric_date")).agg(*named).select(
+        *KEY,
+        *night_aggregates(),
+        awake_minutes().alias("awake_at_night_minutes"),
+        waking_count().alias("night_waking_count"),
+        *nap_aggregates(),
+        average_nap().alias("avg_nap_minutes"),
+    )
+
+
+def _with(days: DataFrame, profiles: DataFrame, key: str, *others: str) -> DataFrame:
+    """Columns of the days that have the first of them."""
+    return known_subjects(days.where(F.col(key).isNotNull()).select(*KEY, key, *others), profiles)
 
 
 def night_sleep(profiles: DataFrame, sleeps: DataFrame) -> DataFrame:
-    nights = _per_care_day(sleeps, night_aggregates()).where(F.col("night_sleep_segments").isNotNull())
-    return known_subjects(nights, profiles)
+    others = ("night_sleep_minutes", "longest_night_stretch_minutes")
+    return _with(sleep_days(sleeps), profiles, "night_sleep_segments", *others)
 
 
 def night_wakings(profiles: DataFrame, sleeps: DataFrame) -> DataFrame:
-    nights = _per_care_day(sleeps, waking_aggregates()).select(
-        *KEY,
-        awake_minutes().alias("awake_at_night_minutes"),
-        waking_count().alias("night_waking_count"),
-    )
-    return known_subjects(nights.where(F.col("night_waking_count").isNotNull()), profiles)
+    return _with(sleep_days(sleeps), profiles, "night_waking_count", "awake_at_night_minutes")
 
 
 def naps(profiles: DataFrame, sleeps: DataFrame) -> DataFrame:
-    days = _per_care_day(sleeps, nap_aggregates()).where(F.col("nap_count").isNotNull())
-    return known_subjects(days.withColumn("avg_nap_minutes", average_nap()), profiles)
+    return _with(sleep_days(sleeps), profiles, "nap_count", "total_nap_minutes", "avg_nap_minutes")
 
 
 def feed_starts(feeds: DataFrame) -> DataFrame:
@@ -230,13 +247,16 @@ def feeds(profiles: DataFrame, feeds: DataFrame) -> DataFrame:
     return known_subjects(days, profiles)
 
 
-def feed_intervals(profiles: DataFrame, feeds: DataFrame) -> DataFrame:
+def feed_days_with_intervals(feeds: DataFrame) -> DataFrame:
+    """All feed columns of each day."""
     # The window runs over one row per day, never over the feeds themselves.
     days = W.partitionBy("baby_id").orderBy("metric_date")
-    gaps = with_first_gap(
-        feed_days(feeds).withColumn("previous_feed", F.lag("last_feed").over(days)), F.col("previous_feed")
-    ).where(F.col("gaps") > 0)
-    return known_subjects(gaps.select(*KEY, average_gap().alias("avg_feed_interval_minutes")), profiles)
+    previous = feed_days(feeds).withColumn("previous_feed", F.lag("last_feed").over(days))
+    return with_first_gap(previous, F.col("previous_feed")).withColumn("avg_feed_interval_minutes", average_gap())
+
+
+def feed_intervals(profiles: DataFrame, feeds: DataFrame) -> DataFrame:
+    return _with(feed_days_with_intervals(feeds), profiles, "avg_feed_interval_minutes")
 
 
 def daily_wake_windows(profiles: DataFrame, sleeps: DataFrame) -> DataFrame:
@@ -296,13 +316,13 @@ def assemble(spine: DataFrame, *groups: DataFrame) -> DataFrame:
 def daily_from_groups(
     profiles: DataFrame, sleeps: DataFrame, feed_rows: DataFrame, diapers: DataFrame
 ) -> DataFrame:
+    """The daily table as a spine and one group of columns per kind of event; each kind is read for its own days
+    and for the spine only."""
+    feed_columns = ("breast_feed_count", "bottle_feed_count", "total_volume_ml", "avg_feed_interval_minutes")
     return assemble(
         date_spine(profiles, sleeps, feed_rows, diapers),
-        night_sleep(profiles, sleeps),
-        night_wakings(profiles, sleeps),
-        naps(profiles, sleeps),
-        feeds(profiles, feed_rows),
-        feed_intervals(profiles, feed_rows),
+        sleep_days(sleeps),
+        feed_days_with_intervals(feed_rows).select(*KEY, "feed_count", *feed_columns),
         daily_wake_windows(profiles, sleeps),
-        nappies(profiles, diapers),
+        diaper_days(diapers),
     )

@@ -75,6 +75,10 @@ def sleep_neighbours(sleeps: DataFrame) -> DataFrame:
 
     Sleeps that share a start never open a wake window except the longest of
     them, because for the others the next sleep begins before they end.
+
+    The sleeps are read once. Within a day neighbours follow from a window over the day. Only the last start of
+    each day looks further: those rows share one window per subject, where each finds the first start of the
+    next day there is; all other rows stay with their day.
     """
     starts = (
         valid_sleeps(sleeps)
@@ -82,24 +86,22 @@ def sleep_neighbours(sleeps: DataFrame) -> DataFrame:
         .agg(F.max("end_time").alias("end_time"))
     )
     day = by_care_day()
+    whole_day = W.partitionBy("baby_id", "care_day")
     marked = starts.select(
         "baby_id",
+        "care_day",
         "start_time",
         "end_time",
-        F.lead("start_time").over(day).alias("next_start"),
-        F.lag("start_time").over(day).isNull().alias("opens_day"),
+        F.lead("start_time").over(day).alias("within"),
+        F.min("start_time").over(whole_day).alias("day_begins"),
     )
-    closes_day = F.col("next_start").isNull()
-    within = marked.where(~closes_day).select("baby_id", "start_time", "end_time", "next_start")
-    # At most two rows per calendar day reach the per-subject window.
-    life = W.partitionBy("baby_id").orderBy("start_time")
-    across = (
-        marked.where(closes_day | F.col("opens_day"))
-        .withColumn("later_start", F.lead("start_time").over(life))
-        .where(closes_day)
-        .select("baby_id", "start_time", "end_time", F.col("later_start").alias("next_start"))
+    # NULL for the last start of a day: one row per day in the subject's own group.
+    own_day = F.when(F.col("within").isNotNull(), F.col("care_day"))
+    days = W.partitionBy("baby_id", "own_day").orderBy("care_day", "start_time")
+    across = F.lead("day_begins").over(days)
+    return marked.withColumn("own_day", own_day).select(
+        "baby_id", "start_time", "end_time", F.coalesce("within", F.when(F.col("own_day").isNull(), across)).alias("next_start")
     )
-    return within.unionByName(across)
 
 
 def fct_wake_windows(sleeps: DataFrame, profiles: DataFrame) -> DataFrame:

@@ -59,107 +59,95 @@ PARTS: dict[str, str] = {
                CAST(date_diff('day', date_of_birth, CAST(event_time AS DATE)) AS INTEGER) AS age_days,
                CAST(date_diff('day', date_of_birth, CAST(event_time AS DATE)) // 7 AS INTEGER) AS age_weeks
         FROM dia JOIN kid USING (baby_id)""",
-    "session": """
-        SELECT *, CASE WHEN is_night
-                       THEN CAST(start_time AS DATE) - CASE WHEN hour(start_time) < 7 THEN 1 ELSE 0 END
-                  END AS night_date
-        FROM (SELECT *, CAST(start_time AS DATE) AS calendar_date,
-                     (hour(start_time) NOT BETWEEN 7 AND 18
-                      OR (hour(start_time) = 18 AND duration_minutes > 180)) AS is_night
-              FROM sleep)""",
-    "gap": """
-        SELECT *, CAST(round((epoch_us(wake_end) - epoch_us(wake_start)) / CAST(60000000 AS DOUBLE)) AS INTEGER)
-                      AS wake_window_minutes
-        FROM (SELECT baby_id, baby_name, date_of_birth, end_time AS wake_start,
-                     lead(start_time) OVER (PARTITION BY baby_id ORDER BY start_time, end_time) AS wake_end
-              FROM sleep)
-        WHERE wake_end > wake_start AND hour(wake_start) BETWEEN 6 AND 20""",
+    # Sleeps with the part of the day they belong to. A night's date is the date seven hours before it began.
+    "rest": """
+        SELECT *, CAST(start_time AS DATE) AS calendar_date,
+               CASE WHEN is_night THEN CAST(start_time - INTERVAL 7 HOUR AS DATE) END AS night_date
+        FROM (SELECT *, clock < 420 OR clock >= 1140 OR (clock >= 1080 AND duration_minutes > 180) AS is_night
+              FROM (SELECT *, 60 * hour(start_time) + minute(start_time) AS clock FROM sleep))""",
+    # The nearest later start of each start. Of sleeps begun together only the one that lasts longest can
+    # be followed by an awake gap; the others are still covered by it.
     "wake": """
-        SELECT baby_id, baby_name, wake_start, wake_end, wake_window_minutes,
+        SELECT baby_id, baby_name, wake_start, wake_end, minutes AS wake_window_minutes,
                CAST(wake_start AS DATE) AS calendar_date,
                CAST(date_diff('day', date_of_birth, CAST(wake_start AS DATE)) AS INTEGER) AS age_days,
                CAST(date_diff('day', date_of_birth, CAST(wake_start AS DATE)) // 7 AS INTEGER) AS age_weeks
-        FROM gap WHERE wake_window_minutes BETWEEN 5 AND 360""",
-    "bound": """
-        SELECT baby_id, min(d) AS first_date, max(d) AS last_date
-        FROM (SELECT baby_id, CAST(start_time AS DATE) AS d FROM sleep
-              UNION ALL SELECT baby_id, CAST(start_time AS DATE) FROM feed
-              UNION ALL SELECT baby_id, CAST(event_time AS DATE) FROM diaper)
-        GROUP BY baby_id""",
-    "spine": """
-        SELECT baby_id, baby_name, date_of_birth,
-               CAST(unnest(generate_series(CAST(first_date AS TIMESTAMP), CAST(last_date AS TIMESTAMP),
-                                           INTERVAL 1 DAY)) AS DATE) AS metric_date
-        FROM bound JOIN kid USING (baby_id)""",
-    "night": """
-        SELECT baby_id, night_date AS metric_date, CAST(sum(duration_minutes) AS BIGINT) AS night_sleep_minutes,
-               count(*) AS night_sleep_segments, max(duration_minutes) AS longest_night_stretch_minutes
-        FROM session WHERE is_night GROUP BY ALL""",
-    "waking": """
-        SELECT baby_id, night_date AS metric_date,
-               CAST(round(CAST(sum(epoch_us(following) - epoch_us(end_time)) AS DOUBLE) / 60000000) AS INTEGER)
+        FROM (SELECT a.baby_id, a.until AS wake_start, b.since AS wake_end,
+                     CAST(round(date_diff('microsecond', a.until, b.since) / CAST(6e7 AS DOUBLE)) AS INTEGER) AS minutes
+              FROM begun a ASOF JOIN begun b ON a.baby_id = b.baby_id AND a.since < b.since
+              WHERE b.since > a.until)
+        JOIN kid USING (baby_id)
+        WHERE minutes >= 5 AND minutes <= 360 AND extract('hour' FROM wake_start) NOT IN (21, 22, 23, 0, 1, 2, 3, 4, 5)""",
+    "begun": """
+        SELECT baby_id, start_time AS since, max(end_time) AS until FROM sleep GROUP BY baby_id, start_time""",
+    # Everything that counts toward a day, one row per contribution; ``seen`` is set where it is an event of its own.
+    "share": """
+        SELECT baby_id, coalesce(night_date, calendar_date) AS day, if(is_night, 'night', 'nap') AS what,
+               CAST(duration_minutes AS BIGINT) AS amount, calendar_date AS seen FROM rest
+        UNION ALL
+        SELECT baby_id, night_date, 'awake', date_diff('microsecond', row_[i].until, row_[i + 1].since), NULL
+        FROM (SELECT baby_id, night_date, unnest(range(1, len(row_))) AS i, row_
+              FROM (SELECT baby_id, night_date,
+                           list({'since': start_time, 'until': end_time} ORDER BY start_time, end_time, sleep_id) AS row_
+                    FROM rest WHERE is_night GROUP BY baby_id, night_date))
+        UNION ALL
+        SELECT baby_id, CAST(start_time AS DATE), feeding_type, volume_consumed_ml, CAST(start_time AS DATE) FROM feed
+        UNION ALL
+        SELECT b.baby_id, CAST(b.begun_at AS DATE), 'pause', date_diff('microsecond', a.begun_at, b.begun_at), NULL
+        FROM (SELECT DISTINCT baby_id, start_time AS begun_at FROM feed) b
+        ASOF JOIN (SELECT DISTINCT baby_id, start_time AS begun_at FROM feed) a ON a.baby_id = b.baby_id AND a.begun_at < b.begun_at
+        WHERE date_diff('microsecond', a.begun_at, b.begun_at) BETWEEN 60000000 AND 43200000000
+        UNION ALL
+        SELECT baby_id, calendar_date, 'window', wake_window_minutes, NULL FROM wake
+        UNION ALL
+        SELECT baby_id, CAST(event_time AS DATE), 'diaper', CAST(has_urine AS INTEGER) + 2 * CAST(has_stool AS INTEGER),
+               CAST(event_time AS DATE) FROM diaper""",
+    "tally": """
+        SELECT baby_id, day AS metric_date,
+               CAST(sum(amount) FILTER (WHERE what = 'night') AS BIGINT) AS night_sleep_minutes,
+               nullif(count(*) FILTER (WHERE what = 'night'), 0) AS night_sleep_segments,
+               CAST(max(amount) FILTER (WHERE what = 'night') AS INTEGER) AS longest_night_stretch_minutes,
+               CAST(round(CAST(sum(amount) FILTER (WHERE what = 'awake') AS DOUBLE) / 60000000) AS INTEGER)
                    AS awake_at_night_minutes,
-               count(*) AS night_waking_count
-        FROM (SELECT baby_id, night_date, end_time,
-                     lead(start_time) OVER (PARTITION BY baby_id, night_date
-                                            ORDER BY start_time, end_time, sleep_id) AS following
-              FROM session WHERE is_night)
-        WHERE following IS NOT NULL GROUP BY baby_id, night_date""",
-    "nap": """
-        SELECT baby_id, calendar_date AS metric_date, count(*) AS nap_count,
-               CAST(sum(duration_minutes) AS BIGINT) AS total_nap_minutes,
-               CAST(round(avg(duration_minutes)) AS INTEGER) AS avg_nap_minutes
-        FROM session WHERE NOT is_night GROUP BY baby_id, calendar_date""",
-    "meal": """
-        SELECT baby_id, CAST(start_time AS DATE) AS metric_date, count(*) AS feed_count,
-               CAST(sum(CASE feeding_type WHEN 'BREAST' THEN 1 ELSE 0 END) AS BIGINT) AS breast_feed_count,
-               CAST(sum(CASE feeding_type WHEN 'BOTTLE' THEN 1 ELSE 0 END) AS BIGINT) AS bottle_feed_count,
-               CAST(sum(volume_consumed_ml) AS BIGINT) AS total_volume_ml
-        FROM feed GROUP BY 1, 2""",
-    "interval_": """
-        SELECT baby_id, metric_date, CAST(round(avg(us) / 60000000) AS INTEGER) AS avg_feed_interval_minutes
-        FROM (SELECT baby_id, CAST(start_time AS DATE) AS metric_date,
-                     epoch_us(start_time)
-                       - epoch_us(lag(start_time) OVER (PARTITION BY baby_id ORDER BY start_time)) AS us
-              FROM feed)
-        WHERE us BETWEEN 60000000 AND 43200000000 GROUP BY baby_id, metric_date""",
-    "wakeday": """
-        SELECT baby_id, calendar_date AS metric_date,
-               CAST(round(avg(wake_window_minutes)) AS INTEGER) AS avg_wake_window_minutes,
-               max(wake_window_minutes) AS max_wake_window_minutes
-        FROM wake GROUP BY baby_id, calendar_date""",
-    "change": """
-        SELECT baby_id, CAST(event_time AS DATE) AS metric_date, count(*) AS diaper_count,
-               CAST(sum(CAST(has_urine AS INTEGER)) AS BIGINT) AS wet_diaper_count,
-               CAST(sum(CAST(has_stool AS INTEGER)) AS BIGINT) AS dirty_diaper_count
-        FROM diaper GROUP BY 1, 2""",
+               nullif(count(*) FILTER (WHERE what = 'awake'), 0) AS night_waking_count,
+               nullif(count(*) FILTER (WHERE what = 'nap'), 0) AS nap_count,
+               CAST(sum(amount) FILTER (WHERE what = 'nap') AS BIGINT) AS total_nap_minutes,
+               CAST(round(avg(amount) FILTER (WHERE what = 'nap')) AS INTEGER) AS avg_nap_minutes,
+               nullif(count(*) FILTER (WHERE what IN ('BREAST', 'BOTTLE', 'SOLID')), 0) AS feed_count,
+               count(*) FILTER (WHERE what = 'BREAST') AS breast_feed_count,
+               count(*) FILTER (WHERE what = 'BOTTLE') AS bottle_feed_count,
+               CAST(sum(amount) FILTER (WHERE what IN ('BREAST', 'BOTTLE', 'SOLID')) AS BIGINT) AS total_volume_ml,
+               CAST(round(avg(amount) FILTER (WHERE what = 'pause') / 60000000) AS INTEGER) AS avg_feed_interval_minutes,
+               CAST(round(avg(amount) FILTER (WHERE what = 'window')) AS INTEGER) AS avg_wake_window_minutes,
+               CAST(max(amount) FILTER (WHERE what = 'window') AS INTEGER) AS max_wake_window_minutes,
+               nullif(count(*) FILTER (WHERE what = 'diaper'), 0) AS diaper_count,
+               count(*) FILTER (WHERE what = 'diaper' AND amount IN (1, 3)) AS wet_diaper_count,
+               count(*) FILTER (WHERE what = 'diaper' AND amount IN (2, 3)) AS dirty_diaper_count
+        FROM share GROUP BY baby_id, day""",
+    "life": """
+        SELECT baby_id, min(seen) AS first_date, max(seen) AS last_date FROM share WHERE seen IS NOT NULL GROUP BY baby_id""",
+    "days": """
+        SELECT baby_id, baby_name, date_of_birth, first_date + CAST(n AS INTEGER) AS metric_date
+        FROM (SELECT *, unnest(range(0, last_date - first_date + 1)) AS n FROM life JOIN kid USING (baby_id))""",
     "daily": """
-        SELECT baby_id, baby_name, metric_date,
-               CAST(date_diff('day', date_of_birth, metric_date) AS INTEGER) AS age_days,
-               CAST(date_diff('day', date_of_birth, metric_date) // 7 AS INTEGER) AS age_weeks,
-               ifnull(night_sleep_minutes, 0) AS night_sleep_minutes, night_sleep_segments,
-               longest_night_stretch_minutes, awake_at_night_minutes, night_waking_count,
-               ifnull(nap_count, 0) AS nap_count, ifnull(total_nap_minutes, 0) AS total_nap_minutes, avg_nap_minutes,
-               ifnull(feed_count, 0) AS feed_count, ifnull(breast_feed_count, 0) AS breast_feed_count,
-               ifnull(bottle_feed_count, 0) AS bottle_feed_count, total_volume_ml, avg_feed_interval_minutes,
-               avg_wake_window_minutes, max_wake_window_minutes,
-               ifnull(diaper_count, 0) AS diaper_count, ifnull(wet_diaper_count, 0) AS wet_diaper_count,
-               ifnull(dirty_diaper_count, 0) AS dirty_diaper_count
-        FROM spine
-        LEFT JOIN night USING (baby_id, metric_date) LEFT JOIN waking USING (baby_id, metric_date)
-        LEFT JOIN nap USING (baby_id, metric_date) LEFT JOIN meal USING (baby_id, metric_date)
-        LEFT JOIN interval_ USING (baby_id, metric_date) LEFT JOIN wakeday USING (baby_id, metric_date)
-        LEFT JOIN change USING (baby_id, metric_date)""",
+        SELECT d.baby_id, d.baby_name, d.metric_date,
+               CAST(date_diff('day', d.date_of_birth, d.metric_date) AS INTEGER) AS age_days,
+               CAST(date_diff('day', d.date_of_birth, d.metric_date) // 7 AS INTEGER) AS age_weeks,
+               t.* EXCLUDE (baby_id, metric_date) REPLACE (
+                   ifnull(night_sleep_minutes, 0) AS night_sleep_minutes, ifnull(nap_count, 0) AS nap_count,
+                   ifnull(total_nap_minutes, 0) AS total_nap_minutes, ifnull(feed_count, 0) AS feed_count,
+                   ifnull(breast_feed_count, 0) AS breast_feed_count, ifnull(bottle_feed_count, 0) AS bottle_feed_count,
+                   ifnull(diaper_count, 0) AS diaper_count, ifnull(wet_diaper_count, 0) AS wet_diaper_count,
+                   ifnull(dirty_diaper_count, 0) AS dirty_diaper_count)
+        FROM days d LEFT JOIN tally t ON t.baby_id = d.baby_id AND t.metric_date = d.metric_date""",
 }
 
 _TREE = {
     "ev": (), "kid": (), "slp": ("ev",), "fed": ("ev",), "dia": ("ev",),
     "sleep": ("slp", "kid"), "feed": ("fed", "kid"), "diaper": ("dia", "kid"),
-    "session": ("sleep",), "gap": ("sleep",), "wake": ("gap",),
-    "bound": ("sleep", "feed", "diaper"), "spine": ("bound", "kid"),
-    "night": ("session",), "waking": ("session",), "nap": ("session",), "meal": ("feed",),
-    "interval_": ("feed",), "wakeday": ("wake",), "change": ("diaper",),
-    "daily": ("spine", "night", "waking", "nap", "meal", "interval_", "wakeday", "change"),
+    "rest": ("sleep",), "begun": ("sleep",), "wake": ("begun", "kid"),
+    "share": ("rest", "feed", "wake", "diaper"), "tally": ("share",), "life": ("share",), "days": ("life", "kid"),
+    "daily": ("days", "tally"),
 }
 
 
@@ -387,6 +375,7 @@ def _compare() -> dict[str, str]:
     weekly = "SELECT baby_id, baby_name, age_weeks, count(*) AS days, {means} FROM daily GROUP BY 1, 2, 3".format(
         means=", ".join(f"avg({m}) AS avg_{m}" for m in SUMMARY)
     )
+    reached = "SELECT baby_id, max(age_weeks) AS oldest FROM daily GROUP BY baby_id"
     sides = ", ".join(f"l.{m} AS left_{m}, r.{m} AS right_{m}" for m in METRICS)
 
     def aligned(age: str, values: str) -> str:
@@ -409,8 +398,9 @@ def _compare() -> dict[str, str]:
         "compare_age_weeks": aligned("age_weeks", f"SELECT baby_id, age_weeks, {means} FROM daily GROUP BY 1, 2"),
         "weekly_summary_all_ages": sql(weekly, "daily"),
         "weekly_summary": sql(
-            f"""SELECT * FROM ({weekly}) WHERE age_weeks <=
-            (SELECT min(top) FROM (SELECT max(age_weeks) AS top FROM daily GROUP BY baby_id))""",
+            f"""SELECT a.baby_id AS left_id, b.baby_id AS right_id, w.*
+            FROM ({reached}) a JOIN ({reached}) b ON b.baby_id = a.baby_id + 1
+            JOIN ({weekly}) w ON w.baby_id IN (a.baby_id, b.baby_id) AND w.age_weeks <= least(a.oldest, b.oldest)""",
             "daily",
         ),
         "subject_daily": sql("SELECT * FROM daily WHERE baby_id = 7", "daily"),
@@ -422,11 +412,11 @@ def _quality() -> dict[str, str]:
         "sleep": ("stg_sleep_sessions", "sleep_id baby_id start_time duration_minutes age_days"),
         "feed": ("stg_feeding_sessions", "feeding_id baby_id start_time feeding_type age_days"),
         "diaper": ("stg_diaper_events", "diaper_id baby_id event_time age_days"),
-        "session": ("fct_sleep_sessions", "sleep_id calendar_date is_night"),
+        "rest": ("fct_sleep_sessions", "sleep_id calendar_date is_night"),
         "wake": ("fct_wake_windows", "baby_id wake_window_minutes"),
         "daily": ("mart_daily_metrics", "baby_id baby_name metric_date age_days age_weeks"),
     }
-    keys = {"sleep": "sleep_id", "feed": "feeding_id", "diaper": "diaper_id", "session": "sleep_id"}
+    keys = {"sleep": "sleep_id", "feed": "feeding_id", "diaper": "diaper_id", "rest": "sleep_id"}
     bounds = (
         "night_sleep_minutes < 0", "night_sleep_minutes > 1080", "total_nap_minutes < 0", "total_nap_minutes > 720",
         "nap_count > 15", "feed_count > 30", "diaper_count > 25", "age_days < 0",
@@ -469,6 +459,11 @@ def _quality() -> dict[str, str]:
     }
 
 
+def _of_day(key: str, *others: str) -> str:
+    """Columns of the tally for the days that have the first of them."""
+    return sql(f"SELECT {', '.join(('baby_id', 'metric_date', key, *others))} FROM tally WHERE {key} IS NOT NULL", "tally")
+
+
 def statements() -> dict[str, str]:
     return {
         **_raw(),
@@ -477,23 +472,25 @@ def statements() -> dict[str, str]:
         "stg_sleep": whole("sleep"),
         "stg_feeding": whole("feed"),
         "stg_diaper": whole("diaper"),
-        "fct_sleep_sessions": whole("session"),
+        "fct_sleep_sessions": sql("SELECT * EXCLUDE (clock) FROM rest", "rest"),
         "fct_wake_windows": whole("wake"),
         "sleep_neighbours": sql(
-            """SELECT *, lead(start_time) OVER (PARTITION BY baby_id ORDER BY start_time) AS next_start
-            FROM (SELECT baby_id, start_time, max(end_time) AS end_time
-                  FROM slp WHERE end_time > start_time GROUP BY baby_id, start_time)""",
+            """SELECT baby_id, start_time, max(end_time) AS end_time,
+               (SELECT min(later.start_time) FROM slp later
+                WHERE later.baby_id = slp.baby_id AND later.end_time > later.start_time
+                  AND later.start_time > slp.start_time) AS next_start
+            FROM slp WHERE end_time > start_time GROUP BY ALL""",
             "slp",
         ),
-        "event_bounds": sql("SELECT baby_id, first_date, last_date FROM bound JOIN kid USING (baby_id)", "bound", "kid"),
-        "date_spine": whole("spine"),
-        "night_sleep": whole("night"),
-        "night_wakings": whole("waking"),
-        "naps": whole("nap"),
-        "feeds": whole("meal"),
-        "feed_intervals": whole("interval_"),
-        "daily_wake_windows": whole("wakeday"),
-        "nappies": whole("change"),
+        "event_bounds": whole("life"),
+        "date_spine": whole("days"),
+        "night_sleep": _of_day("night_sleep_segments", "night_sleep_minutes", "longest_night_stretch_minutes"),
+        "night_wakings": _of_day("night_waking_count", "awake_at_night_minutes"),
+        "naps": _of_day("nap_count", "total_nap_minutes", "avg_nap_minutes"),
+        "feeds": _of_day("feed_count", "breast_feed_count", "bottle_feed_count", "total_volume_ml"),
+        "feed_intervals": _of_day("avg_feed_interval_minutes"),
+        "daily_wake_windows": _of_day("avg_wake_window_minutes", "max_wake_window_minutes"),
+        "nappies": _of_day("diaper_count", "wet_diaper_count", "dirty_diaper_count"),
         "mart_daily_metrics": whole("daily"),
         "mart_from_groups": whole("daily"),
         **_compare(),

@@ -48,8 +48,21 @@ def test_compare_by_week_averages(spark, mart):
 def test_weekly_summary(spark, mart):
     ab = mart.where("baby_id <> 'c'")
     rows = {(r.baby_id, r.age_weeks): (r.days, r.avg_feed_count) for r in compare.weekly_summary(ab).collect()}
-    assert rows == {("a", 0): (4, 4.5), ("a", 1): (7, 10.0), ("b", 0): (7, 3.0), ("b", 1): (2, 7.5)}
-    assert compare.weekly_summary(ab, overlap_only=False).count() == 6
+    ages = {("a", 0): (4, 4.5), ("a", 1): (7, 10.0), ("a", 2): (7, 17.0), ("a", 3): (2, 21.5)}
+    assert rows == ages | {("b", 0): (7, 3.0), ("b", 1): (2, 7.5)}
+
+
+def test_weekly_overlap_ends_per_pair(spark, mart):
+    """A subject that is new to the table shortens no summary but its own."""
+    pairs = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "nobody")], "left_id string, right_id string")
+    rows = compare.weekly_overlap(mart, pairs).collect()
+    got = {(r.left_id, r.baby_id, r.age_weeks) for r in rows}
+    oldest = {r.baby_id: r.oldest for r in mart.groupBy("baby_id").agg(F.max("age_weeks").alias("oldest")).collect()}
+    weeks = {(r.baby_id, r.age_weeks) for r in compare.weekly_summary(mart).collect()}
+    expected = {(left, b, w) for left, right in (("a", "b"), ("b", "c")) for b, w in weeks
+                if b in (left, right) and w <= min(oldest[left], oldest[right])}
+    assert got == expected and len(rows) == len(expected)
+    assert {w for left, b, w in got if left == "a" and b == "a"} == {w for b, w in weeks if b == "a" and w <= oldest["b"]}
 
 
 def test_subject_daily(mart):

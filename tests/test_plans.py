@@ -7,6 +7,7 @@ import builders as B
 import pytest
 from pyspark.sql import functions as F
 
+from carelens.operators import compare, daily
 from carelens.operators.sleep import fct_wake_windows, sleep_neighbours
 from carelens.operators.staging import stage_sleeps
 from carelens.plans.mart import mart_daily_metrics
@@ -74,7 +75,34 @@ def test_sleep_filter_is_pushed(spark, sf_dir):
 
 def test_no_window_over_all_events_of_a_subject(stored):
     windows = re.findall(r"windowspecdefinition\(([^()]*)", plan(sleep_neighbours(stored["sleeps"])))
-    assert windows and sum("care_day" in w for w in windows) >= len(windows) - 1
+    assert windows and all("care_day" in w or "own_day" in w for w in windows)
+
+
+@pytest.mark.parametrize("query", [sleep_neighbours, lambda s: fct_wake_windows(s, B.profiles(s.sparkSession))])
+def test_wake_windows_read_sleeps_once(stored, query):
+    text = plan(query(stored["sleeps"]))
+    assert len(re.findall(r"FileScan parquet", text)) == 1
+    assert len(re.findall(r"\bExchange hashpartitioning", text)) == 3
+
+
+def test_night_and_nap_columns_take_one_shuffle(stored):
+    text = plan(daily.sleep_days(stored["sleeps"]))
+    assert len(re.findall(r"\bExchange hashpartitioning", text)) == 1 and "SortAggregate" not in text
+
+
+def test_groups_read_each_kind_for_itself_and_the_spine(stored):
+    r = stored
+    text = plan(daily.daily_from_groups(r["profiles"], r["sleeps"], r["feeds"], r["diapers"]))
+    events = [c for c in re.findall(r"ReadSchema: struct<([^>]*)>", text) if "baby_id" in c]
+    assert len(events) == 7
+
+
+def test_pairs_are_placed_once(spark, stored):
+    r = stored
+    days = mart_daily_metrics(r["profiles"], r["sleeps"], r["feeds"], r["diapers"])
+    pairs = spark.createDataFrame([("a", "b")], "left_id string, right_id string")
+    text = plan(compare.compare(days, pairs, "age_weeks"))
+    assert len(re.findall(r"Exchange hashpartitioning\(left_id", text)) == 1
 
 
 def test_hot_subject_is_split(spark, tmp_path, no_broadcast):
