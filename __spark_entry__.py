@@ -5,6 +5,7 @@ Every query reads the whole tables of one scale-factor directory.
 
 from __future__ import annotations
 
+import os
 import sys
 from collections.abc import Callable
 from datetime import datetime
@@ -46,8 +47,8 @@ COMPARED_SUBJECT = 7
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    """The daily metrics of every subject at the smallest scale."""
-    return _mart(Fixture(spark, "/root/testdata/sf0.001"))
+    """The daily metrics of every subject; ``CARELENS_SF_DIR`` names other tables than the smallest ones."""
+    return _mart(Fixture(spark, os.environ.get("CARELENS_SF_DIR", "/root/testdata/sf0.001")))
 
 
 def _on(build: Callable[[Fixture], DataFrame]) -> Query:
@@ -243,6 +244,60 @@ def _kept(counts: DataFrame) -> DataFrame:
     return counts.sparkSession.createDataFrame(counts.collect(), counts.schema)
 
 
+# Data checks on relations that the whole tables are broken into, so that each check has something to find.
+
+
+def _broken_relations(f: Fixture) -> dict[str, DataFrame]:
+    """Every checked column NULL in each 97th row or so, told by the row's own number; every 89th row twice."""
+    built = {
+        "stg_sleep_sessions": (staging.stage_sleeps(f.sleeps, f.profiles), "sleep_id"),
+        "stg_feeding_sessions": (staging.stage_feeds(f.feeds, f.profiles), "feeding_id"),
+        "stg_diaper_events": (staging.stage_diapers(f.diapers, f.profiles), "diaper_id"),
+        "fct_sleep_sessions": (sleep.fct_sleep_sessions(f.sleeps, f.profiles), "sleep_id"),
+        "fct_wake_windows": (sleep.fct_wake_windows(f.sleeps, f.profiles), "baby_id"),
+        "mart_daily_metrics": (_mart(f), "baby_id"),
+    }
+    return {name: _broken(rows, key, K.NOT_NULL_COLUMNS[name]) for name, (rows, key) in built.items()}
+
+
+def _broken(rows: DataFrame, key: str, checked: tuple[str, ...]) -> DataFrame:
+    copies = F.when(F.col(key) % 89 == 0, 2).otherwise(1)
+    doubled = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
+    spoiled = {c: F.when(F.col(key) % 97 != i, F.col(c)) for i, c in enumerate(checked, 1)}
+    return doubled.withColumns(spoiled)
+
+
+def _broken_feeds(f: Fixture) -> DataFrame:
+    kinds = F.when(F.col("feeding_id") % 83 == 0, F.lower("feeding_type")).otherwise(F.col("feeding_type"))
+    return staging.stage_feeds(f.feeds, f.profiles).withColumn("feeding_type", kinds)
+
+
+def _broken_days(f: Fixture) -> DataFrame:
+    """Subject by subject another bound is broken, and every 29th subject has each day twice."""
+    days, case = _mart(f), F.col("baby_id") % 11
+    beyond = {
+        "night_sleep_minutes": F.when(case == 0, -1).when(case == 1, 1081),
+        "total_nap_minutes": F.when(case == 2, -1).when(case == 3, 721),
+        "nap_count": F.when(case == 4, 16),
+        "feed_count": F.when(case == 5, 31),
+        "diaper_count": F.when(case == 6, 26),
+        "age_days": F.when(case == 7, -1),
+    }
+    spoiled = {c: F.coalesce(value, F.col(c)).cast(days.schema[c].dataType).alias(c) for c, value in beyond.items()}
+    copies = F.when(F.col("baby_id") % 29 == 0, 2).otherwise(1)
+    return days.withColumns(spoiled).withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
+
+
+def _named_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registry of configuration entries, one per nation, and the one of them called for."""
+    f = Fixture(spark, sf_dir)
+    entries = [
+        {"name": r.n_name, "date_of_birth": "2024-01-01", "gender": "other", "timezone": "UTC", "datetime_format": DAY_FIRST}
+        for r in f.table("nation").select("n_name").collect()
+    ]
+    return registry.profiles_from(registry.only_subject(registry.registry(spark, entries), "nAtIoN_7"), AS_OF)
+
+
 def queries() -> dict[str, Query]:
     return _care_queries() | (corpus.queries() if corpus else {})
 
@@ -260,6 +315,7 @@ def _care_queries() -> dict[str, Query]:
         "typed_convert": _on(_typed),
         "subject_uuid5": _on(_subject_ids),
         "profiles_from_registry": _on(_profiles),
+        "profile_by_name": _named_profiles,
         "ingest_diaper": _on(lambda f: ingest.ingest_diapers(_export(f, "diaper"))),
         "ingest_sleep": _on(lambda f: ingest.ingest_sleeps(_export(f, "sleep"))),
         "ingest_feeding": _on(
@@ -300,6 +356,12 @@ def _care_queries() -> dict[str, Query]:
         "dq_grain": _on(lambda f: quality.grain_report(_mart(f))),
         "dq_ranges": _on(lambda f: quality.range_report(_mart(f))),
         "dq_range_rows": _on(lambda f: quality.range_violations(_mart(f))),
+        "dq_not_null_broken": _on(lambda f: quality.not_null_report(_broken_relations(f))),
+        "dq_unique_broken": _on(lambda f: quality.unique_report(_broken_relations(f))),
+        "dq_accepted_values_broken": _on(lambda f: quality.accepted_values_report(_broken_feeds(f))),
+        "dq_grain_broken": _on(lambda f: quality.grain_report(_broken_days(f))),
+        "dq_ranges_broken": _on(lambda f: quality.range_report(_broken_days(f))),
+        "dq_range_rows_broken": _on(lambda f: quality.range_violations(_broken_days(f))),
     }
 
 

@@ -18,13 +18,18 @@ from carelens.sources.subjects import with_subject_ids
 
 
 def attach_subjects(rows: DataFrame, subjects: DataFrame) -> DataFrame:
-    """Add ``baby_id`` and ``datetime_format``; files of unregistered subjects are not read."""
+    """Add ``baby_id`` and ``datetime_format``; rows of unregistered subjects go (``left_out`` has them)."""
     registry = with_subject_ids(subjects).select(
         F.col("name").alias("subject"), "baby_id", "datetime_format"
     )
     return rows.join(registry, "subject")
 
 
+def left_out(rows: DataFrame, subjects: DataFrame) -> DataFrame:
+    """Export rows whose subject is not registered."""
+    return rows.join(subjects.select(F.col("name").alias("subject")), "subject", "left_anti")
+
+
 def _event_time() -> Column:
     return T.parse_export_time(F.col("Time"), F.col("datetime_format"))
 

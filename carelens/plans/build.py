@@ -7,16 +7,21 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelens.operators.ingest import ingest
+from carelens.operators.ingest import ingest, left_out
 from carelens.operators.sleep import fct_sleep_sessions, fct_wake_windows
 from carelens.operators.staging import stage_diapers, stage_feeds, stage_sleeps
 from carelens.plans.load import load
 from carelens.plans.mart import mart_daily_metrics
+from carelens.session import scratch_path
 from carelens.sources.exports import read_all_exports
 from carelens.sources.subjects import only_subject, profiles_from, with_subject_ids
 from carelens.sources.tables import open_tables, raw_relations
 
 
+#: Begins the report's rows for exports of subjects that are not registered.
+LEFT_OUT = "not registered:"
+
+
 def namespace(target_schema: str, target_name: str, custom: str | None = None) -> str:
     """The namespace a relation is published in.
 
@@ -37,12 +42,24 @@ def ingest_exports(
     as_of: datetime,
     only: str | None = None,
     aliases: Mapping[str, Mapping[str, str]] | None = None,
+    accept_fewer: bool = False,
 ) -> DataFrame:
-    """Read, type and load the exports of all subjects, or of the one called ``only``."""
+    """Read, type and load the exports of all subjects, or of the one called ``only``, and report the rows.
+
+    Rows of subjects that are not registered are not loaded; the report has how many there are per kind of export.
+    The files are parsed once, into the shared folder.
+    """
     chosen = subjects if only is None else only_subject(subjects, only)
-    events = ingest(read_all_exports(spark, folder, aliases), chosen)
+    name = None if only is None else chosen.first().name
+    exports, left = {}, []
+    for kind, rows in read_all_exports(spark, folder, aliases, only=name).items():
+        path = scratch_path(spark, f"export-{kind}")
+        rows.write.parquet(path)
+        exports[kind] = spark.read.schema(rows.schema).parquet(path)
+        left.append((f"{LEFT_OUT} {kind}", left_out(exports[kind], chosen).count()))
     ids = None if only is None else with_subject_ids(chosen)
-    return load(spark, base, profiles_from(chosen, as_of), events, ids)
+    report = load(spark, base, profiles_from(chosen, as_of), ingest(exports, chosen), ids, accept_fewer)
+    return report.unionByName(spark.createDataFrame([row for row in left if row[1]], report.schema))
 
 
 def relations(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -60,23 +77,53 @@ def relations(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-PUBLISHED = ("fct_sleep_sessions", "fct_wake_windows", "mart_daily_metrics")
+#: Published relations and the order of their rows, by which consumers' filters skip files and row groups. The time
+#: after the subject lets a subject with many rows spread over files.
+PUBLISHED = {
+    "fct_sleep_sessions": ("baby_id", "start_time"),
+    "fct_wake_windows": ("baby_id", "wake_start"),
+    "mart_daily_metrics": ("baby_id", "metric_date"),
+}
+
+
+def publish(rows: DataFrame, database: str, name: str, order: tuple[str, ...]) -> None:
+    """Make the rows what ``database.name`` shows.
+
+    They are written as a table of their own and a view is turned to it when that is complete, so readers always find
+    the old rows or the new ones. The version before stays until the next one, for readers still at it.
+    """
+    spark = rows.sparkSession
+    version = f"{name}__{datetime.now():%Y%m%d%H%M%S%f}"
+    written = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    written.write.format("parquet").saveAsTable(f"`{database}`.`{version}`")
+    known = [t for t in spark.catalog.listTables(f"`{database}`") if not t.isTemporary]
+    if any(t.name == name and t.tableType != "VIEW" for t in known):
+        spark.sql(f"DROP TABLE `{database}`.`{name}`")  # published by an earlier release of this package
+    spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS SELECT * FROM `{database}`.`{version}`")
+    versions = sorted(t.name for t in known if t.name.startswith(f"{name}__"))
+    for old in [v for v in versions if v != version][:-1]:
+        spark.sql(f"DROP TABLE `{database}`.`{old}`")
 
 
 def build(
-    spark: SparkSession, base: str, target_schema: str = "default", target_name: str = "local"
+    spark: SparkSession,
+    base: str,
+    target_schema: str = "default",
+    target_name: str = "local",
+    location: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Register raw and staging relations as views and write the published ones as tables.
+    """Register raw and staging relations as views and publish facts and marts; missing tables raise.
 
     The mart comes from the source tables directly: reading a written fact
-    back would cost more than the aggregates it replaces.
+    back would cost more than the aggregates it replaces. ``location`` is where a new database keeps its tables.
     """
     built = relations(raw_relations(open_tables(spark, base)))
     database = namespace(target_schema, target_name, "marts")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{at}")
     for name, rows in built.items():
         if name in PUBLISHED:
-            rows.write.mode("overwrite").format("parquet").saveAsTable(f"`{database}`.`{name}`")
+            publish(rows, database, name, PUBLISHED[name])
             built[name] = spark.table(f"`{database}`.`{name}`")
         else:
             rows.createOrReplaceTempView(name)

@@ -1,26 +1,33 @@
 """Loading typed rows into stored tables, so that running a load twice changes nothing.
 
-Tables are Parquet partitioned by the lineage tag ``source``, event tables also
-by ``bucket``, a hash of the subject. Reloading events replaces partitions of
-one tag and leaves rows of every other tag alone; reloading some subjects
-rewrites their buckets only. Profiles are upserted by id instead, because rows
-of any tag refer to them.
+Tables are Parquet partitioned by the lineage tag ``source`` and by ``bucket``, a hash of the subject (of the id in
+profiles). Reloading replaces partitions of one tag and leaves rows of every other tag alone; reloading some subjects
+or upserting some profiles rewrites their buckets only. A bucket is labelled with how many there are
+(``bucket=3-of-16``), so that number belongs to the table and is read back from it.
+
+What a replacement makes of the partitions it touches is written aside first. That evaluates the batch once and gives
+its size and buckets before the table is touched; then the replacement is noted and carried out, and a note that a
+dying job leaves behind is carried out by whoever opens or loads the table next. A load refuses a batch that would
+lose rows.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import StructType
 
 from carelens import constants as K
 from carelens import schemas
-from carelens.sources.tables import open_tables, require_tables, table_path
+from carelens.session import remove
+from carelens.sources.tables import STAGED, finish_replacing, open_tables, replace_partitions, require_tables, table_path
 
-# Fixed once tables exist. More buckets make reloads of few subjects cheaper and every write slower;
-# above 64 the buckets a job wrote would no longer fit the bits of one BIGINT.
+#: Buckets of a new table. More make reloads of few subjects cheaper and whole loads write more files.
 BUCKETS = 16
 
 
@@ -31,81 +38,77 @@ def create_tables(spark: SparkSession, base: str) -> None:
         empty.write.mode("ignore").partitionBy("source").parquet(table_path(base, table))
 
 
-def bucket_of(subject: Column) -> Column:
-    return F.pmod(F.xxhash64(subject), F.lit(BUCKETS)).cast("int")
+def bucket_label(subject: Column, buckets: int) -> Column:
+    number = F.pmod(F.xxhash64(subject), F.lit(buckets)).cast("string")
+    return F.concat(number, F.lit(f"-of-{buckets}"))
 
 
-def _placed(rows: DataFrame) -> DataFrame:
-    """Event rows with their bucket, gathered so that a bucket becomes few files.
-
-    Rebalancing lets AQE split a bucket that a hot subject makes large and
-    merge small ones. Profiles stay as they are.
-    """
-    if "baby_id" not in rows.columns:
-        return rows
-    return rows.withColumn("bucket", bucket_of(F.col("baby_id"))).hint("rebalance", F.col("bucket"))
+def _key(columns: list[str]) -> str:
+    return "baby_id" if "baby_id" in columns else "id"
 
 
-def _partitions(rows: DataFrame) -> list[str]:
-    return [name for name in ("source", "bucket") if name in rows.columns]
+def _with_bucket(like: DataFrame) -> StructType:
+    return StructType([f for f in like.schema.fields if f.name != "bucket"]).add("bucket", "string")
 
 
 def _stored(like: DataFrame, path: str) -> DataFrame:
-    """The event table at ``path`` with the columns of ``like`` and its bucket."""
-    schema = StructType([*like.schema.fields]).add("bucket", IntegerType())
-    return like.sparkSession.read.schema(schema).parquet(path)
+    """The table at ``path`` with the columns of ``like`` and its bucket."""
+    return like.sparkSession.read.schema(_with_bucket(like)).parquet(path)
 
 
-def append_rows(rows: DataFrame, path: str) -> int:
-    """Add rows to a table and return how many."""
-    seen = Observation()
-    placed = _placed(rows.observe(seen, F.count(F.lit(1)).alias("rows")))
-    placed.write.mode("append").partitionBy(*_partitions(placed)).parquet(path)
-    return seen.get["rows"]
+def bucket_count(like: DataFrame, path: str, default: int | None = None) -> int:
+    """How many buckets the table has, told by any label; only partition names are read."""
+    try:
+        label = _stored(like, path).where(F.col("bucket").isNotNull()).select("bucket").head()
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        label = None
+    return int(label.bucket.rpartition("-")[2]) if label else default or BUCKETS
 
 
-def _replace_partitions(rows: DataFrame, path: str) -> None:
-    """Replace the partitions ``rows`` names.
+class Batch:
+    """Rows written aside by tag and bucket, and how many there are in each."""
 
-    They are written aside and take the old ones' place when the job commits,
-    so a failed job leaves the table as it was, and the table may be among the
-    inputs.
-    """
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*_partitions(rows))
-        .parquet(path)
-    )
+    def __init__(self, rows: DataFrame, path: str, buckets: int) -> None:
+        """``path`` is the table they are meant for."""
+        self.spark, self.path = rows.sparkSession, f"{path}/{STAGED}/{uuid.uuid4().hex}"
+        placed = rows.withColumn("bucket", bucket_label(F.col(_key(rows.columns)), buckets))
+        # Rebalancing lets AQE split a bucket that a hot subject makes large and merge small ones.
+        placed.hint("rebalance", F.col("source"), F.col("bucket")).write.partitionBy("source", "bucket").parquet(self.path)
+        self.rows = _stored(placed, self.path).select(rows.columns)
+        counts = _stored(placed, self.path).groupBy("source", "bucket").count().collect()
+        self.counts = {(r.source, r.bucket): r["count"] for r in counts}
 
+    def size(self) -> int:
+        return sum(self.counts.values())
 
-def _clear_partition(like: DataFrame, path: str, partition: str) -> None:
-    like.drop("source", "bucket").limit(0).write.mode("overwrite").parquet(f"{path}/{partition}")
+    def drop(self) -> None:
+        remove(self.spark, self.path)
 
 
-def _replace_buckets(rows: DataFrame, path: str, tag: str, buckets: set[int]) -> int:
-    """Make ``rows`` the whole content of the given buckets of one tag; return how many rows that is."""
-    seen = Observation()
-    placed = _placed(rows.withColumn("source", F.lit(tag)))
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bucket"))
-    placed = placed.observe(seen, F.count(F.lit(1)).alias("rows"), F.bit_or(bit).alias("buckets"))
-    _replace_partitions(placed, path)
-    written = seen.get["buckets"] or 0
-    for bucket in sorted(buckets):
-        if not written >> bucket & 1:
-            # Without rows a bucket names no partition, so the old one is still there.
-            _clear_partition(placed, path, f"source={tag}/bucket={bucket}")
-    return seen.get["rows"]
+def append_rows(rows: DataFrame, path: str, buckets: int | None = None) -> int:
+    """Add rows to a table and return how many. ``buckets`` counts for a table without rows."""
+    batch = Batch(rows, path, bucket_count(rows, path, buckets))
+    stored = batch.spark.read.schema(_with_bucket(rows)).parquet(batch.path)
+    stored.write.mode("append").partitionBy("source", "bucket").parquet(path)
+    batch.drop()
+    return batch.size()
 
 
-def _buckets(rows: DataFrame) -> set[int]:
-    return {row.bucket for row in rows.select("bucket").distinct().collect()}
+def _partitions(rows: DataFrame) -> set[tuple[str, str]]:
+    """Tags and buckets in use: as many as there are partitions, whatever the table's size."""
+    return {(r.source, r.bucket) for r in rows.select("source", "bucket").distinct().collect()}
 
 
 def tagged_replace(rows: DataFrame, path: str, tag: str = K.INGESTED) -> int:
     """Replace exactly the rows tagged ``tag`` and return how many were written."""
-    tagged = rows.withColumn("source", F.lit(tag))
-    return _replace_buckets(rows, path, tag, _buckets(_stored(tagged, path).where(F.col("source") == tag)))
+    spark, tagged = rows.sparkSession, rows.withColumn("source", F.lit(tag))
+    finish_replacing(spark, path)
+    batch = Batch(tagged, path, bucket_count(tagged, path))
+    held = _partitions(_stored(tagged, path).where(F.col("source") == tag))
+    replace_partitions(spark, path, batch.path, held - set(batch.counts))
+    return batch.size()
 
 
 def subject_replace(rows: DataFrame, subjects: DataFrame, path: str, tag: str = K.INGESTED) -> int:
@@ -114,20 +117,19 @@ def subject_replace(rows: DataFrame, subjects: DataFrame, path: str, tag: str =
     Returns how many rows were loaded. Only the subjects' buckets are read and
     rewritten; rows of other subjects in them are carried over.
     """
+    spark, tagged = rows.sparkSession, rows.withColumn("source", F.lit(tag))
+    finish_replacing(spark, path)
+    buckets = bucket_count(tagged, path)
     subjects = subjects.select("baby_id").distinct()
-    touched = _buckets(subjects.withColumn("bucket", bucket_of(F.col("baby_id"))))
-    tagged = rows.withColumn("source", F.lit(tag))
-    kept = (
-        _stored(tagged, path)
-        .where((F.col("source") == tag) & F.col("bucket").isin(*touched))
-        .drop("bucket")
-        .join(subjects, "baby_id", "left_anti")
-    )
-    loaded = Observation()
+    touched = [r[0] for r in subjects.select(bucket_label(F.col("baby_id"), buckets)).distinct().collect()]
+    old = _stored(tagged, path).where((F.col("source") == tag) & F.col("bucket").isin(*touched))
+    kept = old.join(subjects, "baby_id", "left_anti").select(tagged.columns)
     # A row of any other subject would replace a bucket nobody asked to replace.
-    named = tagged.join(subjects, "baby_id", "left_semi").observe(loaded, F.count(F.lit(1)).alias("rows"))
-    _replace_buckets(kept.unionByName(named), path, tag, touched)
-    return loaded.get["rows"]
+    named = tagged.join(subjects, "baby_id", "left_semi").select(tagged.columns)
+    batch = Batch(kept.unionByName(named), path, buckets)
+    loaded = batch.rows.join(subjects, "baby_id", "left_semi").count()
+    replace_partitions(spark, path, batch.path, _partitions(old) - set(batch.counts))
+    return loaded
 
 
 def assert_unique(rows: DataFrame, key: str) -> None:
@@ -139,29 +141,27 @@ def assert_unique(rows: DataFrame, key: str) -> None:
 
 def upserted(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Rows of the batch, plus target rows the batch does not name."""
-    return target.join(batch.select(key), key, "left_anti").unionByName(batch)
-
+    return target.join(batch.select(key), key, "left_anti").select(batch.columns).unionByName(batch)
 
-def upsert(batch: DataFrame, path: str, key: str = "id") -> int:
-    """Upsert the batch into the table at ``path`` and return the batch's size."""
-    assert_unique(batch, key)
-    target = batch.sparkSession.read.schema(batch.schema).parquet(path)
-    loaded, left = Observation(), Observation()
-    rows = upserted(target, batch.observe(loaded, F.count(F.lit(1)).alias("rows")), key)
-    tags = _tags(target)
-    if tags:
-        rows = rows.observe(left, *(F.count_if(F.col("source") == tag).alias(tag) for tag in sorted(tags)))
-    _replace_partitions(rows, path)
-    for tag in tags:
-        if left.get[tag] == 0:
-            # All rows of this tag moved to another one, so it named no new partition.
-            _clear_partition(batch, path, f"source={tag}")
-    return loaded.get["rows"]
 
+def upsert(rows: DataFrame, path: str, key: str = "id") -> int:
+    """Upsert the rows into the table at ``path`` and return how many they are.
 
-def _tags(rows: DataFrame) -> set[str]:
-    """The lineage tags in use: a handful of constants, whatever the table's size."""
-    return {row[0] for row in rows.select("source").distinct().collect()}
+    Only the buckets that the rows' keys fall into are read and rewritten, in all tags, since a key may move.
+    """
+    spark = rows.sparkSession
+    finish_replacing(spark, path)
+    buckets = bucket_count(rows, path)
+    batch = Batch(rows, path, buckets)
+    try:
+        assert_unique(batch.rows, key)
+        touched = sorted({bucket for _, bucket in batch.counts})
+        old = _stored(rows, path).where(F.col("bucket").isin(*touched))
+        result = Batch(upserted(old.select(rows.columns), batch.rows, key), path, buckets)
+    finally:
+        batch.drop()
+    replace_partitions(spark, path, result.path, _partitions(old) - set(result.counts))
+    return batch.size()
 
 
 def count_by_source(tables: dict[str, DataFrame]) -> DataFrame:
@@ -185,7 +185,11 @@ def with_total(report: DataFrame) -> DataFrame:
 
 
 def reload_report(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Counts before and after a load, per table and tag; tags other than the loaded one must not move."""
+    """Counts before and after a load, per table and tag.
+
+    Unexpected: rows of another tag than the loaded one moved, or rows of the loaded tag became fewer. A profile
+    may change its tag, so of profiles only the total must not fall.
+    """
     before = before.withColumnRenamed("rows", "rows_before")
     after = after.withColumnRenamed("rows", "rows_after")
     rows = before.unionByName(after, allowMissingColumns=True)
@@ -193,8 +197,29 @@ def reload_report(before: DataFrame, after: DataFrame) -> DataFrame:
         F.coalesce(F.max("rows_before"), F.lit(0)).alias("rows_before"),
         F.coalesce(F.max("rows_after"), F.lit(0)).alias("rows_after"),
     )
-    moved = (F.col("source") != K.INGESTED) & (F.col("rows_before") != F.col("rows_after"))
-    return counts.withColumn("unexpected_change", moved & (F.col("table_name") != "baby_profiles"))
+    table = W.partitionBy("table_name")  # a row per tag
+    fewer = F.sum("rows_after").over(table) < F.sum("rows_before").over(table)
+    lost = F.col("rows_after") < F.col("rows_before")
+    moved = F.when(F.col("source") == K.INGESTED, lost).otherwise(F.col("rows_before") != F.col("rows_after"))
+    return counts.withColumn("unexpected_change", F.when(F.col("table_name") == "baby_profiles", fewer).otherwise(moved))
+
+
+class RowsLost(ValueError):
+    """A reload that would leave fewer ingested rows than there are."""
+
+
+def _check_sizes(tables: dict[str, DataFrame], events: dict[str, DataFrame], only: DataFrame | None) -> None:
+    """Fail, before anything is written, with the tables whose ingested rows would become fewer."""
+    fewer = []
+    for table in schemas.EVENT_TABLES:
+        held, new = tables[table].where(F.col("source") == K.INGESTED), events[table]
+        if only is not None:
+            held, new = (rows.join(only.select("baby_id").distinct(), "baby_id", "left_semi") for rows in (held, new))
+        before, after = held.count(), new.count()
+        if after < before:
+            fewer.append(f"{table} from {before} to {after}")
+    if fewer:
+        raise RowsLost(f"ingested rows would become fewer: {', '.join(fewer)}; pass accept_fewer if that is right")
 
 
 def load(
@@ -203,13 +228,17 @@ def load(
     profiles: DataFrame,
     events: dict[str, DataFrame],
     only: DataFrame | None = None,
+    accept_fewer: bool = False,
 ) -> DataFrame:
     """Load one batch and report the rows written per table.
 
     With ``only`` (a frame with ``baby_id``) the batch speaks for those
-    subjects alone and the ingested rows of all others stay.
+    subjects alone and the ingested rows of all others stay. A batch that would leave fewer ingested rows of an event
+    table than there are is refused unless ``accept_fewer``.
     """
     require_tables(spark, base, schemas.LOADED_TABLES)
+    if not accept_fewer:
+        _check_sizes(open_tables(spark, base), events, only)
     written = [("baby_profiles", upsert(profiles, table_path(base, "baby_profiles")))]
     for table in schemas.EVENT_TABLES:
         path = table_path(base, table)

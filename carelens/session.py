@@ -46,3 +46,26 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def _in_store(spark: SparkSession, path: str):
+    """The path and the store it lies in."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path, if it is there."""
+    store, target = _in_store(spark, path)
+    store.delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, target = _in_store(spark, path)
+    return store.exists(target)
+
+
+def any_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path matches the glob pattern."""
+    store, target = _in_store(spark, pattern)
+    return bool(store.globStatus(target))

@@ -1,14 +1,13 @@
 """Export files: one per subject and kind, called ``<subject>_<kind>.csv``.
 
-A file may also be a directory of that name, as Spark writes it. The folder is
-listed as a whole and files are told apart by their path, which Spark applies
-to the listing before anything is opened. So the number of reads depends on
-the number of kinds, not on how many subjects there are.
+A file may also be a directory of that name, as Spark writes it. What belongs to a file rather than to a line (kind,
+subject, header, whether quoted fields span lines) is found once and kept as a small relation, a row per file. All
+files of a kind are then parsed by position in one splittable read, whatever their headers, and joined with their
+file's row, which says where each column stands. Only files with fields that span lines are read whole.
 """
 
 from __future__ import annotations
 
-import csv
 import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
@@ -20,6 +19,7 @@ from pyspark.sql.types import StringType, StructType
 
 from carelens import constants as K
 from carelens.functions.ids import uuid5
+from carelens.session import scratch_path
 
 # Kind -> {file name -> subject}, for files that lack the subject in their name.
 Aliases = Mapping[str, Mapping[str, str]]
@@ -34,29 +34,34 @@ def _texts(*names: str) -> StructType:
     return reduce(lambda schema, name: schema.add(name, StringType()), names, StructType())
 
 
+def _decoded(path: Column) -> Column:
+    # The metadata column holds a URL; a plus sign in it is a literal plus.
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 class ExportFolder:
     """Which subject a file belongs to, as expressions over the file's path."""
 
-    def __init__(self, folder: str, aliases: Aliases | None):
-        self.folder = folder.rstrip("/")
+    def __init__(self, folder: str, aliases: Aliases | None = None, only: str | None = None):
+        self.folder, self.only = folder.rstrip("/"), only
         self.aliases = {kind: dict(names) for kind, names in (aliases or {}).items()}
         bare = re.sub(r"^[a-z0-9+.-]+:/+", "/", self.folder).removeprefix("./")
         # Only the folder itself counts, not folders below it.
         self.prefix = rf"\Q{'/' + bare.lstrip('/')}\E/"
 
-    @staticmethod
-    def path() -> Column:
-        # The metadata column holds a URL; a plus sign in it is a literal plus.
-        return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-
     def may_be(self, kind: str) -> Column:
-        """A cheap test that leaves out almost all files of other kinds, at best before they are listed."""
-        regular = F.contains(F.col("_metadata.file_path"), F.lit(f"_{kind}.csv"))
+        """A test of the path alone, so files are left out when they are listed; false ones may pass."""
+        raw = F.col("_metadata.file_path")
+        regular = F.contains(raw, F.lit(f"_{kind}.csv"))
         names = self.aliases.get(kind, {})
-        return reduce(lambda found, name: found | F.endswith(self.path(), F.lit(f"/{name}")), names, regular)
+        if self.only is not None:
+            wanted = self.only.lower()
+            regular &= F.contains(F.lower(_decoded(raw)), F.lit(f"{wanted}_{kind}.csv"))
+            names = {name: owner for name, owner in names.items() if owner.lower() == wanted}
+        return reduce(lambda found, name: found | F.endswith(_decoded(raw), F.lit(f"/{name}")), names, regular)
 
     def subject(self, kind: str, path: Column) -> Column:
-        """The subject of a decoded path; empty for files of other kinds.
+        """The subject of a decoded path; empty for files of other kinds and subjects.
 
         An aliased file belongs to the subject given for it, and that subject's
         regularly named file is left alone.
@@ -65,14 +70,14 @@ class ExportFolder:
         name = F.regexp_extract(path, rf"{self.prefix}([^/]+)_{kind}\.csv(?:/[^/]+)?$", 1)
         # A partitioned write labels the directory (file=<subject>_<kind>.csv) and escapes the value.
         label = F.regexp_extract(name, r"^[^=]+=(.*)$", 1)
-        subject = F.when(
-            F.contains(name, F.lit("=")), F.url_decode(F.replace(label, F.lit("+"), F.lit("%2B")))
-        ).otherwise(name)
+        subject = F.when(F.contains(name, F.lit("=")), _decoded(label)).otherwise(name)
         if names:
             subject = F.when(subject.isin(*names.values()), "").otherwise(subject)
         for file_name, owner in names.items():
             aliased = F.rlike(path, F.lit(rf"{self.prefix}\Q{file_name}\E$"))
             subject = F.when(aliased, F.lit(owner)).otherwise(subject)
+        if self.only is not None:
+            subject = F.when(F.lower(subject) == self.only.lower(), subject).otherwise("")
         return subject
 
 
@@ -80,77 +85,101 @@ def _reader(spark: SparkSession):
     return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
 
 
-def layouts(spark: SparkSession, source: ExportFolder, kinds: Iterable[str]) -> DataFrame | None:
-    """Per file: kind, path, header line, and whether a quoted field may span lines.
-
-    One pass over splittable text for all kinds together. Knowing which files
-    have multi-line fields keeps all others splittable when they are parsed.
-    None if the folder does not exist.
-    """
+def lines_of(spark: SparkSession, source: ExportFolder, kinds: tuple[str, ...]) -> DataFrame:
+    """Lines of all files that may be exports, numbered in the order they stand in their file."""
     try:
         lines = _reader(spark).text(source.folder)
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
-            return None
+            raise FileNotFoundError(f"no export folder {source.folder}") from problem
         raise
-    kinds = list(kinds)
-    path = F.col("path")
-    kind = F.coalesce(*(F.when(source.subject(kind, path) != "", F.lit(kind)) for kind in kinds))
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    files = (
-        lines.where(reduce(lambda a, b: a | b, (source.may_be(kind) for kind in kinds)))
-        .select("value", source.path().alias("path"), "_metadata.file_block_start")
-        .groupBy("path")
-        .agg(
-            F.first(F.when(F.col("file_block_start") == 0, F.col("value")), ignorenulls=True).alias("header"),
-            F.max(quotes % 2 == 1).alias("multiline"),
-        )
-        # Once per file, not per line.
-        .withColumn("kind", kind)
-        .where(F.col("kind").isNotNull())
+    lines = lines.where(reduce(lambda a, b: a | b, (source.may_be(kind) for kind in kinds)))
+    return lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        (F.col("_metadata.file_block_start") == 0).alias("opens"),
+        F.monotonically_increasing_id().alias("line"),
     )
-    return files.withColumn("header", F.replace("header", F.lit("\ufeff"), F.lit("")))
 
 
-def _literal(path: str) -> str:
-    """A path in which nothing is a glob."""
-    return re.sub(r"([\\*?\[\]{}^])", r"\\\1", path)
+def files_of(spark: SparkSession, source: ExportFolder, kinds: Iterable[str]) -> DataFrame:
+    """Per file: raw path, kind, subject, header, its column names, and whether a quoted field may span lines.
+
+    Kind and subject are told from the path once per file.
+    """
+    kinds = tuple(kinds)
+    found = _kept(layouts(lines_of(spark, source, kinds)), "export-headers")
+    path = _decoded(F.col("file"))
+    told = [F.when(source.subject(kind, path) != "", F.struct(F.lit(kind).alias("kind"), source.subject(kind, path).alias("subject"))) for kind in kinds]
+    names = F.transform(F.split("header", ',(?=(?:[^"]*"[^"]*")*[^"]*$)'), _unquoted)
+    files = found.withColumn("of", F.coalesce(*told)).where(F.col("of").isNotNull())
+    return _kept(files.select("file", "of.*", "multiline", "header", names.alias("names")), "export-files")
 
 
-def _parse(
-    spark: SparkSession, source: ExportFolder, kind: str, header: str, multiline: bool, paths: list[str] | None
-) -> DataFrame:
-    """The files of one kind and layout, or just those named."""
-    names = next(csv.reader([header]))
-    missing = [name for name in K.REQUIRED_COLUMNS[kind] if name not in names]
-    if missing:
-        raise ValueError(f"{kind} export lacks {', '.join(missing)}; its header is {header!r}")
-    # Of repeated headers the first one counts; the others only hold their place.
-    seen = [name.lower() for name in names]
-    slots = [name if name and name.lower() not in seen[:i] else f"#{i}" for i, name in enumerate(names)]
-    reader = (
-        _reader(spark)
-        .schema(_texts(*slots))
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-    )
-    rows = reader.csv(source.folder).where(source.may_be(kind)) if paths is None else reader.csv(paths)
-    text = (
-        F.col(f"`{name}`").alias(name)
-        if name in names
-        else F.lit(None).cast("string").alias(name)
-        for name in K.EXPORT_COLUMNS[kind]
-    )
-    # Unique per row of the read, and the same again if a task is retried.
-    placed = rows.select(
-        source.path().alias("path"), F.monotonically_increasing_id().alias("position"), *text
+def layouts(lines: DataFrame) -> DataFrame:
+    """Per file: its header and whether a quoted field may span lines.
+
+    One pass over splittable text that keeps numbers only, so nothing is sorted; the headers' text is fetched from the
+    first blocks afterwards.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    filled = F.col("opens") & (F.length(F.trim("value")) > 0)
+    seen = lines.groupBy("file").agg(
+        F.min(F.when(filled, F.col("line"))).alias("line"), F.max(quotes % 2 == 1).alias("multiline")
     )
-    return placed.select(
-        source.subject(kind, F.col("path")).alias("subject"),
-        uuid5(K.SUBJECT_NAMESPACE, F.concat_ws("|", "path", "position")).alias("row_id"),
-        *(F.col(f"`{name}`") for name in K.EXPORT_COLUMNS[kind]),
-    ).where(F.col("subject") != "")
+    heads = lines.where(filled).select("line", F.replace("value", F.lit("\ufeff"), F.lit("")).alias("header"))
+    return seen.join(heads, "line").select("file", "multiline", "header")
+
+
+def _kept(rows: DataFrame, label: str) -> DataFrame:
+    """A relation of one row per file, written down, so that lines are not read again for it."""
+    path = scratch_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _unquoted(name: Column) -> Column:
+    bare = F.regexp_replace(F.trim(name), '^"|"$', "")
+    return F.when(F.startswith(F.trim(name), F.lit('"')), F.replace(bare, F.lit('""'), F.lit('"'))).otherwise(name)
+
+
+def _check_headers(files: DataFrame, kinds: tuple[str, ...]) -> None:
+    """Fail with the header of a file that lacks a column its kind cannot do without."""
+    for kind in kinds:
+        required = F.array(*(F.lit(name) for name in K.REQUIRED_COLUMNS[kind]))
+        bad = files.where((F.col("kind") == kind) & (F.size(F.array_except(required, "names")) > 0)).head()
+        if bad:
+            missing = [name for name in K.REQUIRED_COLUMNS[kind] if name not in bad.names]
+            raise ValueError(f"{kind} export lacks {', '.join(missing)}; its header is {bad.header!r}")
+
+
+def _parse(spark: SparkSession, source: ExportFolder, kind: str, files: DataFrame, width: int, multiline: bool) -> DataFrame:
+    """Rows of the kind's files with or without fields that span lines: subject and the columns in use."""
+    slots = [f"#{i}" for i in range(width)]
+    reader = _reader(spark).schema(_texts(*slots)).option("header", True).option("escape", '"')
+    rows = reader.option("multiLine", multiline).csv(source.folder).where(source.may_be(kind))
+    fields = F.array(*(F.col(f"`{slot}`") for slot in slots))
+    rows = rows.select(F.col("_metadata.file_path").alias("file"), fields.alias("fields"))
+    # Of repeated names the first one counts. A column the file lacks stands nowhere.
+    columns = K.EXPORT_COLUMNS[kind]
+    places = (F.nullif(F.array_position("names", F.lit(name)), F.lit(0)).alias(f"at {i}") for i, name in enumerate(columns))
+    own = files.where((F.col("kind") == kind) & (F.col("multiline") == multiline)).select("file", "subject", *places)
+    picked = (F.get("fields", F.col(f"`at {i}`").cast("int") - 1).alias(name) for i, name in enumerate(columns))
+    return rows.join(own, "file").select("subject", *picked)
+
+
+def _identified(rows: DataFrame, kind: str) -> DataFrame:
+    """Rows with an id from what they say and a number among equal ones.
+
+    It depends on no file name, split or order. Equal rows are counted before they are moved, and spread out again.
+    """
+    columns = K.EXPORT_COLUMNS[kind]
+    names = [f"`{name}`" for name in ("subject", *columns)]
+    counted = rows.groupBy(*names).agg(F.count("*").alias("copies"))
+    numbered = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    said = (F.coalesce(F.col(name), F.lit("\x00")) for name in names)
+    key = F.concat_ws("\x1f", F.lit(kind), *said, F.col("copy").cast("string"))
+    return numbered.select("subject", uuid5(K.SUBJECT_NAMESPACE, key).alias("row_id"), *names[1:])
 
 
 def read_all_exports(
@@ -158,33 +187,26 @@ def read_all_exports(
     folder: str,
     aliases: Aliases | None = None,
     kinds: Iterable[str] = K.EXPORT_KINDS,
+    only: str | None = None,
 ) -> dict[str, DataFrame]:
-    """All rows of each kind as text, with their subject and a row id.
+    """All rows of each kind as text, with their subject and a row id; with ``only``, those of one subject.
 
     Columns are taken by name, so files may order them differently or carry
     more; an absent optional column is NULL, an absent required one raises.
-    A kind without files has no rows.
+    A kind without files has no rows; a folder that does not exist raises.
     """
-    source = ExportFolder(folder, aliases)
+    source = ExportFolder(folder, aliases, only)
     kinds = tuple(kinds)
-    result = {kind: spark.createDataFrame([], export_schema(kind)) for kind in kinds}
-    files = layouts(spark, source, kinds)
-    if files is None:
-        return result
-    found: dict[str, list] = {}
-    for row in files.select("kind", "header", "multiline").distinct().collect():
-        found.setdefault(row.kind, []).append((row.header, row.multiline))
-    # Files are named one by one only where a kind has several layouts.
-    mixed = [kind for kind, variants in found.items() if len(variants) > 1]
-    named: dict[tuple, list[str]] = {}
-    if mixed:
-        for row in files.where(F.col("kind").isin(*mixed)).collect():
-            named.setdefault((row.kind, row.header, row.multiline), []).append(_literal(row.path))
-    for kind, variants in found.items():
-        for header, multiline in variants:
-            paths = named.get((kind, header, multiline))
-            part = _parse(spark, source, kind, header, multiline, paths)
-            result[kind] = result[kind].unionByName(part)
+    files = files_of(spark, source, kinds)
+    _check_headers(files, kinds)
+    found = files.groupBy("kind", "multiline").agg(F.max(F.size("names")).alias("width")).collect()
+    result = {}
+    for kind in kinds:
+        parts = [_parse(spark, source, kind, files, row.width, row.multiline) for row in found if row.kind == kind]
+        if parts:
+            result[kind] = _identified(reduce(DataFrame.unionByName, parts), kind)
+        else:
+            result[kind] = spark.createDataFrame([], export_schema(kind))
     return result
 
 

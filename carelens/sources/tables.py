@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructType, TimestampNTZType
 from carelens import schemas
 from carelens.functions.text import typed_projection
 from carelens.functions.time import format_timestamp
+from carelens.session import any_exists, exists, remove
 
 
 def table_path(base: str, table: str) -> str:
@@ -19,21 +20,52 @@ def table_path(base: str, table: str) -> str:
 def open_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     """All six relations below ``base``, stored form (with the lineage tag).
 
-    ``base`` is the only thing that differs between environments. A relation
-    nothing was written to yet is empty.
+    ``base`` is the only thing that differs between environments. Tables that are missing raise: a wrong base must not
+    look like one without rows.
     """
+    require_tables(spark, base, tuple(schemas.TABLES))
     opened = {}
     for table, schema in schemas.TABLES.items():
-        stored = schemas.with_source(schema)
-        path = table_path(base, table)
-        opened[table] = (
-            spark.read.schema(stored).parquet(path).select(*stored.fieldNames())
-            if table_exists(spark, base, table)
-            else spark.createDataFrame([], stored)
-        )
+        stored, path = schemas.with_source(schema), table_path(base, table)
+        finish_replacing(spark, path)
+        opened[table] = spark.read.schema(stored).parquet(path).select(*stored.fieldNames())
     return opened
 
 
+#: Below a table, hidden from readers by the first character: what replacements are under way.
+NOTED, STAGED = "_replacing", "_staged"
+
+
+def replace_partitions(spark: SparkSession, path: str, staged: str, emptied: set[tuple[str, str]]) -> None:
+    """Make the staged rows the content of their partitions, and leave none in those emptied.
+
+    What is to be done is noted first, and can be done again from the note, so a table that a dying job left half way
+    becomes whole when it is next opened or loaded. New partitions take the old ones' place when the write
+    commits; the rows may come from the table itself.
+    """
+    rows = [(staged, None, None), *((staged, source, bucket) for source, bucket in sorted(emptied))]
+    note = spark.createDataFrame(rows, "staged string, source string, bucket string")
+    note.coalesce(1).write.parquet(f"{path}/{NOTED}")
+    finish_replacing(spark, path)
+
+
+def finish_replacing(spark: SparkSession, path: str) -> None:
+    """Carry out the replacement that is noted, if one is."""
+    if not exists(spark, f"{path}/{NOTED}/_SUCCESS"):
+        remove(spark, f"{path}/{NOTED}")
+        return
+    note = spark.read.schema("staged string, source string, bucket string").parquet(f"{path}/{NOTED}").collect()
+    for row in note:
+        if row.source is not None:
+            remove(spark, f"{path}/source={row.source}/bucket={row.bucket}")
+        elif any_exists(spark, f"{row.staged}/source=*"):  # not without rows, nor when it is done already
+            writer = spark.read.parquet(row.staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy("source", "bucket").parquet(path)
+    remove(spark, f"{path}/{NOTED}")
+    for staged in {row.staged for row in note}:
+        remove(spark, staged)
+
+
 def table_exists(spark: SparkSession, base: str, table: str) -> bool:
     try:
         spark.read.schema(schemas.with_source(schemas.TABLES[table])).parquet(table_path(base, table))

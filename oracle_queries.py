@@ -327,6 +327,12 @@ def _ingest() -> dict[str, str]:
             {_nulls('birth_weight DOUBLE', 'birth_length DOUBLE', 'birth_head_circumference DOUBLE')} FROM kid""",
             "kid",
         ),
+        "profile_by_name": f"""SELECT {uuid5("n_name")} AS id, n_name AS name, DATE '2024-01-01' AS date_of_birth,
+            'other' AS gender, 'UTC' AS timezone, 'Migrated from seed data' AS notes,
+            TIMESTAMP '2024-01-01' AS created_at, TIMESTAMP '2024-02-01' AS updated_at, true AS is_active,
+            'ingested' AS source,
+            {_nulls('birth_weight DOUBLE', 'birth_length DOUBLE', 'birth_head_circumference DOUBLE')}
+            FROM nation WHERE n_name = 'NATION_7'""",
         "ingest_diaper": on_ingested(diaper_sql),
         "ingest_sleep": on_ingested(sleep),
         "ingest_feeding": on_ingested(feed),
@@ -421,7 +427,50 @@ def _quality() -> dict[str, str]:
         "night_sleep_minutes < 0", "night_sleep_minutes > 1080", "total_nap_minutes < 0", "total_nap_minutes > 720",
         "nap_count > 15", "feed_count > 30", "diaper_count > 25", "age_days < 0",
     )
+    twice = "CASE WHEN {key} % 89 = 0 THEN 2 ELSE 1 END"
+    beyond = {
+        "night_sleep_minutes": "WHEN 0 THEN -1 WHEN 1 THEN 1081", "total_nap_minutes": "WHEN 2 THEN -1 WHEN 3 THEN 721",
+        "nap_count": "WHEN 4 THEN 16", "feed_count": "WHEN 5 THEN 31", "diaper_count": "WHEN 6 THEN 26",
+        "age_days": "WHEN 7 THEN -1",
+    }
+    odd = "(SELECT d.* REPLACE ({cases}) FROM daily d JOIN (VALUES (1), (2)) c(copy) ON copy = 1 OR baby_id % 29 = 0)".format(
+        cases=", ".join(f"CASE baby_id % 11 {case} ELSE {c} END AS {c}" for c, case in beyond.items())
+    )
+    row_of = keys | {"wake": "baby_id", "daily": "baby_id"}
     return {
+        "dq_not_null_broken": sql(
+            " UNION ALL ".join(
+                f"""SELECT '{name}' AS relation, '{c}' AS column_name,
+                CAST(ifnull(sum({twice.format(key=row_of[part])}) FILTER (WHERE {row_of[part]} % 97 = {i} OR {c} IS NULL), 0)
+                     AS BIGINT) AS violations FROM {part}"""
+                for part, (name, columns) in needed.items()
+                for i, c in enumerate(columns.split(), 1)
+            ),
+            *needed,
+        ),
+        "dq_unique_broken": sql(
+            " UNION ALL ".join(
+                f"""SELECT '{needed[part][0]}' AS relation, '{c}' AS column_name,
+                count(*) FILTER (WHERE {c} % 89 = 0 AND {c} % 97 <> 1) AS violations FROM {part}"""
+                for part, c in keys.items()
+            ),
+            *keys,
+        ),
+        "dq_accepted_values_broken": sql(
+            """SELECT 'stg_feeding_sessions' AS relation, 'feeding_type' AS column_name,
+               count(*) FILTER (WHERE feeding_id % 83 = 0) AS violations FROM feed""",
+            "feed",
+        ),
+        "dq_grain_broken": sql(
+            """SELECT count(*) AS baby_days, CAST(sum(CASE WHEN baby_id % 29 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS daily_rows,
+               count(*) FILTER (WHERE baby_id % 29 = 0) AS violations FROM daily""",
+            "daily",
+        ),
+        "dq_ranges_broken": sql(
+            " UNION ALL ".join(f"SELECT '{b}' AS check_name, count(*) AS violations FROM {odd} WHERE {b}" for b in bounds),
+            "daily",
+        ),
+        "dq_range_rows_broken": sql(f"SELECT * FROM {odd} WHERE {' OR '.join(bounds)}", "daily"),
         "dq_not_null": sql(
             " UNION ALL ".join(
                 f"SELECT '{name}' AS relation, '{c}' AS column_name, count(*) - count({c}) AS violations FROM {part}"

@@ -9,8 +9,8 @@ from carelens.functions import ids
 from carelens.functions import text as X
 from carelens.functions import time as T
 from carelens.operators import ingest
-from carelens.sources import subjects
-from carelens.sources.exports import export_schema, read_all_exports, read_exports
+from carelens.sources import exports, subjects
+from carelens.sources.exports import ExportFolder, export_schema, read_all_exports, read_exports
 
 DAY_FIRST = "%d/%m/%y %I:%M %p"
 
@@ -50,8 +50,8 @@ def test_malformed_time_raises(spark):
 
 
 def test_numbers(spark):
-    texts = ["2,218", " 7 ", "", "  ", None, "-3", "1,234,567"]
-    assert values(spark, X.parse_int(F.col("t")), texts) == [2218, 7, None, None, None, -3, 1234567]
+    texts = ["1,357", " 7 ", "", "  ", None, "-3", "1,234,567"]
+    assert values(spark, X.parse_int(F.col("t")), texts) == [1357, 7, None, None, None, -3, 1234567]
     assert values(spark, X.parse_float(F.col("t")), ["1,000.5", "", None]) == [1000.5, None, None]
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         values(spark, X.parse_int(F.col("t")), ["7.5"])
@@ -102,7 +102,7 @@ def test_feeds(spark):
         {**at, "Start side": "Left", "Left duration (min)": "4", "Right Duration (min)": "", "Total (min)": "4"},
         {**at, "Start side": "left", "Total (min)": ""},
     )
-    pump = rows_of(spark, "pump", {**at, "Start side": "Right", "Total duration (min)": "20", "Total amount (ml)": "2,218", "Right Duration (min)": "20"})
+    pump = rows_of(spark, "pump", {**at, "Start side": "Right", "Total duration (min)": "20", "Total amount (ml)": "1,357", "Right Duration (min)": "20"})
     expressed = rows_of(spark, "expressed", {**at, "Amount (ml)": "90"}, {**at, "Amount (ml)": None})
     rows = ingest.ingest_feeds(nursing, pump, expressed).collect()
     got = sorted(
@@ -113,7 +113,7 @@ def test_feeds(spark):
     assert got == [
         ("BOTTLE", "None", 0, 0, 0, 0, True),
         ("BOTTLE", "None", 0, 0, 90, 0, True),
-        ("BOTTLE", "RIGHT", 0, 20, 2218, 20, True),
+        ("BOTTLE", "RIGHT", 0, 20, 1357, 20, True),
         ("BREAST", "LEFT", 4, 0, 0, 4, True),
         ("BREAST", "None", 0, 0, 0, 0, True),
     ]
@@ -124,14 +124,14 @@ def write(folder, name, text):
 
 
 def test_export_files(spark, tmp_path):
-    write(tmp_path, "A b#1_sleep.csv", 'Baby,Time,Duration (min),Note\r\nx,1/2/24 7:05 am,"2,218",hi\r\n\r\nx,,,\r\n')
+    write(tmp_path, "A b#1_sleep.csv", 'Baby,Time,Duration (min),Note\r\nx,1/2/24 7:05 am,"1,357",hi\r\n\r\nx,,,\r\n')
     write(tmp_path, "Zoë+q_sleep.csv", '\ufeffTime,Note,Duration (min)\n"3/2/24 7:05 PM","a ""q""\nline, x",9\n')
     write(tmp_path, "empty_sleep.csv", "")
     write(tmp_path, "other_activity.csv", "Time\n1/1/24\n")
     (tmp_path / "old").mkdir()
     write(tmp_path / "old", "Ann_sleep.csv", "Time,Duration (min),Note\n1/1/24 7:05 am,1,archived\n")
     got = {(r.subject, r["Duration (min)"], r.Note) for r in read_exports(spark, str(tmp_path), "sleep").collect()}
-    assert got == {("A b#1", "2,218", "hi"), ("A b#1", None, None), ("Zoë+q", "9", 'a "q"\nline, x')}
+    assert got == {("A b#1", "1,357", "hi"), ("A b#1", None, None), ("Zoë+q", "9", 'a "q"\nline, x')}
 
 
 def test_missing_files_and_columns(spark, tmp_path):
@@ -144,27 +144,61 @@ def test_missing_files_and_columns(spark, tmp_path):
 
 def test_alias_replaces_the_regular_file(spark, tmp_path):
     header = "Time,Start side,Total amount (ml)\n"
-    write(tmp_path, "pump.csv", header + '1/2/24 7:05 PM,Left,"2,218"\n' * 2)
+    write(tmp_path, "pump.csv", header + '1/2/24 7:05 PM,Left,"1,357"\n' * 2)
     write(tmp_path, "Eve_pump.csv", header + "1/2/24 7:05 PM,Left,5\n")
     write(tmp_path, "Abe_pump.csv", header + "1/2/24 7:05 PM,Left,6\n")
     rows = read_exports(spark, str(tmp_path), "pump", {"pump.csv": "Eve"}).collect()
-    assert sorted((r.subject, r["Total amount (ml)"]) for r in rows) == [("Abe", "6"), ("Eve", "2,218"), ("Eve", "2,218")]
+    assert sorted((r.subject, r["Total amount (ml)"]) for r in rows) == [("Abe", "6"), ("Eve", "1,357"), ("Eve", "1,357")]
     assert len({r.row_id for r in rows}) == 3
 
 
-def test_row_ids_repeat_and_large_files_are_split(spark, tmp_path):
+def test_row_ids_do_not_depend_on_splits_or_other_files(spark, tmp_path):
     lines = "".join(f"1/2/24 7:05 PM,{i},note {i}\n" for i in range(5000))
-    write(tmp_path, "Big_sleep.csv", "Time,Duration (min),Note\n" + lines)
+    write(tmp_path, "Big_sleep.csv", "Time,Duration (min),Note\n" + lines + "1/2/24 7:05 PM,0,note 0\n")
+    read = lambda: {(r.row_id, r.Note) for r in read_exports(spark, str(tmp_path), "sleep").where("subject = 'Big'").collect()}
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    whole = read()
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
-        rows = read_exports(spark, str(tmp_path), "sleep")
-        assert rows.rdd.getNumPartitions() > 4
-        first, second = ({(r.row_id, r.Note) for r in rows.collect()} for _ in range(2))
+        source = ExportFolder(str(tmp_path))
+        assert exports.lines_of(spark, source, ("sleep",)).rdd.getNumPartitions() > 4
+        split = read()
+        write(tmp_path, "Also_sleep.csv", "Note,Time,Duration (min)\nx,1/2/24 7:05 PM,5\n")
+        assert whole == split == read()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    assert first == second
-    assert len({i for i, _ in first}) == len({n for _, n in first}) == 5000
+    assert len({i for i, _ in whole}) == 5001 and len({n for _, n in whole}) == 5000
+
+
+def test_files_of_one_kind_may_differ_in_layout(spark, tmp_path):
+    write(tmp_path, "A_diaper.csv", "Time,Status,Note\n1/2/24 7:05 am,Wet,a\n")
+    write(tmp_path, "B_diaper.csv", '"Note","Extra, one",Status,Time\n"two\nlines",x,Dirty,1/2/24 7:06 am\n')
+    write(tmp_path, "C_diaper.csv", "\nStatus,Time,Status\nMixed,1/2/24 7:07 am,Wet\n")
+    rows = read_exports(spark, str(tmp_path), "diaper").collect()
+    got = {(r.subject, r.Time, r.Status, r.Note) for r in rows}
+    assert got == {("A", "1/2/24 7:05 am", "Wet", "a"), ("B", "1/2/24 7:06 am", "Dirty", "two\nlines"), ("C", "1/2/24 7:07 am", "Mixed", None)}
+
+
+def test_a_missing_folder_raises(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="nowhere"):
+        read_all_exports(spark, str(tmp_path / "nowhere"))
+
+
+def test_layouts_are_found_without_sorting_or_matching_lines(spark, tmp_path):
+    write(tmp_path, "A_diaper.csv", "Time,Status,Note\n1/2/24 7:05 am,Wet,a\n")
+    lines = exports.lines_of(spark, ExportFolder(str(tmp_path)), K.EXPORT_KINDS)
+    text = exports.layouts(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+    assert "regexp" not in text.lower() and "rlike" not in text.lower() and "url_decode" not in text.lower()
+
+
+def test_one_subject_leaves_the_files_of_others_unread(spark, tmp_path):
+    for name in ("Ann", "Bob", "Joann"):
+        write(tmp_path, f"{name}_diaper.csv", "Time,Status,Note\n1/2/24 7:05 am,Wet,\n")
+    rows = read_all_exports(spark, str(tmp_path), only="ANN")["diaper"]
+    assert [r.subject for r in rows.collect()] == ["Ann"]
+    lines = exports.lines_of(spark, ExportFolder(str(tmp_path), only="bob"), ("diaper",))
+    assert lines.select("file").distinct().count() == 1
 
 
 def test_registry(spark):

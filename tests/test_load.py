@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from carelens import schemas
 from carelens.plans import build as plans
 from carelens.plans import load as loading
-from carelens.sources import subjects
+from carelens.sources import subjects, tables
 from carelens.sources.tables import open_tables, raw_relations, read_text, require_tables, table_path, write_text
 
 FORMAT = "%d/%m/%y %I:%M %p"
@@ -62,7 +62,7 @@ def test_subject_replace_reads_and_writes_only_their_buckets(spark, tmp_path):
     path = tmp_path / "t"
     rows = tagged(B.diapers(spark, [(f"b{i}", "2024-01-01 10:00:00", True, True) for i in range(300)]), "ingested")
     loading.append_rows(rows, str(path))
-    assert len(list(path.glob("source=ingested/bucket=*"))) == loading.BUCKETS
+    assert len(list(path.glob("source=ingested/bucket=*-of-16"))) == loading.BUCKETS
     before = {f: f.stat().st_mtime_ns for f in path.glob("source=*/bucket=*/*.parquet")}
     one = B.diapers(spark, [("b7", "2024-01-02 10:00:00", True, True), ("b8", "2024-01-02 10:00:00", True, True)])
     assert loading.subject_replace(one, one.where("baby_id = 'b7'"), str(path)) == 1
@@ -81,6 +81,96 @@ def test_a_smaller_reload_leaves_no_old_bucket(spark, tmp_path):
     assert stored(spark, path) == [("d7", "b7", "ingested")]
 
 
+@pytest.mark.parametrize("buckets", [100, 200])
+def test_any_number_of_buckets_is_kept_by_the_table(spark, tmp_path, buckets):
+    path = str(tmp_path / "t")
+    many = B.diapers(spark, [(f"b{i}", "2024-01-01 10:00:00", True, True) for i in range(300)])
+    loading.append_rows(tagged(many, "ingested"), path, buckets)
+    assert loading.tagged_replace(many, path) == 300
+    assert len(stored(spark, path)) == 300
+    assert loading.bucket_count(tagged(many, "x"), path) == buckets
+
+
+def test_a_load_that_dies_half_way_is_finished_by_the_next_reader(spark, tmp_path, monkeypatch):
+    base = str(tmp_path)
+    loading.create_tables(spark, base)
+    path = table_path(base, "diaper_events")
+    many = B.diapers(spark, [(f"b{i}", "2024-01-01 10:00:00", True, True) for i in range(30)])
+    loading.append_rows(tagged(many, "ingested"), path)
+
+    def die(*_):
+        raise KeyboardInterrupt
+
+    new = B.diapers(spark, [("b7", "2024-01-02 10:00:00", True, True)]).withColumn("id", F.lit("new"))
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "finish_replacing", die)
+        with pytest.raises(KeyboardInterrupt):
+            loading.tagged_replace(new, path)
+    assert len(stored(spark, path)) == 30  # nothing has changed yet
+    # It dies once more, after the new rows have come in and before emptied buckets are cleared.
+    with monkeypatch.context() as patch:
+        removed = tables.remove
+        patch.setattr(tables, "remove", lambda s, p: die() if "bucket=" in p else removed(s, p))
+        with pytest.raises(KeyboardInterrupt):
+            open_tables(spark, base)
+    assert [r.id for r in open_tables(spark, base)["diaper_events"].collect()] == ["new"]
+    assert stored(spark, path) == [("new", "b7", "ingested")]
+    assert not list((tmp_path / "diaper_events").glob("_[rs]*/*"))
+
+
+def test_upsert_rewrites_only_the_buckets_of_its_rows(spark, tmp_path):
+    path = tmp_path / "baby_profiles"
+    loading.append_rows(people(spark, "app", *(f"p{i}" for i in range(100))), str(path))
+    before = {f: f.stat().st_mtime_ns for f in path.glob("source=*/bucket=*/*.parquet")}
+    assert loading.upsert(people(spark, "app", "p3", "new"), str(path)) == 2
+    after = {f: f.stat().st_mtime_ns for f in path.glob("source=*/bucket=*/*.parquet")}
+    assert len({f.parent.name for f, _ in set(before.items()) ^ set(after.items())}) <= 2
+    assert len(named(spark, str(path))) == 101
+
+
+def test_a_wrong_base_raises_and_publishes_nothing(spark, tmp_path):
+    with pytest.raises(LookupError, match="baby_profiles"):
+        plans.build(spark, str(tmp_path / "nowhere"))
+    with pytest.raises(LookupError, match="sleep_sessions"):
+        open_tables(spark, str(tmp_path))
+
+
+def test_publishing_keeps_the_old_rows_until_the_new_are_complete(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE shown LOCATION '{tmp_path}/shown'")
+    days = spark.range(5000).selectExpr("concat('b', id % 500) AS baby_id", "date_add(DATE'2024-01-01', CAST(id AS INT)) AS metric_date")
+    order = ("baby_id", "metric_date")
+    plans.publish(days, "shown", "mart", order)
+    assert spark.table("shown.mart").count() == 5000
+    broken = days.withColumn("x", F.when(F.col("baby_id") == "b7", F.raise_error("bad row")))
+    with pytest.raises(Exception, match="bad row"):
+        plans.publish(broken, "shown", "mart", order)
+    assert spark.table("shown.mart").count() == 5000
+    for n in (1, 2, 3):
+        plans.publish(days.limit(n), "shown", "mart", order)
+        assert spark.table("shown.mart").count() == n
+    complete = [t.name for t in spark.catalog.listTables("shown") if t.name.startswith("mart__")]
+    assert len(complete) <= 3
+    spark.sql("DROP DATABASE shown CASCADE")
+
+
+def test_a_subject_filter_skips_files_of_published_rows(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE shown LOCATION '{tmp_path}/shown'")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        days = spark.range(5000).selectExpr("format_string('b%05d', id) AS baby_id", "DATE'2024-01-01' AS metric_date")
+        plans.publish(days, "shown", "mart", ("baby_id", "metric_date"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    version = next(t.name for t in spark.catalog.listTables("shown") if t.name.startswith("mart__"))
+    files = spark.table(f"shown.{version}").groupBy("_metadata.file_path").agg(F.min("baby_id"), F.max("baby_id")).collect()
+    spans = sorted((low, high) for _, low, high in files)
+    assert len(spans) == 8 and all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False))
+    one = spark.table("shown.mart").where("baby_id = 'b00042'")
+    assert "PushedFilters: [IsNotNull(baby_id), EqualTo(baby_id,b00042)]" in one._jdf.queryExecution().executedPlan().toString()
+    spark.sql("DROP DATABASE shown CASCADE")
+
+
 def test_text_form(spark, tmp_path):
     rows = tagged(B.diapers(spark, [("a", "2024-01-01 10:00:00", True, False), ("b", "2024-01-01 10:00:00", None, True)]), "app")
     rows = rows.withColumn("notes", F.when(F.col("baby_id") == "a", 'two\nlines, "quoted"'))
@@ -177,13 +267,19 @@ def test_from_exports_to_tables(spark, tmp_path):
     first = spark.createDataFrame(first.collect(), first.schema)
     assert loading.ingested_rows(open_tables(spark, base)["diaper_events"]) == 2
     (folder / "Ann_diaper.csv").write_text("Time,Status,Note\n1/2/24 7:05 am,Wet,\n", encoding="utf-8")
-    plans.ingest_exports(spark, str(folder), known, base, as_of, only="ann")
+    with pytest.raises(loading.RowsLost, match="diaper_events from 2 to 1"):
+        plans.ingest_exports(spark, str(folder), known, base, as_of, only="ann")
+    assert loading.ingested_rows(open_tables(spark, base)["diaper_events"]) == 2
+    (folder / "Stranger_diaper.csv").write_text("Time,Status,Note\n1/2/24 7:05 am,Wet,\n", encoding="utf-8")
+    plans.ingest_exports(spark, str(folder), known, base, as_of, only="ann", accept_fewer=True)
     report = loading.reload_report(first, loading.stored_counts(spark, base)).collect()
     moved = {(r.table_name, r.source): (r.rows_before, r.rows_after) for r in report}
     assert moved["diaper_events", "ingested"] == (2, 1)
     assert moved["diaper_events", "app"] == (1, 1)
     assert moved["feeding_sessions", "ingested"] == (3, 3)
-    assert not any(r.unexpected_change for r in report)
+    assert [r.table_name for r in report if r.unexpected_change] == ["diaper_events"]
+    whole = plans.ingest_exports(spark, str(folder), known, base, as_of)
+    assert {r.table_name: r.rows for r in whole.collect()}["not registered: diaper"] == 1
 
     built = plans.build(spark, base, "unused", "local")
     mart = {(r.baby_name, r.metric_date): r for r in spark.table("marts.mart_daily_metrics").collect()}
