@@ -44,6 +44,8 @@ DATETIME_DIRECTIVES = {
     "%p": "a",
 }
 DEFAULT_DATETIME_FORMAT = "%m/%d/%y %I:%M %p"
+# Formats of the trackers in use; any other of the directives above works as well, only slower.
+USUAL_FORMATS = (DEFAULT_DATETIME_FORMAT, "%d/%m/%y %I:%M %p")
 # Two-digit years from this one on belong to the 1900s.
 TWO_DIGIT_YEAR_PIVOT = 69
 

@@ -93,7 +93,11 @@ def parse_export_time(text: Column, fmt: Column) -> Column:
     years follow the POSIX pivot, where Spark would put all of them after 2000.
     """
     clean = F.upper(F.replace(strip(text), F.lit("\u202f"), F.lit(" ")))
+    # A pattern that is a literal is compiled once, one from a column for every row; almost all rows have a usual one.
     parsed = F.to_timestamp_ntz(clean, spark_pattern(fmt))
+    for usual in K.USUAL_FORMATS:
+        known = F.to_timestamp_ntz(clean, spark_pattern(F.lit(usual)))
+        parsed = F.when(fmt == F.lit(usual), known).otherwise(parsed)
     last_century = F.contains(fmt, F.lit("%y")) & (F.year(parsed) >= 2000 + K.TWO_DIGIT_YEAR_PIVOT)
     return F.when(last_century, parsed - F.make_ym_interval(F.lit(100))).otherwise(parsed)
 

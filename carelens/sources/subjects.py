@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from datetime import date, datetime
 
@@ -35,6 +36,9 @@ def registry(spark: SparkSession, subjects: Iterable[dict]) -> DataFrame:
         if missing:
             raise ValueError(f"subject lacks {', '.join(missing)}: {entry}")
         row = {**_DEFAULTS, **entry}
+        foreign = set(re.findall("%.?", row["datetime_format"])) - set(K.DATETIME_DIRECTIVES)
+        if foreign:
+            raise ValueError(f"time format of {row['name']} has {', '.join(sorted(foreign))}, which is not understood")
         if isinstance(row.get("date_of_birth"), str):
             row["date_of_birth"] = date.fromisoformat(row["date_of_birth"])
         rows.append(tuple(row.get(name) for name in REGISTRY.fieldNames()))

@@ -151,19 +151,19 @@ _TREE = {
 }
 
 
-def sql(body: str, *needs: str) -> str:
-    """``body`` preceded by the parts it needs, in dependency order."""
+def sql(body: str, *needs: str, **replaced: str) -> str:
+    """``body`` preceded by the parts it needs, in dependency order; ``replaced`` has other definitions of some."""
     order: list[str] = []
 
     def visit(name: str) -> None:
-        for other in _TREE[name]:
+        for other in ("ev",) if name in replaced else _TREE[name]:
             visit(other)
         if name not in order:
             order.append(name)
 
     for name in needs:
         visit(name)
-    parts = ",\n".join(f"{name} AS ({PARTS[name]})" for name in order)
+    parts = ",\n".join(f"{name} AS ({(PARTS | replaced)[name]})" for name in order)
     return f"WITH {parts}\n{body}"
 
 
@@ -245,6 +245,9 @@ def _raw() -> dict[str, str]:
     }
 
 
+NATION = "'nation-' || c_nationkey"
+
+
 # What ingest makes of the rendered exports: times to the minute, notes trimmed.
 def _ingested(subject: str) -> str:
     return f"""
@@ -336,7 +339,19 @@ def _ingest() -> dict[str, str]:
         "ingest_diaper": on_ingested(diaper_sql),
         "ingest_sleep": on_ingested(sleep),
         "ingest_feeding": on_ingested(feed),
-        "exports_roundtrip": on_ingested(roundtrip, "'nation-' || c_nationkey"),
+        "exports_roundtrip": on_ingested(roundtrip, NATION),
+        "built_mart": sql(
+            "SELECT * FROM daily",
+            "daily",
+            kid="""SELECT {id} AS baby_id, {name} AS baby_name, DATE '2023-06-01' + CAST(n_nationkey AS INTEGER) AS date_of_birth
+                   FROM nation""".format(id=uuid5("'nation-' || n_nationkey"), name="'nation-' || n_nationkey"),
+            slp=f"WITH x AS ({_ingested(NATION)}) SELECT id, baby_id, start_time, end_time, sleep_type FROM ({sleep})",
+            fed=f"""WITH x AS ({_ingested(NATION)}) SELECT id, baby_id, start_time, end_time, feeding_type, breast_started,
+                    left_breast_duration AS left_min, right_breast_duration AS right_min, volume_consumed_ml AS ml
+                    FROM ({feed})""",
+            dia=f"""WITH x AS ({_ingested(NATION)}) SELECT id, baby_id, "timestamp" AS event_time, has_urine, has_stool
+                    FROM ({diaper_sql})""",
+        ),
         "transformed_csv": on_ingested(f"SELECT * REPLACE (CAST(id AS VARCHAR) AS id) FROM ({feed})"),
         "load_report": on_ingested(
             f'SELECT table_name, CAST(sum("rows") AS BIGINT) AS "rows" FROM ({counts}) GROUP BY ROLLUP (table_name)'

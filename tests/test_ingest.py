@@ -212,6 +212,8 @@ def test_registry(spark):
         subjects.only_subject(known, "Zed")
     with pytest.raises(ValueError, match="timezone"):
         subjects.registry(spark, [{"name": "X", "date_of_birth": "2024-01-01", "gender": "other"}])
+    with pytest.raises(ValueError, match="%j"):
+        subjects.registry(spark, [{**entries[0], "datetime_format": "%j %H:%M"}])
     rows = {r.name: r for r in subjects.profiles_from(known, datetime(2024, 3, 1, 12)).collect()}
     assert rows["Ann"].id == str(uuid.uuid5(uuid.UUID(K.SUBJECT_NAMESPACE), "Ann"))
     assert rows["Bob"].created_at == datetime(2023, 5, 5)
