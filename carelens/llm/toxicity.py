@@ -28,6 +28,8 @@ from carelens.llm.store import held_out
 
 SIZES, HASH_BITS = (3, 4, 5), 18
 TRAINING_ROWS, ROUNDS, RIDGE, SMOOTHING = 6000, 80, 1e-4, 1.0
+#: Training rows that one step of the arithmetic takes.
+PART_ROWS = 128
 SHARD_BYTES, SHARD_ROWS = 2 << 20, 1 << 32 - HASH_BITS
 THRESHOLD = 0.5
 #: Odd multiplier of the rolling hash: a golden ratio of 32 bits.
@@ -114,43 +116,61 @@ def fit(
     if not 0 < label.sum() < len(label):
         share = ones / count
         return Model(blank, float(np.log(share / (1 - share))))
-    grams = [np.frombuffer(x, "<i4") for x in rows.column("grams").to_pylist()]
-    weights, intercept = regression(grams, label, rounds, ridge)
+    weights, intercept = regression(Rows(rows.column("grams")), label, rounds, ridge)
     odds = np.log(ones / (count - ones)) - np.log(label.sum() / (len(label) - label.sum()))
     return Model(weights, float(intercept + odds))
 
 
-def log_ratios(grams: np.ndarray, of_row: np.ndarray, label: np.ndarray, smoothing: float = SMOOTHING) -> np.ndarray:
-    """Naive Bayes log-count ratio of every n-gram."""
-    counts = [np.bincount(grams[label[of_row] == k], minlength=1 << HASH_BITS) + smoothing for k in (0, 1)]
-    return np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+class Rows:
+    """The training rows' n-grams as a sparse matrix of ones, worked on a few rows at a time."""
 
+    def __init__(self, grams: pa.ChunkedArray) -> None:
+        self.count, self.parts = len(grams), []
+        for begin in range(0, len(grams), PART_ROWS):
+            own = [np.frombuffer(x.as_buffer(), "<i4") for x in grams.slice(begin, PART_ROWS)]
+            self.parts.append((np.concatenate(own), np.array([len(x) for x in own])))
 
-def regression(rows: list[np.ndarray], label: np.ndarray, rounds: int, ridge: float) -> tuple[np.ndarray, float]:
-    """Weights of the n-grams and the intercept, by accelerated gradient descent on the log loss."""
-    size = np.array([len(x) for x in rows])
-    grams, of_row = np.concatenate(rows), np.repeat(np.arange(len(rows), dtype=np.int32), size)
-    ratio = log_ratios(grams, of_row, label)
-    # A step of one over the largest curvature; a power iteration finds it.
-    probe = np.ones(1 << HASH_BITS) / np.sqrt(1 << HASH_BITS)
-    curvature = 1.0
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        """Per row, the sum of its n-grams' weights."""
+        totals = []
+        for grams, sizes in self.parts:
+            running = np.append(0.0, np.cumsum(weights[grams]))
+            ends = np.cumsum(sizes)
+            totals.append(running[ends] - running[ends - sizes])
+        return np.concatenate(totals)
+
+    def transposed_times(self, values: np.ndarray) -> np.ndarray:
+        """Per n-gram, the sum of its rows' values."""
+        total, at = np.zeros(1 << HASH_BITS), 0
+        for grams, sizes in self.parts:
+            own = values[at : at + len(sizes)]
+            total += np.bincount(grams, weights=np.repeat(own, sizes), minlength=1 << HASH_BITS)
+            at += len(sizes)
+        return total
 
-    def apply(weights: np.ndarray) -> np.ndarray:
-        return np.bincount(of_row, weights=(weights * ratio)[grams], minlength=len(rows))
 
-    def transpose(values: np.ndarray) -> np.ndarray:
-        return np.bincount(grams, weights=values[of_row], minlength=1 << HASH_BITS) * ratio
+def log_ratios(rows: Rows, label: np.ndarray, smoothing: float = SMOOTHING) -> np.ndarray:
+    """Naive Bayes log-count ratio of every n-gram."""
+    other, toxic = (rows.transposed_times((label == k).astype(float)) + smoothing for k in (0, 1))
+    return np.log(toxic / toxic.sum()) - np.log(other / other.sum())
+
 
+def regression(rows: Rows, label: np.ndarray, rounds: int, ridge: float) -> tuple[np.ndarray, float]:
+    """Weights of the n-grams and the intercept, by accelerated gradient descent on the log loss."""
+    ratio = log_ratios(rows, label)
+    # A step of one over the largest curvature, which a power iteration finds.
+    probe, curvature = np.ones(1 << HASH_BITS) / np.sqrt(1 << HASH_BITS), 1.0
     for _ in range(5):
-        probe = transpose(apply(probe)) / len(rows)
+        probe = rows.transposed_times(rows.times(probe * ratio)) * ratio / rows.count
         curvature = np.linalg.norm(probe)
         probe /= max(curvature, 1e-12)
     step = 1 / (curvature / 4 * 1.2 + 0.25 + ridge)
     weights, momentum = np.zeros(1 << HASH_BITS), np.zeros(1 << HASH_BITS)
     intercept = shift = 0.0
     for turn in range(rounds):
-        error = (1 / (1 + np.exp(-np.clip(apply(momentum) + shift, -500, 500))) - label) / len(rows)
-        new = momentum - step * (transpose(error) + ridge * momentum)
+        odds = rows.times(momentum * ratio) + shift
+        error = (1 / (1 + np.exp(-np.clip(odds, -500, 500))) - label) / rows.count
+        new = momentum - step * (rows.transposed_times(error) * ratio + ridge * momentum)
         new_intercept = shift - step * error.sum()
         pace = turn / (turn + 3)
         momentum, shift = new + pace * (new - weights), new_intercept + pace * (new_intercept - intercept)
