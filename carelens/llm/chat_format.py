@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from carelens.llm.store import stored
+
 #: Tokens of a window, of repeated history, of the marks of a turn; least tokens of a span.
 BUDGET, HISTORY, TURN_MARKS, LEAST_SPAN = 2048, 512, 4, 512
 #: Turn numbers per block of the first prefix sum.
@@ -122,7 +124,7 @@ def windows(
     span = F.greatest(F.lit(budget - history) - F.coalesce("system_tokens", F.lit(0)), F.lit(least_span)).cast("long")
     turns = turns.withColumn("span", span).withColumn("number", F.expr("before div span"))
     over = (F.col("before") % F.col("span") > 0) & (F.col("before") + F.col("tokens") > (F.col("number") + 1) * F.col("span"))
-    turns = turns.withColumn("window", F.col("number") * 2 + over.cast("long"))
+    turns = stored(turns.withColumn("window", F.col("number") * 2 + over.cast("long")), "turns")
 
     starts = turns.groupBy("conv_id", "window").agg(
         F.min("before").alias("start"),
