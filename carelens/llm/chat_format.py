@@ -65,46 +65,58 @@ def turn_head(role: Column) -> Column:
     return F.concat(F.lit("<|"), escaped_role(role), F.lit("|>\n"))
 
 
-def _same(*columns: str) -> Column:
-    """Null-safe equality of l.c and r.c."""
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
-    return condition
+#: A conversation's key without nulls, so that windows, aggregates and joins on it share a partitioning.
+KEY = ["no_id", "id"]
 
 
 def numbered(conversations: DataFrame) -> DataFrame:
-    """conv_id, ordinal, role, text, tokens and the tokens before, a row per turn."""
+    """The key, ordinal, role, text, tokens and tokens before of each turn, and its conversation's system turn."""
+    kind = conversations.schema["conv_id"].dataType
+    no_id, id_ = F.col("conv_id").isNull(), F.coalesce("conv_id", F.lit("0").cast(kind))
     role, text = F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
-    turns = conversations.select("conv_id", "turn", role, text)
-    turns = turns.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("copies"))
+    turns = conversations.select(no_id.alias("no_id"), id_.alias("id"), "turn", role, text)
+    turns = turns.groupBy(*KEY, "turn", "role", "text").agg(F.count("*").alias("copies"))
     tokens = (F.regexp_count("text", F.lit(TOKEN)) + TURN_MARKS).cast("long")
-    turns = turns.withColumn("tokens", tokens).withColumn("block", F.floor(F.col("turn") / BLOCK_TURNS))
+    # Turns without a number come first.
+    block = F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 62)))
+    turns = turns.withColumns({"tokens": tokens, "block": block})
 
-    inside = W.partitionBy("conv_id", "block").orderBy("turn", "role", "text").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy(*KEY, "block").orderBy("turn", "role", "text").rowsBetween(W.unboundedPreceding, -1)
     size = F.col("tokens") * F.col("copies")
-    turns = turns.withColumn("tokens_inside", F.coalesce(F.sum(size).over(inside), F.lit(0)))
-    turns = turns.withColumn("turns_inside", F.coalesce(F.sum("copies").over(inside), F.lit(0)))
-    blocks = turns.groupBy("conv_id", "block").agg(F.sum(size).alias("block_tokens"), F.sum("copies").alias("block_turns"))
-    earlier = W.partitionBy("conv_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    turns = turns.withColumns(
+        {
+            "tokens_inside": F.coalesce(F.sum(size).over(inside), F.lit(0)),
+            "turns_inside": F.coalesce(F.sum("copies").over(inside), F.lit(0)),
+        }
+    )
+    opening = (F.col("turns_inside") == 0) & (F.col("role") == SYSTEM)
+    blocks = turns.groupBy(*KEY, "block").agg(
+        F.sum(size).alias("block_tokens"),
+        F.sum("copies").alias("block_turns"),
+        F.max(F.when(opening, F.col("text"))).alias("opening"),
+        F.max(F.when(opening, F.col("tokens"))).alias("opening_tokens"),
+    )
+    in_order = W.partitionBy(*KEY).orderBy("block")
+    earlier = in_order.rowsBetween(W.unboundedPreceding, -1)
     blocks = blocks.select(
-        "conv_id",
+        *KEY,
         "block",
         F.coalesce(F.sum("block_tokens").over(earlier), F.lit(0)).alias("tokens_before_block"),
         F.coalesce(F.sum("block_turns").over(earlier), F.lit(0)).alias("turns_before_block"),
+        F.first("opening").over(in_order).alias("system"),
+        F.first("opening_tokens").over(in_order).alias("system_tokens"),
     )
-    placed = turns.alias("l").join(blocks.alias("r"), _same("conv_id", "block"))
-    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy")
-    placed = placed.select(
-        "l.conv_id", "l.role", "l.text", "l.tokens", "tokens_inside", "turns_inside", "tokens_before_block", "turns_before_block", copy
-    )
+    placed = turns.join(blocks, [*KEY, "block"])
+    placed = placed.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
     return placed.select(
-        "conv_id",
+        *KEY,
         (F.col("turns_before_block") + F.col("turns_inside") + F.col("copy")).alias("ordinal"),
         "role",
         "text",
         "tokens",
         (F.col("tokens_before_block") + F.col("tokens_inside") + F.col("copy") * F.col("tokens")).alias("before"),
+        "system",
+        "system_tokens",
     )
 
 
@@ -119,40 +131,38 @@ def windows(
         raise ValueError("history must fit into a span")
     turns = numbered(conversations)
     is_system = (F.col("ordinal") == 0) & (F.col("role") == SYSTEM)
-    system = turns.where(is_system).select("conv_id", F.col("text").alias("system"), F.col("tokens").alias("system_tokens"))
-    turns = turns.alias("l").join(system.alias("r"), _same("conv_id"), "left").select("l.*", "system", "system_tokens")
     span = F.greatest(F.lit(budget - history) - F.coalesce("system_tokens", F.lit(0)), F.lit(least_span)).cast("long")
     turns = turns.withColumn("span", span).withColumn("number", F.expr("before div span"))
     over = (F.col("before") % F.col("span") > 0) & (F.col("before") + F.col("tokens") > (F.col("number") + 1) * F.col("span"))
     turns = stored(turns.withColumn("window", F.col("number") * 2 + over.cast("long")), "turns")
 
-    starts = turns.groupBy("conv_id", "window").agg(
+    starts = turns.groupBy(*KEY, "window").agg(
         F.min("before").alias("start"),
         F.min("ordinal").alias("first"),
         F.max("system").alias("system"),
         F.max("system_tokens").alias("system_tokens"),
     )
-    row = ("conv_id", "window", "ordinal", "role", "text", "tokens", "repeated")
+    row = (*KEY, "window", "ordinal", "role", "text", "tokens", "repeated")
     own = turns.withColumn("repeated", F.lit(False)).select(*row)
     again = starts.where("first > 0 and system is not null").select(
-        "conv_id", "window", F.lit(0).cast("long").alias("ordinal"), F.lit(SYSTEM).alias("role"), F.col("system").alias("text"),
+        *KEY, "window", F.lit(0).cast("long").alias("ordinal"), F.lit(SYSTEM).alias("role"), F.col("system").alias("text"),
         F.col("system_tokens").alias("tokens"), F.lit(True).alias("repeated"),
     )
     # A turn can be history of windows that begin less than ``history`` tokens after it does.
     last = F.expr(f"(before + {history}) div span") * 2 + 1
     later = turns.where(last > F.col("window")).where(~is_system)
     later = later.withColumn("window", F.explode(F.sequence(F.col("window") + 1, last)))
-    past = later.alias("l").join(starts.alias("r"), _same("conv_id", "window"))
-    past = past.where(F.col("start") - F.col("before") <= history)
-    past = past.select("l.conv_id", "l.window", "ordinal", "role", "text", "tokens", F.lit(True).alias("repeated"))
+    past = later.join(starts.select(*KEY, "window", "start"), [*KEY, "window"])
+    past = past.where(F.col("start") - F.col("before") <= history).withColumn("repeated", F.lit(True)).select(*row)
 
     parts = own.unionByName(again).unionByName(past)
     turn = F.struct("ordinal", "repeated", turn_head(F.col("role")).alias("head"), escaped(F.col("text")).alias("body"), "role", "tokens")
-    held = parts.groupBy("conv_id", "window").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    held = parts.groupBy(*KEY, "window").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     text = F.concat(
         F.lit(BEGIN), F.array_join(F.transform("turns", lambda x: F.concat(x["head"], x["body"], F.lit(TURN_END))), "")
     )
-    return held.select("conv_id", "window", text.alias("text"), _tokens().alias("tokens"), _spans().alias("spans"))
+    conv_id = F.when(~F.col("no_id"), F.col("id")).alias("conv_id")
+    return held.select(conv_id, "window", text.alias("text"), _tokens().alias("tokens"), _spans().alias("spans"))
 
 
 def _tokens() -> Column:
