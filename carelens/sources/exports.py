@@ -103,17 +103,22 @@ def lines_of(spark: SparkSession, source: ExportFolder, kinds: tuple[str, ...])
 
 
 def files_of(spark: SparkSession, source: ExportFolder, kinds: Iterable[str]) -> DataFrame:
-    """Per file: raw path, kind, subject, header, its column names, and whether a quoted field may span lines.
+    """Per file: raw path, kind, subject, header, its column names, those it lacks, and whether a quoted field may
+    span lines.
 
     Kind and subject are told from the path once per file.
     """
     kinds = tuple(kinds)
-    found = _kept(layouts(lines_of(spark, source, kinds)), "export-headers")
     path = _decoded(F.col("file"))
     told = [F.when(source.subject(kind, path) != "", F.struct(F.lit(kind).alias("kind"), source.subject(kind, path).alias("subject"))) for kind in kinds]
     names = F.transform(F.split("header", ',(?=(?:[^"]*"[^"]*")*[^"]*$)'), _unquoted)
-    files = found.withColumn("of", F.coalesce(*told)).where(F.col("of").isNotNull())
-    return _kept(files.select("file", "of.*", "multiline", "header", names.alias("names")), "export-files")
+    required = F.coalesce(*(F.when(F.col("of.kind") == kind, F.array(*map(F.lit, K.REQUIRED_COLUMNS[kind]))) for kind in kinds))
+    found = layouts(lines_of(spark, source, kinds)).withColumns({"of": F.coalesce(*told), "names": names})
+    # Written down, so that lines are not read again for it. A filter on the kind before that would be pushed to the lines.
+    files = found.select("file", "of.*", "multiline", "header", "names", F.array_except(required, "names").alias("missing"))
+    target = scratch_path(spark, "export-files")
+    files.write.parquet(target)
+    return spark.read.schema(files.schema).parquet(target).where(F.col("kind").isNotNull())
 
 
 def layouts(lines: DataFrame) -> DataFrame:
@@ -131,35 +136,21 @@ def layouts(lines: DataFrame) -> DataFrame:
     return seen.join(heads, "line").select("file", "multiline", "header")
 
 
-def _kept(rows: DataFrame, label: str) -> DataFrame:
-    """A relation of one row per file, written down, so that lines are not read again for it."""
-    path = scratch_path(rows.sparkSession, label)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def _unquoted(name: Column) -> Column:
     bare = F.regexp_replace(F.trim(name), '^"|"$', "")
     return F.when(F.startswith(F.trim(name), F.lit('"')), F.replace(bare, F.lit('""'), F.lit('"'))).otherwise(name)
 
 
-def _check_headers(files: DataFrame, kinds: tuple[str, ...]) -> None:
-    """Fail with the header of a file that lacks a column its kind cannot do without."""
-    for kind in kinds:
-        required = F.array(*(F.lit(name) for name in K.REQUIRED_COLUMNS[kind]))
-        bad = files.where((F.col("kind") == kind) & (F.size(F.array_except(required, "names")) > 0)).head()
-        if bad:
-            missing = [name for name in K.REQUIRED_COLUMNS[kind] if name not in bad.names]
-            raise ValueError(f"{kind} export lacks {', '.join(missing)}; its header is {bad.header!r}")
+def _records(spark: SparkSession, folder: str, width: int, multiline: bool) -> DataFrame:
+    """Records of all files by position. The folder is listed here, once for all kinds."""
+    reader = _reader(spark).schema(_texts(*(f"#{i}" for i in range(width)))).option("header", True).option("escape", '"')
+    return reader.option("multiLine", multiline).csv(folder)
 
 
-def _parse(spark: SparkSession, source: ExportFolder, kind: str, files: DataFrame, width: int, multiline: bool) -> DataFrame:
+def _parse(records: DataFrame, source: ExportFolder, kind: str, files: DataFrame, multiline: bool) -> DataFrame:
     """Rows of the kind's files with or without fields that span lines: subject and the columns in use."""
-    slots = [f"#{i}" for i in range(width)]
-    reader = _reader(spark).schema(_texts(*slots)).option("header", True).option("escape", '"')
-    rows = reader.option("multiLine", multiline).csv(source.folder).where(source.may_be(kind))
-    fields = F.array(*(F.col(f"`{slot}`") for slot in slots))
-    rows = rows.select(F.col("_metadata.file_path").alias("file"), fields.alias("fields"))
+    fields = F.array(*(F.col(f"`{slot}`") for slot in records.columns))
+    rows = records.where(source.may_be(kind)).select(F.col("_metadata.file_path").alias("file"), fields.alias("fields"))
     # Of repeated names the first one counts. A column the file lacks stands nowhere.
     columns = K.EXPORT_COLUMNS[kind]
     places = (F.nullif(F.array_position("names", F.lit(name)), F.lit(0)).alias(f"at {i}") for i, name in enumerate(columns))
@@ -198,11 +189,17 @@ def read_all_exports(
     source = ExportFolder(folder, aliases, only)
     kinds = tuple(kinds)
     files = files_of(spark, source, kinds)
-    _check_headers(files, kinds)
-    found = files.groupBy("kind", "multiline").agg(F.max(F.size("names")).alias("width")).collect()
+    # As many rows as there are kinds, twice.
+    bad = F.when(F.size("missing") > 0, F.struct("missing", "header"))
+    found = files.groupBy("kind", "multiline").agg(F.max(F.size("names")).alias("width"), F.min(bad).alias("bad")).collect()
+    width = max((row.width for row in found), default=1)
+    records = {multi: _records(spark, source.folder, width, multi) for multi in {row.multiline for row in found}}
     result = {}
     for kind in kinds:
-        parts = [_parse(spark, source, kind, files, row.width, row.multiline) for row in found if row.kind == kind]
+        for row in found:
+            if row.kind == kind and row.bad:
+                raise ValueError(f"{kind} export lacks {', '.join(row.bad.missing)}; its header is {row.bad.header!r}")
+        parts = [_parse(records[row.multiline], source, kind, files, row.multiline) for row in found if row.kind == kind]
         if parts:
             result[kind] = _identified(reduce(DataFrame.unionByName, parts), kind)
         else:
