@@ -264,7 +264,9 @@ def _merged(passes: list[DataFrame]) -> DataFrame:
     joined = F.aggregate(
         F.array_sort(F.flatten("found")),
         F.array().cast(f"array<{SPAN}>"),
-        lambda spans, x: F.when(_last_end(spans) >= x["begin"], _widened(spans, x)).otherwise(F.concat(spans, F.array(x))),
+        lambda spans, x: F.when(_last_end(spans) >= x["begin"], _widened(spans, x))
+        .otherwise(F.concat(spans, F.array(x.cast(SPAN))))
+        .cast(f"array<{SPAN}>"),
     )
     return merged.select(
         "doc_id",
@@ -284,7 +286,7 @@ def _last_end(spans: Column) -> Column:
 def _widened(spans: Column, x: Column) -> Column:
     """The spans, the last of which now reaches as far as ``x``."""
     begin = F.try_element_at(spans, F.lit(-1))["begin"].alias("begin")
-    last = F.struct(begin, F.greatest(_last_end(spans), x["end"]).alias("end"))
+    last = F.struct(begin, F.greatest(_last_end(spans), x["end"]).alias("end")).cast(SPAN)
     return F.concat(F.slice(spans, 1, F.greatest(F.size(spans) - 1, F.lit(0))), F.array(last))
 
 

@@ -35,8 +35,9 @@ from carelens.llm.store import stored
 
 SEQUENCE_TOKENS, CLOSING_ID = 1024, 2
 TOKENIZER = "byte_bpe_50k.json"
-#: Pieces packed in one task.
-POOL = 16384
+#: Pieces packed in one task, and exchanges its local search makes at most. All pieces are placed at any time, so a search
+#: that ends early leaves a bin or two more.
+POOL, EXCHANGES = 16384, 5000
 #: Words a worker remembers the ids of, twice over.
 REMEMBERED = 300_000
 
@@ -205,49 +206,56 @@ class Bins:
                     insort(spaces, self.free[bin_])
                 by_space[self.free[bin_]].append(bin_)
 
-    def drain(self) -> None:
-        """Local search: drain the emptiest bins into the others while that can save a bin."""
-        stuck: set[int] = set()
-        while True:
+    def drain(self, exchanges: int = EXCHANGES) -> None:
+        """Local search between underfull bins, from the emptiest on, while it can save a bin.
+
+        A bin that had nothing to give is asked again when it has changed, or something of it fits into a bin that has.
+        """
+        asked: set[int] = set()
+        for _ in range(exchanges):
             under = [b for b, free in enumerate(self.free) if 0 < free < self.capacity]
             if sum(self.free[b] for b in under) < self.capacity:
                 return
-            source = max((b for b in under if b not in stuck), key=lambda b: self.free[b], default=None)
-            if source is None:
+            items = np.array([(b, i) for b in under for i in [-1, *self.members[b]]], np.int64).reshape(-1, 2)
+            bin_, back = items[:, 0], np.where(items[:, 1] < 0, 0, np.array([*self.lengths, 0])[items[:, 1]])
+            free = np.array(self.free)[bin_]
+            for source in sorted(set(under) - asked, key=lambda b: -self.free[b]):
+                given = self._best(source, bin_, items[:, 1], back, free)
+                if given:
+                    self._exchange(source, *given)
+                    room = max(self.free[source], self.free[given[0]])
+                    asked -= {b for b in asked if min(self.lengths[i] for i in self.members[b]) <= room}
+                    asked -= {source, given[0]}
+                    break
+                asked.add(source)
+            else:
                 return
-            while self.members[source] and self._improve(source, under):
-                pass
-            if self.members[source]:
-                stuck.add(source)
-
-    def _improve(self, source: int, under: list[int]) -> bool:
-        """One move or exchange that fills another bin more at the cost of ``source``, the best for the fuller bin."""
-        best: tuple[int, int, list[int], list[int]] | None = None
+
+    def _best(self, source: int, bin_: np.ndarray, item: np.ndarray, back: np.ndarray, free: np.ndarray):
+        """The exchange or move that fills another bin, at least as full, the most: its bin, what it gets and gives.
+
+        ``item`` is a piece of the target given back, -1 for a move; ``back`` its length, ``free`` the target's space.
+        The sum of squared fills grows whenever the fuller of two bins gains.
+        """
         own = self.members[source]
-        singles = [(self.lengths[i], [i]) for i in own]
-        doubles = [(self.lengths[i] + self.lengths[j], [i, j]) for n, i in enumerate(own) for j in own[:n]]
-        offers = sorted(singles + doubles, key=lambda x: x[0])
-        sizes = [size for size, _ in offers]
-        for target in under:
-            if target == source or self.free[target] > self.free[source] or not self.members[target]:
-                continue
-            for back in [None, *self.members[target]]:  # a move, or an exchange for one piece of the target
-                base = 0 if back is None else self.lengths[back]
-                at = bisect_left(sizes, base + self.free[target] + 1) - 1
-                while at >= 0 and back is None and len(offers[at][1]) == 2:
-                    at -= 1
-                gain = sizes[at] - base if at >= 0 else 0
-                # The sum of squares grows if the target gains and was at least as full.
-                if gain > 0 and (best is None or gain > best[0]):
-                    best = gain, target, offers[at][1], [] if back is None else [back]
-        if best is None:
-            return False
-        gain, target, given, taken = best
-        self.members[source] = [i for i in own if i not in given] + taken
-        self.members[target] = [i for i in self.members[target] if i not in taken] + given
+        single = [(self.lengths[i], (i,)) for i in own]
+        double = [(self.lengths[i] + self.lengths[j], (i, j)) for n, i in enumerate(own) for j in own[:n]]
+        offers = sorted(single + double)
+        sizes = np.array([size for size, _ in offers])
+        at = np.searchsorted(sizes, back + free, side="right") - 1
+        gain = np.where(at >= 0, sizes[at] - back, 0)
+        gain[(bin_ == source) | (free > self.free[source])] = 0
+        most = int(np.argmax(gain)) if len(gain) else 0
+        if not len(gain) or gain[most] <= 0:
+            return None
+        return int(bin_[most]), offers[at[most]][1], [int(item[most])] if item[most] >= 0 else []
+
+    def _exchange(self, source: int, target: int, given: tuple[int, ...], taken: list[int]) -> None:
+        gain = sum(self.lengths[i] for i in given) - sum(self.lengths[i] for i in taken)
+        self.members[source] = [i for i in self.members[source] if i not in given] + taken
+        self.members[target] = [i for i in self.members[target] if i not in taken] + list(given)
         self.free[source] += gain
         self.free[target] -= gain
-        return True
 
 
 def pack(lengths: list[int], capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -31,8 +31,8 @@ FILTER_BYTES, BITS_PER_KEY = 16 << 20, 16
 WORDS_PER_BLOCK, BLOCK_BYTES = 8, 32
 #: Blocks that one task fills.
 SEGMENT_BLOCKS = 2048
-#: Odd multipliers, one per word: multiples of the golden ratio.
-SALTS = (np.arange(1, 2 * WORDS_PER_BLOCK, 2, dtype=np.uint64) * np.uint64(0x9E3779B1)) & np.uint64(0xFFFFFFFF)
+#: Odd multipliers, one per word: odd powers of the golden ratio in 32 bits.
+SALTS = np.array([pow(0x9E3779B1, 2 * word + 1, 1 << 32) for word in range(WORDS_PER_BLOCK)], np.uint64)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:

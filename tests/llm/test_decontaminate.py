@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from awkward import AWKWARD, LONG
-from hypothesis import HealthCheck, given, settings
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from carelens.llm import decontaminate
@@ -36,8 +36,9 @@ def brute(rows, items, window):
                 if tuple(own[i : i + n]) in held:
                     found |= held[tuple(own[i : i + n])]
                     hit[i : i + n] = [True] * n
-        if found:
-            longest = max(common(own, words(text)) for _, text in items)
+        for _, item in items:  # runs that hold a window of their item
+            run = common(own, words(item))
+            longest = max(longest, run if run and run >= min(window, len(words(item))) else 0)
         out.append((doc, len(own), sum(hit), sorted(found), longest))
     return sorted(out, key=repr)
 
@@ -80,7 +81,7 @@ def test_awkward(spark, docs, window):
 
 def test_very_long_text_in_small_shards(spark, docs):
     got = result(docs([(7, LONG)]), bench(spark, ITEMS[:3]), shard_bytes=1000)
-    assert got[0][:4] == (7, 40001, 4000 * 8 + 1, ["1", "2"]) or got[0][3] == ["1", "2"]
+    assert got[0][:2] == (7, 40001) and got[0][3] == ["1", "2"]
 
 
 def test_several_passes_find_the_same(spark, docs):
@@ -115,9 +116,7 @@ def test_suffix_array_is_sorted():
     assert heads == sorted(heads) and sorted(order) == list(range(300))
 
 
-@settings(max_examples=1, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.just(0))
-def test_affected_documents_go(spark, docs, _):
+def test_affected_documents_go(spark, docs):
     rows = [(1, "x a b c d y"), (1, "clean"), (2, "a b c"), (2, "a b c d"), (3, None)]
     kept = decontaminate.without_benchmark(docs(rows), bench(spark, [(1, "A b C d e")]), window=4)
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, "clean"), (2, "a b c"), (3, None)]

@@ -119,7 +119,7 @@ def test_components_of_paths_stars_and_rings(spark):
     root = {r.vertex: r.root for r in components(edges).collect()}
     both = path + star + ring
     linked = lambda x: [b for a, b in both if a == x] + [a for a, b in both if b == x]
-    vertices = {x for edge in both for x in edge}
+    vertices = {x for a, b in both for x in (a, b) if a != b}
     assert root == grouped(vertices, linked)
 
 
