@@ -9,7 +9,8 @@ avoidable bin in practice, of thousands.
 
 Ids are those of the given tokenizer file. If it holds plain byte-level BPE, texts of Latin letters, digits and common
 signs are encoded with its vocabulary by a quicker encoder, each distinct word once per worker as long as it is
-remembered; all other texts go to the tokenizer whole. Either way the ids are the tokenizer's.
+remembered; all other texts, and ones with a run of ``RUN`` white-space characters, go to the tokenizer whole. Either
+way the ids are the tokenizer's.
 
 Defined cases. A null text is empty: the closing id alone. Rows that share a doc_id are packed each. Ties are broken
 by place. An empty table gives an empty result. Only doc_id and text are read.
@@ -43,6 +44,9 @@ REMEMBERED = 300_000
 
 # Fixed value: how byte-level BPE splits a text.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: White space that the quick encoder is given in one run at most: its pattern takes a place on a stack of a million for each.
+RUN = 1 << 16
+LONG_RUN = re.compile(f"[\t\n\r ]{{{RUN}}}")
 #: Characters that every library puts into the same class: up to U+024F, no control characters but white space.
 PLAIN = re.compile("[\t\n\r -~¡-ɏ]*")
 
@@ -107,6 +111,8 @@ class Encoder(dict):
     def encode(self, text: str) -> bytes:
         if not self.quick or not PLAIN.fullmatch(text) or any(x in text for x in self.special):
             return self.whole(text)
+        if len(text) >= RUN and LONG_RUN.search(text):
+            return self.whole(text)
         # A space between two other characters always begins a word, so what it divides is encoded apart.
         if any(x in text for x in ("  ", " \n", "\n ", "\t", "\r")) or text[:1] == " " or text[-1:] == " ":
             return self._short(text)

@@ -130,3 +130,10 @@ def test_local_search_keeps_all_and_saves_some():
         assert all(sum(lengths[i] for i in m) == 60 - f for m, f in zip(plain.members, plain.free, strict=True))
         saved += before - sum(bool(m) for m in plain.members)
     assert saved > 0
+
+
+@pytest.mark.parametrize("run", [" " * 2_000_000, "\n" * 2_000_000, " \n\t\r" * 500_000, " " * 65_535])
+def test_long_runs_of_white_space(run):
+    encoder = packing.encoder(PATH)
+    text = f"before{run}after it"
+    assert encoder.encode(text) == encoder.whole(text)
