@@ -24,7 +24,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelens.llm.components import components
@@ -226,15 +226,27 @@ def near_duplicates(
     return rows.join(of_print, "fingerprint").select("doc_id", hexadecimal.alias("fingerprint"), "component_id")
 
 
+def text_key() -> Column:
+    """128 bits that stand for a text; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+
+
 def one_per_group(docs: DataFrame, **parameters: int) -> DataFrame:
-    """The document with the smallest doc_id of every group, with the columns of ``docs``.
+    """One row of every group, with the columns of ``docs``.
 
-    Of several rows with that doc_id the one with the smallest text stays.
+    It is the row with the smallest doc_id, one without an id last; then the one with the smallest hash of its text,
+    then with the smallest other columns. Rows are told apart by id and text, so texts that share an id, or have
+    none, stay unless their own group has another.
     """
-    kept = near_duplicates(docs, **parameters).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("__kept")).distinct()
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    chosen = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    row = F.min(F.struct("text", *rest)).alias("__row")
-    chosen = chosen.groupBy("doc_id").agg(row)
-    return chosen.select(*(F.col(c) if c == "doc_id" else F.col(f"__row.{c}").alias(c) for c in docs.columns))
+    keyed = docs.withColumn("__key", text_key())
+    name = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("__key").alias("key"))
+    groups = near_duplicates(keyed.select(name.alias("doc_id"), "text"), **parameters)
+    kept = groups.select(F.col("component_id.key").alias("__kept"), F.col("component_id.id").alias("__doc")).distinct()
+    same = (F.col("__key") == F.col("__kept")) & F.col("doc_id").eqNullSafe(F.col("__doc"))
+    return one_row(keyed.join(kept, same, "left_semi"), docs.columns)
+
+
+def one_row(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The smallest row of each ``__key``, where all have one doc_id."""
+    row = F.min(F.struct(*columns)).alias("__row")
+    return rows.groupBy("__key").agg(row).select(*(F.col(f"__row.{c}").alias(c) for c in columns))

@@ -129,3 +129,19 @@ def test_one_document_of_each_group(docs):
     expected = {d for d, _, c in brute(rows) if d == c}
     assert sorted(kept.columns) == sorted(docs([]).columns)
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_different_texts_without_or_under_one_id_stay(docs):
+    """Rows of one id, or none, stay unless their own text has a copy."""
+    rows = [
+        (None, "apples and pears are sold here today"),
+        (None, "seven ships went out and none came back"),
+        (None, "a copy of what has a number of its own"),
+        (3, "a copy of what has a number of its own"),
+        (5, "a copy of what has a number of its own"),
+        (5, "nobody else holds this text under any id"),
+        (6, "first of two texts that share one id"),
+        (6, "the other one is not like it at all"),
+    ]
+    kept = [(r.doc_id, r.text) for r in simhash.one_per_group(docs(rows)).collect()]
+    assert sorted(kept, key=repr) == sorted([x for i, x in enumerate(rows) if i not in (2, 4)], key=repr)
