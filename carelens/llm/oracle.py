@@ -94,6 +94,33 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 20"""
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+LEXICAL = f"""
+WITH doc AS (SELECT row_number() OVER () AS nth, doc_id, text FROM documents),
+term AS (SELECT nth, doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) AS term FROM doc),
+long AS (SELECT nth, doc_id, count(*) AS n FROM term GROUP BY nth, doc_id),
+corpus AS (SELECT count(*) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM long),
+item AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) AS term FROM benchmark),
+tf AS (SELECT nth, term, count(*) AS tf FROM term WHERE term IN (SELECT term FROM item) GROUP BY nth, term),
+weight AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(all_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM tf, corpus GROUP BY term),
+part AS (
+    SELECT nth, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * all_docs) // all_terms))) AS part
+    FROM tf JOIN long USING (nth) JOIN weight USING (term), corpus),
+scored AS (SELECT item_id, nth, CAST(sum(part) AS BIGINT) AS score FROM part JOIN item USING (term) GROUP BY item_id, nth)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+      FROM scored JOIN long USING (nth) WHERE score > 0)
+WHERE rank <= 10"""
+
+COPIES = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
+       sha256(ifnull(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY ifnull(text, ''))"""
+
 
 def statements() -> dict[str, str]:
     return {
@@ -102,4 +129,6 @@ def statements() -> dict[str, str]:
         "op3_url_filter": URLS,
         "op4_chat_format": CHATS,
         "op10_top_k": NEIGHBOURS,
+        "op11_lexical_search": LEXICAL,
+        "op12_exact_dedup": COPIES,
     }

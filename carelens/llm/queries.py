@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from carelens.llm import (
     chat_format,
     decontaminate,
+    exact_dedup,
+    lexical,
     line_dedup,
     oracle,
     packing,
@@ -19,6 +21,7 @@ from carelens.llm import (
     topk,
     toxicity,
     url_filter,
+    whitening,
 )
 from carelens.llm.shipping import shipped
 from carelens.llm.store import table
@@ -113,6 +116,18 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_copies(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -134,6 +149,9 @@ _QUERIES: dict[str, Query] = {
     "op8_token_count": op8_token_count,
     "op9_quality": op9_quality,
     "op10_top_k": op10_top_k,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
 

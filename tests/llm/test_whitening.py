@@ -1,0 +1,167 @@
+import math
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from carelens.llm import whitening
+from carelens.llm.queries import op13_whitening
+
+NAN, INF = float("nan"), float("inf")
+
+
+@pytest.fixture
+def vectors(spark):
+    def build(rows):
+        frame = spark.createDataFrame(list(rows), "vec_id long, embedding array<float>")
+        return frame.selectExpr("*", "1 AS component", "2 AS n", "3 AS entries", "'x' AS label")
+
+    return build
+
+
+def brute(rows, most=32):
+    """Ids, whole entries, covariance and its eigenvalues, from all rows at once."""
+    sound = [(i, v) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    width = max((len(v) for _, v in sound), default=0)
+    x = np.array([[math.floor(64 * float(np.float32(c))) for c in v] + [0] * (width - len(v)) for _, v in sound], np.int64)
+    x = x.reshape(len(sound), width) + 1_000_000
+    centred = x - x.mean(axis=0) if len(x) else x
+    covariance = centred.T @ centred / max(len(x), 1)
+    values = np.linalg.eigvalsh(covariance)[::-1] if width else np.zeros(0)
+    values = values[values > 1e-9 * max(values.max(initial=0), 1e-300)][:most]
+    return [i for i, _ in sound], x, covariance, values
+
+
+def check(frame, rows, most=32):
+    """Everything that does not depend on the choice of signs and of directions within a tie."""
+    ids, x, covariance, values = brute(rows, most)
+    found = frame.collect()
+    assert frame.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    if not len(values):
+        assert found == []
+        return
+    assert len(found) == len(ids) * len(values)
+    sums = x.sum(axis=0)
+    deviation = defaultdict(list)
+    for i, row in zip(ids, x, strict=True):
+        deviation[i].append(sum(int(d) ** 2 for d in len(x) * row - sums))
+    white = defaultdict(list)
+    for r in found:
+        assert r.n == len(x) and r.deviation in deviation[r.vec_id]
+        assert r.explained == pytest.approx(values[r.component - 1] / np.trace(covariance), rel=1e-9)
+        assert 0 <= r.identity_error <= 1e-6
+        white[r.vec_id, r.component].append(r.whitened)
+    assert {c for _, c in white} == set(range(1, len(values) + 1))
+    if len(set(ids)) < len(ids):
+        return
+    w = np.array([[white[i, c][0] for c in range(1, len(values) + 1)] for i in ids])
+    assert np.abs(w.T @ w / len(w) - np.eye(len(values))).max() < 1e-8
+    # The rows are projections on eigenvectors: covariance with the entries gives each back.
+    axes = w.T @ (x - x.mean(axis=0)) / len(w) / np.sqrt(values)[:, None]
+    assert np.abs(axes @ axes.T - np.eye(len(values))).max() < 1e-7
+    assert np.abs(covariance @ axes.T - axes.T * values).max() < 1e-7 * values[0]
+
+
+RNG = np.random.default_rng(5)
+PLAIN = [(i, RNG.normal(size=6).tolist()) for i in range(200)]
+AWKWARD = [
+    *PLAIN,
+    (300, None),
+    (301, [None, 1.0]),
+    (302, [NAN, 1.0]),
+    (303, [INF]),
+    (304, []),
+    (305, [0.5] * 8),
+    (-1, [1.0, -2.0, 3.0]),
+]
+
+
+def test_awkward(vectors):
+    check(whitening.whitened(vectors(AWKWARD)), AWKWARD)
+    check(whitening.whitened(vectors(AWKWARD).repartition(17), most=3), AWKWARD, 3)
+
+
+def test_repeated_and_missing_ids(vectors):
+    rows = [*PLAIN[:30], *PLAIN[:10], (None, [1.0] * 6), (None, [2.0] * 6)]
+    check(whitening.whitened(vectors(rows)), rows)
+
+
+def test_nothing_varies(vectors):
+    for rows in ([], [(1, [1.0, 2.0])], [(i, [1.0, 2.0]) for i in range(9)], [(1, [])], [(1, None)]):
+        assert whitening.whitened(vectors(rows)).collect() == []
+
+
+def test_fewer_directions_than_dimensions(vectors):
+    base = RNG.integers(-9, 9, size=(3, 40))
+    rows = [(i, (RNG.integers(-9, 9, size=3) @ base / 64).tolist()) for i in range(150)]
+    frame = whitening.whitened(vectors(rows))
+    assert {r.component for r in frame.collect()} == {1, 2, 3}
+    check(frame, rows)
+
+
+def test_huge_entries(vectors):
+    rows = [(i, [float(i), (-1) ** i * 3e38]) for i in range(8)] + [(9, [1e30, -1e30])]
+    found = whitening.whitened(vectors(rows)).collect()
+    assert {r.n for r in found} == {9} and all(np.isfinite(r.whitened) for r in found)
+    assert max(r.deviation for r in found) == (1 << 63) - 1
+
+
+def test_sums_do_not_depend_on_the_partitions(vectors):
+    found = [whitening.moments(whitening.whole(vectors(AWKWARD).repartition(n))) for n in (1, 13)]
+    assert found[0].n == found[1].n and found[0].sums == found[1].sums
+    assert (found[0].covariance == found[1].covariance).all()
+    _, x, covariance, _ = brute(AWKWARD)
+    assert found[0].sums == x.sum(axis=0).tolist() and np.allclose(found[0].covariance, covariance, rtol=1e-12, atol=1e-12)
+
+
+def turned(values, seed=0):
+    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(values), len(values))))[0]
+    made = basis @ np.diag(values) @ basis.T
+    return (made + made.T) / 2
+
+
+SPECTRA = {
+    "spread": np.arange(1.0, 50.0),
+    "ties": [5.0] * 10 + [3.0] * 30 + [0.0] * 10,
+    "a tie over the last": [7.0] * 33 + [1.0] * 17,
+    "equal": [2.0] * 45,
+    "one": [4.0],
+    "near": 60 + np.arange(64) * 0.01,
+    "steep": [10.0**-i for i in range(0, 20)],
+    "two far above": [400.0, 130.0, *(68 - 0.3 * np.arange(62))],
+}
+
+
+@pytest.mark.parametrize("name", SPECTRA)
+def test_contours_find_all(spark, name):
+    matrix = turned(np.array(SPECTRA[name], float))
+    values, vectors = whitening.components(spark, matrix, 32)
+    expected = np.sort(np.linalg.eigvalsh(matrix))[::-1]
+    expected = expected[expected > 1e-11 * expected[0]][:32]
+    assert np.allclose(values, expected, rtol=1e-9, atol=1e-13 * expected[0]) and len(values) == len(expected)
+    assert np.abs(vectors @ vectors.T - np.eye(len(values))).max() < 1e-9
+    assert np.abs(matrix @ vectors.T - vectors.T * values).max() < 1e-11 * expected[0]
+
+
+def test_a_missed_eigenvalue_is_an_error():
+    part = whitening.intervals(turned(np.arange(1.0, 20.0)), 8)[0]
+    part.count += 1
+    with pytest.raises(ArithmeticError, match="were found"):
+        whitening.contour(turned(np.arange(1.0, 20.0)), part)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(-4, 4), min_size=1, max_size=25), st.lists(st.floats(-6, 6), min_size=1, max_size=9), st.integers(0, 99))
+def test_inertia_counts(values, shifts, seed):
+    matrix = turned(np.array(values, float), seed)
+    exact = np.linalg.eigvalsh(matrix)
+    shifts = np.array([s for s in shifts if np.abs(exact - s).min() > 1e-9] or [9.5])
+    got = whitening.below(whitening.three_diagonals(matrix), shifts)
+    assert got.tolist() == [int((exact < s).sum()) for s in shifts]
+
+
+def test_whole_table(spark, sf_dir):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    check(op13_whitening(spark, sf_dir), rows)
