@@ -25,13 +25,13 @@ from carelens.functions import text as X  # noqa: E402
 from carelens.functions import time as T  # noqa: E402
 from carelens.operators import compare, daily, ingest, quality, sleep, staging  # noqa: E402
 from carelens.plans import load as loading  # noqa: E402
-from carelens.plans.build import build, ingest_exports, relations  # noqa: E402
+from carelens.plans.build import PUBLISHED, ChecksFailed, build, ingest_exports, publish, relations  # noqa: E402
 from carelens.plans.mart import mart_daily_metrics  # noqa: E402
 from carelens.session import remove, scratch_path  # noqa: E402
 from carelens.sources import subjects as registry  # noqa: E402
 from carelens.sources.exports import read_all_exports  # noqa: E402
 from carelens.sources.fixtures import Fixture, export_time  # noqa: E402
-from carelens.sources.tables import raw, raw_relations, read_text, table_path, write_text  # noqa: E402
+from carelens.sources.tables import create_table, raw, raw_relations, read_text, table_name, write_text  # noqa: E402
 
 try:
     from carelens.llm import queries as corpus  # noqa: E402
@@ -175,16 +175,34 @@ def _exports_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _built_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All the way: exports are written, found, loaded and built, and the published table is read."""
-    folder, base = scratch_path(spark, "exports"), scratch_path(spark, "base")
+    folder = scratch_path(spark, "exports")
     nations = _write_exports(Fixture(spark, sf_dir), folder)
+    base = _new_base(spark)
     loading.create_tables(spark, base)
     ingest_exports(spark, folder, nations, base, AS_OF)
-    built = build(spark, base, f"built_{uuid.uuid4().hex}", "ci", scratch_path(spark, "marts"))
-    for done in (folder, base):
-        remove(spark, done)
+    # A nation's events are many subjects' together, so their days go beyond what one subject's may have.
+    bounds = [check for check in quality.row_checks("mart_daily_metrics") if not check.endswith("is null")]
+    built = build(spark, base, f"built_{uuid.uuid4().hex}", "ci", scratch_path(spark, "marts"), bounds)
+    remove(spark, folder)
+    spark.sql(f"DROP DATABASE {base} CASCADE")
     return built["mart_daily_metrics"]
 
 
+def _new_base(spark: SparkSession) -> str:
+    """A database of its own in the shared folder."""
+    base = f"base_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {base} LOCATION '{scratch_path(spark, 'base')}'")
+    return base
+
+
+def _new_table(spark: SparkSession, table: str, rows: DataFrame) -> str:
+    """A table of its own that holds the rows."""
+    name = table_name(_new_base(spark), table)
+    create_table(spark, name, rows.schema)
+    loading.append_rows(rows, name)
+    return name
+
+
 def _text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingested feeds written as transformed CSV and read back typed."""
     f, path = Fixture(spark, sf_dir), scratch_path(spark, "feeding_sessions_csv")
@@ -203,40 +221,30 @@ def _stored_sleeps(f: Fixture) -> DataFrame:
 
 
 def _tagged_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f, path = Fixture(spark, sf_dir), scratch_path(spark, "sleep_sessions")
-    stored = _stored_sleeps(f)
-    loading.append_rows(stored, path)
+    f = Fixture(spark, sf_dir)
+    name = _new_table(spark, "sleep_sessions", _stored_sleeps(f))
     batch = f.sleeps.withColumn("notes", F.lit("reloaded"))
-    loading.tagged_replace(batch, path)
-    loading.tagged_replace(batch, path)
-    return (
-        spark.read.schema(stored.schema)
-        .parquet(path)
-        .select("id", "baby_id", "start_time", "end_time", "sleep_type", "notes", "source")
-    )
+    loading.tagged_replace(batch, name)
+    loading.tagged_replace(batch, name)
+    return spark.table(name).select("id", "baby_id", "start_time", "end_time", "sleep_type", "notes", "source")
 
 
 def _subject_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reload the subjects of one market segment only; all others keep their ingested rows."""
-    f, path = Fixture(spark, sf_dir), scratch_path(spark, "sleep_sessions")
-    stored = _stored_sleeps(f)
-    loading.append_rows(stored, path)
+    f = Fixture(spark, sf_dir)
+    name = _new_table(spark, "sleep_sessions", _stored_sleeps(f))
     chosen = f.table("customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("baby_id"))
     batch = f.sleeps.join(chosen, "baby_id", "left_semi").select(f.sleeps.columns)
     batch = batch.withColumn("notes", F.lit("reloaded")).withColumn("source", F.lit(K.INGESTED))
-    loading.subject_replace(batch, chosen, path)
-    return (
-        spark.read.schema(stored.schema)
-        .parquet(path)
-        .select("id", "baby_id", "start_time", "end_time", "sleep_type", "notes", "source")
-    )
+    loading.subject_replace(batch, chosen, name)
+    return spark.table(name).select("id", "baby_id", "start_time", "end_time", "sleep_type", "notes", "source")
 
 
 def _profile_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update the profiles of one market segment and add one profile per supplier."""
-    f, path = Fixture(spark, sf_dir), scratch_path(spark, "baby_profiles")
+    f = Fixture(spark, sf_dir)
     stored = f.profiles.withColumn("source", F.lit(K.APP))
-    loading.append_rows(stored, path)
+    name = _new_table(spark, "baby_profiles", stored)
     changed = f.table("customer").where("c_mktsegment = 'BUILDING'").select(
         F.col("c_custkey").alias("id"), F.concat(F.col("c_name"), F.lit(" renamed")).alias("name")
     )
@@ -244,16 +252,16 @@ def _profile_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = stored.limit(0).unionByName(
         changed.unionByName(added).withColumn("source", F.lit(K.INGESTED)), allowMissingColumns=True
     )
-    loading.upsert(batch, path)
-    return spark.read.schema(stored.schema).parquet(path).select("id", "name", "date_of_birth", "is_active", "source")
+    loading.upsert(batch, name)
+    return spark.table(name).select("id", "name", "date_of_birth", "is_active", "source")
 
 
 def _loaded(spark: SparkSession, sf_dir: str, times: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Load all exports of the fixture into new tables that already hold app rows."""
-    f, base = Fixture(spark, sf_dir), scratch_path(spark, "base")
+    f, base = Fixture(spark, sf_dir), _new_base(spark)
     loading.create_tables(spark, base)
     by_hand = ingest.ingest_diapers(_export(f, "diaper")).withColumn("id", F.col("id").cast("string"))
-    loading.append_rows(by_hand.withColumn("source", F.lit(K.APP)), table_path(base, "diaper_events"))
+    loading.append_rows(by_hand.withColumn("source", F.lit(K.APP)), table_name(base, "diaper_events"))
     events = ingest.ingest({kind: f.export_rows(kind).withColumn("row_id", F.col("event_id").cast("string"))
                             for kind in K.EXPORT_KINDS}, f.subjects)
     before = _kept(loading.stored_counts(spark, base))
@@ -311,14 +319,54 @@ def _broken_days(f: Fixture) -> DataFrame:
     return days.withColumns(spoiled).withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
 
 
-def _named_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A registry of configuration entries, one per nation, and the one of them called for."""
-    f = Fixture(spark, sf_dir)
-    entries = [
-        {"name": r.n_name, "date_of_birth": "2024-01-01", "gender": "other", "timezone": "UTC", "datetime_format": DAY_FIRST}
-        for r in f.table("nation").select("n_name").collect()
-    ]
-    return registry.profiles_from(registry.only_subject(registry.registry(spark, entries), "nAtIoN_7"), AS_OF)
+def _refused(f: Fixture) -> tuple[str, list[tuple[str, str, int]]]:
+    """Publish the facts and the mart, then try to publish broken ones: the database, and why they were refused."""
+    spark, database = f.spark, f"published_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'published')}'")
+    sound, broken, found = relations(raw_relations(f.relations())), _broken_relations(f), []
+    for name, order in PUBLISHED.items():
+        publish(sound[name], database, name, order)
+        try:
+            publish(broken[name], database, name, order, name)
+        except ChecksFailed as failed:
+            found += failed.violations
+    return database, found
+
+
+def _refused_report(f: Fixture) -> DataFrame:
+    _, found = _refused(f)
+    return f.spark.createDataFrame(found, "relation string, check_name string, violations long")
+
+
+def _refused_mart(f: Fixture) -> DataFrame:
+    """What readers find after a broken mart was refused."""
+    database, _ = _refused(f)
+    return f.spark.table(f"{database}.mart_daily_metrics")
+
+
+def _checked_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks of a build from stored tables, whatever they find."""
+    f, base = Fixture(spark, sf_dir), _new_base(spark)
+    loading.create_tables(spark, base)
+    for table in schemas.LOADED_TABLES:
+        rows, kinds = f.relations()[table].withColumn("source", F.lit(K.APP)), schemas.with_source(schemas.TABLES[table])
+        loading.append_rows(rows.select(*(F.col(k.name).cast(k.dataType).alias(k.name) for k in kinds)), table_name(base, table))
+    built = build(spark, base, f"built_{uuid.uuid4().hex}", "ci", scratch_path(spark, "marts"), quality.check_names())
+    return built["data_checks"]
+
+
+def _named_profiles(f: Fixture) -> DataFrame:
+    """The profile of the one subject called for, of a registry with an entry per customer."""
+    called = f.table("customer").select(
+        F.col("c_name").alias("name"),
+        F.lit("2024-01-01").cast("date").alias("date_of_birth"),
+        F.lit("other").alias("gender"),
+        F.lit("UTC").alias("timezone"),
+        F.lit(DAY_FIRST).alias("datetime_format"),
+        *(F.lit(None).cast("double").alias(c) for c in ("birth_weight", "birth_length", "birth_head_circumference")),
+        F.lit(K.DEFAULT_PROFILE_NOTES).alias("notes"),
+    )
+    return registry.profiles_from(registry.only_subject(called, "cUsToMeR#000000007"), AS_OF)
 
 
 def queries() -> dict[str, Query]:
@@ -338,7 +386,7 @@ def _care_queries() -> dict[str, Query]:
         "typed_convert": _on(_typed),
         "subject_uuid5": _on(_subject_ids),
         "profiles_from_registry": _on(_profiles),
-        "profile_by_name": _named_profiles,
+        "profile_by_name": _on(_named_profiles),
         "ingest_diaper": _on(lambda f: ingest.ingest_diapers(_export(f, "diaper"))),
         "ingest_sleep": _on(lambda f: ingest.ingest_sleeps(_export(f, "sleep"))),
         "ingest_feeding": _on(
@@ -380,6 +428,9 @@ def _care_queries() -> dict[str, Query]:
         "dq_grain": _on(lambda f: quality.grain_report(_mart(f))),
         "dq_ranges": _on(lambda f: quality.range_report(_mart(f))),
         "dq_range_rows": _on(lambda f: quality.range_violations(_mart(f))),
+        "build_checks": _checked_build,
+        "publish_refused": _on(_refused_report),
+        "publish_keeps_old": _on(_refused_mart),
         "dq_not_null_broken": _on(lambda f: quality.not_null_report(_broken_relations(f))),
         "dq_unique_broken": _on(lambda f: quality.unique_report(_broken_relations(f))),
         "dq_accepted_values_broken": _on(lambda f: quality.accepted_values_report(_broken_feeds(f))),

@@ -32,7 +32,7 @@ from carelens.plans.mart import mart_daily_metrics  # noqa: E402
 from carelens.session import local_session, remove, scratch_path  # noqa: E402
 from carelens.sources.exports import read_all_exports  # noqa: E402
 from carelens.sources.fixtures import Fixture  # noqa: E402
-from carelens.sources.tables import table_path  # noqa: E402
+from carelens.sources.tables import create_table, table_name  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -145,19 +145,22 @@ def main() -> None:
 
     seconds["csv_ingest"] = median(csv_ingest)
 
-    table = place("sleep_sessions")
-    loading.append_rows(fixture.sleeps.withColumn("source", F.lit(K.APP)), table)
+    spark.sql(f"CREATE DATABASE bench_base LOCATION '{place('base')}'")
+    table, sleeps = "bench_base.loaded_sleeps", fixture.sleeps.withColumn("source", F.lit(K.APP))
+    create_table(spark, table, sleeps.schema)
+    loading.append_rows(sleeps, table)
     seconds["tagged_replace"] = median(lambda: loading.tagged_replace(fixture.sleeps, table))
 
-    base = place("base")
+    base = "bench_base"
     loading.create_tables(spark, base)
     for name in schemas.LOADED_TABLES:
         rows = fixture.relations()[name].withColumn("source", F.lit(K.APP))
         kinds = schemas.with_source(schemas.TABLES[name])
-        loading.append_rows(rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in kinds)), table_path(base, name))
+        loading.append_rows(rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in kinds)), table_name(base, name))
     marts = place("marts")
-    seconds["build"] = median(lambda: build(spark, base, "bench", "ci", marts))
+    seconds["build"] = median(lambda: build(spark, base, "bench", "ci", marts, quality.check_names()))
     spark.sql("DROP DATABASE bench_marts CASCADE")
+    spark.sql("DROP DATABASE bench_base CASCADE")
     for path in scratch:
         remove(spark, path)
 

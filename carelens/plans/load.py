@@ -1,41 +1,58 @@
 """Loading typed rows into stored tables, so that running a load twice changes nothing.
 
-Tables are Parquet partitioned by the lineage tag ``source`` and by ``bucket``, a hash of the subject (of the id in
-profiles). Reloading replaces partitions of one tag and leaves rows of every other tag alone; reloading some subjects
-or upserting some profiles rewrites their buckets only. A bucket is labelled with how many there are
+Tables are partitioned by the lineage tag ``source``, by ``bucket``, a hash of the subject (of the id in profiles), and by the
+load that wrote the rows. Reloading replaces partitions of one tag and leaves rows of every other tag alone; reloading
+some subjects or upserting some profiles rewrites their buckets only. A bucket is labelled with how many there are
 (``bucket=3-of-16``), so that number belongs to the table and is read back from it.
 
-What a replacement makes of the partitions it touches is written aside first. That evaluates the batch once and gives
-its size and buckets before the table is touched; then the replacement is noted and carried out, and a note that a
-dying job leaves behind is carried out by whoever opens or loads the table next. A load refuses a batch that would
-lose rows.
+Every change is prepared first: its rows are written once, as partitions that the table's view does not show, and counted
+while they are written. Then it is turned to, or dropped. A load prepares all its tables, refuses to lose rows, and turns
+all views only then. A job that dies before leaves partitions that nobody reads and the next change drops.
 """
 
 from __future__ import annotations
 
-import uuid
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from carelens import constants as K
 from carelens import schemas
-from carelens.session import remove
-from carelens.sources.tables import STAGED, finish_replacing, open_tables, replace_partitions, require_tables, table_path
+from carelens.session import remove, scratch_path
+from carelens.sources.tables import (
+    BUCKET,
+    WRITTEN,
+    Live,
+    Shown,
+    condition,
+    create_table,
+    drop_partitions,
+    new_load,
+    open_tables,
+    partitions,
+    require_tables,
+    rows_name,
+    show,
+    shown,
+    table_name,
+)
 
 #: Buckets of a new table. More make reloads of few subjects cheaper and whole loads write more files.
 BUCKETS = 16
 
 
-def create_tables(spark: SparkSession, base: str) -> None:
-    """Empty tables for a new base; existing ones are left as they are."""
+def create_tables(spark: SparkSession, base: str, location: str | None = None) -> None:
+    """Empty tables in the database ``base``, which is made if need be; existing ones are left as they are.
+
+    ``location`` is where a new database keeps its files.
+    """
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{base}`{at}")
     for table, schema in schemas.TABLES.items():
-        empty = spark.createDataFrame([], schemas.with_source(schema))
-        empty.write.mode("ignore").partitionBy("source").parquet(table_path(base, table))
+        create_table(spark, table_name(base, table), schemas.with_source(schema))
 
 
 def bucket_label(subject: Column, buckets: int) -> Column:
@@ -47,89 +64,108 @@ def _key(columns: list[str]) -> str:
     return "baby_id" if "baby_id" in columns else "id"
 
 
-def _with_bucket(like: DataFrame) -> StructType:
-    return StructType([f for f in like.schema.fields if f.name != "bucket"]).add("bucket", "string")
+def bucket_count(live: Live, default: int | None = None) -> int:
+    """How many buckets the table has, told by any label."""
+    label = next((bucket for _, bucket in live), None)
+    return int(label.rpartition("-")[2]) if label else default or BUCKETS
 
 
-def _stored(like: DataFrame, path: str) -> DataFrame:
-    """The table at ``path`` with the columns of ``like`` and its bucket."""
-    return like.sparkSession.read.schema(_with_bucket(like)).parquet(path)
+def _stored(spark: SparkSession, name: str, live: Live) -> DataFrame:
+    """The table's rows that count, with their bucket."""
+    return spark.table(rows_name(name)).where(condition(live)).drop(WRITTEN)
 
 
-def bucket_count(like: DataFrame, path: str, default: int | None = None) -> int:
-    """How many buckets the table has, told by any label; only partition names are read."""
-    try:
-        label = _stored(like, path).where(F.col("bucket").isNotNull()).select("bucket").head()
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        label = None
-    return int(label.bucket.rpartition("-")[2]) if label else default or BUCKETS
-
-
-class Batch:
-    """Rows written aside by tag and bucket, and how many there are in each."""
-
-    def __init__(self, rows: DataFrame, path: str, buckets: int) -> None:
-        """``path`` is the table they are meant for."""
-        self.spark, self.path = rows.sparkSession, f"{path}/{STAGED}/{uuid.uuid4().hex}"
-        placed = rows.withColumn("bucket", bucket_label(F.col(_key(rows.columns)), buckets))
-        # Rebalancing lets AQE split a bucket that a hot subject makes large and merge small ones.
-        placed.hint("rebalance", F.col("source"), F.col("bucket")).write.partitionBy("source", "bucket").parquet(self.path)
-        self.rows = _stored(placed, self.path).select(rows.columns)
-        counts = _stored(placed, self.path).groupBy("source", "bucket").count().collect()
-        self.counts = {(r.source, r.bucket): r["count"] for r in counts}
-
-    def size(self) -> int:
-        return sum(self.counts.values())
+class Overtaken(RuntimeError):
+    """Another load changed the table in the meantime."""
+
+
+@dataclass
+class Change:
+    """Rows that are written but not shown yet, and what the table shows with them."""
+
+    spark: SparkSession
+    name: str
+    load: str
+    before: Shown
+    live: Live
+    #: Rows of the batch, and rows of the same kind that the table had.
+    size: int
+    held: int = 0
+
+    def turn(self) -> int:
+        """Show them, and drop what was not shown before either. Returns the rows of the batch."""
+        if shown(self.spark, self.name).turned != self.before.turned:
+            self.drop()
+            raise Overtaken(f"{self.name} was changed by another load")
+        show(self.spark, self.name, self.live, self.load)
+        kept = {(*place, load) for live in (self.before.live, self.live) for place, loads in live.items() for load in loads}
+        drop_partitions(self.spark, self.name, [x for x in partitions(self.spark, self.name) if x not in kept])
+        return self.size
 
     def drop(self) -> None:
-        remove(self.spark, self.path)
+        """Take back what was written."""
+        drop_partitions(self.spark, self.name, partitions(self.spark, self.name, self.load))
 
 
-def append_rows(rows: DataFrame, path: str, buckets: int | None = None) -> int:
+def _written(rows: DataFrame, name: str, load: str, buckets: int, batch: Column | None = None) -> tuple[int, Live]:
+    """Write the rows as partitions of a load; how many of them fulfil ``batch``, and where they went."""
+    spark, seen = rows.sparkSession, Observation()
+    placed = rows.withColumns({BUCKET: bucket_label(F.col(_key(rows.columns)), buckets), WRITTEN: F.lit(load)})
+    # Rebalancing lets AQE split a bucket that a hot subject makes large and merge small ones. Rows are counted after it,
+    # where no task's work is done twice.
+    spread = placed.hint("rebalance", F.col("source"), F.col(BUCKET))
+    counted = spread.observe(seen, F.count_if(F.lit(True) if batch is None else batch).alias("rows"))
+    counted.select(spark.table(rows_name(name)).columns).write.insertInto(rows_name(name))
+    return seen.get["rows"], {(tag, bucket): [load] for tag, bucket, _ in partitions(spark, name, load)}
+
+
+def append_rows(rows: DataFrame, name: str, buckets: int | None = None) -> int:
     """Add rows to a table and return how many. ``buckets`` counts for a table without rows."""
-    batch = Batch(rows, path, bucket_count(rows, path, buckets))
-    stored = batch.spark.read.schema(_with_bucket(rows)).parquet(batch.path)
-    stored.write.mode("append").partitionBy("source", "bucket").parquet(path)
-    batch.drop()
-    return batch.size()
+    before, load = shown(rows.sparkSession, name), new_load()
+    size, added = _written(rows, name, load, bucket_count(before.live, buckets))
+    live = {place: before.live.get(place, []) + added.get(place, []) for place in {**before.live, **added}}
+    return Change(rows.sparkSession, name, load, before, live, size).turn()
 
 
-def _partitions(rows: DataFrame) -> set[tuple[str, str]]:
-    """Tags and buckets in use: as many as there are partitions, whatever the table's size."""
-    return {(r.source, r.bucket) for r in rows.select("source", "bucket").distinct().collect()}
+def prepare_tagged_replace(rows: DataFrame, name: str, tag: str = K.INGESTED) -> Change:
+    spark, tagged = rows.sparkSession, rows.withColumn("source", F.lit(tag))
+    before, load = shown(spark, name), new_load()
+    size, added = _written(tagged, name, load, bucket_count(before.live))
+    own = {place: loads for place, loads in before.live.items() if place[0] == tag}
+    others = {place: loads for place, loads in before.live.items() if place[0] != tag}
+    held = _stored(spark, name, own).count() if own else 0
+    return Change(spark, name, load, before, others | added, size, held)
 
 
-def tagged_replace(rows: DataFrame, path: str, tag: str = K.INGESTED) -> int:
+def tagged_replace(rows: DataFrame, name: str, tag: str = K.INGESTED) -> int:
     """Replace exactly the rows tagged ``tag`` and return how many were written."""
+    return prepare_tagged_replace(rows, name, tag).turn()
+
+
+def prepare_subject_replace(rows: DataFrame, subjects: DataFrame, name: str, tag: str = K.INGESTED) -> Change:
     spark, tagged = rows.sparkSession, rows.withColumn("source", F.lit(tag))
-    finish_replacing(spark, path)
-    batch = Batch(tagged, path, bucket_count(tagged, path))
-    held = _partitions(_stored(tagged, path).where(F.col("source") == tag))
-    replace_partitions(spark, path, batch.path, held - set(batch.counts))
-    return batch.size()
+    before, load = shown(spark, name), new_load()
+    buckets = bucket_count(before.live)
+    subjects = subjects.select("baby_id").distinct()
+    touched = {r[0] for r in subjects.select(bucket_label(F.col("baby_id"), buckets)).distinct().collect()}
+    own = {place: loads for place, loads in before.live.items() if place[0] == tag and place[1] in touched}
+    old = _stored(spark, name, own)
+    kept = old.join(subjects, "baby_id", "left_anti").select(tagged.columns).withColumn("__batch", F.lit(False))
+    # A row of any other subject would replace a bucket nobody asked to replace.
+    named = tagged.join(subjects, "baby_id", "left_semi").select(tagged.columns).withColumn("__batch", F.lit(True))
+    size, added = _written(kept.unionByName(named), name, load, buckets, F.col("__batch"))
+    held = old.join(subjects, "baby_id", "left_semi").count() if own else 0
+    others = {place: loads for place, loads in before.live.items() if place not in own}
+    return Change(spark, name, load, before, others | added, size, held)
 
 
-def subject_replace(rows: DataFrame, subjects: DataFrame, path: str, tag: str = K.INGESTED) -> int:
+def subject_replace(rows: DataFrame, subjects: DataFrame, name: str, tag: str = K.INGESTED) -> int:
     """Replace the rows of some subjects (``baby_id`` of ``subjects``) within one tag.
 
     Returns how many rows were loaded. Only the subjects' buckets are read and
     rewritten; rows of other subjects in them are carried over.
     """
-    spark, tagged = rows.sparkSession, rows.withColumn("source", F.lit(tag))
-    finish_replacing(spark, path)
-    buckets = bucket_count(tagged, path)
-    subjects = subjects.select("baby_id").distinct()
-    touched = [r[0] for r in subjects.select(bucket_label(F.col("baby_id"), buckets)).distinct().collect()]
-    old = _stored(tagged, path).where((F.col("source") == tag) & F.col("bucket").isin(*touched))
-    kept = old.join(subjects, "baby_id", "left_anti").select(tagged.columns)
-    # A row of any other subject would replace a bucket nobody asked to replace.
-    named = tagged.join(subjects, "baby_id", "left_semi").select(tagged.columns)
-    batch = Batch(kept.unionByName(named), path, buckets)
-    loaded = batch.rows.join(subjects, "baby_id", "left_semi").count()
-    replace_partitions(spark, path, batch.path, _partitions(old) - set(batch.counts))
-    return loaded
+    return prepare_subject_replace(rows, subjects, name, tag).turn()
 
 
 def assert_unique(rows: DataFrame, key: str) -> None:
@@ -144,24 +180,31 @@ def upserted(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return target.join(batch.select(key), key, "left_anti").select(batch.columns).unionByName(batch)
 
 
-def upsert(rows: DataFrame, path: str, key: str = "id") -> int:
-    """Upsert the rows into the table at ``path`` and return how many they are.
+def prepare_upsert(rows: DataFrame, name: str, key: str = "id") -> Change:
+    spark, seen = rows.sparkSession, Observation()
+    before, load = shown(spark, name), new_load()
+    buckets = bucket_count(before.live)
+    # The batch is read three times, so it is evaluated into the shared folder first.
+    path = scratch_path(spark, "upsert")
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    try:
+        batch = spark.read.schema(rows.schema).parquet(path)
+        assert_unique(batch, key)
+        touched = {r[0] for r in batch.select(bucket_label(F.col(key), buckets)).distinct().collect()}
+        own = {place: loads for place, loads in before.live.items() if place[1] in touched}
+        _, added = _written(upserted(_stored(spark, name, own).select(rows.columns), batch, key), name, load, buckets)
+    finally:
+        remove(spark, path)
+    others = {place: loads for place, loads in before.live.items() if place not in own}
+    return Change(spark, name, load, before, others | added, seen.get["rows"])
+
+
+def upsert(rows: DataFrame, name: str, key: str = "id") -> int:
+    """Upsert the rows into a table and return how many they are.
 
     Only the buckets that the rows' keys fall into are read and rewritten, in all tags, since a key may move.
     """
-    spark = rows.sparkSession
-    finish_replacing(spark, path)
-    buckets = bucket_count(rows, path)
-    batch = Batch(rows, path, buckets)
-    try:
-        assert_unique(batch.rows, key)
-        touched = sorted({bucket for _, bucket in batch.counts})
-        old = _stored(rows, path).where(F.col("bucket").isin(*touched))
-        result = Batch(upserted(old.select(rows.columns), batch.rows, key), path, buckets)
-    finally:
-        batch.drop()
-    replace_partitions(spark, path, result.path, _partitions(old) - set(result.counts))
-    return batch.size()
+    return prepare_upsert(rows, name, key).turn()
 
 
 def count_by_source(tables: dict[str, DataFrame]) -> DataFrame:
@@ -208,20 +251,6 @@ class RowsLost(ValueError):
     """A reload that would leave fewer ingested rows than there are."""
 
 
-def _check_sizes(tables: dict[str, DataFrame], events: dict[str, DataFrame], only: DataFrame | None) -> None:
-    """Fail, before anything is written, with the tables whose ingested rows would become fewer."""
-    fewer = []
-    for table in schemas.EVENT_TABLES:
-        held, new = tables[table].where(F.col("source") == K.INGESTED), events[table]
-        if only is not None:
-            held, new = (rows.join(only.select("baby_id").distinct(), "baby_id", "left_semi") for rows in (held, new))
-        before, after = held.count(), new.count()
-        if after < before:
-            fewer.append(f"{table} from {before} to {after}")
-    if fewer:
-        raise RowsLost(f"ingested rows would become fewer: {', '.join(fewer)}; pass accept_fewer if that is right")
-
-
 def load(
     spark: SparkSession,
     base: str,
@@ -234,18 +263,23 @@ def load(
 
     With ``only`` (a frame with ``baby_id``) the batch speaks for those
     subjects alone and the ingested rows of all others stay. A batch that would leave fewer ingested rows of an event
-    table than there are is refused unless ``accept_fewer``.
+    table than there are is refused unless ``accept_fewer``, and then no table changes.
     """
     require_tables(spark, base, schemas.LOADED_TABLES)
-    if not accept_fewer:
-        _check_sizes(open_tables(spark, base), events, only)
-    written = [("baby_profiles", upsert(profiles, table_path(base, "baby_profiles")))]
-    for table in schemas.EVENT_TABLES:
-        path = table_path(base, table)
-        if only is None:
-            written.append((table, tagged_replace(events[table], path)))
-        else:
-            written.append((table, subject_replace(events[table], only, path)))
+    changes: dict[str, Change] = {}
+    try:
+        changes["baby_profiles"] = prepare_upsert(profiles, table_name(base, "baby_profiles"))
+        for table in schemas.EVENT_TABLES:
+            rows, name = events[table], table_name(base, table)
+            changes[table] = prepare_tagged_replace(rows, name) if only is None else prepare_subject_replace(rows, only, name)
+        fewer = [f"{t} from {c.held} to {c.size}" for t, c in changes.items() if t in schemas.EVENT_TABLES and c.size < c.held]
+        if fewer and not accept_fewer:
+            raise RowsLost(f"ingested rows would become fewer: {', '.join(fewer)}; pass accept_fewer if that is right")
+    except BaseException:
+        for change in changes.values():
+            change.drop()
+        raise
+    written = [(table, change.turn()) for table, change in changes.items()]
     return with_total(spark.createDataFrame(written, "table_name string, rows bigint"))
 
 

@@ -330,12 +330,12 @@ def _ingest() -> dict[str, str]:
             {_nulls('birth_weight DOUBLE', 'birth_length DOUBLE', 'birth_head_circumference DOUBLE')} FROM kid""",
             "kid",
         ),
-        "profile_by_name": f"""SELECT {uuid5("n_name")} AS id, n_name AS name, DATE '2024-01-01' AS date_of_birth,
+        "profile_by_name": f"""SELECT {uuid5("c_name")} AS id, c_name AS name, DATE '2024-01-01' AS date_of_birth,
             'other' AS gender, 'UTC' AS timezone, 'Migrated from seed data' AS notes,
             TIMESTAMP '2024-01-01' AS created_at, TIMESTAMP '2024-02-01' AS updated_at, true AS is_active,
             'ingested' AS source,
             {_nulls('birth_weight DOUBLE', 'birth_length DOUBLE', 'birth_head_circumference DOUBLE')}
-            FROM nation WHERE n_name = 'NATION_7'""",
+            FROM customer WHERE c_name = 'Customer#000000007'""",
         "ingest_diaper": on_ingested(diaper_sql),
         "ingest_sleep": on_ingested(sleep),
         "ingest_feeding": on_ingested(feed),
@@ -452,6 +452,26 @@ def _quality() -> dict[str, str]:
         cases=", ".join(f"CASE baby_id % 11 {case} ELSE {c} END AS {c}" for c, case in beyond.items())
     )
     row_of = keys | {"wake": "baby_id", "daily": "baby_id"}
+    copied = "(SELECT d.* FROM daily d JOIN (VALUES (1), (2)) c(copy) ON copy = 1 OR baby_id % 89 = 0)"
+    spoiled = {c: f"CASE WHEN baby_id % 97 <> {i} THEN {c} END" for i, c in enumerate(needed["daily"][1].split(), 1)}
+    kept = {c: spoiled.get(c, c) for c in [b.split()[0] for b in bounds]}
+    refused = " UNION ALL ".join(
+        [
+            f"""SELECT '{name}' AS relation, '{c} is null' AS check_name,
+            CAST(ifnull(sum({twice.format(key=row_of[part])}) FILTER (WHERE {row_of[part]} % 97 = {i} OR {c} IS NULL), 0)
+                 AS BIGINT) AS violations FROM {part}"""
+            for part, (name, columns) in needed.items()
+            if part in ("rest", "wake", "daily")
+            for i, c in enumerate(columns.split(), 1)
+        ]
+        + [
+            """SELECT 'fct_sleep_sessions', 'sleep_id repeats',
+            count(*) FILTER (WHERE sleep_id % 89 = 0 AND sleep_id % 97 <> 1) FROM rest""",
+            f"""SELECT 'mart_daily_metrics', 'baby_id, metric_date repeats', count(*)
+            FROM (SELECT count(*) AS n FROM {copied} GROUP BY {spoiled["baby_id"]}, {spoiled["metric_date"]}) WHERE n > 1""",
+        ]
+        + [f"SELECT 'mart_daily_metrics', '{b}', count(*) FROM {copied} WHERE {kept[b.split()[0]]} {b.split(' ', 1)[1]}" for b in bounds]
+    )
     return {
         "dq_not_null_broken": sql(
             " UNION ALL ".join(
@@ -486,6 +506,33 @@ def _quality() -> dict[str, str]:
             "daily",
         ),
         "dq_range_rows_broken": sql(f"SELECT * FROM {odd} WHERE {' OR '.join(bounds)}", "daily"),
+        "build_checks": sql(
+            " UNION ALL ".join(
+                [
+                    f"SELECT '{name}' AS relation, '{c} is null' AS check_name, count(*) - count({c}) AS violations FROM {part}"
+                    for part, (name, columns) in needed.items()
+                    for c in columns.split()
+                ]
+                + [
+                    f"""SELECT '{needed[part][0]}', '{c} repeats', count(*)
+                    FROM (SELECT {c} FROM {part} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"""
+                    for part, c in keys.items()
+                ]
+                + [
+                    """SELECT 'stg_feeding_sessions', 'feeding_type is not accepted', count(*)
+                    FROM feed WHERE feeding_type NOT IN ('BREAST', 'BOTTLE', 'SOLID')""",
+                    """SELECT 'mart_daily_metrics', 'baby_id, metric_date repeats', count(*)
+                    FROM (SELECT baby_id, metric_date FROM daily GROUP BY ALL HAVING count(*) > 1)""",
+                ]
+                + [f"SELECT 'mart_daily_metrics', '{b}', count(*) FROM daily WHERE {b}" for b in bounds]
+            ),
+            *needed,
+        ),
+        "publish_refused": sql(
+            f"SELECT * FROM ({refused}) WHERE violations > 0",
+            *(part for part in needed if part in ("rest", "wake", "daily")),
+        ),
+        "publish_keeps_old": sql("SELECT * FROM daily", "daily"),
         "dq_not_null": sql(
             " UNION ALL ".join(
                 f"SELECT '{name}' AS relation, '{c}' AS column_name, count(*) - count({c}) AS violations FROM {part}"

@@ -1,14 +1,17 @@
 from datetime import date, datetime
+from pathlib import Path
 
 import builders as B
 import pytest
 from pyspark.sql import functions as F
 
 from carelens import schemas
+from carelens.operators import quality
+from carelens.operators.staging import stage_feeds
 from carelens.plans import build as plans
 from carelens.plans import load as loading
 from carelens.sources import subjects, tables
-from carelens.sources.tables import open_tables, raw_relations, read_text, require_tables, table_path, write_text
+from carelens.sources.tables import create_table, open_tables, partitions, raw_relations, read_text, require_tables, table_name, write_text
 
 FORMAT = "%d/%m/%y %I:%M %p"
 
@@ -17,18 +20,44 @@ def tagged(frame, tag):
     return frame.withColumn("source", F.lit(tag))
 
 
-def stored(spark, path):
-    rows = spark.read.schema(schemas.with_source(schemas.DIAPERS)).parquet(path)
-    return sorted((r.id, r.baby_id, r.source) for r in rows.collect())
+def stored(spark, name):
+    return sorted((r.id, r.baby_id, r.source) for r in spark.table(name).collect())
 
 
 @pytest.fixture
-def path(spark, tmp_path):
+def base(spark, tmp_path):
+    """A new database in a folder of its own."""
+    base = f"base_{tmp_path.name}".lower().replace("-", "_")[:100]
+    spark.sql(f"CREATE DATABASE {base} LOCATION '{tmp_path / 'base'}'")
+    yield base
+    spark.sql(f"DROP DATABASE {base} CASCADE")
+
+
+@pytest.fixture
+def empty(spark, base):
+    name = f"{base}.diaper_events"
+    create_table(spark, name, schemas.with_source(schemas.DIAPERS))
+    return name
+
+
+@pytest.fixture
+def nobody(spark, base):
+    name = f"{base}.baby_profiles"
+    create_table(spark, name, schemas.with_source(schemas.PROFILES))
+    return name
+
+
+@pytest.fixture
+def table(spark, empty):
     rows = B.diapers(spark, [("a", "2024-01-01 10:00:00", True, True), ("b", "2024-01-01 10:00:00", True, True)])
-    path = str(tmp_path / "diaper_events")
-    loading.append_rows(tagged(rows, "app"), path)
-    loading.append_rows(tagged(rows, "ingested"), path)
-    return path
+    loading.append_rows(tagged(rows, "app"), empty)
+    loading.append_rows(tagged(rows, "ingested"), empty)
+    return empty
+
+
+def files(spark, name):
+    """Files that the rows come from."""
+    return {r[0] for r in spark.table(name).select(F.input_file_name()).distinct().collect()}
 
 
 def batch(spark, *babies):
@@ -38,101 +67,158 @@ def batch(spark, *babies):
 APP = [("d0", "a", "app"), ("d1", "b", "app")]
 
 
-def test_tagged_replace_keeps_other_tags_and_can_be_repeated(spark, path):
+def test_tagged_replace_keeps_other_tags_and_can_be_repeated(spark, table):
     for _ in range(2):
-        assert loading.tagged_replace(batch(spark, "a", "c"), path) == 2
-        assert stored(spark, path) == APP + [("new-a", "a", "ingested"), ("new-c", "c", "ingested")]
+        assert loading.tagged_replace(batch(spark, "a", "c"), table) == 2
+        assert stored(spark, table) == APP + [("new-a", "a", "ingested"), ("new-c", "c", "ingested")]
 
 
-def test_an_empty_batch_still_clears(spark, path):
-    assert loading.tagged_replace(batch(spark, "a").limit(0), path) == 0
-    assert stored(spark, path) == APP
+def test_an_empty_batch_still_clears(spark, table):
+    assert loading.tagged_replace(batch(spark, "a").limit(0), table) == 0
+    assert stored(spark, table) == APP
 
 
-def test_subject_replace_keeps_other_subjects(spark, path):
+def test_subject_replace_keeps_other_subjects(spark, table):
     rows = tagged(batch(spark, "a"), "ingested")
     for _ in range(2):
-        loading.subject_replace(rows, rows.select("baby_id"), path)
-        assert stored(spark, path) == sorted([*APP, ("d1", "b", "ingested"), ("new-a", "a", "ingested")])
-    loading.subject_replace(rows.limit(0), rows.select("baby_id"), path)
-    assert stored(spark, path) == sorted([*APP, ("d1", "b", "ingested")])
-
-
-def test_subject_replace_reads_and_writes_only_their_buckets(spark, tmp_path):
-    path = tmp_path / "t"
-    rows = tagged(B.diapers(spark, [(f"b{i}", "2024-01-01 10:00:00", True, True) for i in range(300)]), "ingested")
-    loading.append_rows(rows, str(path))
-    assert len(list(path.glob("source=ingested/bucket=*-of-16"))) == loading.BUCKETS
-    before = {f: f.stat().st_mtime_ns for f in path.glob("source=*/bucket=*/*.parquet")}
+        loading.subject_replace(rows, rows.select("baby_id"), table)
+        assert stored(spark, table) == sorted([*APP, ("d1", "b", "ingested"), ("new-a", "a", "ingested")])
+    loading.subject_replace(rows.limit(0), rows.select("baby_id"), table)
+    assert stored(spark, table) == sorted([*APP, ("d1", "b", "ingested")])
+
+
+def people_with_diapers(spark, count):
+    return B.diapers(spark, [(f"b{i}", "2024-01-01 10:00:00", True, True) for i in range(count)])
+
+
+def buckets_written_anew(before, after):
+    return {(tag, bucket) for tag, bucket, _ in set(before) ^ set(after)}
+
+
+def test_subject_replace_writes_only_their_buckets(spark, empty):
+    loading.append_rows(tagged(people_with_diapers(spark, 300), "ingested"), empty)
+    before = partitions(spark, empty)
+    assert len(before) == loading.BUCKETS and all(bucket.endswith("-of-16") for _, bucket, _ in before)
     one = B.diapers(spark, [("b7", "2024-01-02 10:00:00", True, True), ("b8", "2024-01-02 10:00:00", True, True)])
-    assert loading.subject_replace(one, one.where("baby_id = 'b7'"), str(path)) == 1
-    after = {f: f.stat().st_mtime_ns for f in path.glob("source=*/bucket=*/*.parquet")}
-    changed = {file.parent.name for file, _ in set(before.items()) ^ set(after.items())}
-    assert len(changed) == 1
-    got = stored(spark, str(path))
+    assert loading.subject_replace(one, one.where("baby_id = 'b7'"), empty) == 1
+    assert len(buckets_written_anew(before, partitions(spark, empty))) == 1
+    got = stored(spark, empty)
     assert len(got) == 300 and ("d0", "b7", "ingested") in got and ("d8", "b8", "ingested") in got
 
 
-def test_a_smaller_reload_leaves_no_old_bucket(spark, tmp_path):
-    path = str(tmp_path / "t")
-    many = B.diapers(spark, [(f"b{i}", "2024-01-01 10:00:00", True, True) for i in range(300)])
-    loading.append_rows(tagged(many, "ingested"), path)
-    assert loading.tagged_replace(many.where("baby_id = 'b7'"), path) == 1
-    assert stored(spark, path) == [("d7", "b7", "ingested")]
+def test_a_smaller_reload_leaves_no_old_bucket(spark, empty):
+    many = people_with_diapers(spark, 300)
+    loading.append_rows(tagged(many, "ingested"), empty)
+    assert loading.tagged_replace(many.where("baby_id = 'b7'"), empty) == 1
+    assert stored(spark, empty) == [("d7", "b7", "ingested")]
 
 
 @pytest.mark.parametrize("buckets", [100, 200])
-def test_any_number_of_buckets_is_kept_by_the_table(spark, tmp_path, buckets):
-    path = str(tmp_path / "t")
-    many = B.diapers(spark, [(f"b{i}", "2024-01-01 10:00:00", True, True) for i in range(300)])
-    loading.append_rows(tagged(many, "ingested"), path, buckets)
-    assert loading.tagged_replace(many, path) == 300
-    assert len(stored(spark, path)) == 300
-    assert loading.bucket_count(tagged(many, "x"), path) == buckets
+def test_any_number_of_buckets_is_kept_by_the_table(spark, empty, buckets):
+    many = people_with_diapers(spark, 300)
+    loading.append_rows(tagged(many, "ingested"), empty, buckets)
+    assert loading.tagged_replace(many, empty) == 300
+    assert len(stored(spark, empty)) == 300
+    assert loading.bucket_count(tables.shown(spark, empty).live) == buckets
+
+
+def test_a_reader_sees_the_old_rows_until_the_view_turns(spark, table, monkeypatch):
+    """Between the write and the turn, and with a plan from before the turn also after it; in another session as well."""
+    other = spark.newSession()
+    old = stored(spark, table)
+    early = spark.table(table)
+    seen, written = [], loading.show
 
+    def between(*arguments):
+        seen.extend([stored(spark, table), stored(other, table)])
+        written(*arguments)
 
-def test_a_load_that_dies_half_way_is_finished_by_the_next_reader(spark, tmp_path, monkeypatch):
-    base = str(tmp_path)
+    monkeypatch.setattr(loading, "show", between)
+    loading.tagged_replace(batch(spark, "a", "c"), table)
+    assert seen == [old, old]
+    assert stored(other, table) == APP + [("new-a", "a", "ingested"), ("new-c", "c", "ingested")]
+    assert sorted((r.id, r.baby_id, r.source) for r in early.collect()) == old
+
+
+def test_readers_write_nothing(spark, base):
     loading.create_tables(spark, base)
-    path = table_path(base, "diaper_events")
-    many = B.diapers(spark, [(f"b{i}", "2024-01-01 10:00:00", True, True) for i in range(30)])
-    loading.append_rows(tagged(many, "ingested"), path)
+    loading.append_rows(tagged(people_with_diapers(spark, 30), "app"), table_name(base, "diaper_events"))
+    location = spark.sql(f"DESCRIBE DATABASE {base}").where("info_name = 'Location'").first().info_value.removeprefix("file:")
+
+    def listing():
+        return sorted((str(p), p.stat().st_mtime_ns) for p in Path(location).rglob("*"))
+
+    before = listing()
+    assert open_tables(spark, base)["diaper_events"].count() == 30
+    assert loading.stored_counts(spark, base).count() == 1
+    assert listing() == before
+
+
+def test_a_load_that_dies_half_way_is_not_seen(spark, empty, monkeypatch):
+    """What it wrote is dropped by the next change."""
+    loading.append_rows(tagged(people_with_diapers(spark, 30), "ingested"), empty)
+    new = B.diapers(spark, [("b7", "2024-01-02 10:00:00", True, True)]).withColumn("id", F.lit("new"))
 
     def die(*_):
         raise KeyboardInterrupt
 
-    new = B.diapers(spark, [("b7", "2024-01-02 10:00:00", True, True)]).withColumn("id", F.lit("new"))
-    with monkeypatch.context() as patch:
-        patch.setattr(tables, "finish_replacing", die)
-        with pytest.raises(KeyboardInterrupt):
-            loading.tagged_replace(new, path)
-    assert len(stored(spark, path)) == 30  # nothing has changed yet
-    # It dies once more, after the new rows have come in and before emptied buckets are cleared.
     with monkeypatch.context() as patch:
-        removed = tables.remove
-        patch.setattr(tables, "remove", lambda s, p: die() if "bucket=" in p else removed(s, p))
+        patch.setattr(loading, "show", die)
         with pytest.raises(KeyboardInterrupt):
-            open_tables(spark, base)
-    assert [r.id for r in open_tables(spark, base)["diaper_events"].collect()] == ["new"]
-    assert stored(spark, path) == [("new", "b7", "ingested")]
-    assert not list((tmp_path / "diaper_events").glob("_[rs]*/*"))
+            loading.tagged_replace(new, empty)
+    left = {load for _, _, load in partitions(spark, empty)}
+    assert len(left) == 2 and len(stored(spark, empty)) == 30
+    loading.tagged_replace(new, empty)
+    assert stored(spark, empty) == [("new", "b7", "ingested")]
+    assert len({load for _, _, load in partitions(spark, empty)} & left) == 1  # the rows before, for readers still at them
+    loading.tagged_replace(new, empty)
+    assert not {load for _, _, load in partitions(spark, empty)} & left
+
+
+def test_a_change_that_was_overtaken_is_refused(spark, table):
+    late = loading.prepare_tagged_replace(batch(spark, "c"), table)
+    loading.tagged_replace(batch(spark, "a"), table)
+    with pytest.raises(loading.Overtaken):
+        late.turn()
+    assert stored(spark, table) == APP + [("new-a", "a", "ingested")]
+    assert late.load not in {load for _, _, load in partitions(spark, table)}
+
 
+def test_a_batch_is_evaluated_once(spark, empty):
+    calls = spark.sparkContext.accumulator(0)
 
-def test_upsert_rewrites_only_the_buckets_of_its_rows(spark, tmp_path):
-    path = tmp_path / "baby_profiles"
-    loading.append_rows(people(spark, "app", *(f"p{i}" for i in range(100))), str(path))
-    before = {f: f.stat().st_mtime_ns for f in path.glob("source=*/bucket=*/*.parquet")}
-    assert loading.upsert(people(spark, "app", "p3", "new"), str(path)) == 2
-    after = {f: f.stat().st_mtime_ns for f in path.glob("source=*/bucket=*/*.parquet")}
-    assert len({f.parent.name for f, _ in set(before.items()) ^ set(after.items())}) <= 2
-    assert len(named(spark, str(path))) == 101
+    def counted(batches):
+        for part in batches:
+            calls.add(part.num_rows)
+            yield part
 
+    rows = people_with_diapers(spark, 40)
+    for replace in (loading.tagged_replace, lambda r, n: loading.subject_replace(r, rows.select("baby_id"), n)):
+        before = calls.value
+        assert replace(rows.mapInArrow(counted, rows.schema), empty) == 40
+        assert calls.value - before == 40
 
-def test_a_wrong_base_raises_and_publishes_nothing(spark, tmp_path):
+
+def test_only_partitions_that_count_are_read(spark, table):
+    loading.tagged_replace(batch(spark, "a", "c"), table)
+    assert files(spark, table) < files(spark, tables.rows_name(table))
+    plan = spark.table(table)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [concat_ws(/, source" in plan
+
+
+def test_upsert_rewrites_only_the_buckets_of_its_rows(spark, nobody):
+    loading.append_rows(people(spark, "app", *(f"p{i}" for i in range(100))), nobody)
+    before = partitions(spark, nobody)
+    assert loading.upsert(people(spark, "app", "p3", "new"), nobody) == 2
+    assert len(buckets_written_anew(before, partitions(spark, nobody))) <= 2
+    assert len(named(spark, nobody)) == 101
+
+
+def test_a_wrong_base_raises_and_publishes_nothing(spark):
     with pytest.raises(LookupError, match="baby_profiles"):
-        plans.build(spark, str(tmp_path / "nowhere"))
+        plans.build(spark, "nowhere")
     with pytest.raises(LookupError, match="sleep_sessions"):
-        open_tables(spark, str(tmp_path))
+        open_tables(spark, "nowhere")
 
 
 def test_publishing_keeps_the_old_rows_until_the_new_are_complete(spark, tmp_path):
@@ -153,6 +239,69 @@ def test_publishing_keeps_the_old_rows_until_the_new_are_complete(spark, tmp_pat
     spark.sql("DROP DATABASE shown CASCADE")
 
 
+def test_a_violated_check_keeps_the_old_rows(spark, tmp_path):
+    """What is written anew is counted while it is written, judged, and dropped."""
+    spark.sql(f"CREATE DATABASE shown LOCATION '{tmp_path}/shown'")
+    days = spark.range(50).selectExpr("concat('b', id % 5) AS baby_id", "date_add(DATE'2024-01-01', CAST(id AS INT)) AS metric_date",
+        "'x' AS baby_name", "1 AS age_days", "0 AS age_weeks", "60 AS night_sleep_minutes", "0 AS total_nap_minutes", "0 AS nap_count",
+        "0 AS feed_count", "0 AS diaper_count")
+    order = ("baby_id", "metric_date")
+    plans.publish(days, "shown", "mart_daily_metrics", order, "mart_daily_metrics")
+    bad = days.unionByName(days.where("metric_date < '2024-01-04'")).withColumn(
+        "nap_count", F.when(F.col("metric_date") == "2024-02-01", 16).otherwise(0)
+    )
+    with pytest.raises(plans.ChecksFailed) as failed:
+        plans.publish(bad, "shown", "mart_daily_metrics", order, "mart_daily_metrics")
+    assert failed.value.violations == [
+        ("mart_daily_metrics", "nap_count > 15", 1), ("mart_daily_metrics", "baby_id, metric_date repeats", 3)
+    ]
+    assert spark.table("shown.mart_daily_metrics").count() == 50
+    assert len([t for t in spark.catalog.listTables("shown") if t.name.startswith("mart_daily_metrics__")]) == 1
+    with pytest.raises(plans.ChecksFailed, match="nap_count > 15"):
+        plans.publish(bad, "shown", "mart_daily_metrics", order, "mart_daily_metrics", ["baby_id, metric_date repeats"])
+    plans.publish(bad, "shown", "mart_daily_metrics", order, "mart_daily_metrics", ["baby_id, metric_date repeats", "nap_count > 15"])
+    assert spark.table("shown.mart_daily_metrics").count() == 53
+    spark.sql("DROP DATABASE shown CASCADE")
+
+
+def test_checks_of_a_relation_in_one_pass(spark):
+    rows = B.feeds(spark, [("a", "2024-01-01 10:00:00"), ("a", "2024-01-01 11:00:00", "TEA")])
+    staged = stage_feeds(rows.unionByName(rows.where("feeding_type = 'TEA'")), B.profiles(spark))
+    report = quality.checked(staged.withColumn("age_days", F.lit(None).cast("int")), "stg_feeding_sessions")
+    found = {r.check_name: r.violations for r in report.collect() if r.violations}
+    assert found == {"age_days is null": 3, "feeding_type is not accepted": 2, "feeding_id repeats": 1}
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 4
+
+
+def test_a_build_with_a_violation_turns_no_view(spark, base):
+    loading.create_tables(spark, base)
+    loading.append_rows(people(spark, "app", "a"), table_name(base, "baby_profiles"))
+    sleeps = [("a", f"2024-03-0{d} 13:00:00", f"2024-03-0{d} 14:00:00") for d in range(1, 6)]
+    loading.append_rows(tagged(B.sleeps(spark, sleeps), "app"), table_name(base, "sleep_sessions"))
+    built = plans.build(spark, base, base, "ci")
+    assert sum(r.violations for r in built["data_checks"].collect()) == 0
+    mart = f"{base}_marts.mart_daily_metrics"
+    before = sorted(map(tuple, spark.table(mart).collect()))
+    many = B.diapers(spark, [("a", f"2024-03-02 1{i % 10}:{i:02}:00", True, True) for i in range(26)])
+    loading.append_rows(tagged(many, "app"), table_name(base, "diaper_events"))
+    with pytest.raises(plans.ChecksFailed, match="mart_daily_metrics: diaper_count > 25 .1."):
+        plans.build(spark, base, base, "ci")
+    assert sorted(map(tuple, spark.table(mart).collect())) == before
+    names = [t.name for t in spark.catalog.listTables(f"{base}_marts") if "__" in t.name]
+    assert len(names) == 3  # one version each
+    plans.build(spark, base, base, "ci", tolerated=["diaper_count > 25"])
+    assert max(r.diaper_count for r in spark.table(mart).collect()) == 26
+    spark.sql(f"DROP DATABASE {base}_marts CASCADE")
+
+
+def test_checks_cost_no_exchange(spark, tmp_path):
+    """Repeats of the grain are seen where rows are written: one exchange, by range."""
+    days = spark.range(9).selectExpr("concat('b', id) AS baby_id", "date_add(DATE'2024-01-01', CAST(id AS INT)) AS metric_date")
+    order = ("baby_id", "metric_date")
+    plan = plans.in_order(days, order, plans.GRAINS["mart_daily_metrics"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort ") == 1
+
+
 def test_a_subject_filter_skips_files_of_published_rows(spark, tmp_path):
     spark.sql(f"CREATE DATABASE shown LOCATION '{tmp_path}/shown'")
     before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
@@ -180,12 +329,12 @@ def test_text_form(spark, tmp_path):
     assert sorted(back.collect(), key=lambda r: r.id) == sorted(rows.collect(), key=lambda r: r.id)
 
 
-def test_a_failed_batch_changes_nothing(spark, path):
-    before = stored(spark, path)
+def test_a_failed_batch_changes_nothing(spark, table):
+    before = stored(spark, table)
     broken = batch(spark, "a", "c").withColumn("notes", F.when(F.col("baby_id") == "c", F.raise_error("bad row")))
     with pytest.raises(Exception, match="bad row"):
-        loading.tagged_replace(broken, path)
-    assert stored(spark, path) == before
+        loading.tagged_replace(broken, table)
+    assert stored(spark, table) == before
 
 
 def people(spark, tag, *names):
@@ -193,39 +342,35 @@ def people(spark, tag, *names):
     return tagged(B.profiles(spark, born), tag)
 
 
-def named(spark, path):
-    rows = spark.read.schema(schemas.with_source(schemas.PROFILES)).parquet(path).collect()
-    return sorted((r.id, r.name, r.source) for r in rows)
+def named(spark, name):
+    return sorted((r.id, r.name, r.source) for r in spark.table(name).collect())
 
 
-def test_upsert(spark, tmp_path):
-    path = str(tmp_path / "baby_profiles")
-    loading.append_rows(people(spark, "app", "a", "b"), path)
+def test_upsert(spark, nobody):
+    loading.append_rows(people(spark, "app", "a", "b"), nobody)
     changed = people(spark, "ingested", "b", "c").withColumn("name", F.lit("new"))
     for _ in range(2):
-        assert loading.upsert(changed, path) == 2
-        assert named(spark, path) == [("a", "A", "app"), ("b", "new", "ingested"), ("c", "new", "ingested")]
+        assert loading.upsert(changed, nobody) == 2
+        assert named(spark, nobody) == [("a", "A", "app"), ("b", "new", "ingested"), ("c", "new", "ingested")]
 
 
-def test_upsert_can_empty_a_tag(spark, tmp_path):
-    path = str(tmp_path / "baby_profiles")
-    loading.append_rows(people(spark, "app", "a", "b"), path)
-    loading.upsert(people(spark, "ingested", "a", "b"), path)
-    assert named(spark, path) == [("a", "A", "ingested"), ("b", "B", "ingested")]
+def test_upsert_can_empty_a_tag(spark, nobody):
+    loading.append_rows(people(spark, "app", "a", "b"), nobody)
+    loading.upsert(people(spark, "ingested", "a", "b"), nobody)
+    assert named(spark, nobody) == [("a", "A", "ingested"), ("b", "B", "ingested")]
 
 
-def test_upsert_refuses_repeated_keys(spark, tmp_path):
-    path = str(tmp_path / "baby_profiles")
-    loading.append_rows(people(spark, "app", "a"), path)
+def test_upsert_refuses_repeated_keys(spark, nobody):
+    loading.append_rows(people(spark, "app", "a"), nobody)
     twice = people(spark, "ingested", "a").unionByName(people(spark, "ingested", "a"))
     with pytest.raises(ValueError, match="repeats id"):
-        loading.upsert(twice, path)
-    assert named(spark, path) == [("a", "A", "app")]
+        loading.upsert(twice, nobody)
+    assert named(spark, nobody) == [("a", "A", "app")]
 
 
-def test_missing_tables_are_listed(spark, tmp_path):
+def test_missing_tables_are_listed(spark, base):
     with pytest.raises(LookupError, match="baby_profiles, diaper_events"):
-        require_tables(spark, str(tmp_path), ("baby_profiles", "diaper_events"))
+        require_tables(spark, base, ("baby_profiles", "diaper_events"))
 
 
 @pytest.mark.parametrize(
@@ -246,8 +391,20 @@ def exports(folder):
     write("Bob_expressed.csv", 'Baby,Time,Amount (ml),Note\nBob,1/2/24 7:00 am,"1,090",\nBob,1/2/24 9:00 am,80,\n')
 
 
-def test_from_exports_to_tables(spark, tmp_path):
-    folder, base = tmp_path / "exports", str(tmp_path / "base")
+def test_a_refused_load_changes_no_table(spark, base):
+    loading.create_tables(spark, base)
+    events = {"diaper_events": people_with_diapers(spark, 5), "sleep_sessions": B.sleeps(spark, []), "feeding_sessions": B.feeds(spark, [])}
+    loading.load(spark, base, people(spark, "ingested", "a"), events)
+    fewer = events | {"diaper_events": people_with_diapers(spark, 4)}
+    with pytest.raises(loading.RowsLost, match="diaper_events from 5 to 4"):
+        loading.load(spark, base, people(spark, "ingested", "a", "b"), fewer)
+    assert named(spark, table_name(base, "baby_profiles")) == [("a", "A", "ingested")]
+    loads = {load for _, _, load in partitions(spark, table_name(base, "baby_profiles"))}
+    assert len(loads) == 1  # nothing of the refused load is left
+
+
+def test_from_exports_to_tables(spark, tmp_path, base):
+    folder = tmp_path / "exports"
     folder.mkdir()
     exports(folder)
     known = subjects.registry(
@@ -256,7 +413,7 @@ def test_from_exports_to_tables(spark, tmp_path):
     )
     as_of = datetime(2024, 3, 1)
     loading.create_tables(spark, base)
-    loading.append_rows(tagged(B.diapers(spark, [("x", "2024-01-01 10:00:00", True, True)]), "app"), table_path(base, "diaper_events"))
+    loading.append_rows(tagged(B.diapers(spark, [("x", "2024-01-01 10:00:00", True, True)]), "app"), table_name(base, "diaper_events"))
     counts = []
     for _ in range(2):
         report = plans.ingest_exports(spark, str(folder), known, base, as_of)
