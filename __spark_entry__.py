@@ -27,6 +27,7 @@ from carelens.operators import compare, daily, ingest, quality, sleep, staging
 from carelens.plans import load as loading  # noqa: E402
 from carelens.plans.build import PUBLISHED, ChecksFailed, build, ingest_exports, publish, relations  # noqa: E402
 from carelens.plans.mart import mart_daily_metrics  # noqa: E402
+from carelens.plans.refresh import refresh_mart  # noqa: E402
 from carelens.session import remove, scratch_path  # noqa: E402
 from carelens.sources import subjects as registry  # noqa: E402
 from carelens.sources.exports import read_all_exports  # noqa: E402
@@ -355,6 +356,22 @@ def _checked_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return built["data_checks"]
 
 
+def _refreshed_mart(f: Fixture) -> DataFrame:
+    """The mart after a first refresh that lacks some subjects' sleeps, a load that brings them, and a second refresh."""
+    spark, base = f.spark, _new_base(f.spark)
+    late = f.table("customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("baby_id"))
+    rows = {table: f.relations()[table].withColumn("source", F.lit(K.INGESTED)) for table in schemas.LOADED_TABLES}
+    sleeps = rows["sleep_sessions"]
+    rows["sleep_sessions"] = sleeps.join(late, "baby_id", "left_anti").select(sleeps.columns)
+    for table, loaded in rows.items():
+        create_table(spark, table_name(base, table), loaded.schema)
+        loading.append_rows(loaded, table_name(base, table))
+    refresh_mart(spark, base, base, quality.check_names())
+    loading.subject_replace(sleeps, late, table_name(base, "sleep_sessions"))
+    refresh_mart(spark, base, base, quality.check_names())
+    return spark.table(table_name(base, "mart_daily_metrics"))
+
+
 def _named_profiles(f: Fixture) -> DataFrame:
     """The profile of the one subject called for, of a registry with an entry per customer."""
     called = f.table("customer").select(
@@ -428,6 +445,7 @@ def _care_queries() -> dict[str, Query]:
         "dq_grain": _on(lambda f: quality.grain_report(_mart(f))),
         "dq_ranges": _on(lambda f: quality.range_report(_mart(f))),
         "dq_range_rows": _on(lambda f: quality.range_violations(_mart(f))),
+        "mart_refreshed": _on(_refreshed_mart),
         "build_checks": _checked_build,
         "publish_refused": _on(_refused_report),
         "publish_keeps_old": _on(_refused_mart),

@@ -91,13 +91,15 @@ class Change:
     #: Rows of the batch, and rows of the same kind that the table had.
     size: int
     held: int = 0
+    #: What the view is to remember.
+    notes: dict[str, str] | None = None
 
     def turn(self) -> int:
         """Show them, and drop what was not shown before either. Returns the rows of the batch."""
         if shown(self.spark, self.name).turned != self.before.turned:
             self.drop()
             raise Overtaken(f"{self.name} was changed by another load")
-        show(self.spark, self.name, self.live, self.load)
+        show(self.spark, self.name, self.live, self.load, self.notes)
         kept = {(*place, load) for live in (self.before.live, self.live) for place, loads in live.items() for load in loads}
         drop_partitions(self.spark, self.name, [x for x in partitions(self.spark, self.name) if x not in kept])
         return self.size

@@ -22,8 +22,8 @@ from carelens.functions.time import format_timestamp
 
 #: What a table's own name ends with, its view having the plain one; and its partition columns after the tag.
 ROWS, BUCKET, WRITTEN = "__rows", "bucket", "written"
-#: Properties of a view: which load turned it last, and the loads that count per tag and bucket.
-TURNED, LIVE = "turned", "live."
+#: Properties of a view: which load turned it last, the loads that count per tag and bucket, and notes of who turned it.
+TURNED, LIVE, NOTE = "turned", "live.", "note."
 
 #: Loads that count, by tag and bucket.
 Live = dict[tuple[str, str], list[str]]
@@ -68,10 +68,11 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def show(spark: SparkSession, name: str, live: Live, load: str) -> None:
+def show(spark: SparkSession, name: str, live: Live, load: str, notes: dict[str, str] | None = None) -> None:
     """Turn the view to the rows of these loads."""
     columns = ", ".join(f"`{c}`" for c in spark.table(rows_name(name)).columns if c not in (BUCKET, WRITTEN))
     known = {TURNED: load} | {f"{LIVE}{tag}/{bucket}": ",".join(loads) for (tag, bucket), loads in live.items()}
+    known |= {f"{NOTE}{key}": value for key, value in (notes or {}).items()}
     properties = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in known.items())
     spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({properties}) AS SELECT {columns} FROM {rows_name(name)} WHERE {condition(live)}")
 
@@ -84,16 +85,18 @@ def condition(live: Live) -> str:
 
 @dataclass
 class Shown:
-    """What a view shows: the load that turned it, and the loads that count."""
+    """What a view shows: the load that turned it, the loads that count, and notes."""
 
     turned: str
     live: Live
+    notes: dict[str, str]
 
 
 def shown(spark: SparkSession, name: str) -> Shown:
     properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
     places = {k.removeprefix(LIVE): v for k, v in properties.items() if k.startswith(LIVE)}
-    return Shown(properties[TURNED], {tuple(k.rsplit("/", 1)): v.split(",") for k, v in places.items()})
+    notes = {k.removeprefix(NOTE): v for k, v in properties.items() if k.startswith(NOTE)}
+    return Shown(properties[TURNED], {tuple(k.rsplit("/", 1)): v.split(",") for k, v in places.items()}, notes)
 
 
 def partitions(spark: SparkSession, name: str, load: str | None = None) -> list[tuple[str, str, str]]:

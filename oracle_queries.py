@@ -533,6 +533,7 @@ def _quality() -> dict[str, str]:
             *(part for part in needed if part in ("rest", "wake", "daily")),
         ),
         "publish_keeps_old": sql("SELECT * FROM daily", "daily"),
+        "mart_refreshed": sql("SELECT * FROM daily", "daily"),
         "dq_not_null": sql(
             " UNION ALL ".join(
                 f"SELECT '{name}' AS relation, '{c}' AS column_name, count(*) - count({c}) AS violations FROM {part}"
