@@ -1,17 +1,20 @@
 """Exact top-k inner products by tiles: blocks of queries times shards of candidates.
 
 Vectors are packed into shards and query blocks, one row each, of bounded size. Every pair of a block and a shard is a
-tile: one matrix product, of which each query keeps its k best. A task merges the tiles of a block that it gets, and
-a tree of merges brings the lists of a query together, ``FAN_IN`` at a time, until one is left; no step holds more than
-``FAN_IN`` lists of k per query.
+tile: one matrix product, of which each query keeps its k best. Tiles are dealt on a grid: a cell has a row of about
+``CELL_BLOCKS`` blocks, which its task holds, and a column of shards, which pass by them one after another. So a shard is sent
+once for every row of the grid and not for every block, and a block once for every column. A tree of merges brings
+the lists of a query together, ``FAN_IN`` at a time, until one is left; no step holds more than ``FAN_IN`` lists of k per
+query.
 
 Components are scaled and rounded down to whole numbers, and products are exact: in 32-bit floats, in 64-bit floats or in
 Python's integers, whichever the tile's largest components call for; scores beyond 64 bits are set to its ends.
 
 Defined cases. Vectors that are null or hold null or non-finite components take no part, nor do rows without an id.
 Vectors of different lengths are compared as if the shorter ended in zeros; an empty one scores 0 with every other.
-Rows with the query's id are its own. Repeated candidates are ranked each; rows that repeat a query's id and vector
-are one query. Ties go to the smaller id. Other columns are not read.
+Rows with the query's id are its own. Repeated candidates are ranked each. Rows that repeat a query's id and vector
+are asked once; if rows of one id have different vectors, the scores of all of them are ranked in one list. Ties go to the
+smaller id. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from carelens.llm.store import shuffle_partitions, stored
 K, SCALE, QUERY_STEP = 20, 64, 20
 #: Vectors in a shard and in a query block; lists that one merge takes.
 SHARD, BLOCK, FAN_IN = 2048, 1024, 16
+#: Blocks that a task holds, about.
+CELL_BLOCKS = 32
 #: Matrices are kept in the smallest of these kinds that holds them.
 KINDS = ("<i2", "<i4", "<f8")
 
@@ -112,20 +117,23 @@ def best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
 
 
 def _tiles(k: int):
-    """Best lists of every query of the tiles of a task, which come by block."""
+    """Best lists of every query of the cells of a task; a cell's blocks come before its shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held = None, {}
+        cell, blocks, held = None, [], {}
         for batch in batches:
             for row in batch.to_pylist():
-                if row["block"] != block and held:
-                    yield _listed(held)
-                    held = {}
-                block = row["block"]
-                query_ids, queries = unpacked(row["query_ids"], row["query_kind"], row["queries"])
-                ids, shard = unpacked(row["ids"], row["kind"], row["matrix"])
-                for query, scores in zip(query_ids.tolist(), products(queries, shard), strict=True):
-                    _take(held, query, ids, scores, k)
+                if row["cell"] != cell:
+                    if held:
+                        yield _listed(held)
+                    cell, blocks, held = row["cell"], [], {}
+                ids, vectors = unpacked(row["ids"], row["kind"], row["matrix"])
+                if row["side"] == ASKED:
+                    blocks.append((ids.tolist(), vectors))
+                    continue
+                for query_ids, queries in blocks:
+                    for query, scores in zip(query_ids, products(queries, vectors), strict=True):
+                        _take(held, query, ids, scores, k)
         if held:
             yield _listed(held)
 
@@ -150,24 +158,34 @@ def _listed(held: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(held)), pa.ListArray.from_arrays(ends, pairs)], ["query_id", "top"])
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
+#: Sides of a cell, in the order they are needed.
+ASKED, PASSING = 0, 1
+
+
+def grid(shards: DataFrame, blocks: DataFrame, cell_blocks: int) -> DataFrame:
+    """Blocks and shards (part, ids, kind, matrix) once for every cell they belong to, the cells being partitions."""
+    spark = shards.sparkSession
+    n_blocks, n_shards = (max(1, side.count()) for side in (blocks, shards))
+    rows = -(-n_blocks // cell_blocks)
+    columns = max(1, min(n_shards, -(-shuffle_partitions(spark) // rows)))
+    own = {ASKED: F.pmod(F.xxhash64("part"), F.lit(rows)), PASSING: F.pmod(F.xxhash64("part"), F.lit(columns))}
+    across = F.explode(F.sequence(F.lit(0), F.lit(columns - 1)))
+    down = F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))
+    asked = blocks.withColumn("other", across).withColumn("cell", (own[ASKED] * columns + F.col("other")).cast("int"))
+    passing = shards.withColumn("other", down).withColumn("cell", (F.col("other") * columns + own[PASSING]).cast("int"))
+    both = asked.withColumn("side", F.lit(ASKED)).unionByName(passing.withColumn("side", F.lit(PASSING))).drop("other", "part")
+    return both.repartitionById(rows * columns, F.col("cell")).sortWithinPartitions("cell", "side")
+
+
+def top_k(
+    vectors: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD, block: int = BLOCK, cell_blocks: int = CELL_BLOCKS
+) -> DataFrame:
     """query_id, rank, vec_id and score of each query's k best candidates. Both sides as of :func:`whole_vectors`."""
-    spark = vectors.sparkSession
     shards = stored(packed(vectors, shard), "vector-shards")
-    distinct = queries.dropDuplicates(["vec_id"])
-    blocks = max(1, -(-distinct.count() // block))
-    asked = stored(packed(distinct.repartition(blocks, "vec_id"), block), "query-blocks")
-    asked = asked.select(
-        F.pmod(F.xxhash64("part"), F.lit(blocks)).alias("number"),
-        F.col("part").alias("block"),
-        F.col("ids").alias("query_ids"),
-        F.col("kind").alias("query_kind"),
-        F.col("matrix").alias("queries"),
-    )
-    numbers = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-    tiles = shards.withColumn("number", numbers).join(asked, "number").drop("number")
-    ways = shuffle_partitions(spark)
-    tiles = tiles.repartition(ways, "block", F.pmod(F.xxhash64("part"), F.lit(ways))).sortWithinPartitions("block")
+    distinct = stored(queries.distinct(), "queries")
+    parts = max(1, -(-distinct.count() // block))
+    asked = stored(packed(distinct.repartition(parts, "vec_id", "components"), block), "query-blocks")
+    tiles = grid(shards, asked, cell_blocks)
     return ranked(merged(stored(tiles.mapInArrow(_tiles(k), LISTS), "top-lists"), k))
 
 

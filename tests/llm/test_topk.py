@@ -18,12 +18,17 @@ def brute(rows, k=20, step=20):
         if vec_id is not None and vector is not None and all(x is not None and math.isfinite(x) for x in vector):
             numbers = [math.floor(64 * float(np.float32(x))) for x in vector]
             held.append((vec_id, numbers))
-            if vec_id % step == 0:
-                whole.setdefault(vec_id, numbers)
+            if vec_id % step == 0 and numbers not in whole.setdefault(vec_id, []):
+                whole[vec_id].append(numbers)
     out = []
     most = 2**63 - 1
-    for query, own in whole.items():
-        scores = [(min(max(sum(a * b for a, b in zip(own, x, strict=False)), -most), most), v) for v, x in held if v != query]
+    for query, asked in whole.items():
+        scores = [
+            (min(max(sum(a * b for a, b in zip(own, x, strict=False)), -most), most), v)
+            for own in asked
+            for v, x in held
+            if v != query
+        ]
         best = sorted(scores, key=lambda s: (-s[0], s[1]))[:k]
         out += [(query, rank, v, s) for rank, (s, v) in enumerate(best, 1)]
     return sorted(out)
@@ -70,6 +75,30 @@ def test_small_tiles_and_a_tree_of_merges(vectors, monkeypatch):
     assert sorted(tuple(r) for r in rows) == brute(AWKWARD, 7)
 
 
+def test_every_vector_of_a_repeated_id_is_asked(vectors):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [0.0, 1.0]), *((i, [math.sin(i), math.cos(i)]) for i in range(1, 19))]
+    for parts in (1, 7):
+        assert result(vectors(rows).repartition(parts), k=9) == brute(rows, 9)
+    half = [(40, [float(i % 5), float(i % 7), 1.0]) for i in range(300)] + [(i, [i / 64, 1.0, -1.0]) for i in range(300)]
+    assert result(vectors(half)) == brute(half)
+
+
+def test_what_is_sent_grows_with_the_grid_only(spark, vectors):
+    """A shard is sent once for every row of the grid, a block once for every column."""
+    rows = [(i, [float(i % 9), 1.0]) for i in range(400)]
+    whole = topk.whole_vectors(vectors(rows).repartition(5))
+    shards, blocks = topk.packed(whole, 20), topk.packed(whole.repartition(3), 10)
+    n_shards, n_blocks = shards.count(), blocks.count()
+    tiles = topk.grid(shards.checkpoint(), blocks.checkpoint(), 16)
+    sides = [tiles.where(f"side = {side}").groupBy("cell").count().count() for side in (0, 1)]
+    edge = -(-n_blocks // 16)
+    columns = tiles.where("side = 0").count() // n_blocks
+    assert tiles.where("side = 1").count() == n_shards * edge and edge < n_blocks / 8
+    assert tiles.where("side = 0").count() == n_blocks * columns and max(sides) <= edge * columns
+    got = topk.top_k(whole, whole.where("vec_id % 20 = 0"), k=5, shard=20, block=3, cell_blocks=2)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows, 5)
+
+
 def test_huge_components(vectors):
     rows = [(0, [3e38, 1.0]), (1, [3e38, 2.0]), (2, [-3e38, 1.0]), (20, [1e6, 1e6]), (3, [4e5, -7e5]), (4, [1e12, 1.0])]
     assert result(vectors(rows)) == brute(rows)
