@@ -4,8 +4,8 @@ Tokenizing is one pass; its pieces are stored. A piece of full length is a seque
 at random into pools of about ``POOL`` pieces, and each pool is packed in one task: best fit with decreasing lengths
 first, then a local search that moves documents and exchanges one for one and two for one between underfull bins,
 always to a larger sum of squared fills, so that the emptiest bins drain into the others. It ends when the free space
-left is less than one bin (no packing is smaller), or when no exchange helps. A pool leaves less than one
-avoidable bin in practice, of thousands.
+left is less than one bin (no packing is smaller), or when no exchange helps. What is in the emptiest bins of all pools is
+then dealt into fewer pools and packed once more, until one pool is left or the rest does not shrink.
 
 Ids are those of the given tokenizer file. If it holds plain byte-level BPE, texts of Latin letters, digits and common
 signs are encoded with its vocabulary by a quicker encoder, each distinct word once per worker as long as it is
@@ -24,6 +24,7 @@ import zlib
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import reduce
 from pathlib import Path
 
 import numpy as np
@@ -36,9 +37,8 @@ from carelens.llm.store import stored
 
 SEQUENCE_TOKENS, CLOSING_ID = 1024, 2
 TOKENIZER = "byte_bpe_50k.json"
-#: Pieces packed in one task, and exchanges its local search makes at most. All pieces are placed at any time, so a search
-#: that ends early leaves a bin or two more.
-POOL, EXCHANGES = 16384, 5000
+#: Pieces packed in one task, and the share of a bin that is free in those packed once more, as a divisor.
+POOL, EMPTY = 4096, 4
 #: Words a worker remembers the ids of, twice over.
 REMEMBERED = 300_000
 
@@ -212,36 +212,58 @@ class Bins:
                     insort(spaces, self.free[bin_])
                 by_space[self.free[bin_]].append(bin_)
 
-    def drain(self, exchanges: int = EXCHANGES) -> None:
-        """Local search between underfull bins, from the emptiest on, while it can save a bin.
+    def drain(self) -> None:
+        """Local search between underfull bins, from the emptiest on, until no exchange helps or none can save a bin.
 
-        A bin that had nothing to give is asked again when it has changed, or something of it fits into a bin that has.
+        It ends, as the sum of squared fills grows with every exchange. A bin that had nothing to give is asked again when it
+        has changed, or something of it fits into a bin that has; and all are once more, until none of them has anything.
+        Pieces and bins are arrays that an exchange changes in a few
+        places, so a step costs a look at the pieces of underfull bins and no more.
         """
-        asked: set[int] = set()
-        for _ in range(exchanges):
-            under = [b for b, free in enumerate(self.free) if 0 < free < self.capacity]
-            if sum(self.free[b] for b in under) < self.capacity:
-                return
-            items = np.array([(b, i) for b in under for i in [-1, *self.members[b]]], np.int64).reshape(-1, 2)
-            bin_, back = items[:, 0], np.where(items[:, 1] < 0, 0, np.array([*self.lengths, 0])[items[:, 1]])
-            free = np.array(self.free)[bin_]
-            for source in sorted(set(under) - asked, key=lambda b: -self.free[b]):
-                given = self._best(source, bin_, items[:, 1], back, free)
-                if given:
-                    self._exchange(source, *given)
-                    room = max(self.free[source], self.free[given[0]])
-                    asked -= {b for b in asked if min(self.lengths[i] for i in self.members[b]) <= room}
-                    asked -= {source, given[0]}
+        if not self.members:
+            return
+        lengths = np.array(self.lengths, np.int64)
+        n, bins = len(lengths), len(self.members)
+        # What a target may give back: each piece, or nothing (a move), an entry per bin after the pieces.
+        holder = np.concatenate([np.zeros(n, np.int64), np.arange(bins)])
+        for number, members in enumerate(self.members):
+            holder[members] = number
+        back = np.append(lengths, np.zeros(bins, np.int64))
+        free = np.array(self.free, np.int64)
+        least = np.array([lengths[members].min() if members else self.capacity + 1 for members in self.members])
+        asked, moved = np.zeros(bins, bool), False
+        while True:
+            under = (free > 0) & (free < self.capacity)
+            if free[under].sum() < self.capacity:
+                break
+            waiting = np.where(under & ~asked, free, -1)
+            source = int(waiting.argmax())
+            if waiting[source] < 0:
+                if not moved:
                     break
-                asked.add(source)
-            else:
-                return
-
-    def _best(self, source: int, bin_: np.ndarray, item: np.ndarray, back: np.ndarray, free: np.ndarray):
+                asked[:], moved = False, False
+                continue
+            entries = np.flatnonzero(under[holder])
+            found = self._best(source, holder[entries], entries, back[entries], free[holder[entries]], free[source])
+            if not found:
+                asked[source] = True
+                continue
+            target, given, taken = found
+            moved = True
+            self._exchange(source, target, given, taken)
+            for bin_, items in ((target, given), (source, taken)):
+                holder[list(items)] = bin_
+            for bin_ in (source, target):
+                free[bin_] = self.free[bin_]
+                least[bin_] = lengths[self.members[bin_]].min() if self.members[bin_] else self.capacity + 1
+            asked &= least > max(free[source], free[target])
+            asked[[source, target]] = False
+
+    def _best(self, source: int, holder: np.ndarray, entry: np.ndarray, back: np.ndarray, free: np.ndarray, own_free: int):
         """The exchange or move that fills another bin, at least as full, the most: its bin, what it gets and gives.
 
-        ``item`` is a piece of the target given back, -1 for a move; ``back`` its length, ``free`` the target's space.
-        The sum of squared fills grows whenever the fuller of two bins gains.
+        ``entry`` is a piece of the target given back, or beyond the pieces for a move; ``back`` its length, ``free`` the
+        target's space. The sum of squared fills grows whenever the fuller of two bins gains.
         """
         own = self.members[source]
         single = [(self.lengths[i], (i,)) for i in own]
@@ -250,11 +272,12 @@ class Bins:
         sizes = np.array([size for size, _ in offers])
         at = np.searchsorted(sizes, back + free, side="right") - 1
         gain = np.where(at >= 0, sizes[at] - back, 0)
-        gain[(bin_ == source) | (free > self.free[source])] = 0
+        gain[(holder == source) | (free > own_free)] = 0
         most = int(np.argmax(gain)) if len(gain) else 0
         if not len(gain) or gain[most] <= 0:
             return None
-        return int(bin_[most]), offers[at[most]][1], [int(item[most])] if item[most] >= 0 else []
+        piece = int(entry[most])
+        return int(holder[most]), offers[at[most]][1], [piece] if piece < len(self.lengths) else []
 
     def _exchange(self, source: int, target: int, given: tuple[int, ...], taken: list[int]) -> None:
         gain = sum(self.lengths[i] for i in given) - sum(self.lengths[i] for i in taken)
@@ -284,16 +307,46 @@ def packed_sequences(
     """The pieces with sequence_id and offset; parameters as of :func:`pieces`."""
     cut = stored(pieces(docs, sequence_tokens=sequence_tokens, **parameters), "pieces")
     whole = F.col("length") == sequence_tokens
-    rest = cut.where(~whole).select("slot", "length")
-    pools = max(1, -(-rest.count() // pool))
+    placed = _placed(cut.where(~whole).select("slot", "length"), sequence_tokens, pool)
+    alone = cut.where(whole).select("*", (-1 - F.col("slot")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return cut.where(~whole).join(placed, "slot").unionByName(alone).drop("slot")
+
+
+def _placed(rest: DataFrame, capacity: int, pool: int) -> DataFrame:
+    """slot, sequence_id and offset of the pieces (slot, length)."""
+    done, held, count, round_ = [], None, rest.count(), 0
+    while True:
+        pools = max(1, -(-count // pool))
+        packed = stored(_packed(rest, capacity, pools, round_), "packed")
+        if held is not None and _sequences(packed) > _sequences(held):
+            done.append(held)
+            break
+        if pools == 1:
+            done.append(packed)
+            break
+        done.append(packed.where("NOT emptiest"))
+        held, before = packed.where("emptiest"), count
+        rest, count, round_ = held.select("slot", "length"), held.count(), round_ + 1
+        if not count or 2 * count > before:
+            done.append(held)
+            break
+    return reduce(DataFrame.unionByName, done).select("slot", "sequence_id", "offset")
+
+
+def _sequences(packed: DataFrame) -> int:
+    return packed.select("sequence_id").distinct().count()
+
+
+def _packed(rest: DataFrame, capacity: int, pools: int, round_: int) -> DataFrame:
+    """Every piece with its sequence and place, and whether that is one of the emptiest."""
 
     def solve(table: pa.Table) -> pa.Table:
         ordered = table.sort_by("slot")
-        number = ordered.column("pool")[0].as_py()
-        bin_, place = pack(ordered.column("length").to_pylist(), sequence_tokens)
-        return pa.table({"slot": ordered.column("slot"), "sequence_id": (number << 32) + bin_, "offset": place})
-
-    dealt = rest.withColumn("pool", F.pmod(F.xxhash64("slot"), F.lit(pools)))
-    placed = dealt.groupBy("pool").applyInArrow(solve, "slot long, sequence_id long, offset long")
-    alone = cut.where(whole).select("*", (-1 - F.col("slot")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    return cut.where(~whole).join(placed, "slot").unionByName(alone).drop("slot")
+        number, lengths = ordered.column("pool")[0].as_py(), ordered.column("length").to_numpy()
+        bin_, place = pack(lengths.tolist(), capacity)
+        free = capacity - np.bincount(bin_, weights=lengths)
+        rows = {"slot": ordered.column("slot"), "length": lengths, "sequence_id": (round_ << 56) + (number << 32) + bin_, "offset": place}
+        return pa.table(rows | {"emptiest": free[bin_] * EMPTY > capacity})
+
+    dealt = rest.withColumn("pool", F.pmod(F.xxhash64("slot", F.lit(round_)), F.lit(pools)))
+    return dealt.groupBy("pool").applyInArrow(solve, "slot long, length long, sequence_id long, offset long, emptiest boolean")

@@ -137,3 +137,35 @@ def test_long_runs_of_white_space(run):
     encoder = packing.encoder(PATH)
     text = f"before{run}after it"
     assert encoder.encode(text) == encoder.whole(text)
+
+
+def test_the_search_ends_when_no_exchange_is_left():
+    """Also where many bins are half full; no number of exchanges ends it."""
+    rng = random.Random(4)
+    lengths = [rng.randint(260, 420) for _ in range(1200)]
+    bins = packing.Bins(lengths, 1024)
+    bins.best_fit()
+    first = sum(map(bool, bins.members))
+    bins.drain()
+    assert sum(map(bool, bins.members)) < 0.94 * first
+    assert sorted(i for m in bins.members for i in m) == list(range(len(lengths)))
+    assert all(f == 1024 - sum(lengths[i] for i in m) for f, m in zip(bins.free, bins.members, strict=True))
+    before = [list(m) for m in bins.members]
+    bins.drain()
+    assert bins.members == before
+
+
+def test_the_emptiest_bins_of_all_pools_are_packed_together(spark):
+    rng = random.Random(5)
+    lengths = [rng.randint(10, 1023) for _ in range(600)]
+    rest = spark.createDataFrame(list(enumerate(lengths)), "slot long, length long")
+    placed = packing._placed(rest, 1024, 24).collect()
+    assert sorted(r.slot for r in placed) == list(range(600))
+    sequences = {}
+    for r in placed:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, lengths[r.slot]))
+    for parts in sequences.values():
+        ends = [0, *(offset + length for offset, length in sorted(parts))]
+        assert [offset for offset, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 1024
+    alone = packing._sequences(packing._packed(rest, 1024, 25, 0))
+    assert -(-sum(lengths) // 1024) <= len(sequences) < alone
