@@ -5,8 +5,10 @@ often it occurs in toxic and in other training texts, and a logistic regression
 the scaled features. As both are linear, a text's score is one sum of weights over its n-grams.
 
 Ratios and weights are learned from a sample of at most ``TRAINING_ROWS`` labelled rows outside the held-out fold,
-as many of either class as there are up to half of that, by the order of a hash of their ids; the intercept is set
-for the share of toxic rows among all training rows. Every text is scored whole.
+as many of either class as there are up to half of that, by the order of a hash of their ids. An id stands for one of its
+texts, the one with the smallest hash, and the n-grams of the sample have at most ``TRAINING_BYTES``: rows of a class
+beyond its half of that are left out, the last in that order first. So what is learned from is bounded, whatever the tables
+hold. The intercept is set for the share of toxic rows among all training rows. Every text is scored whole.
 
 Defined cases. Null and empty texts, and ones shorter than an n-gram, get the score of the intercept. Repeated rows are
 scored each. Labels that are null, other than 0 and 1 or without a document are left out. Without training rows of
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens.llm.arrow_text import slices
-from carelens.llm.store import held_out
+from carelens.llm.store import held_out, stored
 
 SIZES, HASH_BITS = (3, 4, 5), 18
-TRAINING_ROWS, ROUNDS, RIDGE, SMOOTHING = 6000, 80, 1e-4, 1.0
+TRAINING_ROWS, TRAINING_BYTES, ROUNDS, RIDGE, SMOOTHING = 6000, 256 << 20, 80, 1e-4, 1.0
 #: Training rows that one step of the arithmetic takes.
 PART_ROWS = 128
 SHARD_BYTES, SHARD_ROWS = 2 << 20, 1 << 32 - HASH_BITS
@@ -93,6 +96,7 @@ def fit(
     labels: DataFrame,
     target: str = "toxic",
     training_rows: int = TRAINING_ROWS,
+    training_bytes: int = TRAINING_BYTES,
     rounds: int = ROUNDS,
     ridge: float = RIDGE,
 ) -> Model:
@@ -107,11 +111,14 @@ def fit(
             text, gram = features(batch.column("text"))
             ends = np.searchsorted(text, np.arange(batch.num_rows + 1))
             grams = [gram[a:b].astype("<i4").tobytes() for a, b in zip(ends, ends[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(grams, pa.binary())], ["label", "grams"])
-
-    # The sample's ids are at most training_rows numbers: bounded, whatever the tables hold.
-    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("label", "text")
-    rows = chosen.mapInArrow(extract, "label int, grams binary").toArrow()
+            yield pa.RecordBatch.from_arrays([batch.column("turn"), batch.column("label"), pa.array(grams, pa.binary())], ["turn", "label", "grams"])
+
+    # The sample's ids are at most training_rows numbers; one row of each is kept, before anything is moved.
+    chosen = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    chosen = chosen.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first"))
+    source = chosen.select(F.xxhash64("doc_id").alias("turn"), "label", F.col("first.text").alias("text"))
+    found = stored(source.mapInArrow(extract, "turn long, label int, grams binary"), "toxicity-sample")
+    rows = _within(found, training_bytes)
     label = rows.column("label").to_numpy().astype(float)
     if not 0 < label.sum() < len(label):
         share = ones / count
@@ -121,6 +128,16 @@ def fit(
     return Model(weights, float(intercept + odds))
 
 
+def _within(found: DataFrame, most: int) -> pa.Table:
+    """The rows of either class that fit into half of the bytes, in the order of their turn."""
+    sizes = found.select("label", "turn", F.octet_length("grams").alias("size")).toArrow().to_pandas()  # a number a row
+    sizes = sizes.sort_values(["label", "turn"])
+    fits = sizes.groupby("label")["size"].cumsum() <= most // 2
+    last = {int(label): int(turn) for label, turn in sizes[fits].groupby("label")["turn"].max().items()}
+    inside = [(F.col("label") == label) & (F.col("turn") <= turn) for label, turn in last.items()]
+    return found.where(reduce(lambda a, b: a | b, inside, F.lit(False))).orderBy("label", "turn").select("label", "grams").toArrow()
+
+
 class Rows:
     """The training rows' n-grams as a sparse matrix of ones, worked on a few rows at a time."""
 

@@ -125,3 +125,52 @@ def test_rejected_documents_go(spark, docs):
     kept = quality.good_documents(docs(rows), labels)
     assert kept.columns == docs([]).columns
     assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(200) if i % 2]
+
+
+def test_toxicity_learns_from_one_text_of_an_id(spark, docs, monkeypatch):
+    """Also where a sampled id has a third of all rows, or n-grams go beyond their bound; the smallest hash is chosen."""
+    ids = [i for i in range(1, 400) if zlib.crc32(str(i).encode()) % 5][:60]
+    rows = [(i, f"{'bad words' if i % 2 else 'good things'} of text {i} " * 3) for i in ids]
+    hot = [(ids[0], f"another text {n} under one id") for n in range(len(rows))]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    seen, regression = [], toxicity.regression
+
+    def counted(sample, label, *rest):
+        seen.append((sample.count, sum(len(grams) for grams, _ in sample.parts) * 4, sorted(label)))
+        return regression(sample, label, *rest)
+
+    monkeypatch.setattr(toxicity, "regression", counted)
+    scores = [
+        sorted((r.doc_id, r.score) for r in toxicity.toxicity_scores(docs(rows + hot).repartition(parts), labels).where(f"doc_id <> {ids[0]}").collect())
+        for parts in (1, 9)
+    ]
+    assert [n for n, _, _ in seen] == [60, 60] and np.allclose([s for _, s in scores[0]], [s for _, s in scores[1]], atol=1e-6)
+    assert all((score >= 0.5) == (i % 2 == 1) for i, score in scores[0])
+    toxicity.toxicity_scores(docs(rows + hot), labels, training_bytes=10_000).count()
+    n, size, label = seen[-1]
+    assert 2 < n < 60 and size <= 10_000 and 0 < sum(label) < n
+
+
+def test_toxicity_regression_is_that_of_a_dense_matrix():
+    rng = np.random.default_rng(3)
+    width, n = 1 << toxicity.HASH_BITS, 40
+    grams = [np.unique(rng.integers(0, 60, rng.integers(3, 20))).astype("<i4") for _ in range(n)]
+    label = rng.integers(0, 2, n).astype(float)
+    rows = toxicity.Rows(pa.chunked_array([pa.array([g.tobytes() for g in grams], pa.binary())]))
+    weights, intercept = toxicity.regression(rows, label, 3000, 1e-3)
+    x = np.zeros((n, width))
+    for i, g in enumerate(grams):
+        x[i, g] = 1
+    counts = [x[label == k].sum(axis=0) + 1 for k in (0, 1)]
+    ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+    assert np.allclose(toxicity.log_ratios(rows, label), ratio)
+    used = np.flatnonzero(x.any(axis=0))
+    scaled, own, shift = (x * ratio)[:, used], np.zeros(len(used)), 0.0
+    for _ in range(60):  # Newton's method on the same loss
+        p = 1 / (1 + np.exp(-(scaled @ own + shift)))
+        wide = np.hstack([scaled, np.ones((n, 1))])
+        slope = wide.T @ (p - label) / n + 1e-3 * np.append(own, 0)
+        curve = wide.T @ (wide * (p * (1 - p))[:, None]) / n + 1e-3 * np.diag(np.append(np.ones(len(own)), 0))
+        change = np.linalg.solve(curve, slope)
+        own, shift = own - change[:-1], shift - change[-1]
+    assert np.allclose(weights[used], own * ratio[used], atol=2e-3) and abs(intercept - shift) < 2e-3
