@@ -25,7 +25,7 @@ from carelens.functions import text as X  # noqa: E402
 from carelens.functions import time as T  # noqa: E402
 from carelens.operators import compare, daily, ingest, quality, sleep, staging  # noqa: E402
 from carelens.plans import load as loading  # noqa: E402
-from carelens.plans.build import PUBLISHED, ChecksFailed, build, ingest_exports, publish, relations  # noqa: E402
+from carelens.plans.build import PUBLISHED, ChecksFailed, build, ingest_changed, ingest_exports, publish, relations  # noqa: E402
 from carelens.plans.mart import mart_daily_metrics  # noqa: E402
 from carelens.plans.refresh import refresh_mart  # noqa: E402
 from carelens.session import remove, scratch_path  # noqa: E402
@@ -153,7 +153,11 @@ def _exports_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every kind as export files, find and parse them again."""
     folder = scratch_path(spark, "exports")
     nations = _write_exports(Fixture(spark, sf_dir), folder)
-    tables = ingest.ingest(read_all_exports(spark, folder), nations)
+    return _events(ingest.ingest(read_all_exports(spark, folder), nations))
+
+
+def _events(tables: dict[str, DataFrame]) -> DataFrame:
+    """What ingested tables say of every event, in one relation."""
     shown = {
         "diaper_events": ("timestamp", "timestamp", "urine_volume"),
         "feeding_sessions": ("start_time", "end_time", "feeding_type"),
@@ -174,6 +178,27 @@ def _exports_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _changed_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exports of a few subjects loaded, then those of all others once these are registered, then nothing more."""
+    folder = scratch_path(spark, "exports")
+    nations = _write_exports(Fixture(spark, sf_dir), folder)
+    base = _new_base(spark)
+    loading.create_tables(spark, base)
+    for registered in (nations.where("name < 'nation-2'"), nations, nations):
+        ingest_changed(spark, folder, registered, base, AS_OF)
+    return _events({table: spark.table(table_name(base, table)) for table in schemas.EVENT_TABLES})
+
+
+def _one_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of one subject alone, found and loaded."""
+    folder = scratch_path(spark, "exports")
+    nations = _write_exports(Fixture(spark, sf_dir), folder)
+    base = _new_base(spark)
+    loading.create_tables(spark, base)
+    ingest_exports(spark, folder, nations, base, AS_OF, only="NATION-7")
+    return _events({table: spark.table(table_name(base, table)) for table in schemas.EVENT_TABLES})
+
+
 def _built_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All the way: exports are written, found, loaded and built, and the published table is read."""
     folder = scratch_path(spark, "exports")
@@ -410,6 +435,8 @@ def _care_queries() -> dict[str, Query]:
             lambda f: ingest.ingest_feeds(_export(f, "nursing"), _export(f, "pump"), _export(f, "expressed"))
         ),
         "exports_roundtrip": _exports_roundtrip,
+        "ingest_changed": _changed_exports,
+        "ingest_one_subject": _one_subject,
         "transformed_csv": _text_roundtrip,
         "tagged_replace": _tagged_replace,
         "subject_replace": _subject_replace,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
@@ -12,16 +13,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from carelens import constants as K
+from carelens import schemas
 from carelens.operators.ingest import ingest, left_out
 from carelens.operators.quality import GRAINS, checked, duplicate_keys, repeated, row_checks
 from carelens.operators.sleep import fct_sleep_sessions, fct_wake_windows
 from carelens.operators.staging import stage_diapers, stage_feeds, stage_sleeps
-from carelens.plans.load import load
+from carelens.plans.load import load, tagged_replace, with_total
 from carelens.plans.mart import mart_daily_metrics
 from carelens.session import remove, scratch_path
-from carelens.sources.exports import read_all_exports
+from carelens.sources.exports import listed, read_all_exports
 from carelens.sources.subjects import only_subject, profiles_from, with_subject_ids
-from carelens.sources.tables import open_tables, raw_relations
+from carelens.sources.tables import create_table, open_tables, raw_relations, table_name
 
 
 #: Begins the report's rows for exports of subjects that are not registered.
@@ -57,14 +59,76 @@ def ingest_exports(
     """
     chosen = subjects if only is None else only_subject(subjects, only)
     name = None if only is None else chosen.first().name
+    ids = None if only is None else with_subject_ids(chosen)
+    exports = read_all_exports(spark, folder, aliases, only=name)
+    return _loaded(spark, exports, chosen, base, as_of, ids, accept_fewer)
+
+
+#: The stored relation of export files that have been loaded.
+CATALOGUE = "export_files"
+CATALOGUE_COLUMNS = schemas.columns("id STRING, kind STRING, subject STRING, modified TIMESTAMP_NTZ, loaded BOOLEAN").add("size", "long")
+
+
+def ingest_changed(
+    spark: SparkSession,
+    folder: str,
+    subjects: DataFrame,
+    base: str,
+    as_of: datetime,
+    aliases: Mapping[str, Mapping[str, str]] | None = None,
+    accept_fewer: bool = False,
+) -> DataFrame:
+    """Load the exports of subjects any of whose files are new, changed or gone since the last such load; report the rows.
+
+    One listing is compared with the catalogue of files loaded before, by size and time. Subjects whose files are as they
+    were are left alone, and if all are, no line is read. A subject's files are loaded together, and so are those of one
+    who has been registered since. A file that is gone takes its rows along, so that is refused unless ``accept_fewer``.
+    The catalogue follows when the load is done.
+    """
+    name, tag = table_name(base, CATALOGUE), hashlib.md5(folder.rstrip("/").encode()).hexdigest()
+    create_table(spark, name, schemas.with_source(CATALOGUE_COLUMNS))
+    registered = with_subject_ids(subjects).select(F.col("name").alias("subject"), F.lit(True).alias("loaded"))
+    files = listed(spark, folder, aliases).join(registered, "subject", "left")
+    files = files.withColumn("loaded", F.coalesce("loaded", F.lit(False)))
+    path = scratch_path(spark, "export-listing")
+    files.write.parquet(path)
+    try:
+        files = spark.read.schema(files.schema).parquet(path)
+        before = spark.table(name).where(F.col("source") == tag).select(*files.columns)
+        changed = files.exceptAll(before).unionByName(before.exceptAll(files)).select("subject").distinct()
+        touched = files.join(changed, "subject", "left_semi").where("loaded")
+        # As many paths as files changed; a first load reads the whole folder instead.
+        paths = None if before.isEmpty() else [r.id for r in touched.select("id").collect()]
+        chosen = subjects.join(changed, subjects["name"] == changed["subject"], "left_semi")
+        if chosen.isEmpty():
+            report = with_total(spark.createDataFrame([(t, 0) for t in schemas.LOADED_TABLES], "table_name string, rows bigint"))
+        else:
+            exports = read_all_exports(spark, folder, aliases, files=paths)
+            report = _loaded(spark, exports, chosen, base, as_of, with_subject_ids(chosen), accept_fewer)
+        if not changed.isEmpty():
+            tagged_replace(files.select(*CATALOGUE_COLUMNS.fieldNames()), name, tag)
+    finally:
+        remove(spark, path)
+    return report
+
+
+def _loaded(
+    spark: SparkSession,
+    texts: dict[str, DataFrame],
+    chosen: DataFrame,
+    base: str,
+    as_of: datetime,
+    ids: DataFrame | None,
+    accept_fewer: bool,
+) -> DataFrame:
+    """Parse exports into the shared folder once, type and load them."""
     exports, left, parsed = {}, [], []
-    for kind, rows in read_all_exports(spark, folder, aliases, only=name).items():
+    for kind, rows in texts.items():
         path = scratch_path(spark, f"export-{kind}")
         parsed.append(path)
         rows.write.parquet(path)
         exports[kind] = spark.read.schema(rows.schema).parquet(path)
         left.append((f"{LEFT_OUT} {kind}", left_out(exports[kind], chosen).count()))
-    ids = None if only is None else with_subject_ids(chosen)
     try:
         report = load(spark, base, profiles_from(chosen, as_of), ingest(exports, chosen), ids, accept_fewer)
     finally:

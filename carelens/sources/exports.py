@@ -42,8 +42,10 @@ def _decoded(path: Column) -> Column:
 class ExportFolder:
     """Which subject a file belongs to, as expressions over the file's path."""
 
-    def __init__(self, folder: str, aliases: Aliases | None = None, only: str | None = None):
+    def __init__(self, folder: str, aliases: Aliases | None = None, only: str | None = None, files: Iterable[str] | None = None):
+        """``files`` are the raw paths that count, if not all do."""
         self.folder, self.only = folder.rstrip("/"), only
+        self.files = None if files is None else sorted(files)
         self.aliases = {kind: dict(names) for kind, names in (aliases or {}).items()}
         bare = re.sub(r"^[a-z0-9+.-]+:/+", "/", self.folder).removeprefix("./")
         # Only the folder itself counts, not folders below it.
@@ -58,7 +60,8 @@ class ExportFolder:
             wanted = self.only.lower()
             regular &= F.contains(F.lower(_decoded(raw)), F.lit(f"{wanted}_{kind}.csv"))
             names = {name: owner for name, owner in names.items() if owner.lower() == wanted}
-        return reduce(lambda found, name: found | F.endswith(_decoded(raw), F.lit(f"/{name}")), names, regular)
+        found = reduce(lambda found, name: found | F.endswith(_decoded(raw), F.lit(f"/{name}")), names, regular)
+        return found if self.files is None else found & raw.isin(self.files)
 
     def subject(self, kind: str, path: Column) -> Column:
         """The subject of a decoded path; empty for files of other kinds and subjects.
@@ -136,6 +139,27 @@ def layouts(lines: DataFrame) -> DataFrame:
     return seen.join(heads, "line").select("file", "multiline", "header")
 
 
+def listed(spark: SparkSession, folder: str, aliases: Aliases | None = None) -> DataFrame:
+    """Every export file with its size, time, kind and subject, from one listing; no file is opened."""
+    source, path = ExportFolder(folder, aliases), _decoded(F.col("id"))
+    try:
+        found = _reader(spark).format("binaryFile").load(source.folder)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"no export folder {source.folder}") from problem
+        raise
+    files = found.select(
+        F.col("_metadata.file_path").alias("id"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("modified"),
+    )
+    told = [
+        F.when(source.subject(kind, path) != "", F.struct(F.lit(kind).alias("kind"), source.subject(kind, path).alias("subject")))
+        for kind in K.EXPORT_KINDS
+    ]
+    return files.withColumn("of", F.coalesce(*told)).where("of IS NOT NULL").select("id", "size", "modified", "of.*")
+
+
 def _unquoted(name: Column) -> Column:
     bare = F.regexp_replace(F.trim(name), '^"|"$', "")
     return F.when(F.startswith(F.trim(name), F.lit('"')), F.replace(bare, F.lit('""'), F.lit('"'))).otherwise(name)
@@ -179,14 +203,16 @@ def read_all_exports(
     aliases: Aliases | None = None,
     kinds: Iterable[str] = K.EXPORT_KINDS,
     only: str | None = None,
+    files: Iterable[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """All rows of each kind as text, with their subject and a row id; with ``only``, those of one subject.
+    """All rows of each kind as text, with their subject and a row id; with ``only``, those of one subject, and with
+    ``files`` (raw paths), those of these files.
 
     Columns are taken by name, so files may order them differently or carry
     more; an absent optional column is NULL, an absent required one raises.
     A kind without files has no rows; a folder that does not exist raises.
     """
-    source = ExportFolder(folder, aliases, only)
+    source = ExportFolder(folder, aliases, only, files)
     kinds = tuple(kinds)
     files = files_of(spark, source, kinds)
     # As many rows as there are kinds, twice.

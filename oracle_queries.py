@@ -340,6 +340,8 @@ def _ingest() -> dict[str, str]:
         "ingest_sleep": on_ingested(sleep),
         "ingest_feeding": on_ingested(feed),
         "exports_roundtrip": on_ingested(roundtrip, NATION),
+        "ingest_changed": on_ingested(roundtrip, NATION),
+        "ingest_one_subject": on_ingested(f"SELECT * FROM ({roundtrip}) WHERE baby_id = {uuid5(chr(39) + 'nation-7' + chr(39))}", NATION),
         "built_mart": sql(
             "SELECT * FROM daily",
             "daily",

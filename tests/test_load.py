@@ -391,6 +391,44 @@ def exports(folder):
     write("Bob_expressed.csv", 'Baby,Time,Amount (ml),Note\nBob,1/2/24 7:00 am,"1,090",\nBob,1/2/24 9:00 am,80,\n')
 
 
+def test_unchanged_exports_are_not_opened(spark, tmp_path, base, monkeypatch):
+    """A listing tells what is new, changed or gone; only the files of those subjects are read and rewritten."""
+    folder = tmp_path / "exports"
+    folder.mkdir()
+    exports(folder)
+    entry = {"date_of_birth": "2024-01-01", "gender": "other", "timezone": "UTC", "datetime_format": FORMAT}
+    ann, both = (subjects.registry(spark, [{"name": n, **entry} for n in names]) for names in (("Ann",), ("Ann", "Bob")))
+    loading.create_tables(spark, base)
+    read, reader = [], plans.read_all_exports
+    monkeypatch.setattr(plans, "read_all_exports", lambda *a, **k: read.append(k["files"]) or reader(*a, **k))
+
+    def ingest(registered, **more):
+        report = plans.ingest_changed(spark, str(folder), registered, base, datetime(2024, 3, 1), **more)
+        return {r.table_name: r.rows for r in report.collect()}
+
+    def counts():
+        return [spark.table(table_name(base, t)).count() for t in schemas.LOADED_TABLES]
+
+    assert ingest(ann)[None] == 1 + 2 + 2 + 1 and counts() == [1, 2, 1, 2]
+    assert ingest(ann)[None] == 0 and len(read) == 1  # nothing changed, nothing read
+    assert ingest(both)[None] == 1 + 2 and counts() == [2, 2, 3, 2]  # Bob is registered now
+    assert [f.rpartition("/")[2] for f in read[-1]] == ["Bob_expressed.csv"]
+    before = partitions(spark, table_name(base, "diaper_events"))
+    (folder / "Ann_diaper.csv").write_text("Time,Status,Note\n1/2/24 7:05 am,Wet,\n2/2/24 7:05 am,Wet,\n3/2/24 7:05 am,Wet,\n", encoding="utf-8")
+    assert ingest(both)["diaper_events"] == 3 and counts() == [2, 3, 3, 2]
+    assert sorted(f.rpartition("/")[2] for f in read[-1]) == ["Ann_diaper.csv", "Ann_nursing.csv", "Ann_sleep.csv"]
+    assert partitions(spark, table_name(base, "diaper_events")) != before
+    (folder / "Bob_expressed.csv").unlink()
+    with pytest.raises(loading.RowsLost, match="feeding_sessions from 2 to 0"):
+        ingest(both)
+    assert counts() == [2, 3, 3, 2]
+    ingest(both, accept_fewer=True)
+    assert counts() == [2, 3, 1, 2] and len(read) == 5
+    assert ingest(both)[None] == 0 and len(read) == 5
+    with pytest.raises(FileNotFoundError):
+        plans.ingest_changed(spark, str(tmp_path / "nowhere"), both, base, datetime(2024, 3, 1))
+
+
 def test_a_refused_load_changes_no_table(spark, base):
     loading.create_tables(spark, base)
     events = {"diaper_events": people_with_diapers(spark, 5), "sleep_sessions": B.sleeps(spark, []), "feeding_sessions": B.feeds(spark, [])}
