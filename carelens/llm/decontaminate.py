@@ -1,13 +1,17 @@
 """Benchmark passages in training documents, found with suffix arrays of the training text.
 
 Documents are read in shards of bounded size. A shard's words become numbers of the benchmark's vocabulary (a word
-the benchmark lacks ends every match), and the suffixes that are long enough to hold a window are sorted: the
-shard's suffix array. Every test suffix is then searched in it by narrowing its range of suffixes word by word, all
-suffixes at once. At the window's length the range holds all occurrences of the window; going on until the range is
-empty gives the longest verbatim matches and where they are.
+the benchmark lacks ends every match), and the suffixes that are long enough to hold a window are sorted as far as
+windows reach: the shard's suffix array. Every test suffix is then searched in it by narrowing its range of suffixes word
+by word, all suffixes at once, until the range holds the occurrences of its window. Passages that were hit, in documents
+and in items, are then sorted together, whole suffixes now, and each hit place finds its longest verbatim match in the
+test suffixes next to it: common prefixes fall with distance. So the time does not grow with the square of an item's length.
 
-The benchmark is sent to the tasks in blocks of at most about ``BLOCK_BYTES``; a larger benchmark takes several passes
-over the documents, whose findings are merged per document.
+The benchmark is sent to the tasks in blocks of at most about ``BLOCK_BYTES`` (a longer item is a block of its own); a
+larger benchmark takes several passes over the documents, one after the other, whose stored findings are merged per
+document.
+
+The longest match of a document is given by its length, the first place that has it, and an item that holds it.
 
 Defined cases. Null and empty texts have no words. An item without words is never found; items with the same id are
 one item; a null id counts as an empty one. Repeated documents are judged each. An empty benchmark contaminates
@@ -22,17 +26,19 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelens.llm.arrow_text import slices, utf8
+from carelens.llm.store import stored
 
 WINDOW_WORDS = 10
 #: Text of documents in one suffix array, and text of benchmark items sent to the tasks at once.
 SHARD_BYTES, BLOCK_BYTES = 4 << 20, 8 << 20
-#: Words of the vocabulary are packed three to a sort key.
-PACKED, BITS = 3, 21
+#: Bits of a sort key; words of the vocabulary are packed into it, as many as find room.
+KEY_BITS = 63
 
 SPAN = "struct<begin:long,end:long>"
 FOUND = f"n_words long, spans array<{SPAN}>, items array<string>, longest_words long, longest_begin long, longest_item string"
@@ -72,6 +78,7 @@ class TestBlock:
     __test__ = False  # not a test case
 
     def __init__(self, ids: list[str], texts: list[str | None], window: int = WINDOW_WORDS) -> None:
+        self.full_window = window
         words, begins = words_of(pa.array(texts, pa.large_string()))
         self.vocabulary = pc.unique(words)
         self.names = sorted(set(ids))
@@ -82,34 +89,35 @@ class TestBlock:
         count = np.where(lengths > 0, lengths - window_of + 1, 0)
         owner = np.repeat(np.arange(len(ids)), count)
         self.begin = begins[owner] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        self.end = begins[owner + 1] if len(ids) else owner
-        self.item, self.window = items[owner], window_of[owner]
-        self.longest = int(lengths.max(initial=0))
+        self.text_number, self.item, self.window = owner, items[owner], window_of[owner]
+        self.widest = int(window_of.max(initial=0))
         self.shortest = int(window_of[lengths > 0].min()) if (lengths > 0).any() else 0
         self.text = np.append(pc.index_in(words, value_set=self.vocabulary).to_numpy(zero_copy_only=False), -2).astype(np.int64)
 
 
-def packed(text: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """The next three words at each place as one number in the same order."""
+def packed(text: np.ndarray, places: np.ndarray, bits: int) -> np.ndarray:
+    """The next words at each place, ``bits`` each, as one number in the same order."""
     key = np.zeros(len(places), np.int64)
-    for step in range(PACKED):
-        key = key << BITS | text[places + step] + 1
+    for step in range(KEY_BITS // bits):
+        key = key << bits | text[places + step] + 1
     return key
 
 
 def suffix_array(text: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
     """The places ordered by the words that follow, as far as ``depth`` words; ``text`` is padded with -1."""
-    key = packed(text, places)
+    bits = max(int(text.max(initial=0) + 1).bit_length(), 1)
+    key = packed(text, places, bits)
     order = np.argsort(key, kind="stable")
     order, key = places[order], key[order]
     fresh = np.append(True, key[1:] != key[:-1])[: len(order)]
-    for sorted_words in range(PACKED, depth, PACKED):
+    step = KEY_BITS // bits
+    for sorted_words in range(step, depth, step):
         tied = ~(fresh & np.append(fresh[1:], True))
         at = np.flatnonzero(tied)
         if not at.size:
             break
         group = np.cumsum(fresh)[at]
-        key = packed(text, order[at] + sorted_words)
+        key = packed(text, order[at] + sorted_words, bits)
         finer = np.lexsort((key, group))
         order[at], key = order[at][finer], key[finer]
         split = np.append(True, (key[1:] != key[:-1]) | (group[1:] != group[:-1]))
@@ -117,6 +125,57 @@ def suffix_array(text: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray
     return order
 
 
+def names_by_length(text: np.ndarray) -> list[np.ndarray]:
+    """Ranks of the 1, 2, 4, ... words from each place on, until all places differ; words behind the end are least."""
+    names = [np.unique(text, return_inverse=True)[1].astype(np.int64)]
+    while len(text) and names[-1].max() + 1 < len(text):
+        half, step = names[-1], 1 << len(names) - 1
+        after = np.zeros(len(text), np.int64)
+        after[:-step] = half[step:] + 1
+        names.append(np.unique(half * (len(text) + 1) + after, return_inverse=True)[1].astype(np.int64))
+    return names
+
+
+def common_prefixes(names: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many words from places ``a`` and ``b`` on are alike."""
+    n = len(names[0])
+    length = np.zeros(len(a), np.int64)
+    for level in range(len(names) - 1, -1, -1):
+        inside = np.flatnonzero((a + length < n) & (b + length < n))
+        alike = names[level][a[inside] + length[inside]] == names[level][b[inside] + length[inside]]
+        length[inside[alike]] += 1 << level
+    return length
+
+
+def longest_matches(text: np.ndarray, asked: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each asked place the length of its longest match with a known place, and that place.
+
+    Passages of ``text`` must be ended by words of their own, so that no match goes beyond them. In the order of all
+    suffixes the best match is the next known place on one side.
+    """
+    names = names_by_length(text)
+    order = np.argsort(names[-1])
+    rank = np.empty(len(text), np.int64)
+    rank[order] = np.arange(len(text))
+    alike = common_prefixes(names, order[:-1], order[1:])
+    is_known = np.zeros(len(text), bool)
+    is_known[rank[known]] = True
+    best, place = np.zeros(len(asked), np.int64), np.full(len(asked), -1, np.int64)
+    for backward in (False, True):
+        flags, steps, at = (is_known[::-1], alike[::-1], len(text) - 1 - rank[asked]) if backward else (is_known, alike, rank[asked])
+        stretch = np.cumsum(flags)  # known places so far; the least common prefix starts anew behind each
+        lift = stretch[:-1] * (len(text) + 1)
+        least = np.minimum.accumulate(steps - lift) + lift if len(steps) else steps
+        last = np.maximum.accumulate(np.where(flags, np.arange(len(text)), -1))
+        usable = np.flatnonzero((at > 0) & (last[np.maximum(at - 1, 0)] >= 0))
+        length = least[at[usable] - 1]
+        source = last[at[usable] - 1]
+        source = order[len(text) - 1 - source] if backward else order[source]
+        better = length > best[usable]
+        best[usable[better]], place[usable[better]] = length[better], source[better]
+    return best, place
+
+
 def lower_bound(text, order, low, high, depth, word):
     """Per range [low, high) of suffixes alike in ``depth`` words: the first whose next word is ``word`` or more."""
     low, high = low.copy(), high.copy()
@@ -137,6 +196,39 @@ def expanded(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return low[owner] + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size), owner
 
 
+def _covered(size: int, begin: np.ndarray, length: int) -> np.ndarray:
+    """Which of ``size`` places lie in a stretch of this length from one of the beginnings on."""
+    edge = np.bincount(begin, minlength=size + 1) - np.bincount(begin + length, minlength=size + 1)
+    return np.cumsum(edge)[:size] > 0
+
+
+def _passages(mask: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The masked places with one number of room behind each passage, which ends with its part: the places, and where
+    each comes to stand."""
+    places = np.flatnonzero(mask)
+    new = np.append(False, (np.diff(places) > 1) | (np.diff(part[places]) > 0))[: len(places)]
+    return places, np.arange(len(places)) + np.cumsum(new)
+
+
+def _full_matches(block: TestBlock, text: np.ndarray, at: np.ndarray, suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The longest match and its item for the places ``at``, each of which holds the full window of one of the suffixes."""
+    window = block.full_window
+    own, own_slot = _passages(_covered(len(text), at, window), np.zeros(len(text), np.int8))
+    part = np.zeros(len(block.text), np.int64)
+    part[block.begin] = block.text_number
+    part = np.maximum.accumulate(part)
+    test, test_slot = _passages(_covered(len(block.text), block.begin[suffixes], window), part)
+    test_slot = test_slot + own_slot[-1] + 2
+    size = int(test_slot[-1]) + 2
+    joint = len(block.vocabulary) + np.arange(size)  # a word of its own wherever a passage ends
+    joint[own_slot], joint[test_slot] = text[own], block.text[test]
+    known = test_slot[np.searchsorted(test, block.begin[suffixes])]
+    length, place = longest_matches(joint, own_slot[np.searchsorted(own, at)], known)
+    item_at = np.zeros(size, np.int64)
+    item_at[known] = block.item[suffixes]
+    return length, item_at[place]
+
+
 def search(block: TestBlock, column: pa.Array) -> dict[str, list]:
     """What of the block occurs in each text of a shard."""
     words, begins = words_of(column)
@@ -145,32 +237,41 @@ def search(block: TestBlock, column: pa.Array) -> dict[str, list]:
     codes = pc.fill_null(pc.index_in(words, value_set=block.vocabulary), -1).to_numpy(zero_copy_only=False)
     # One gap after each document, and enough of them at the end for any look ahead.
     document = np.repeat(np.arange(n), n_words)
-    text = np.full(len(codes) + n + block.longest + PACKED + 1, -1, np.int64)
+    text = np.full(len(codes) + n + block.widest + KEY_BITS + 1, -1, np.int64)
     text[np.arange(len(codes)) + document] = codes
     first_place = begins[:-1] + np.arange(n)
     gaps = np.flatnonzero(text < 0)
     places = np.flatnonzero(text >= 0)
     run = gaps[np.searchsorted(gaps, places)] - places
     places = places[run >= max(block.shortest, 1)]
-    order = suffix_array(text, places, block.longest)
+    order = suffix_array(text, places, block.widest)
 
-    spans: list[tuple[np.ndarray, np.ndarray]] = []
+    found: list[tuple[np.ndarray, ...]] = []  # documents, lengths, places and items of matches
     pairs: list[np.ndarray] = []
-    longest, where, whose = np.zeros(n, np.int64), np.full(n, -1, np.int64), np.full(n, -1, np.int64)
+    edge = np.zeros(len(text) + 1, np.int64)
     active = np.arange(len(block.begin))
     low, high = np.zeros(len(active), np.int64), np.full(len(active), len(order), np.int64)
-    for depth in range(block.longest + 1):
-        if depth:
-            reached = np.flatnonzero(block.window[active] <= depth)
-            if reached.size:
-                ranks, owner = expanded(low[reached], high[reached])
-                at, suffix = order[ranks], active[reached][owner]
-                doc = np.searchsorted(first_place, at, side="right") - 1
-                longest[doc], where[doc], whose[doc] = depth, at - first_place[doc], block.item[suffix]
-                complete = block.window[suffix] == depth
-                spans.append((at[complete], at[complete] + depth))
-                pairs.append(np.unique(doc[complete] * len(block.names) + block.item[suffix[complete]]))
-        going = np.flatnonzero(block.begin[active] + depth < block.end[active])
+    for depth in range(block.widest + 1):
+        complete = np.flatnonzero(block.window[active] == depth)
+        if depth and complete.size:
+            # Equal windows have one range: its places are taken once, its documents once for each item.
+            suffixes, begin, end = active[complete], low[complete], high[complete]
+            first = np.unique(begin, return_index=True)[1]
+            ranks, owner = expanded(begin[first], end[first])
+            at = order[ranks]
+            edge += np.bincount(at, minlength=len(edge)) - np.bincount(at + depth, minlength=len(edge))
+            doc = np.searchsorted(first_place, at, side="right") - 1
+            length, item = np.full(len(at), depth), block.item[suffixes[first]][owner]
+            if depth == block.full_window:
+                length, item = _full_matches(block, text, at, suffixes)
+            found.append((doc, length, at, item))
+            held = np.unique(owner * n + doc)  # window and document
+            of_window = np.searchsorted(begin[first], begin)
+            wanted = np.unique(of_window * len(block.names) + block.item[suffixes])  # window and item
+            window, item = wanted // len(block.names), wanted % len(block.names)
+            ranks, owner = expanded(np.searchsorted(held, window * n), np.searchsorted(held, window * n + n))
+            pairs.append(np.unique(held[ranks] % n * len(block.names) + item[owner]))
+        going = np.flatnonzero(block.window[active] > depth)
         active, low, high = active[going], low[going], high[going]
         word = block.text[block.begin[active] + depth]
         high_, low = lower_bound(text, order, low, high, depth, word + 1), lower_bound(text, order, low, high, depth, word)
@@ -179,10 +280,12 @@ def search(block: TestBlock, column: pa.Array) -> dict[str, list]:
         if not active.size:
             break
 
-    edge = np.zeros(len(text) + 1, np.int64)
-    for begin, end in spans:
-        np.add.at(edge, begin, 1)
-        np.add.at(edge, end, -1)
+    longest, where, whose = np.zeros(n, np.int64), np.full(n, -1, np.int64), np.full(n, -1, np.int64)
+    if found:
+        doc, length, at, item = map(np.concatenate, zip(*found, strict=True))
+        best = np.lexsort((item, at, -length, doc))
+        best = best[np.unique(doc[best], return_index=True)[1]]
+        longest[doc[best]], where[doc[best]], whose[doc[best]] = length[best], at[best] - first_place[doc[best]], item[best]
     hit = np.cumsum(edge) > 0
     change = np.flatnonzero(np.diff(hit, prepend=False))  # begin and end of each hit passage in turn
     begin, end = change[::2], change[1::2]
@@ -203,9 +306,8 @@ def search(block: TestBlock, column: pa.Array) -> dict[str, list]:
     }
 
 
-def _pass(docs: DataFrame, block: TestBlock, shard_bytes: int) -> DataFrame:
+def _pass(docs: DataFrame, sent: Broadcast, shard_bytes: int) -> DataFrame:
     """Findings of one block, a row per document: doc_id, text_hash and FOUND."""
-    sent = docs.sparkSession.sparkContext.broadcast(block)
     source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     kinds = source.schema
     found_types = T._parse_datatype_string(FOUND)
@@ -224,14 +326,14 @@ def _pass(docs: DataFrame, block: TestBlock, shard_bytes: int) -> DataFrame:
     return source.mapInArrow(run, out)
 
 
-def _blocks(items: DataFrame, block_bytes: int, window: int) -> Iterator[TestBlock]:
-    """The items (item, text) in blocks, one at a time."""
+def _blocks(items: DataFrame, block_bytes: int, window: int) -> Iterator[tuple[int, TestBlock]]:
+    """The number of blocks and each of them (item, text), one at a time."""
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, -(-size // block_bytes))
     block = F.pmod(F.xxhash64("item", "text"), F.lit(count))
     for number in range(count):
-        rows = items.where(block == number).distinct().collect()
-        yield TestBlock([r.item for r in rows], [r.text for r in rows], window)
+        rows = sorted(items.where(block == number).distinct().collect(), key=lambda r: (r.item, r.text or ""))
+        yield count, TestBlock([r.item for r in rows], [r.text for r in rows], window)
 
 
 def benchmark_hits(
@@ -244,7 +346,14 @@ def benchmark_hits(
     """Per row of ``docs``: doc_id, text_hash, n_words, n_hit, spans (words from-to), items (sorted ids as text), and
     the longest verbatim match: longest_words, longest_begin, longest_item."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
-    passes = [_pass(docs, block, shard_bytes) for block in _blocks(items, block_bytes, window)]
+    passes = []
+    for count, block in _blocks(items, block_bytes, window):
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+        found = _pass(docs, sent, shard_bytes)
+        if count > 1:  # one block at a time is held by driver and executors
+            found = stored(found, "benchmark-pass")
+            sent.destroy()
+        passes.append(found)
     hits = passes[0] if len(passes) == 1 else _merged(passes)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, x: total + x["end"] - x["begin"])
     return hits.withColumn("n_hit", n_hit).withColumn("items", F.array_sort("items"))

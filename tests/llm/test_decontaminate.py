@@ -116,6 +116,45 @@ def test_suffix_array_is_sorted():
     assert heads == sorted(heads) and sorted(order) == list(range(300))
 
 
+def test_many_different_words():
+    """Numbers beyond what three to a key have room for."""
+    text = np.append(np.random.default_rng(2).choice([1 << 21, (1 << 21) + 1, 1 << 22], 300), [-1] * 100)
+    order = decontaminate.suffix_array(text, np.arange(300), 20)
+    heads = [tuple(text[p : p + 20]) for p in order]
+    assert heads == sorted(heads) and sorted(order) == list(range(300))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), min_size=1, max_size=9), min_size=2, max_size=8), st.data())
+def test_longest_matches(passages, data):
+    ended = [(*passage, 3 + i) for i, passage in enumerate(passages)]
+    text = np.array([word for passage in ended for word in passage])
+    known = data.draw(st.lists(st.integers(0, len(text) - 1), min_size=1, unique=True))
+    asked = [p for p in range(len(text)) if p not in known]
+    length, place = decontaminate.longest_matches(text, np.array(asked, int), np.array(known))
+
+    def alike(a, b):
+        n = 0
+        while max(a, b) + n < len(text) and text[a + n] == text[b + n]:
+            n += 1
+        return n
+
+    for p, n, at in zip(asked, length.tolist(), place.tolist(), strict=True):
+        assert n == max(alike(p, k) for k in known)
+        assert n == 0 or (at in known and alike(p, at) == n)
+
+
+@pytest.mark.parametrize("period", [1, 7, 10**9])
+def test_very_long_item(period):
+    """100,000 words, also the same few again and again, in four documents of one shard."""
+    item = [f"w{i % period}" for i in range(100_000)]
+    texts = [" ".join(["x", *item[:n], "y"]) for n in (100_000, 50_000, 99_999, 100_000)]
+    found = decontaminate.search(decontaminate.TestBlock(["a"], [" ".join(item)]), pa.array(texts))
+    assert found["longest_words"] == [100_000, 50_000, 99_999, 100_000]
+    assert found["longest_begin"] == [1] * 4 and found["items"] == [["a"]] * 4
+    assert found["spans"] == [[{"begin": 1, "end": n + 1}] for n in (100_000, 50_000, 99_999, 100_000)]
+
+
 def test_affected_documents_go(spark, docs):
     rows = [(1, "x a b c d y"), (1, "clean"), (2, "a b c"), (2, "a b c d"), (3, None)]
     kept = decontaminate.without_benchmark(docs(rows), bench(spark, [(1, "A b C d e")]), window=4)
