@@ -1,10 +1,12 @@
 """Lines that many documents share: levelled sorted runs of line hashes.
 
-The index is a set of runs. A run is a table of line keys, bucketed and sorted by key; a key lies in one
-run only. A new batch is reduced to its distinct keys and merge-anti-joined with the runs: keys that no run
-holds become a run of level 0, holdings of known keys are appended to a list of repeats. When a level has
-``fanout`` runs they are merged into one run of the next level, so a key is rewritten a logarithmic number
-of times. Runs are bucketed alike, so joins with them shuffle the batch only.
+The index is a set of runs. A run is a table of line keys, bucketed and sorted by key, with one file per bucket; a key
+lies in one run only. A new batch is reduced to its distinct keys, written as such a table too, and merge-anti-joined
+with one run after the other: keys that no run holds become a run of level 0, holdings of known keys are appended to a
+list of repeats. When a level has ``fanout`` runs they are merged by full outer joins into one run of the next level, so
+a key is rewritten a logarithmic number of times. As all tables are bucketed and sorted alike, a join of a batch with the
+runs, or of two runs, moves and sorts no row (``ordered_buckets``); the batch is shuffled when it is counted. Only with a
+``fanout`` above two a merge deals rows again. Files of runs that were merged are deleted.
 
 Defined cases. A null text is one empty line. Rows that share a doc_id are one document; a null doc_id is
 one document too, smaller than any other. Repeated rows stay, each with the same lines. An empty table gives
@@ -14,13 +16,15 @@ an empty result. Columns besides doc_id and text are carried along unread.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelens.llm.store import shuffle_partitions, stored
-from carelens.session import scratch_path
+from carelens.session import remove, scratch_path
 
 MIN_KEY_CHARS, MIN_DOCUMENTS = 20, 3
 #: Batches a whole table is dealt into, and runs of a level that are merged into one of the next.
@@ -54,6 +58,21 @@ def line_hashes(docs: DataFrame, min_chars: int = MIN_KEY_CHARS) -> DataFrame:
     )
 
 
+#: Lets a scan of a table with one sorted file per bucket say that its rows are sorted.
+ORDERED_BUCKETS = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+
+
+@contextmanager
+def ordered_buckets(spark: SparkSession) -> Iterator[None]:
+    """Plans made within read the order of bucket files; the session's own setting is put back."""
+    before = spark.conf.get(ORDERED_BUCKETS)
+    spark.conf.set(ORDERED_BUCKETS, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(ORDERED_BUCKETS, before)
+
+
 class LineRuns:
     """The runs and the repeats of all batches added so far, below one folder of the shared store."""
 
@@ -68,17 +87,28 @@ class LineRuns:
     def add(self, lines: DataFrame) -> None:
         """Take in a batch of line hashes (doc_id, h1, h2). A document's rows must lie in one batch."""
         holdings = lines.groupBy(*HASH, "doc_id").agg(F.lit(1).alias("one"))
-        keys = stored(
-            holdings.groupBy(*HASH).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc")), "line-batch"
-        )
-        known = self.runs()
-        if known is not None:
-            known = known.select(*HASH).hint("merge")
-            self.repeats.append(stored(keys.join(known, list(HASH), "left_semi"), "line-repeats"))
-            keys = keys.join(known, list(HASH), "left_anti")
-        self.levels[0].append(self._write(keys))
+        keys = holdings.groupBy(*HASH).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc"))
+        if self.buckets != shuffle_partitions(self.spark):  # else counting has dealt them already
+            keys = keys.repartition(self.buckets, *HASH)
+        batch = self._write(keys)
+        if any(self.levels):
+            with ordered_buckets(self.spark):
+                fresh = self._write(self.unknown(batch))
+                known = self.spark.table(batch).join(self._keys(fresh), list(HASH), "left_anti")
+                self.repeats.append(stored(known, "line-repeats"))
+            self._delete(batch)
+            batch = fresh
+        self.levels[0].append(batch)
         self._compact()
 
+    def unknown(self, batch: str) -> DataFrame:
+        """Rows of a table of keys that no run holds."""
+        runs = [name for level in reversed(self.levels) for name in level]
+        return reduce(lambda rows, run: rows.join(self._keys(run), list(HASH), "left_anti"), runs, self.spark.table(batch))
+
+    def _keys(self, name: str) -> DataFrame:
+        return self.spark.table(name).select(*HASH).hint("merge")
+
     def runs(self) -> DataFrame | None:
         names = [name for level in self.levels for name in level]
         return reduce(DataFrame.unionByName, map(self.spark.table, names)) if names else None
@@ -91,30 +121,51 @@ class LineRuns:
         return total.where(F.col("n_docs") >= min_docs)
 
     def drop(self) -> None:
-        """Forget the tables; what they held stays in the shared folder until that is cleaned."""
+        """Delete the runs. The repeats stay in the shared folder until that is cleaned."""
         for level in self.levels:
             for name in level:
-                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+                self._delete(name)
+        self.levels = [[]]
 
     def _write(self, keys: DataFrame) -> str:
+        """A table of keys that are already dealt by bucket, so that each bucket is one file."""
         self.written += 1
         name = f"{self.name}_{self.written}"
-        dealt = keys.repartition(self.buckets, *HASH)
-        writer = dealt.write.bucketBy(self.buckets, *HASH).sortBy(*HASH)
-        writer.option("path", f"{self.folder}/{self.written}").saveAsTable(name)
+        writer = keys.write.bucketBy(self.buckets, *HASH).sortBy(*HASH)
+        writer.option("path", self._path(name)).saveAsTable(name)
         return name
 
+    def _path(self, name: str) -> str:
+        return f"{self.folder}/{name}"
+
+    def _delete(self, name: str) -> None:
+        """Drop a table, which is external, and its files."""
+        self.spark.sql(f"DROP TABLE {name}")
+        remove(self.spark, self._path(name))
+
+    def _merged(self, names: list[str]) -> DataFrame:
+        """Runs as one; they share no key."""
+        merged = self.spark.table(names[0])
+        for name in names[1:]:
+            other = self.spark.table(name).select(*HASH, F.col("n_docs").alias("n"), F.col("last_doc").alias("doc"))
+            both = merged.join(other.hint("merge"), list(HASH), "full")
+            merged = both.select(
+                *HASH, F.coalesce("n_docs", "n").alias("n_docs"), F.coalesce("last_doc", "doc").alias("last_doc")
+            )
+        return merged
+
     def _compact(self) -> None:
         for level, names in enumerate(self.levels):
             if len(names) < self.fanout:
                 continue
-            merged = self._write(reduce(DataFrame.unionByName, map(self.spark.table, names)))
+            with ordered_buckets(self.spark):
+                merged = self._write(self._merged(names))
             if level + 1 == len(self.levels):
                 self.levels.append([])
             self.levels[level + 1].append(merged)
             self.levels[level] = []
             for name in names:
-                self.spark.sql(f"DROP TABLE {name}")
+                self._delete(name)
 
 
 def dedup_lines(

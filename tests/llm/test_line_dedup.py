@@ -1,12 +1,13 @@
 import hashlib
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 from awkward import AWKWARD
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from carelens.llm.line_dedup import LineRuns, dedup_lines, line_hashes
+from carelens.llm.line_dedup import ORDERED_BUCKETS, LineRuns, dedup_lines, line_hashes, ordered_buckets
 from carelens.llm.queries import op1_line_dedup
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -81,10 +82,33 @@ def test_runs_hold_each_key_once(spark, docs, fanout):
 
 
 def test_runs_are_joined_without_moving_them(spark, docs):
-    runs = LineRuns(spark, buckets=8)
-    runs.add(line_hashes(docs([(1, SHARED[0])])))
-    known = runs.runs().select("h1", "h2").hint("merge")
-    keys = line_hashes(docs([(2, SHARED[0])])).groupBy("h1", "h2").count()
-    plan = keys.join(known, ["h1", "h2"], "left_anti")._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+    """Three runs and a batch: no exchange and no sort; the same holds for merging two runs."""
+    runs = LineRuns(spark, fanout=9, buckets=8)
+    for batch in range(4):
+        runs.add(line_hashes(docs([(batch, f"{SHARED[0]}\nline of its own of batch {batch}")])))
+    *older, last = runs.levels[0]
+    assert len(older) == 3
+    runs.levels = [older]
+    with ordered_buckets(spark):
+        for frame, joins in ((runs.unknown(last), 3), (runs._merged(older[:2]), 1)):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("SortMergeJoin") == joins
+            assert "Exchange" not in plan and "Sort [" not in plan
+        assert runs.unknown(last).count() == 1 and runs._merged(older).count() == 4
+    assert spark.conf.get(ORDERED_BUCKETS) == "false"
+    runs.levels = [[*older, last]]
     runs.drop()
+
+
+def test_merged_runs_leave_no_files(spark, docs):
+    runs = LineRuns(spark, fanout=2, buckets=4)
+    for batch in range(5):
+        runs.add(line_hashes(docs([(batch, f"{SHARED[0]}\nline of its own of batch {batch}")])))
+    folder = Path(runs.folder.removeprefix("file:"))
+    assert {path.name for path in folder.iterdir()} == {name for level in runs.levels for name in level}
+    assert len(runs.levels[0]) == 1 and [len(level) for level in runs.levels] == [1, 0, 1]
+    for name in (name for level in runs.levels for name in level):
+        buckets = [path.name.split("_")[-1].split(".")[0] for path in (folder / name).glob("part-*")]
+        assert len(buckets) == len(set(buckets)) > 0
+    runs.drop()
+    assert not list(folder.iterdir())
