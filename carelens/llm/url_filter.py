@@ -2,7 +2,8 @@
 
 A rule is a host and a path. It fits a URL whose host is the rule's or a subdomain of it and whose path begins with the
 rule's; the longest fitting rule decides. So a URL has one candidate for each shape that rules have (number of host
-labels, length of path), and is listed if one of its candidates is. Almost none are: candidates first pass a
+labels, length of path), and is listed if one of its candidates is. Shapes are data: a relation with one row for each number
+of labels holds the lengths, so thousands of shapes change no plan. Almost no candidate is listed: they first pass a
 blocked Bloom filter of all rules (one 32-byte block per key, a bit in each of its eight words), which is sent to the
 tasks. Its size is bounded by a parameter; a list too long for it only lets more candidates through. What passes is
 joined with the rules by equality, so false positives go.
@@ -95,18 +96,16 @@ def bloom_of(rules: DataFrame, filter_bytes: int = FILTER_BYTES) -> BlockedBloom
     return BlockedBloom(bits)
 
 
-def _candidates(rules: DataFrame) -> Column:
-    """A URL's candidate rules as an array, one for each shape of rule that it is long enough for."""
-    shapes = rules.select(labels(F.col("host")), F.char_length("path")).distinct().collect()
-    host, path = F.col("host"), F.col("path")
-    each = [
-        F.when(
-            (labels(host) >= n) & (F.char_length(path) >= length),
-            F.struct(F.substring_index(host, ".", -n).alias("host"), F.left(path, F.lit(length)).alias("path")),
-        )
-        for n, length in sorted(shapes)
-    ]
-    return F.array_compact(F.array(*each)) if each else F.array().cast("array<struct<host:string,path:string>>")
+def _candidates(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """The URLs, for each number of labels that rules have: the end of the host, and the lengths of rules' paths there that
+    are not longer than the URL's path. The relation joined has as many rows as there are numbers of labels."""
+    n_labels = labels(F.col("host"))
+    most = rules.agg(F.max(n_labels)).first()[0] or 1
+    shapes = rules.groupBy(n_labels.alias("n")).agg(F.array_sort(F.collect_set(F.char_length("path"))).alias("lengths"))
+    ends = urls.select("host", "path", F.explode(F.sequence(F.lit(1), F.least(n_labels, F.lit(most)))).alias("n"))
+    rule_host = F.call_function("substring_index", F.col("host"), F.lit("."), -F.col("n"))
+    fitting = F.filter("lengths", lambda length: length <= F.char_length("path"))
+    return ends.join(shapes, "n").select("host", "path", rule_host.alias("rule_host"), fitting.alias("lengths"))
 
 
 def judge(pages: DataFrame, rules: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
@@ -126,13 +125,13 @@ def judge(pages: DataFrame, rules: DataFrame, filter_bytes: int = FILTER_BYTES)
 
     host, path = host_and_path(F.col("url"))
     located = pages.select("page_id", host.alias("host"), path.alias("path"))
-    urls = located.select("host", "path").distinct().withColumn("candidates", _candidates(rules))
-    hashes = F.transform("candidates", lambda x: key_hash(x["host"], x["path"]))
+    urls = _candidates(located.select("host", "path").distinct(), rules)
+    hashes = F.transform("lengths", lambda length: key_hash(F.col("rule_host"), F.left(F.col("path"), length)))
     urls = urls.withColumn("possible", may_hold(hashes))
-    passed = F.filter("candidates", lambda x, i: F.get("possible", i))
-    possible = urls.select("host", "path", F.explode(passed).alias("candidate"))
+    passed = F.filter("lengths", lambda x, i: F.get("possible", i))
+    possible = urls.select("host", "path", "rule_host", F.explode(passed).alias("length"))
 
-    exact = possible.select("host", "path", F.col("candidate.host").alias("rule_host"), F.col("candidate.path").alias("rule_path"))
+    exact = possible.withColumn("rule_path", F.left(F.col("path"), F.col("length"))).drop("length")
     listed = rules.select(F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), "verdict")
     rule = F.concat("rule_host", "rule_path")
     order = F.struct(F.char_length(rule).alias("length"), F.char_length("rule_host").alias("host_length"), rule.alias("rule"), "verdict")

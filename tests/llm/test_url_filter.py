@@ -80,6 +80,22 @@ def test_empty_tables(spark, pages):
     assert {r.verdict for r in got} == {"allow"} and {r.rule for r in got} == {None}
 
 
+def test_thousands_of_rule_shapes_and_a_hot_host(spark, pages):
+    """3,000 lengths of path, and every page on one host; the plan is as long as with one rule."""
+    path = "/" + "ab" * 1500
+    rules = [("hot.com", path[:n], "block" if n % 2 else "allow") for n in range(1, 3001)]
+    urls = [f"http://{sub}hot.com{path[:n]}" for n in range(0, 3001, 30) for sub in ("", "www.", "not")]
+    listed = url_filter.judge(pages(urls), url_filter.rules_frame(spark, rules))
+    got = {r.page_id: (r.rule, r.verdict) for r in listed.collect()}
+    for i, url in enumerate(urls):
+        n = len(url.split("hot.com")[1])
+        fits = n and "nothot" not in url
+        assert got[i] == ((f"hot.com{path[:n]}", "block" if n % 2 else "allow") if fits else (None, "allow"))
+    short = url_filter.judge(pages(urls), url_filter.rules_frame(spark, rules[:1]))
+    size = [len(f._jdf.queryExecution().analyzed().treeString().splitlines()) for f in (short, listed)]
+    assert size[0] == size[1]
+
+
 def test_no_listed_key_is_missed_and_few_others_pass(spark):
     rules = spark.range(5000).selectExpr("concat('h', id, '.com') AS host", "'/' AS path", "'block' AS verdict")
     bloom = url_filter.bloom_of(rules)
