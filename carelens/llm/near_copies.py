@@ -1,8 +1,10 @@
-"""Near copies by the Jaccard similarity of word shingles: MinHash bands bring crowds together, exact counts decide.
+"""Near copies by SimHash and the Jaccard similarity of word shingles: SimHash proposes, exact counts decide.
 
-Every text gets ``BANDS`` keys, each of ``ROWS`` of its ``MINIMA`` least hashed shingles. Texts that agree in a key share a
-bucket, and texts that buckets connect are a crowd. A pair of similarity 0.8 agrees in no key with a chance of about
-2e-5, a more similar one with less; every pair of a crowd is decided by its exact shingle sets.
+Every text gets a SimHash fingerprint of its shingles, and the search of ``simhash.links`` connects all fingerprints that
+differ in at most ``BITS`` bits. Texts of similarity 0.8 may differ in more, so MinHash bands complement it: a text has
+``BANDS`` keys, each of ``ROWS`` of its ``MINIMA`` least hashed shingles, and texts that agree in a key share a bucket. Texts
+that fingerprints or buckets connect are a crowd. A pair beyond the radius of similarity 0.8 agrees in no key with a chance of
+about 2e-5, a more similar one with less; every pair of a crowd is decided by its exact shingle sets.
 
 A crowd is never turned into rows of pairs. It is cut into blocks of bounded size, and a task gets two blocks: it counts
 what their texts share and returns links that connect what is similar, less than one a text. Nearly all crowds are one
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from carelens.llm import simhash
 from carelens.llm.arrow_text import slices
 from carelens.llm.components import components
 from carelens.llm.decontaminate import expanded
@@ -40,6 +43,8 @@ from carelens.llm.url_filter import BlockedBloom, bloom_of, key_hash
 
 SHINGLE_WORDS, PERCENT, SEED = 5, 80, 42
 BANDS, ROWS, MINIMA = 64, 7, 256
+#: Differing bits of two fingerprints that are a candidate pair.
+BITS = 3
 #: Texts and shingles of a block, about; a shingle that makes more pairs of a tile than this is counted by matrix products.
 BLOCK_TEXTS, BLOCK_SHINGLES, DENSE = 1024, 1 << 18, 64
 #: Shingles of one matrix product, and of one step of the other counting.
@@ -102,11 +107,11 @@ def _mapped(frame: DataFrame, of, kinds: T.StructType) -> DataFrame:
     return frame.mapInArrow(run, schema)
 
 
-BANDED = T.StructType().add("n", T.LongType()).add("bands", T.ArrayType(T.LongType()))
+BANDED = T.StructType().add("n", T.LongType()).add("fingerprint", T.LongType()).add("bands", T.ArrayType(T.LongType()))
 
 
 def _banded(hashed: np.ndarray) -> list:
-    return [len(hashed), band_keys(hashed)]
+    return [len(hashed), int(np.uint64(simhash.majority(hashed)).view(np.int64)), band_keys(hashed)]
 
 
 def shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -185,15 +190,27 @@ def _links(percent: int):
     return run
 
 
+def alike(banded: DataFrame, bits: int = BITS) -> DataFrame:
+    """Links (a, b) that connect the texts (id, fingerprint) whose fingerprints differ in at most ``bits`` bits."""
+    first = stored(banded.groupBy("fingerprint").agg(F.min("id").alias("a")), "near-copy-prints")
+    found = simhash.links(first.select("fingerprint"), bits).withColumnsRenamed({"a": "fingerprint", "b": "other"})
+    ends = first.select(F.col("fingerprint").alias("other"), F.col("a").alias("b"))
+    apart = found.join(first, "fingerprint").join(ends, "other").select("a", "b")
+    same = banded.join(first, "fingerprint").where("a < id").select("a", F.col("id").alias("b"))
+    return apart.unionByName(same)
+
+
 def crowds(banded: DataFrame) -> DataFrame:
-    """(key, root) of texts that share buckets with others, the root naming their crowd; ``banded`` has key and bands.
+    """(key, root) of texts with a near fingerprint or a shared bucket, the root naming their crowd; ``banded`` has key,
+    fingerprint and bands.
 
     Here 64 bits stand for a text. Two texts that share them only make two crowds one.
     """
     own = F.xxhash64("key").alias("id")
     rows = banded.select(own, F.explode("bands").alias("bucket"))
     heads = rows.groupBy("bucket").agg(F.min("id").alias("a"), F.max("id").alias("last")).where("a < last")
-    edges = rows.join(heads, "bucket").where("a < id").select("a", F.col("id").alias("b")).distinct()
+    shared = rows.join(heads, "bucket").where("a < id").select("a", F.col("id").alias("b"))
+    edges = shared.unionByName(alike(banded.select(own, "fingerprint"))).distinct()
     return banded.select("key", own).join(components(edges), F.col("id") == F.col("vertex")).select("key", "root")
 
 
@@ -240,7 +257,7 @@ def tiles(crowd: DataFrame, sets: DataFrame, texts: int, members: int) -> DataFr
 
 def links(docs: DataFrame, banded: DataFrame, percent: int, texts: int, members: int) -> DataFrame:
     """Links (a, b) between keys of ``docs`` (key, text) that connect what is similar."""
-    crowd = crowds(banded.select("key", "bands")).join(banded.select("key", "n"), "key")
+    crowd = crowds(banded.select("key", "fingerprint", "bands")).join(banded.select("key", "n"), "key")
     crowd = stored(crowd, "near-copy-crowds")
     dealt = tiles(crowd, sets_of(docs, crowd.select("key")), texts, members)
     dealt = dealt.repartition(shuffle_partitions(docs.sparkSession), "root", "tile").sortWithinPartitions("root", "tile")
@@ -254,9 +271,10 @@ def one_per_group(
     keyed = docs.withColumn("__key", text_key())
     source = keyed.select(F.col("__key").alias("key"), "doc_id", "text")
     banded = stored(_mapped(source, _banded, BANDED), "near-copy-bands")
-    # A text's rows have the same bands, so any will do; the smallest id names the text.
+    # A text's rows have the same fingerprint and bands, so any will do; the smallest id names the text.
     name = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")
-    distinct = banded.groupBy("key").agg(F.min(name).alias("first"), F.min("n").alias("n"), F.min("bands").alias("bands"))
+    own = (F.min(c).alias(c) for c in BANDED.fieldNames())
+    distinct = banded.groupBy("key").agg(F.min(name).alias("first"), *own)
     distinct = stored(distinct, "near-copy-texts")
     linked = components(links(source, distinct, percent, block_texts, block_shingles)).withColumnRenamed("vertex", "key")
 

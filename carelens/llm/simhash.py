@@ -33,6 +33,8 @@ from carelens.llm.store import shuffle_partitions, stored
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 2, 42
 #: Distinct fingerprints of a bucket that are compared in one task; larger ones are refined.
 BUCKET = 1024
+#: Hashes whose bits are counted at once.
+PART = 1 << 16
 #: A bucket with so few free bits has at most 2 ** SMALL members and is never refined.
 SMALL = 10
 
@@ -47,10 +49,16 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     else:
         shingles = [b" ".join(x) for x in zip(*(words[i:] for i in range(shingle_words)), strict=False)]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(x, SEED) for x in shingles], np.uint64)
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    majority = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
-    return int(np.packbits(majority, bitorder="little").view(np.uint64)[0])
+    return majority(np.array([digest(x, SEED) for x in shingles], np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes, as an unsigned number; zero of none."""
+    count = np.zeros(64, np.int64)
+    for begin in range(0, len(hashes), PART):
+        part = hashes[begin : begin + PART].view(np.uint8).reshape(-1, 8)
+        count += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(count * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:

@@ -30,7 +30,10 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 @shipped
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts whose five-word shingles have a Jaccard similarity of 0.8 or more."""
+    """One document of each group of texts whose five-word shingles have a Jaccard similarity of 0.8 or more.
+
+    SimHash proposes candidates, MinHash bands those beyond its radius, and exact shingle sets decide.
+    """
     return near_copies.one_per_group(docs)
 
 
@@ -49,12 +52,12 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", keep_good),
     ("line dedup", drop_shared_lines),
-    ("near-dedup", drop_near_copies),
+    ("SimHash near-dedup", drop_near_copies),
     ("benchmark decontamination", drop_contaminated),
     ("best-fit packing", pack),
 ]
 
-#: A trained classifier, MinHash and a tokenizer are beyond SQL; tests hold each stage to a brute-force version.
+#: A trained classifier, SimHash and a tokenizer are beyond SQL; tests hold each stage to a brute-force version.
 ORACLE_SQL = None
 
 

@@ -135,3 +135,32 @@ def test_awkward(docs):
     kept = [r.doc_id for r in near_copies.one_per_group(docs(AWKWARD)).collect()]
     assert sorted(kept, key=repr) == sorted([1, 4, 5, 6, 7, 9, None, 10, 11, -13], key=repr)
     assert near_copies.one_per_group(docs([])).collect() == []
+
+
+def test_near_fingerprints_make_a_crowd_without_a_shared_bucket(spark):
+    """Texts 0 to 5 step by three bits, 6 has the fingerprint of 0, 7 is four bits from 5; all bands are their own."""
+    prints = [0, 0b111, 0b111111, 0b111111111, 7 << 9 | 0b111111111, 7 << 61 | 0b111111111111, 0]
+    prints.append(prints[5] ^ 0b1111 << 30)
+    rows = [(bytes([i]), int(np.uint64(p).view(np.int64)), [64 * i + j for j in range(64)]) for i, p in enumerate(prints)]
+    frame = spark.createDataFrame(rows, "key binary, fingerprint long, bands array<long>")
+    found = {r.key[0]: r.root for r in near_copies.crowds(frame).collect()}
+    assert set(found) == set(range(7)) and len(set(found.values())) == 1
+
+
+def test_the_stage_searches_the_fingerprints_of_all_texts(spark, docs, sf_dir, monkeypatch):
+    """By five-word shingles, each distinct one once, at a radius of three bits."""
+    texts = [None, "", "a b", *(" ".join(random.Random(i).choices(VOCABULARY, k=40)) for i in range(9))]
+    asked, links = [], near_copies.simhash.links
+
+    def seen(prints, *rest):
+        asked.append(({r.fingerprint for r in prints.collect()}, *rest))
+        return links(prints, *rest)
+
+    monkeypatch.setattr(near_copies.simhash, "links", seen)
+    assert corpus_pipeline.drop_near_copies(spark, docs([*enumerate(texts), (20, texts[3])]), sf_dir).count() == 11
+    wanted = set()
+    for text in texts:
+        hashed = near_copies.shingles(text).tolist()
+        bits = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashed) > len(hashed))
+        wanted.add(int(np.uint64(bits).view(np.int64)))
+    assert asked == [(wanted, 3)]
