@@ -14,20 +14,24 @@ from carelens import constants as K
 from carelens import schemas
 from carelens.functions import text as X
 from carelens.functions import time as T
+from carelens.session import bounded
 from carelens.sources.subjects import with_subject_ids
 
 
 def attach_subjects(rows: DataFrame, subjects: DataFrame) -> DataFrame:
     """Add ``baby_id`` and ``datetime_format``; rows of unregistered subjects go (``left_out`` has them)."""
-    registry = with_subject_ids(subjects).select(
-        F.col("name").alias("subject"), "baby_id", "datetime_format"
+    return rows.join(_registry(subjects), "subject")
+
+
+def _registry(subjects: DataFrame) -> DataFrame:
+    return bounded(
+        with_subject_ids(subjects).select(F.col("name").alias("subject"), "baby_id", "datetime_format")
     )
-    return rows.join(registry, "subject")
 
 
 def left_out(rows: DataFrame, subjects: DataFrame) -> DataFrame:
     """Export rows whose subject is not registered."""
-    return rows.join(subjects.select(F.col("name").alias("subject")), "subject", "left_anti")
+    return rows.join(bounded(subjects.select(F.col("name").alias("subject"))), "subject", "left_anti")
 
 
 def _event_time() -> Column:
@@ -163,7 +167,8 @@ def ingest_feeds(nursing: DataFrame, pump: DataFrame, expressed: DataFrame) -> D
 
 def ingest(exports: dict[str, DataFrame], subjects: DataFrame) -> dict[str, DataFrame]:
     """Export text of every kind to the three event tables."""
-    rows = {kind: attach_subjects(frame, subjects) for kind, frame in exports.items()}
+    registry = _registry(subjects)
+    rows = {kind: frame.join(registry, "subject") for kind, frame in exports.items()}
     return {
         "diaper_events": ingest_diapers(rows["diaper"]),
         "feeding_sessions": ingest_feeds(rows["nursing"], rows["pump"], rows["expressed"]),

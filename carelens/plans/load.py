@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from carelens import constants as K
 from carelens import schemas
-from carelens.session import remove, scratch_path
+from carelens.session import bounded, remove, scratch_path
 from carelens.sources.tables import (
     BUCKET,
     WRITTEN,
@@ -177,9 +177,9 @@ def assert_unique(rows: DataFrame, key: str) -> None:
         raise ValueError(f"batch repeats {key}: {[row[0] for row in repeated]}")
 
 
-def upserted(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Rows of the batch, plus target rows the batch does not name."""
-    return target.join(batch.select(key), key, "left_anti").select(batch.columns).unionByName(batch)
+def upserted(target: DataFrame, batch: DataFrame, key: str, size: int | None = None) -> DataFrame:
+    """Rows of the batch, plus target rows the batch does not name; ``size`` is the batch's, if that is known."""
+    return target.join(bounded(batch.select(key), size), key, "left_anti").select(batch.columns).unionByName(batch)
 
 
 def prepare_upsert(rows: DataFrame, name: str, key: str = "id") -> Change:
@@ -194,7 +194,8 @@ def prepare_upsert(rows: DataFrame, name: str, key: str = "id") -> Change:
         assert_unique(batch, key)
         touched = {r[0] for r in batch.select(bucket_label(F.col(key), buckets)).distinct().collect()}
         own = {place: loads for place, loads in before.live.items() if place[1] in touched}
-        _, added = _written(upserted(_stored(spark, name, own).select(rows.columns), batch, key), name, load, buckets)
+        kept_and_new = upserted(_stored(spark, name, own).select(rows.columns), batch, key, seen.get["rows"])
+        _, added = _written(kept_and_new, name, load, buckets)
     finally:
         remove(spark, path)
     others = {place: loads for place, loads in before.live.items() if place not in own}

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: Rows that a join may copy to the driver and from there to every executor.
+COPIED = 10_000
 
 
 def local_session(
@@ -69,3 +72,12 @@ def any_exists(spark: SparkSession, pattern: str) -> bool:
     """Whether a path matches the glob pattern."""
     store, target = _in_store(spark, pattern)
     return bool(store.globStatus(target))
+
+
+def bounded(frame: DataFrame, rows: int | None = None) -> DataFrame:
+    """The side of a join that may be copied if it is small: with more than ``COPIED`` rows it is shuffled instead.
+
+    Spark guesses a side's size by its files, and names and ids made from a number are many times larger than that.
+    ``rows`` is how many it has, if that is known.
+    """
+    return frame.hint("merge") if (frame.count() if rows is None else rows) > COPIED else frame

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelens import constants as K
+from carelens import session
 from carelens.functions import ids
 from carelens.functions import text as X
 from carelens.functions import time as T
@@ -230,3 +231,21 @@ def test_only_registered_subjects_are_ingested(spark, tmp_path):
     known = subjects.registry(spark, [{"name": "Ann", "date_of_birth": "2024-01-01", "gender": "female", "timezone": "UTC"}])
     tables = ingest.ingest(read_all_exports(spark, str(tmp_path)), known)
     assert [t.count() for t in tables.values()] == [1, 0, 0]
+
+
+def test_large_registry_is_shuffled_not_copied(spark, tmp_path, monkeypatch):
+    """Whatever Spark guesses of its size; a small one is left to Spark, and rows are the same either way."""
+    born = {"date_of_birth": "2024-01-01", "gender": "other", "timezone": "UTC"}
+    path = str(tmp_path / "registry")
+    subjects.registry(spark, [{"name": name, **born} for name in "abc"]).write.parquet(path)
+    registry = spark.read.parquet(path)
+    rows = spark.createDataFrame([("a",), ("a",), ("c",), ("x",), (None,)], "subject string")
+    exports = {kind: spark.createDataFrame([], export_schema(kind)) for kind in K.EXPORT_KINDS}
+    found = []
+    for copied in (3, 2):
+        monkeypatch.setattr(session, "COPIED", copied)
+        frames = [ingest.attach_subjects(rows, registry), ingest.left_out(rows, registry), *ingest.ingest(exports, registry).values()]
+        plans = [frame._jdf.queryExecution().sparkPlan().toString() for frame in frames]
+        assert all(("BroadcastHashJoin" in plan) == (copied == 3) for plan in plans)
+        found.append([sorted(r.subject or "" for r in frame.collect()) for frame in frames[:2]])
+    assert found == [[["a", "a", "c"], ["", "x"]]] * 2

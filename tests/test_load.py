@@ -5,7 +5,7 @@ import builders as B
 import pytest
 from pyspark.sql import functions as F
 
-from carelens import schemas
+from carelens import schemas, session
 from carelens.operators import quality
 from carelens.operators.staging import stage_feeds
 from carelens.plans import build as plans
@@ -488,3 +488,14 @@ def test_from_exports_to_tables(spark, tmp_path, base):
     assert "source" not in spark.table("raw_diaper_events").columns
     assert set(raw_relations(open_tables(spark, base))) == set(schemas.TABLES)
     spark.sql("DROP DATABASE marts CASCADE")
+
+
+def test_keys_of_a_large_batch_are_shuffled_not_copied(spark, tmp_path, monkeypatch):
+    target = spark.createDataFrame([("a", 1), ("b", 1), ("d", 1), (None, 1)], "id string, n int")
+    spark.createDataFrame([("a", 2), ("c", 2), ("d", 2)], "id string, n int").write.parquet(str(tmp_path / "batch"))
+    batch = spark.read.parquet(str(tmp_path / "batch"))
+    for copied in (3, 2):
+        monkeypatch.setattr(session, "COPIED", copied)
+        for rows in (loading.upserted(target, batch, "id"), loading.upserted(target, batch, "id", 3)):
+            assert ("BroadcastHashJoin" in rows._jdf.queryExecution().sparkPlan().toString()) == (copied == 3)
+            assert sorted(map(tuple, rows.collect()), key=repr) == [("a", 2), ("b", 1), ("c", 2), ("d", 2), (None, 1)]
