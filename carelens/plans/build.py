@@ -91,15 +91,21 @@ def ingest_changed(
     files = listed(spark, folder, aliases).join(registered, "subject", "left")
     files = files.withColumn("loaded", F.coalesce("loaded", F.lit(False)))
     path = scratch_path(spark, "export-listing")
-    files.write.parquet(path)
+
+    def kept(rows: DataFrame, label: str) -> DataFrame:
+        """Written down, as each is a small relation that many jobs read."""
+        rows.write.parquet(f"{path}/{label}")
+        return spark.read.schema(rows.schema).parquet(f"{path}/{label}")
+
     try:
-        files = spark.read.schema(files.schema).parquet(path)
+        files = kept(files, "files")
         before = spark.table(name).where(F.col("source") == tag).select(*files.columns)
         changed = files.exceptAll(before).unionByName(before.exceptAll(files)).select("subject").distinct()
+        changed = kept(changed, "changed")
         touched = files.join(changed, "subject", "left_semi").where("loaded")
         # As many paths as files changed; a first load reads the whole folder instead.
         paths = None if before.isEmpty() else [r.id for r in touched.select("id").collect()]
-        chosen = subjects.join(changed, subjects["name"] == changed["subject"], "left_semi")
+        chosen = kept(subjects.join(changed, subjects["name"] == changed["subject"], "left_semi"), "chosen")
         if chosen.isEmpty():
             report = with_total(spark.createDataFrame([(t, 0) for t in schemas.LOADED_TABLES], "table_name string, rows bigint"))
         else:
@@ -122,19 +128,21 @@ def _loaded(
     accept_fewer: bool,
 ) -> DataFrame:
     """Parse exports into the shared folder once, type and load them."""
-    exports, left, parsed = {}, [], []
+    exports, parsed = {}, []
     for kind, rows in texts.items():
         path = scratch_path(spark, f"export-{kind}")
         parsed.append(path)
         rows.write.parquet(path)
         exports[kind] = spark.read.schema(rows.schema).parquet(path)
-        left.append((f"{LEFT_OUT} {kind}", left_out(exports[kind], chosen).count()))
     try:
+        # One job counts for all kinds.
+        unknown = (left_out(rows, chosen).select(F.lit(kind).alias("kind")) for kind, rows in exports.items())
+        left = {r.kind: r["count"] for r in reduce(DataFrame.unionByName, unknown).groupBy("kind").count().collect()}
         report = load(spark, base, profiles_from(chosen, as_of), ingest(exports, chosen), ids, accept_fewer)
     finally:
         for path in parsed:
             remove(spark, path)
-    return report.unionByName(spark.createDataFrame([row for row in left if row[1]], report.schema))
+    return report.unionByName(spark.createDataFrame([(f"{LEFT_OUT} {kind}", left[kind]) for kind in texts if kind in left], report.schema))
 
 
 def relations(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -109,22 +109,23 @@ class Change:
         drop_partitions(self.spark, self.name, partitions(self.spark, self.name, self.load))
 
 
-def _written(rows: DataFrame, name: str, load: str, buckets: int, batch: Column | None = None) -> tuple[int, Live]:
-    """Write the rows as partitions of a load; how many of them fulfil ``batch``, and where they went."""
+def _written(rows: DataFrame, name: str, load: str, buckets: int, batch: Column | None = None) -> tuple[int, int, Live]:
+    """Write the rows as partitions of a load; how many of them fulfil ``batch``, how many do not, and where they went."""
     spark, seen = rows.sparkSession, Observation()
     placed = rows.withColumns({BUCKET: bucket_label(F.col(_key(rows.columns)), buckets), WRITTEN: F.lit(load)})
     # Rebalancing lets AQE split a bucket that a hot subject makes large and merge small ones. Rows are counted after it,
     # where no task's work is done twice.
     spread = placed.hint("rebalance", F.col("source"), F.col(BUCKET))
-    counted = spread.observe(seen, F.count_if(F.lit(True) if batch is None else batch).alias("rows"))
+    of_batch = F.lit(True) if batch is None else batch
+    counted = spread.observe(seen, F.count_if(of_batch).alias("rows"), F.count_if(~of_batch).alias("others"))
     counted.select(spark.table(rows_name(name)).columns).write.insertInto(rows_name(name))
-    return seen.get["rows"], {(tag, bucket): [load] for tag, bucket, _ in partitions(spark, name, load)}
+    return seen.get["rows"], seen.get["others"], {(tag, bucket): [load] for tag, bucket, _ in partitions(spark, name, load)}
 
 
 def append_rows(rows: DataFrame, name: str, buckets: int | None = None) -> int:
     """Add rows to a table and return how many. ``buckets`` counts for a table without rows."""
     before, load = shown(rows.sparkSession, name), new_load()
-    size, added = _written(rows, name, load, bucket_count(before.live, buckets))
+    size, _, added = _written(rows, name, load, bucket_count(before.live, buckets))
     live = {place: before.live.get(place, []) + added.get(place, []) for place in {**before.live, **added}}
     return Change(rows.sparkSession, name, load, before, live, size).turn()
 
@@ -132,7 +133,7 @@ def append_rows(rows: DataFrame, name: str, buckets: int | None = None) -> int:
 def prepare_tagged_replace(rows: DataFrame, name: str, tag: str = K.INGESTED) -> Change:
     spark, tagged = rows.sparkSession, rows.withColumn("source", F.lit(tag))
     before, load = shown(spark, name), new_load()
-    size, added = _written(tagged, name, load, bucket_count(before.live))
+    size, _, added = _written(tagged, name, load, bucket_count(before.live))
     own = {place: loads for place, loads in before.live.items() if place[0] == tag}
     others = {place: loads for place, loads in before.live.items() if place[0] != tag}
     held = _stored(spark, name, own).count() if own else 0
@@ -155,8 +156,8 @@ def prepare_subject_replace(rows: DataFrame, subjects: DataFrame, name: str, tag
     kept = old.join(subjects, "baby_id", "left_anti").select(tagged.columns).withColumn("__batch", F.lit(False))
     # A row of any other subject would replace a bucket nobody asked to replace.
     named = tagged.join(subjects, "baby_id", "left_semi").select(tagged.columns).withColumn("__batch", F.lit(True))
-    size, added = _written(kept.unionByName(named), name, load, buckets, F.col("__batch"))
-    held = old.join(subjects, "baby_id", "left_semi").count() if own else 0
+    size, carried, added = _written(kept.unionByName(named), name, load, buckets, F.col("__batch"))
+    held = old.count() - carried if own else 0
     others = {place: loads for place, loads in before.live.items() if place not in own}
     return Change(spark, name, load, before, others | added, size, held)
 
@@ -195,7 +196,7 @@ def prepare_upsert(rows: DataFrame, name: str, key: str = "id") -> Change:
         touched = {r[0] for r in batch.select(bucket_label(F.col(key), buckets)).distinct().collect()}
         own = {place: loads for place, loads in before.live.items() if place[1] in touched}
         kept_and_new = upserted(_stored(spark, name, own).select(rows.columns), batch, key, seen.get["rows"])
-        _, added = _written(kept_and_new, name, load, buckets)
+        *_, added = _written(kept_and_new, name, load, buckets)
     finally:
         remove(spark, path)
     others = {place: loads for place, loads in before.live.items() if place not in own}

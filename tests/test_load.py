@@ -499,3 +499,33 @@ def test_keys_of_a_large_batch_are_shuffled_not_copied(spark, tmp_path, monkeypa
         for rows in (loading.upserted(target, batch, "id"), loading.upserted(target, batch, "id", 3)):
             assert ("BroadcastHashJoin" in rows._jdf.queryExecution().sparkPlan().toString()) == (copied == 3)
             assert sorted(map(tuple, rows.collect()), key=repr) == [("a", 2), ("b", 1), ("c", 2), ("d", 2), (None, 1)]
+
+
+def test_changed_subjects_are_found_once(spark, tmp_path, base, monkeypatch):
+    """What is loaded reads the chosen subjects, not the comparison of listings that chose them, over and over."""
+    folder, plans_of, loaded = tmp_path / "exports", [], plans._loaded
+    folder.mkdir()
+    exports(folder)
+    entry = {"date_of_birth": "2024-01-01", "gender": "other", "timezone": "UTC", "datetime_format": FORMAT}
+    both = subjects.registry(spark, [{"name": n, **entry} for n in ("Ann", "Bob")])
+    loading.create_tables(spark, base)
+
+    def seen(spark, texts, chosen, *rest):
+        plans_of.append(chosen._jdf.queryExecution().optimizedPlan().toString())
+        return loaded(spark, texts, chosen, *rest)
+
+    monkeypatch.setattr(plans, "_loaded", seen)
+    plans.ingest_changed(spark, str(folder), both, base, datetime(2024, 3, 1))
+    assert len(plans_of) == 1 and plans_of[0].startswith("Relation") and "Join" not in plans_of[0]
+
+
+def test_held_rows_are_those_not_carried_over(spark, empty):
+    """Without a second read of what was replaced; rows of nobody, and rows that come twice, are counted as they are."""
+    days = [{"id": f"d{i}", "baby_id": baby} for i, baby in enumerate(("a", "a", "b", None, "c"))]
+    rows = B.frame(spark, "diaper_events", days)
+    loading.append_rows(tagged(rows.unionByName(rows.where("id = 'd0'")), loading.K.INGESTED), empty, 1)
+    chosen = spark.createDataFrame([("a",), ("a",), ("x",)], "baby_id string")
+    change = loading.prepare_subject_replace(rows.where("id = 'd1'"), chosen, empty)
+    assert (change.held, change.size) == (3, 1)
+    change.turn()
+    assert [x[0] for x in stored(spark, empty)] == ["d1", "d2", "d3", "d4"]
